@@ -67,12 +67,12 @@ def plan(docs: DataFrame) -> DataFrame:
     ahead = F.sum("range_size").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.withColumn("ahead", F.coalesce(ahead, F.lit(0)))
     sizes = targets(sums.groupBy("source").agg(F.sum("range_size").alias("source_size")))
-    ranges = sums.join(sizes, sums.source.eqNullSafe(sizes.source)).select(
-        sums.source.alias("s"), F.col("range").alias("r"), "ahead", "source_size", "target"
-    )
+    sizes = sizes.withColumnRenamed("source", "of")
+    ranges = sums.join(sizes, F.col("source").eqNullSafe(F.col("of")))
+    ranges = ranges.select(F.col("source").alias("s"), F.col("range").alias("r"), "ahead", "source_size", "target")
     within = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = rows.withColumn("upto", F.sum("size").over(within))
-    joined = placed.join(ranges, placed.source.eqNullSafe(ranges.s) & (placed.range == ranges.r), "left")
+    joined = placed.join(ranges, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")), "left")
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(0).cast("long")
     rest = F.col("target") - full * F.col("source_size")
     # the document on the border is taken if that brings the source nearer to its target
@@ -88,7 +88,7 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def take(docs: DataFrame) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as its epochs. Copies of a doc_id share the most epochs of any of them."""
-    epochs = plan(docs).groupBy("doc_id").agg(F.max("epochs").alias("mix_epochs")).where("mix_epochs > 0")
-    joined = docs.join(epochs, docs.doc_id.eqNullSafe(epochs.doc_id), "inner").select(*[docs[c] for c in docs.columns], "mix_epochs")
+    epochs = plan(docs).groupBy(F.col("doc_id").alias("mix_id")).agg(F.max("epochs").alias("mix_epochs")).where("mix_epochs > 0")
+    joined = docs.join(epochs, F.col("doc_id").eqNullSafe(F.col("mix_id")))
     again = F.explode(F.sequence(F.lit(1), F.col("mix_epochs"))).alias("mix_epoch")
     return joined.select(*docs.columns, again).drop("mix_epoch")

@@ -25,7 +25,7 @@ CURRENT = 2
 
 def mask(rules: list[str]) -> int:
     """The bits of some rules."""
-    return sum(1 << RULES.index(r) for r in rules)
+    return sum(1 << RULES.index(r) for r in set(rules))
 
 
 def _let(value: Column, use) -> Column:
@@ -89,7 +89,7 @@ def ledger(docs: DataFrame) -> DataFrame:
         "few_words": n < 50,
         "repeated_words": 100 * F.col("n_repeat_words") > 50 * n,
         "symbols": 10 * F.col("n_symbols") > n,
-        "repeated_lines": 100 * F.col("n_dup_lines") > 30 * F.col("n_lines"),
+        "repeated_lines": 100 * F.col("n_dup_lines") > 60 * F.col("n_lines"),
         "word_length": (chars < 2 * n) | (chars > 15 * n),
         "shouting": 2 * F.col("n_upper_words") > n,
         "few_letters": 2 * F.col("n_letters") < chars,
@@ -150,7 +150,7 @@ w as (
   from w left join covered c using (doc_id)
 ), b as (
   select *, (n_words < 50)::bigint + 2 * (100 * n_repeat_words > 50 * n_words)::bigint + 4 * (10 * n_symbols > n_words)::bigint
-            + 8 * (100 * n_dup_lines > 30 * n_lines)::bigint + 16 * (word_chars < 2 * n_words or word_chars > 15 * n_words)::bigint
+            + 8 * (100 * n_dup_lines > 60 * n_lines)::bigint + 16 * (word_chars < 2 * n_words or word_chars > 15 * n_words)::bigint
             + 32 * (2 * n_upper > n_words)::bigint + 64 * (2 * n_letters < word_chars)::bigint as failed_bits
   from m
 )
