@@ -1,11 +1,405 @@
-"""All registered queries of the library and their SQL."""
+"""All registered queries of the library and their SQL. Each reads the driver's tables through the bindings."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from tallyline.functions import dims, scalars
+from tallyline.operators import awards as A
+from tallyline.operators import governance as G
+from tallyline.operators import interactions as I
+from tallyline.operators import masking as M
+from tallyline.operators import postings as P
+from tallyline.operators import registry as R
+from tallyline.operators import reports as T
+from tallyline.operators.pooled import pooled_quantile
+from tallyline.plans import bindings as B
+from tallyline.plans import queries as Q
 
-def oracles() -> dict:
-    return {}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLES: dict[str, str] = {}
+
+
+def _add(name: str, query: Callable[[SparkSession, str], DataFrame], sql: str | None = None) -> None:
+    _QUERIES[name] = query
+    if sql is not None:
+        _ORACLES[name] = sql
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracles() -> dict[str, str]:
+    return dict(_ORACLES)
+
+
+CELL = "fiscal_year, sector, prefecture, prefecture_code"
+
+
+# ---------------------------------------------------------------- awards
+
+
+def _pages(s: SparkSession, d: str) -> DataFrame:
+    return A.sector_year(B.published(s, d))
+
+
+def _exact(s: SparkSession, d: str) -> DataFrame:
+    return A.sector_year_exact(B.awards(s, d))
+
+
+def _normalized(s: SparkSession, d: str) -> DataFrame:
+    raw = B.raw_awards(s, d)
+    bodies, methods = B.code_tables(raw)
+    return A.normalize_awards(raw, bodies, methods, {"license": "open"})
+
+
+_add(
+    "award_normalize",
+    lambda s, d: _normalized(s, d).select(
+        "arrival", "award_id", "fiscal_year", "amount_jpy", "winner_type", "winner_name", "winner_masked", "corporate_number", "publisher_name", "method",
+        "title_masked", F.array_join("anonymise_flags", "|").alias("flags"), "raw_hash",
+    ),
+    f"""with {B.D_AWARDS} select arrival, sha1(concat_ws('|', ministry_cd, award_date::varchar, replace(lower(title), ' ', ''), amount_jpy::varchar)) as award_id,
+    fiscal_year, amount_jpy, winner_type, case when winner_type = 'corporate' then winner_name end as winner_name,
+    case when winner_type <> 'corporate' then '{M.PLACEHOLDER}' end as winner_masked, case when winner_type = 'corporate' then corporate_number end as corporate_number,
+    lower(ministry_cd) as publisher_name, substr(method_cd, 1, 1) as method, 'N' as title_masked,
+    case when winner_type = 'corporate' then '' when corporate_number = '' then 'no_corporate_number' else 'invalid_corporate_number' end as flags,
+    sha256(concat_ws('|', arrival::varchar, item_no, title, award_date::varchar, price, ministry_cd, sector, method_cd, winner_name, corporate_number,
+    award_ratio::varchar)) as raw_hash from awards""",
+)
+_add(
+    "award_dedup",
+    lambda s, d: A.dedup_awards(_normalized(s, d)).select("fiscal_year", "award_id", "arrival", "amount_jpy"),
+    f"""with {B.D_AWARDS}, keyed as (select *, sha1(concat_ws('|', ministry_cd, award_date::varchar, replace(lower(title), ' ', ''), amount_jpy::varchar)) as award_id
+    from awards) select fiscal_year, award_id, max(arrival) as arrival, amount_jpy from keyed group by all""",
+)
+_add("award_lookup", lambda s, d: A.build_lookup(B.sql(s, d, B.BASELINE), M.mask_winners(B.raw_awards(s, d))),
+     f"with {B.D_AWARDS} select distinct base.* from base join awards using (corporate_number) where winner_type = 'corporate'")
+_add("award_enrich", lambda s, d: B.awards(s, d).select("arrival", "item_no", "prefecture", "prefecture_code"),
+     f"with {B.D_AWARDS} select arrival, item_no, prefecture, prefecture_code from awards")
+_add("award_cells", B.cells, f"with {B.D_AWARDS} {B.d_stats(CELL)}")
+_add("award_cells_published", B.published, f"with {B.D_PUBLISHED} select * from published")
+_add("award_cells_small", lambda s, d: M.suppress_small(B.cells(s, d)), f"with {B.D_CELLS} select * from cells where n_masked_individual not between 1 and 2")
+_add("award_quartiles_by_rank", lambda s, d: A.quartiles_by_rank(B.awards(s, d), ["fiscal_year", "sector"], "amount_jpy"),
+     f"with {B.D_AWARDS}, e as ({B.d_stats('fiscal_year, sector')}) select fiscal_year, sector, amount_q1_jpy, amount_median_jpy, amount_q3_jpy from e")
+_add("award_ratio_stats", lambda s, d: A.ratio_stats(B.raw_awards(s, d).withColumn("award_ratio", F.when(F.col("award_ratio") > 0, F.col("award_ratio"))), ["sector"], "award_ratio"),
+     f"""with r as (select sector, case when award_ratio > 0 then award_ratio end as x from ({B.duck(B.AWARDS)})) select sector,
+     round_even(quantile_cont(x, 0.25), 4) as award_ratio_q1, round_even(quantile_cont(x, 0.5), 4) as award_ratio_median,
+     round_even(quantile_cont(x, 0.75), 4) as award_ratio_q3, round_even(count(x) / count(*), 4) as award_ratio_coverage from r group by 1""")
+_add("sector_year_exact", _exact, f"with {B.D_AWARDS} {B.d_stats('fiscal_year, sector')}")
+_add("sector_year", _pages, f"with {B.D_PAGES} select * from pages")
+_add(
+    "sector_year_quantiles",
+    lambda s, d: A.with_quantiles(_pages(s, d), _exact(s, d).where("n_awards > 50"), _exact(s, d)),
+    f"""with {B.D_PAGES} select pages.*, amount_q1_jpy, amount_median_jpy, amount_q3_jpy, exact.n_awards > 50 as quantiles_exact
+    from pages join exact using (fiscal_year, sector)""",
+)
+_POOL = """, seg as (select {g}, n_awards * 0.25 as w, unnest([{{'a': amount_min_jpy::double, 'b': amount_q1_jpy::double}}, {{'a': amount_q1_jpy::double, 'b': amount_median_jpy::double}},
+  {{'a': amount_median_jpy::double, 'b': amount_q3_jpy::double}}, {{'a': amount_q3_jpy::double, 'b': amount_max_jpy::double}}]) as s from {t} where amount_min_jpy is not null),
+xs as (select {g}, s.a as x from seg union select {g}, s.b from seg),
+cdf as (select {g}, xs.x, sum(case when x >= s.b then w when x > s.a then w * (x - s.a) / (s.b - s.a) else 0 end) as f,
+   sum(case when s.a = s.b and x = s.a then w else 0 end) as j from xs join seg using ({g}) group by {g}, xs.x),
+steps as (select *, lag(x) over v as x0, lag(f) over v as f0, max(f) over (partition by {g}) as total from cdf window v as (partition by {g} order by x)),
+p as (select unnest([0.25, 0.5, 0.75]) as p),
+hit as (select {g}, p, min(x) as x from steps, p where f >= p * total - 1e-9 * total group by {g}, p),
+val as (select h.{h}, h.p, case when f - j >= h.p * total - 1e-9 * h.p * total and f - j > f0 then least(x0 + (s.x - x0) * (h.p * total - f0) / (f - j - f0), s.x) else s.x end as q
+   from hit h join steps s on {on} and h.x = s.x)"""
+_add(
+    "pooled_quantiles",
+    lambda s, d: pooled_quantile(A.award_stats(B.awards(s, d), ["fiscal_year", "ministry_cd"]), ["fiscal_year"]).select(
+        "fiscal_year", "n_cells", *[F.bround(c, 2).alias(c) for c in ("q25", "q50", "q75")]
+    ),
+    f"with {B.D_AWARDS}, c as ({B.d_stats('fiscal_year, ministry_cd')})"
+    + _POOL.format(g="fiscal_year", h="fiscal_year", t="c", on="h.fiscal_year = s.fiscal_year")
+    + """ select fiscal_year, (select count(*) from c where c.fiscal_year = val.fiscal_year) as n_cells, max(round_even(q, 2)) filter (p = 0.25) as q25,
+    max(round_even(q, 2)) filter (p = 0.5) as q50, max(round_even(q, 2)) filter (p = 0.75) as q75 from val group by 1""",
+)
+_add("award_provenance", lambda s, d: A.award_provenance(B.raw_awards(s, d), A.dedup_awards(_normalized(s, d)), B.published(s, d)),
+     f"""with {B.D_PUBLISHED}, keyed as (select fiscal_year, sha1(concat_ws('|', ministry_cd, award_date::varchar, replace(lower(title), ' ', ''), amount_jpy::varchar)) as award_id,
+     max(award_date) as ld from awards group by 1, 2), h as (select max(n_awards_suppressed_in_group) as h from published group by fiscal_year, sector)
+     select (select count(*) from raw) as records_parsed, count(*) as records_normalized, max(award_date) as last_award_date,
+     (select coalesce(sum(h), 0)::bigint from h) as n_held_back, (select count(*) from raw) - count(*) as records_deduplicated
+     from (select award_id, award_date from (select *, sha1(concat_ws('|', ministry_cd, award_date::varchar, replace(lower(title), ' ', ''), amount_jpy::varchar)) as award_id
+     from awards) qualify row_number() over (partition by fiscal_year, award_id order by arrival desc) = 1)""")
+_add("award_dimensions", lambda s, d: A.dimensions(B.published(s, d)),
+     f"""with {B.D_PUBLISHED} select distinct 'fiscal_year' as dimension, fiscal_year::varchar as value from published
+     union select 'sector', sector from published union select 'prefecture', prefecture from published""")
+_add("award_dictionary", lambda s, d: A.encode_dictionary(B.cells(s, d), ["prefecture", "sector"], ["fiscal_year", "sector", "prefecture"]).select(
+        "fiscal_year", "prefecture_idx", "sector_idx", "n_awards"),
+     f"""with {B.D_CELLS}, o as (select *, row_number() over (order by fiscal_year, sector, prefecture) as k from cells),
+     p as (select prefecture, (row_number() over (order by min(k)) - 1)::int as prefecture_idx from o group by 1),
+     s as (select sector, (row_number() over (order by min(k)) - 1)::int as sector_idx from o group by 1)
+     select fiscal_year, prefecture_idx, sector_idx, n_awards from o join p using (prefecture) join s using (sector)""")
+
+# ---------------------------------------------------------------- parameterised queries over awards
+
+_TOTALS = """select count(*) as n_cells, sum(n_awards)::bigint as n_awards, sum(n_corporate)::bigint as n_corporate, sum(n_masked_individual)::bigint as n_masked_individual,
+  sum(amount_sum_jpy)::bigint as amount_sum_jpy, floor(sum(amount_sum_jpy) / sum(n_awards) + 0.5)::bigint as amount_mean_jpy, min(amount_min_jpy) as amount_min_jpy,
+  max(amount_max_jpy) as amount_max_jpy from m"""
+_add("procurement_stats", lambda s, d: Q.procurement_totals(B.published(s, d), low=1994, high=1996, sector="economy", prefecture="nation_1"),
+     f"""with {B.D_PUBLISHED}, m as (select * from published where fiscal_year between 1994 and 1996 and contains(lower(sector), 'economy')
+     and contains(lower(prefecture), 'nation_1') and (lower(prefecture) = 'nation_1' or not exists (select 1 from published where lower(prefecture) = 'nation_1')))
+     {_TOTALS}""")
+_add("procurement_buckets", lambda s, d: Q.procurement_buckets(B.published(s, d), low=1995, high=None, sector=None, prefecture=None, n=25),
+     f"""with {B.D_PUBLISHED}, m as (select * from published where fiscal_year >= 1995)
+     select fiscal_year, prefecture, sector, n_awards, amount_median_jpy, (select count(*) from m) as n_matched, (select count(*) from m) > 25 as truncated
+     from m order by fiscal_year, sector, prefecture limit 25""")
+_add("procurement_quantiles", lambda s, d: Q.procurement_quantiles(A.award_stats(B.awards(s, d), ["fiscal_year", "sector"]).where("sector like 'ECONOMY%'")),
+     f"with {B.D_AWARDS}, c as (select 1 as g, * from ({B.d_stats('fiscal_year, sector')}) where sector like 'ECONOMY%')" + _POOL.format(g="g", h="g", t="c", on="h.g = s.g")
+     + """ select (select count(*) from c) as n_cells, max(round_even(q, 0)) filter (p = 0.25)::bigint as q25, max(round_even(q, 0)) filter (p = 0.5)::bigint as q50,
+     max(round_even(q, 0)) filter (p = 0.75)::bigint as q75 from val""")
+
+# ---------------------------------------------------------------- reports
+
+_add("report_matrix", lambda s, d: T.sector_year_matrix(_pages(s, d)), f"with {B.D_PAGES} select sector, fiscal_year, sum(n_awards)::bigint as n_awards from pages group by cube (sector, fiscal_year)")
+_add("report_by_year", lambda s, d: T.awards_by_year(_pages(s, d), s.range(1990, 2001).select(F.col("id").cast("int").alias("fiscal_year"))),
+     f"""with {B.D_PAGES} select y::int as fiscal_year, coalesce(sum(n_awards), 0)::bigint as n_awards from range(1990, 2001) r(y) left join pages on fiscal_year = y group by 1""")
+_add("report_by_sector", lambda s, d: T.awards_by_sector(_pages(s, d), 1995),
+     f"""with {B.D_PAGES}, c as (select sector, sum(n_awards)::bigint as n_awards from pages where fiscal_year = 1995 group by 1)
+     select sector, n_awards, round_even(n_awards::double / sum(n_awards) over (), 4) as share from c""")
+_add("report_median_by_sector", lambda s, d: T.median_by_sector(_exact(s, d), 1995), f"with {B.D_PAGES} select sector, amount_median_jpy from exact where fiscal_year = 1995")
+_add("report_by_prefecture", lambda s, d: T.awards_by_prefecture(B.published(s, d)),
+     f"""with {B.D_PUBLISHED}, c as (select prefecture, sum(n_awards)::bigint as n_awards from published group by 1)
+     select prefecture, n_awards, round_even(n_awards::double / sum(n_awards) over (), 4) as share from c order by n_awards desc, prefecture limit 10""")
+_add("report_growth", lambda s, d: T.growth(_pages(s, d), 1993, 1996),
+     f"""with {B.D_PAGES}, g as (select sector, coalesce(sum(n_awards) filter (fiscal_year = 1993), 0)::bigint as n_base, coalesce(sum(n_awards) filter (fiscal_year = 1996), 0)::bigint as n_last
+     from pages group by 1) select *, case when n_base > 0 then round_even(n_last / n_base, 2) end as growth from g""")
+_add("report_count_vs_amount", lambda s, d: T.count_vs_amount_share(_pages(s, d)),
+     f"""with {B.D_PAGES}, g as (select sector, sum(n_awards)::double as n, sum(amount_sum_jpy)::double as a from pages group by 1)
+     select sector, round_even(n / sum(n) over (), 4) as award_share, round_even(a / sum(a) over (), 4) as amount_share from g""")
+_add("report_month_shares", lambda s, d: T.month_shares(B.raw_awards(s, d)),
+     f"""with c as (select sector, month(award_date)::int as month, count(*) as n from ({B.duck(B.AWARDS)}) group by 1, 2)
+     select *, round_even(n / sum(n) over (partition by sector), 4) as share from c""")
+_add("report_sextiles", lambda s, d: T.sextile_class(_pages(s, d).select("fiscal_year", "sector", "n_awards"), "n_awards"),
+     f"""with {B.D_PAGES}, l as (select list(n_awards order by n_awards) as l from pages), c as (select list_transform(range(1, 6), lambda k: l[least(len(l) - 1, len(l) * k // 6) + 1]) as c from l)
+     select fiscal_year, sector, n_awards, (1 + len(list_filter(c, lambda x: x <= n_awards)))::int as class from pages, c""")
+_add("report_rank_cells", lambda s, d: T.rank_cells(B.published(s, d), ["fiscal_year", "sector"]).select("fiscal_year", "sector", "prefecture_code", "n_awards", "place"),
+     f"""with {B.D_PUBLISHED} select fiscal_year, sector, prefecture_code, n_awards, row_number() over (partition by fiscal_year, sector
+     order by n_awards desc, coalesce(nullif(prefecture_code, ''), 'zz'))::int as place from published""")
+_add("report_index", lambda s, d: T.stats_index(_pages(s, d), _exact(s, d)),
+     f"""with {B.D_PAGES} select sector, fiscal_year, pages.n_awards, pages.amount_sum_jpy, amount_median_jpy, amount_median_jpy is null as estimated
+     from pages left join exact using (fiscal_year, sector)""")
+_add("report_decades", lambda s, d: T.five_number_decades(_pages(s, d)),
+     f"""with {B.D_PAGES} select sector, fiscal_year, floor(log10(greatest(amount_min_jpy, 1)))::int as low_decade, ceil(log10(greatest(amount_max_jpy, 1)))::int as high_decade from pages""")
+_add("report_top_sectors", lambda s, d: T.top_k(T.awards_by_sector(_pages(s, d)).drop("share"), "n_awards", 8, "sector"),
+     f"with {B.D_PAGES} select sector, sum(n_awards)::bigint as n_awards from pages group by 1 order by 2 desc, 1 limit 8")
+
+# ---------------------------------------------------------------- registry changes
+
+_add("change_normalize", lambda s, d: B.changes(s, d).select("arrival", "record_key", "corporate_number_valid", "file_month", "prefecture"),
+     f"""with {B.D_CHANGES} select arrival, concat_ws('|', corporate_number, change_date::varchar, sequence_number::varchar) as record_key, corporate_number_valid, file_month, prefecture from changes""")
+_add("change_dedup", lambda s, d: B.kept_changes(s, d).select("arrival", "correct_flag"), f"with {B.D_CHANGES} select arrival, correct_flag from kept")
+_add("change_dedup_effect", lambda s, d: R.dedup_effect(B.changes(s, d), B.kept_changes(s, d)),
+     f"""with {B.D_CHANGES}, a as (select file_date, count(*) as records_raw from changes group by 1), b as (select file_date, count(*) as records from kept group by 1)
+     select file_date, records_raw, coalesce(records, 0) as records, records_raw - coalesce(records, 0) as dropped from a left join b using (file_date)""")
+_LOOKUP = """select corporate_number, count(*) as n_changes, arg_min(change_date, r) as latest_change_date, arg_min(process_code, r) as latest_process_code,
+  arg_min(kind_code, r) as latest_kind_code, arg_min(nm, r) as latest_name, count(*) filter (r <= 20) as n_history
+  from (select *, case when kind_code in ('101', '301', '305') or length(name) > 6 then name else '' end as nm, row_number() over (partition by corporate_number
+  order by change_date desc, sequence_number desc, correct_flag desc, arrival) as r from kept where corporate_number_valid = 'Y')"""
+_add("corporate_lookup", lambda s, d: R.corporate_lookup(B.kept_changes(s, d)).withColumn("latest_name", F.coalesce("latest_name", F.lit(""))),
+     f"with {B.D_CHANGES} {_LOOKUP} group by 1")
+_add("corporate_lookup_batch", lambda s, d: R.corporate_lookup(B.kept_changes(s, d), B.sql(s, d, B.BASELINE)).withColumn("latest_name", F.coalesce("latest_name", F.lit(""))),
+     f"with {B.D_CHANGES} {_LOOKUP} where corporate_number in (select corporate_number from ({B.duck(B.BASELINE)})) group by 1")
+_add("change_history", lambda s, d: R.change_history(B.kept_changes(s, d), _A_NUMBER).select(
+        "change_date", "sequence_number", F.col("kind.en").alias("kind_en"), F.col("process.en").alias("process_en"), "is_correction", "name_withheld"),
+     f"""with {B.D_CHANGES} select change_date, sequence_number, case kind_code when '101' then 'national government body' when '301' then 'kabushiki kaisha (joint-stock company)'
+     when '305' then 'godo kaisha (LLC)' else 'other (including unincorporated associations)' end as kind_en, 'unknown' as process_en, correct_flag = 1 as is_correction,
+     kind_code = '499' and length(name) <= 6 as name_withheld from kept where corporate_number = '{{n}}'
+     order by change_date desc, sequence_number desc, correct_flag desc, arrival limit 20""")
+_A_NUMBER = (lambda b: f"{9 - sum(int(b[12 - n]) * (1 if n % 2 else 2) for n in range(1, 13)) % 9}{b}")("000000000007")
+_ORACLES["change_history"] = _ORACLES["change_history"].replace("{n}", _A_NUMBER)
+_add("change_names_guarded", lambda s, d: M.guard_names(B.changes(s, d), ["101", "301", "305"]).select("arrival", "name", "name_withheld"),
+     f"""with {B.D_CHANGES} select arrival, case when not (kind_code = '499' and length(name) <= 6) then name end as name,
+     kind_code = '499' and length(name) <= 6 as name_withheld from changes""")
+_add("daily_counts", B.daily, f"with {B.D_DAILY} select * from daily")
+_add("merge_summary", lambda s, d: R.merge_summary(
+        B.daily(s, d).where("axis = 'total'").select("day", "n"), R.daily_counts(B.changes(s, d)).where("axis = 'total' and day >= '2024-01-10'").select("day", "n")),
+     f"""with {B.D_DAILY}, r as (select file_date as day, count(*) as n from changes where file_date >= date '2024-01-10' group by 1), o as (select day, n from daily where axis = 'total')
+     select day, coalesce(r.n, o.n) as n from o full join r using (day)""")
+_add("diff_summary", lambda s, d: R.diff_summary(B.daily(s, d).where("axis = 'total'"), "2023-12-25", "2024-02-10"),
+     f"""with {B.D_DAILY}, c as (select unnest(generate_series(date '2023-12-25', date '2024-02-10', interval 1 day))::date as day)
+     select count(*) as days, count(n) as days_with_file, count(*) - count(n) as days_without_file, coalesce(sum(n), 0)::bigint as total,
+     floor(sum(n) / count(n) + 0.5)::bigint as mean_per_published_day from c left join (select * from daily where axis = 'total') using (day)""")
+_add("scan_fill", lambda s, d: R.scan_fill(
+        R.daily_counts(B.changes(s, d)).where("axis = 'total' and day(day) % 3 > 0"), B.daily(s, d).where("axis = 'total'")),
+     f"""with {B.D_DAILY}, m as (select file_date as day, count(*) as m from changes where day(file_date) % 3 > 0 group by 1), t as (select day, n as s from daily where axis = 'total')
+     select day, coalesce(m, s) as n, m is null as from_scan from m full join t using (day)""")
+
+
+def _manifest(s: SparkSession, d: str) -> DataFrame:
+    return B.sql(s, d, B.CHANGES).groupBy(F.col("file_date").alias("day")).agg(F.count("*").alias("records_raw"), F.sum("sequence_number").alias("raw_bytes"))
+
+
+_MANIFEST = "manifest as (select file_date as day, count(*) as records_raw, sum(sequence_number)::bigint as raw_bytes from changes group by 1)"
+_add("coverage", lambda s, d: R.coverage(_manifest(s, d), B.daily(s, d)),
+     f"""with {B.D_DAILY}, {_MANIFEST} select min(day) as first_day, max(day) as last_day, count(*) as days, sum(n)::bigint as records, sum(records_raw)::bigint as records_raw,
+     sum(raw_bytes)::bigint as raw_bytes, (sum(records_raw) - sum(n))::bigint as dropped from manifest left join (select * from daily where axis = 'total') using (day)""")
+_add("daily_by_process", lambda s, d: R.daily_by_process(B.daily(s, d), ["click", "view"]),
+     f"""with {B.D_DAILY} select day, coalesce(sum(n) filter (key = 'click'), 0)::bigint as n_click, coalesce(sum(n) filter (key = 'view'), 0)::bigint as n_view,
+     coalesce(sum(n) filter (key not in ('click', 'view')), 0)::bigint as n_other from daily where axis = 'process' group by 1""")
+for _name, _axis, _low, _high in (("prefecture_ranking", "prefecture", "2024-01-05", "2024-01-20"), ("process_ranking", "process", None, None), ("kind_ranking", "kind", None, None)):
+    _cond = f"day between date '{_low}' and date '{_high}'" if _low else "true"
+    _add(_name, lambda s, d, a=_axis, lo=_low, hi=_high: R.ranking(B.daily(s, d), a, lo, hi),
+         f"""with {B.D_DAILY}, c as (select key, sum(n)::bigint as n from daily where axis = '{_axis}' and {_cond} group by 1)
+         select key, n, round_even(n / (select sum(n) from daily where axis = 'total' and {_cond}), 4) as share, row_number() over (order by n desc, key)::int as rank from c""")
+_add("weekly_summary", lambda s, d: R.weekly_summary(B.daily(s, d), ["click", "view"]),
+     f"""with {B.D_DAILY}, r as (select date_trunc('week', day)::date as monday, * from daily where axis in ('total', 'process'))
+     select monday, sum(n) filter (axis = 'total')::bigint as total, count(*) filter (axis = 'total') as days, coalesce(sum(n) filter (axis = 'process' and key = 'click'), 0)::bigint as n_click,
+     coalesce(sum(n) filter (axis = 'process' and key = 'view'), 0)::bigint as n_view, isoyear(monday)::varchar || '-W' || lpad(week(monday)::varchar, 2, '0') as week,
+     (monday + 6)::date as sunday from r group by monday""")
+_add("pending_files", lambda s, d: R.pending(_manifest(s, d).select("day"), _manifest(s, d).where("records_raw % 3 > 0").select("day", F.when(F.col("records_raw") % 3 == 1, "private").otherwise("published").alias("origin"))),
+     f"with {B.D_CHANGES}, {_MANIFEST} select day from manifest where records_raw % 3 = 0")
+_add("retention", lambda s, d: R.retention_state(_manifest(s, d), window=10, fade=3),
+     f"""with {B.D_CHANGES}, {_MANIFEST}, p as (select day, row_number() over (order by day desc)::int as place from manifest)
+     select day, place, case when place > 10 then 'gone' when place > 7 then 'next_to_go' else 'live' end as state from p""")
+_add("fixed_sample", lambda s, d: R.fixed_sample(B.kept_changes(s, d), 200, ["arrival", "corporate_number", "file_date"]),
+     f"""with {B.D_CHANGES} select arrival, corporate_number, file_date from kept where corporate_number_valid = 'Y' and kind_code in ('101', '301', '305')
+     order by file_date, corporate_number, sequence_number::varchar, arrival limit 200""")
+_add("feed_items", lambda s, d: R.feed_items(B.daily(s, d), 30),
+     f"""with {B.D_DAILY} select day, n as total, (select string_agg(k.key || ': ' || k.n, ', ' order by k.n desc, k.key) from daily k where k.axis = 'kind' and k.day = t.day) as breakdown
+     from daily t where axis = 'total' order by day desc limit 30""")
+_add("status_index", lambda s, d: Q.status_index(_pages(s, d), B.daily(s, d)),
+     f"""with {B.D_PAGES.replace("pages as", "pg as")}, {B.D_DAILY.replace(" base ", " base2 ")} select 'awards' as dataset, sum(n_awards)::bigint as records, count(*) as entries, max(fiscal_year)::varchar as newest from pg
+     union all select 'changes', sum(n)::bigint, count(*), max(day)::varchar from daily where axis = 'total'""")
+
+# ---------------------------------------------------------------- interactions
+
+_PRODUCTS = [f"p{i}" for i in range(6)]
+_CLICK = f"""c as ({B.duck(B.CLICKS)}), v as (select ts, product, kind, ts::date as day, case when length(client_id) >= 8 then client_id
+  else split_part(ip, '.', 1) || '.' || split_part(ip, '.', 2) end as client from c where product in ('{"', '".join(_PRODUCTS)}') and kind in ('click', 'view')),
+  daily as (select product, kind, day, count(distinct client) as clients from v group by 1, 2, 3)"""
+
+
+def _clicks_daily(s: SparkSession, d: str) -> DataFrame:
+    valid, _ = I.validate_clicks(B.sql(s, d, B.CLICKS), _PRODUCTS)
+    return I.distinct_clients(valid, ["product", "kind"], F.col("client"))
+
+
+_add("clicks_rejected", lambda s, d: I.validate_clicks(B.sql(s, d, B.CLICKS), _PRODUCTS)[1].groupBy("reason").agg(F.count("*").alias("n")),
+     f"""with c as ({B.duck(B.CLICKS)}) select case when product = 'p6' then 'unknown_product' else 'unknown_kind' end as reason, count(*) as n from c
+     where product = 'p6' or kind not in ('click', 'view') group by 1""")
+_add("clicks_daily", _clicks_daily, f"with {_CLICK} select * from daily")
+_add("intent_summary", lambda s, d: I.intent_summary(_clicks_daily(s, d), s.createDataFrame([(f"p{i}",) for i in range(8)], "product string"), F.lit("2024-01-20").cast("date"), 7),
+     f"""with {_CLICK}, s as (select 'p' || i as product from range(8) r(i)), t as (select s.product, coalesce(sum(clients) filter (kind = 'click' and day > date '2024-01-13'), 0)::bigint as clicks_recent,
+     coalesce(sum(clients) filter (kind = 'view' and day > date '2024-01-13'), 0)::bigint as views_recent, coalesce(sum(clients) filter (kind = 'click'), 0)::bigint as clicks,
+     coalesce(sum(clients) filter (kind = 'view'), 0)::bigint as views from s left join daily using (product) group by 1)
+     select *, case when views > 0 then round_even(clicks / views, 4) end as intent_rate from t""")
+_FEED = f"""f as (select *, ts::date as day, regexp_extract(ip, '^[0-9]+\\.[0-9]+') as net from ({B.duck(B.FETCHES)}) where method = 'GET'),
+  k as (select *, trim(regexp_replace(regexp_replace(lower(user_agent), '\\b[0-9]+ subscribers\\b', '', 'g'), '\\s+', ' ', 'g')) as agent,
+  try_cast(regexp_extract(user_agent, '([0-9]+) subscribers', 1) as bigint) as rep, lower(split_part(split_part(user_agent, '/', 1), ' ', 1)) as family from f),
+  fam as (select feed, day, family, max(rep) as rep from k where rep is not null group by 1, 2, 3), e as (select feed, day, sum(greatest(rep - 1, 0))::bigint as beyond from fam group by 1, 2),
+  cnt as (select feed, day, count(*) as requests, count(distinct net || '|' || agent) as fetchers, count(distinct case when contains(lower(user_agent), 'googlebot') then net || '|' || agent end) as crawlers from k group by 1, 2),
+  feeds as (select feed, day, requests, fetchers, crawlers, coalesce(beyond, 0) as reported_beyond, fetchers + coalesce(beyond, 0) as readers_estimate from cnt left join e using (feed, day))"""
+_add("feed_daily", lambda s, d: I.feed_daily(B.sql(s, d, B.FETCHES), "salt"), f"with {_FEED} select * from feeds")
+_add("feed_stats", lambda s, d: I.feed_stats(I.feed_daily(B.sql(s, d, B.FETCHES), "salt"), F.lit("2024-01-25").cast("date"), 14),
+     f"""with {_FEED} select feed, count(*) as days, sum(requests)::bigint as requests, max(fetchers) as max_fetchers, max(readers_estimate) as max_readers_estimate
+     from feeds where day > date '2024-01-11' group by 1""")
+_add("client_hashes", lambda s, d: B.sql(s, d, B.CLICKS).select("client_id", F.to_date("ts").alias("day"), scalars.client_hash("salt", F.to_date("ts"), F.col("client_id")).alias("hash"),
+        scalars.ip_prefix(F.col("ip")).alias("net")).distinct(),
+     f"""select distinct client_id, ts::date as day, substr(sha256('salt:' || ts::date::varchar || ':' || client_id), 1, 20) as hash, regexp_extract(ip, '^[0-9]+\\.[0-9]+') as net from ({B.duck(B.CLICKS)})""")
+_add("fixed_window_verdicts", lambda s, d: I.fixed_window_verdicts(
+        s.read.parquet(f"{d}/events.parquet").select(F.concat(F.lit("c"), (F.col("user_id") % 20).cast("string")).alias("client"), "ts", F.col("event_id").alias("request_id")), 3, 86_400)
+        .select("client", "request_id", "allowed", "remaining"),
+     """with recursive e as (select 'c' || (user_id % 20) as client, epoch_us(ts) as t, event_id as request_id, row_number() over (partition by user_id % 20 order by ts, event_id) as r from events),
+     w as (select client, t, request_id, r, t as s, 1 as k from e where r = 1 union all select e.client, e.t, e.request_id, e.r, case when e.t - w.s >= 86400000000 then e.t else w.s end,
+     case when e.t - w.s >= 86400000000 then 1 else w.k + 1 end from w join e on e.client = w.client and e.r = w.r + 1)
+     select client, request_id, k <= 3 as allowed, greatest(3 - k, 0)::bigint as remaining from w""")
+
+# ---------------------------------------------------------------- postings
+
+_OUT = f"out as ({B.duck(B.OUTCOMES)}), obs as ({B.duck(B.OBSERVED)})"
+_add("posting_lifecycle", lambda s, d: P.posting_lifecycle(B.sql(s, d, B.OBSERVED), B.sql(s, d, B.OUTCOMES)),
+     f"""with {_OUT}, cr as (select board, day, row_number() over (partition by board order by day) as k from out where outcome <> 'failed'),
+     l as (select o.board, o.posting, min(o.day) as first_seen, max(o.day) as last_seen from obs o join cr using (board, day) group by 1, 2)
+     select board, posting, first_seen, last_seen, (select count(*) from cr where cr.board = l.board and cr.day > l.last_seen) as misses,
+     case when (select count(*) from cr where cr.board = l.board and cr.day > l.last_seen) >= 2 then 'closed' else 'open' end as status,
+     (select min(day) from cr where cr.board = l.board and cr.day > l.last_seen) as closed_at from l""")
+
+
+def _nights(s: SparkSession, d: str) -> DataFrame:
+    out = B.sql(s, d, B.OUTCOMES).withColumnRenamed("day", "night")
+    out = out.withColumn("outcome", F.when(F.pmod(F.dayofmonth("night") + F.col("board"), F.lit(3)) > 0, "failed").otherwise(F.col("outcome")))
+    return out.withColumn("error", F.when(F.col("outcome") == "failed", F.concat(F.lit("HTTP 50"), (F.col("board") % 4).cast("string"))))
+
+
+_NIGHTS = f"""{_OUT}, nights as (select board, day as night, case when (day(day) + board) % 3 > 0 then 'failed' else outcome end as outcome from out)"""
+_add("board_health", lambda s, d: P.board_health(_nights(s, d), s.range(30).select(F.col("id").alias("board"))),
+     f"""with {_NIGHTS}, g as (select board, max(night) filter (outcome <> 'failed') as good from nights group by 1)
+     select board, count(*) as failed_nights, min(night) as first_failed, max(night) as last_failed, 'HTTP 50' || (board % 4) as last_error, count(*) >= 3 as flagged
+     from nights join g using (board) where board < 30 and (good is null or night > good) group by board""")
+_add("crawl_counters", lambda s, d: P.crawl_counters(_nights(s, d)),
+     f"""with {_NIGHTS} select night, count(*) as attempted, count(*) filter (outcome = 'ok') as n_ok, count(*) filter (outcome = 'unchanged') as n_unchanged,
+     count(*) filter (outcome = 'failed') as n_failed from nights group by 1""")
+_add("halted_hosts", lambda s, d: P.halted_hosts(B.sql(s, d, B.BLOCKED_HOSTS)),
+     f"""with f as ({B.duck(B.BLOCKED_HOSTS)}), g as (select *, lag(ok, 1) over w as a, lag(ok, 2) over w as b from f window w as (partition by host order by ts, fetch_id))
+     select host, min(ts) as halted_at from g where not ok and not a and not b group by 1""")
+
+
+def _boards(s: SparkSession, d: str) -> DataFrame:
+    return B.sql(s, d, B.OUTCOMES).select("board").distinct().withColumn("host", F.concat(F.lit("h"), (F.col("board") % 12).cast("string"))).withColumn("cleared", F.col("board") % 9 > 0)
+
+
+_add("plan_boards", lambda s, d: P.plan_boards(_boards(s, d), _boards(s, d).where("board % 11 = 3"), P.halted_hosts(B.sql(s, d, B.BLOCKED_HOSTS)).where("host < 'h3'"),
+        _boards(s, d).where("board % 5 = 0"), 1),
+     f"""with {_OUT}, f as ({B.duck(B.BLOCKED_HOSTS)}), g as (select *, lag(ok, 1) over w as a, lag(ok, 2) over w as b from f window w as (partition by host order by ts, fetch_id)),
+     h as (select distinct host from g where not ok and not a and not b and host < 'h3'),
+     r as (select distinct board, 'h' || (board % 12) as host from out), q as (select board, host, case when board % 11 = 3 then 'blocked' when board % 9 = 0 then 'gate'
+     when host in (select host from h) then 'host_halted' when board % 5 = 0 then 'already_fetched' end as x from r)
+     select board, host, coalesce(x, case when row_number() over (partition by host, x is null order by board) > 1 then 'over_cap' end) as skip_reason from q""")
+_PLACES = ["Tokyo, Japan", "Osaka", "Remote - Japan", "San Francisco", "Japantown, San Francisco", "Yokohama", "Berlin"]
+
+
+def _postings(s: SparkSession, d: str) -> DataFrame:
+    place = F.element_at(F.array(*[F.lit(p) for p in _PLACES]), (F.abs(F.hash("posting")) * 0 + F.length("posting") % len(_PLACES) + 1).cast("int"))
+    return B.sql(s, d, B.OBSERVED).select("board", "posting").distinct().withColumn("location", place)
+
+
+_add("verify_boards", lambda s, d: P.verify_boards(B.sql(s, d, B.OUTCOMES).groupBy("board").agg(F.max("outcome").alias("outcome")), _postings(s, d)),
+     f"""with {_OUT}, p as (select distinct board, posting, (['{"', '".join(_PLACES)}'])[length(posting) % 7 + 1] as location from obs), c as (select board, count(*) as n,
+     count(*) filter (location not in ('San Francisco', 'Japantown, San Francisco', 'Berlin')) as nj,
+     min(location) filter (location not in ('San Francisco', 'Japantown, San Francisco', 'Berlin')) as sample_location from p group by 1),
+     b as (select board, max(outcome) as outcome from out group by 1) select board, coalesce(n, 0) as n_postings, coalesce(nj, 0) as n_japan, sample_location,
+     case when outcome <> 'ok' then outcome when nj > 0 then 'japan_hiring' when n > 0 then 'no_japan_postings' else 'empty_board' end as status from b left join c using (board)""")
+
+# ---------------------------------------------------------------- governance
+
+_add("audit_pages", lambda s, d: G.audit_pages(s.read.parquet(f"{d}/pages.parquet")),
+     r"""with p as (select page_id, coalesce(html, '') as h from pages) select page_id, problem from (
+     select page_id, 'too_large' as problem from p where strlen(h) > 100000 union all select page_id, 'no_title' from p where not regexp_matches(h, '(?i)<title>[^<]')
+     union all select page_id, 'no_description' from p where not regexp_matches(h, '(?i)<meta name="description"') union all select page_id, 'mail_link' from p where regexp_matches(h, '(?i)mailto:')
+     union all select page_id, 'form' from p where regexp_matches(h, '(?i)<form') union all select page_id, 'email_text' from p where regexp_matches(h, '[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\.[A-Za-z]'))""")
+_add("audit_surfaces", lambda s, d: G.audit_surfaces(s.read.parquet(f"{d}/documents.parquet"), ["(?i)licen[sc]ed", "rights reserved"], {"version": r"\d\.\d", "apache": "Apache"}),
+     r"""with t as (select doc_id, coalesce(text, '') as t from documents), f as (select * from t where regexp_matches(t, '(?i)licen[sc]ed') or contains(t, 'rights reserved'))
+     select doc_id, 'version' as missing from f where not regexp_matches(t, '[0-9]\.[0-9]') union all select doc_id, 'apache' from f where not contains(t, 'Apache')""")
+_add("page_links", lambda s, d: G.extract_links(s.read.parquet(f"{d}/pages.parquet")).groupBy("page_id").agg(F.count("*").alias("n_links")),
+     r"""with a as (select page_id, url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href=["'']([^"''#]*)[^>]*>(.*?)</a>')) as a from pages),
+     b as (select distinct page_id, trim(regexp_extract(a, '(?is)href=["'']([^"''#]*)', 1)) as href, trim(regexp_replace(regexp_replace(regexp_extract(a, '(?is)<a\s[^>]*?href=["''][^"''#]*[^>]*>(.*?)</a>', 1),
+     '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) as title from a) select page_id, count(*) as n_links from b group by 1""")
+_add("page_listing", lambda s, d: G.extract_listing(s.read.parquet(f"{d}/pages.parquet"), r"<(h[1-3])[^>]*>([^<]*)<", ["level", "heading"]),
+     r"""select distinct page_id, regexp_extract(x, '<(h[1-3])[^>]*>([^<]*)<', 1) as level, regexp_extract(x, '<(h[1-3])[^>]*>([^<]*)<', 2) as heading
+     from (select page_id, unnest(regexp_extract_all(html, '<(h[1-3])[^>]*>([^<]*)<')) as x from pages)""")
+
+
+def _fingerprints(s: SparkSession, d: str, changed: bool) -> DataFrame:
+    docs = s.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").alias("page_id"), F.split("text", "\n").alias("l"))
+    if changed:
+        docs = docs.where("page_id % 7 > 0").withColumn("l", F.when(F.col("page_id") % 5 == 0, F.slice("l", 1, 1)).otherwise(F.col("l")))
+    return G.page_fingerprint(docs, F.col("l"))
+
+
+_add("compare_fingerprints", lambda s, d: G.compare_fingerprints(_fingerprints(s, d, False), _fingerprints(s, d, True)).select(
+        "page_id", "state", F.size("added").cast("long").alias("n_added"), F.size("removed").cast("long").alias("n_removed")),
+     """with l as (select doc_id as page_id, list_sort(list_distinct(string_split(text, chr(10)))) as l from documents),
+     b as (select doc_id as page_id, case when doc_id % 5 = 0 then string_split(text, chr(10))[1:1] else list_sort(list_distinct(string_split(text, chr(10)))) end as b from documents where doc_id % 7 > 0)
+     select page_id, case when b is null then 'no_baseline' when b = l then 'same' else 'changed' end as state, len(list_filter(l, lambda x: b is null or not list_contains(b, x))) as n_added,
+     case when b is null then 0 else len(list_filter(b, lambda x: not list_contains(l, x))) end as n_removed from l left join b using (page_id)""")
+_add("award_source_version", lambda s, d: G.source_version(B.cells(s, d)))
+_add("japan_places", lambda s, d: _postings(s, d).select("location", scalars.is_japan(F.col("location")).alias("is_japan"), scalars.japan_prefecture(F.col("location")).alias("prefecture"),
+        scalars.is_remote(F.col("location")).alias("remote")).distinct(),
+     f"""with {_OUT}, p as (select distinct (['{"', '".join(_PLACES)}'])[length(posting) % 7 + 1] as location from obs) select location,
+     location not in ('San Francisco', 'Japantown, San Francisco', 'Berlin') as is_japan, case when contains(location, 'Tokyo') then '東京都' when location = 'Osaka' then '大阪府'
+     when location = 'Yokohama' then '神奈川県' end as prefecture, contains(location, 'Remote') as remote from p""")
