@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
 import heapq
 import re
@@ -23,7 +22,7 @@ NONE = np.int64(1) << 40
 #: Pieces above this many bytes merge through a heap, whose work grows with n log n instead of n squared.
 LONG_PIECE = 192
 #: Segments, and pieces, that a worker remembers before it starts anew; bounds the memory of a worker.
-CACHE = 400_000
+CACHE = 250_000
 #: A blank before a character that no regex dialect counts as white space. The pattern always begins a new match there.
 SEGMENT = re.compile(r" (?=[!-~¡-ɏ])")
 #: A blank before anything else, or at the end.
@@ -225,7 +224,6 @@ _loaded: dict[tuple[str, str], ByteBpe] = {}
 def loaded(path: str, pattern: str) -> ByteBpe:
     """One encoder for each worker process and file."""
     if (path, pattern) not in _loaded:
-        gc.disable()  # the caches hold no cycles, and passing over them again and again costs a quarter of the time
         _loaded[path, pattern] = ByteBpe.load(path, pattern)
     return _loaded[path, pattern]
 
@@ -241,7 +239,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATT
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
         for batch in batches:
-            for part in steps(batch, 1):
+            for part in steps(batch, 1, 3_000_000):
                 ids, at = bpe.encode_batch(part.column(1))
                 each = [ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -263,7 +261,7 @@ def encode_ids(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATT
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
         for batch in batches:
-            for part in steps(batch, 1):
+            for part in steps(batch, 1, 3_000_000):
                 ids, at = bpe.encode_batch(part.column(1))
                 lists = pa.ListArray.from_arrays(at.astype(np.int32), ids.astype(np.int32))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], ["doc_id", "ids"])

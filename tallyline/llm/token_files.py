@@ -6,7 +6,6 @@ whose statistics or Bloom filter rule an id out.
 
 from __future__ import annotations
 
-import gc
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,7 +21,7 @@ from tallyline.llm.words import Cache, gather, indexed, steps
 
 #: One run of Latin letters, with or without one mark behind it: one word for the library, or two.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
-CACHE = 500_000
+CACHE = 150_000
 JOINED = 400
 SCHEMA = "doc_id long, ids array<int>"
 
@@ -92,7 +91,6 @@ _loaded: dict[str, WordTokenizer] = {}
 def loaded(path: str) -> WordTokenizer:
     """One tokenizer for each worker process and file."""
     if path not in _loaded:
-        gc.disable()  # the cache holds no cycles; passing over it again and again costs time
         _loaded[path] = WordTokenizer(path)
     return _loaded[path]
 
@@ -104,7 +102,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = loaded(path)
         for batch in batches:
-            for part in steps(batch, 1):
+            for part in steps(batch, 1, 3_000_000):
                 ids, at = tok.encode_batch(part.column(1))
                 values = np.insert(ids, np.repeat(at[1:], len(end)), np.tile(np.array(end, "<u4"), len(at) - 1))
                 offsets = at + len(end) * np.arange(len(at))
