@@ -100,6 +100,6 @@ def fixed_window_verdicts(requests: DataFrame, limit: int, seconds: int = 60) ->
             k_ = pd.Series(place, index=rows.index, dtype="int64")
             yield rows.drop(columns="t_").assign(allowed=k_ <= limit, remaining=(limit - k_).clip(lower=0))
 
-    rows = requests.select(F.coalesce("client", F.lit("-")).alias("client"), "ts", "request_id", F.unix_micros("ts").alias("t_"))
+    rows = requests.select(F.coalesce("client", F.lit("-")).alias("client"), F.col("ts").cast("timestamp").alias("ts"), "request_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_"))
     dealt = rows.repartition("client").sortWithinPartitions("client", "ts", "request_id")
     return dealt.mapInPandas(fold, "client string, ts timestamp, request_id long, allowed boolean, remaining long")

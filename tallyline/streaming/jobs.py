@@ -24,13 +24,13 @@ def ingest_stream(spark: SparkSession, path: str, schema: str, most_files: int |
 
 def first_hits(events: DataFrame, keys: list[str], client: Column, ts: str = "ts") -> DataFrame:
     """The first event of each client, day and key; the day's later ones are dropped while the state remembers (25 hours)."""
-    rows = events.withColumn("day", F.to_date(ts)).withColumn("client_", client).withWatermark(ts, "25 hours")
+    rows = events.withColumn(ts, F.col(ts).cast("timestamp")).withColumn("day", F.to_date(ts)).withColumn("client_", client).withWatermark(ts, "25 hours")
     return rows.dropDuplicatesWithinWatermark([*keys, "day", "client_"])
 
 
 def daily_counts_stream(events: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
     """Counts by UTC day and keys; rows later than the watermark are left out."""
-    rows = events.withWatermark(ts, LATE).groupBy(F.window(ts, "1 day").alias("w"), *keys).count()
+    rows = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, LATE).groupBy(F.window(ts, "1 day").alias("w"), *keys).count()
     return rows.select(F.to_date("w.start").alias("day"), *keys, F.col("count").alias("n"))
 
 
@@ -110,5 +110,5 @@ class FixedWindow(StatefulProcessor):
 def window_verdicts(requests: DataFrame, limit: int = 60, seconds: int = 60) -> DataFrame:
     """Verdict of each request of a stream (client, ts, request_id) in windows that begin with a client's first request."""
     processor = type("Window", (FixedWindow,), {"limit": limit, "seconds": seconds})()
-    rows = requests.select(F.col("client"), F.col("request_id"), F.unix_micros("ts").alias("t"))
+    rows = requests.select(F.col("client"), F.col("request_id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
     return rows.groupBy("client").transformWithStateInPandas(processor, "client string, request_id long, allowed boolean, remaining int", "Append", "None")
