@@ -16,12 +16,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import new_path
+from tallyline.llm.common import cut, new_path
 from tallyline.llm.words import Cache, gather, indexed, steps
 
-#: One run of Latin letters, with or without one mark behind it: one word for the library, or two.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
-CACHE = 150_000
+#: One run of small Latin letters, with or without one mark behind it: one word for the library, or two.
+PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([.,]?)")
+CACHE = 300_000
 JOINED = 400
 SCHEMA = "doc_id long, ids array<int>"
 
@@ -40,6 +40,7 @@ class WordTokenizer:
         vocabulary = self.library.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.marks = {m: np.array(self.library.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ("", ".", ",")}
         self.plain = Cache(self._encode_plain, CACHE)
         self.cache = Cache(self._learn, CACHE)
 
@@ -58,18 +59,13 @@ class WordTokenizer:
         return ids
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        known: dict[str, bytes] = {}
-        plain: dict[str, list[str]] = {}
-        odd = []
-        for c in chunks:
-            if m := PLAIN.fullmatch(c):
-                plain[c] = [m[1].lower(), m[2]] if m[2] else [m[1].lower()]
-            else:
-                odd.append(c)
-        wanted = list({w for ws in plain.values() for w in ws})
-        ids = dict(zip(wanted, self.plain.get(wanted), strict=True))
-        for c, ws in plain.items():
-            known[c] = ids[ws[0]] if len(ws) == 1 else ids[ws[0]] + ids[ws[1]]
+        match = PLAIN.fullmatch
+        found = [(c, m) for c in chunks if (m := match(c))]
+        bases = list({m[1] for _, m in found})
+        ids = dict(zip(bases, self.plain.get(bases), strict=True))
+        marks = self.marks
+        known = {c: ids[m[1]] + marks[m[2]] for c, m in found}
+        odd = [c for c in chunks if c not in known]
         for k in range(0, len(odd), 4096):
             some = odd[k : k + 4096]
             for c, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
@@ -79,9 +75,10 @@ class WordTokenizer:
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one behind the other, and the texts' offsets among them.
 
-        Texts are split at ASCII white space; other white space may stand within a chunk, the library splits there.
+        Texts are split at ASCII white space; other white space may stand within a chunk, the library splits there. The library
+        lower-cases, so A-Z may be lower-cased before the words are told apart.
         """
-        chunks, codes, offsets = indexed(pc.ascii_split_whitespace(texts))
+        chunks, codes, offsets = indexed(pc.ascii_split_whitespace(pc.ascii_lower(texts)))
         return gather(self.cache.get(chunks), codes, offsets)
 
 
@@ -102,7 +99,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = loaded(path)
         for batch in batches:
-            for part in steps(batch, 1, 3_000_000):
+            for part in steps(batch, 1, 4_000_000):
                 ids, at = tok.encode_batch(part.column(1))
                 values = np.insert(ids, np.repeat(at[1:], len(end)), np.tile(np.array(end, "<u4"), len(at) - 1))
                 offsets = at + len(end) * np.arange(len(at))
@@ -156,9 +153,8 @@ def digest(rows: DataFrame) -> DataFrame:
                 ["doc_id", "file", "n_tokens", "ids_crc32"],
             )
 
-    per_doc = rows.select("doc_id", "ids", F.col("_metadata.file_name").alias("file")).mapInArrow(
-        sums, "doc_id long, file string, n_tokens long, ids_crc32 long"
-    )
+    found = rows.select("doc_id", "ids", F.col("_metadata.file_name").alias("file"))
+    per_doc = cut(found.mapInArrow(sums, "doc_id long, file string, n_tokens long, ids_crc32 long"), "sums")
     within = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids_crc32")
     so_far = F.sum("n_tokens").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n_tokens")
     numbered = per_doc.withColumn("so_far", so_far)

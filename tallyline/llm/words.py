@@ -43,17 +43,20 @@ def gather(pieces: list[bytes], codes: np.ndarray, offsets: np.ndarray) -> tuple
 
 
 class Cache:
-    """What a worker knows of strings; begins anew above a bound, so that its memory stays bounded."""
+    """What a worker knows of strings, at most about ``most`` of them: when the younger half is full, the older half goes.
+
+    Strings that are asked for again move into the younger half, so that frequent ones stay.
+    """
 
     def __init__(self, learn: Callable[[list[str]], dict], most: int):
-        self.learn, self.most, self.known = learn, most, {}
+        self.learn, self.half, self.young, self.old = learn, most // 2, {}, {}
 
     def get(self, wanted: list[str]) -> list:
-        known = self.known
-        missing = [w for w in wanted if w not in known]
-        if len(known) + len(missing) > self.most:
-            known.clear()
-            missing = wanted
-        if missing:
-            known.update(self.learn(missing))
-        return [known[w] for w in wanted]
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = [w for w in wanted if w not in young]
+        young.update([(w, old[w]) for w in missing if w in old])
+        if new := [w for w in missing if w not in old]:
+            young.update(self.learn(new))
+        return [young[w] for w in wanted]
