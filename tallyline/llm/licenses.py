@@ -1,11 +1,14 @@
 """License scans: normalised text against license templates by the Dice coefficient over word bigrams.
 
-Every line and every paragraph of a whole text is compared. Dice of t or more bounds the ratio of the two numbers of bigrams, so
-only templates of a fitting size are compared. Everything is a DataFrame expression.
+Every line and every paragraph of a whole text is compared, unless it has none of the words without which no template can match. Dice of
+t or more bounds the ratio of the two numbers of bigrams, so only templates of a fitting size are compared. Everything is a DataFrame
+expression.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,15 +88,23 @@ def _templates() -> Column:
     return F.array(*[F.struct(F.lit(name).alias("license"), bigrams(normal(F.lit(text))).alias("grams")) for name, text in TEMPLATES])
 
 
-def _sizes() -> tuple[int, int]:
-    """The least and the largest number of bigrams of any text that can match a template."""
-    import re
+def anchors(least: float = LEAST) -> list[str]:
+    """Words of which every text that matches a template has at least one.
 
-    counts = []
+    A Dice coefficient of ``least`` leaves at most a share of 1 - least / (2 - least) of a template's bigrams missing. So if some of
+    its words touch more bigrams than that, one of these words must be there. Long words are taken first.
+    """
+    out: set[str] = set()
     for _, text in TEMPLATES:
-        w = [x for x in re.split(r"[^a-z0-9]+", text.lower()) if x]
-        counts.append(len({(a, b) for a, b in zip(w[:-1], w[1:], strict=True)}) or 1)
-    return int(min(counts) * LEAST / (2 - LEAST)), int(max(counts) * (2 - LEAST) / LEAST) + 1
+        words = [x for x in re.split(r"[^a-z0-9]+", text.lower()) if x]
+        grams = set(zip(words[:-1], words[1:], strict=True)) or {(words[0],)}
+        touched: set[tuple] = set()
+        for w in sorted(set(words), key=lambda w: (w not in out, -len(w), w)):
+            if len(touched) > len(grams) * (1 - least / (2 - least)):
+                break
+            out.add(w)
+            touched |= {g for g in grams if w in g}
+    return sorted(out)
 
 
 def best_match(unit: Column, least: float = LEAST) -> Column:
@@ -123,9 +134,9 @@ def scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.split(text, "\n", -1)
     paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n", -1), lambda p: F.contains(F.trim(p), F.lit("\n")))
-    low, high = _sizes()
-    # words, so bigrams, are at most half the characters, and a template's words have at most 16 characters on average
-    units = F.filter(F.concat(lines, paragraphs), lambda u: (F.length(u) > low) & (F.size(F.split(u, r"[ \t\r\n]+")).between(1, 4 * high)))
+    # a regular expression over the text, then over each piece, spares most the splitting into bigrams
+    word = rf"(?<![\p{{L}}\p{{N}}])({'|'.join(anchors(least))})(?![\p{{L}}\p{{N}}])"
+    units = F.when(F.lower(text).rlike(word), F.filter(F.concat(lines, paragraphs), lambda u: F.lower(u).rlike(word))).otherwise(F.array().cast("array<string>"))
     matches = F.filter(F.transform(units, lambda u: best_match(u, least)), lambda m: m.isNotNull())
     rows = docs.select("doc_id", matches.alias("matches"))
     best = F.array_max("matches")
