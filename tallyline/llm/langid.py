@@ -76,18 +76,21 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -> Model
     names = sorted(set(langs))
     if not names:
         return Model([], np.zeros((0, CELLS), np.float32), np.zeros((0, 0)), np.zeros(0))
-    x = presence(texts)
     marks = np.concatenate([np.flatnonzero(np.array(langs) == n)[:landmarks] for n in names])
-    size = np.sqrt(np.maximum(x.sum(axis=1), 1))
-    c = (x @ x[marks].T) / size[:, None] / size[marks]
-    values, vectors = np.linalg.eigh(c[marks].astype(np.float64))
+    held = presence([texts[i] for i in marks])
+    norms = np.sqrt(np.maximum(held.sum(axis=1), 1))
+    c = np.zeros((len(texts), len(marks)))
+    for k in range(0, len(texts), 64):  # the sample's presence matrix as a whole would be large
+        x = presence(texts[k : k + 64])
+        c[k : k + 64] = (x @ held.T) / np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None] / norms
+    values, vectors = np.linalg.eigh(c[marks])
     keep = values > 1e-6 * values.max()
     nystroem = vectors[:, keep] / np.sqrt(values[keep])
     z = c @ nystroem
     y = np.where(np.array(langs)[:, None] == np.array(names), 1.0, -1.0)
     mean_z, mean_y = z.mean(axis=0), y.mean(axis=0)
     w = np.linalg.solve((z - mean_z).T @ (z - mean_z) + RIDGE * len(z) * np.eye(z.shape[1]), (z - mean_z).T @ (y - mean_y))
-    return Model(names, x[marks], nystroem @ w, mean_y - mean_z @ w)
+    return Model(names, held, nystroem @ w, mean_y - mean_z @ w)
 
 
 def train(docs: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CHARS) -> Model:
