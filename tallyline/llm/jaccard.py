@@ -8,6 +8,8 @@ all the tokens a partner may lack. Candidates that meet in the index are verifie
 
 Sets that are alike are one node. Linked nodes form components. The join first verifies neighbours within each index entry and forms
 components; then only pairs across components remain, so a large group of near copies never emits all its pairs, and none is lost.
+Links lie within components, so at last the nodes of each component are compared with each other on their whole sets, in blocks that
+pass on only each node's number of links.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ COUNTED = 4_000_000
 PART = 16
 #: Entries up to this size are joined; larger ones are compared in blocks of this many nodes.
 ALONE, BLOCK = 48, 512
+#: Links are counted between blocks of about this many nodes and tokens.
+COUNT_NODES, COUNT_TOKENS = 1024, 1_000_000
 #: Cells of the bitmap by which rows that are no candidates are left out before a shuffle.
 BITMAP = 1 << 23
 
@@ -294,13 +298,18 @@ def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.where(_enough(shared, F.col("na") + F.col("nb"), percent)).select("a", "b")
 
 
+def sets_of(named: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and its tokens for the nodes named (distinct). Only texts that are needed are shuffled."""
+    wanted = named.join(nodes, "node").select(F.col("first").alias("doc_id"))
+    found = token_sets(only_ids(docs, wanted)).join(named, "node", "left_semi")
+    return cut(found.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b), of those given, that are alike enough by their whole sets. Only texts that a pair needs are shuffled."""
+    """The pairs (a, b), of those given, that are alike enough by their whole sets."""
     pairs = cut(possible(pairs, nodes, percent), "possible")
     named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = named.join(nodes, "node").select(F.col("first").alias("doc_id"))
-    found = token_sets(only_ids(docs, wanted)).join(named, "node", "left_semi")
-    sets = cut(found.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
+    sets = sets_of(named, docs, nodes)
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -385,12 +394,74 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set on the left shares with each on the right; exact."""
+    sizes = [len(x) for x in (*left, *right)]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, count = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    twice = count > 1  # a token of one set alone is shared with none
+    place = np.cumsum(twice) - 1
+    owner, column = owner[twice[column]], place[column[twice[column]]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), np.int64)
+    width = 4096
+    for k in range(0, int(twice.sum()), width):
+        a, b = np.searchsorted(column, [k, k + width])
+        there = np.zeros((len(sizes), min(width, int(twice.sum()) - k)), np.float32)
+        there[owner[a:b], column[a:b] - k] = 1
+        out += (there[: len(left)] @ there[len(left) :].T).astype(np.int64)
+    return out
+
+
+def count_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """node and its number of links to nodes of the same component, between two blocks or within one."""
+    low, high = rows.low.iat[0], rows.high.iat[0]
+    block, tokens, node = rows.block.to_numpy(), [np.asarray(x, np.int64) for x in rows.tokens], rows.node.to_numpy()
+    n, found = np.array([len(x) for x in tokens], np.int64), np.zeros(len(rows), np.int64)
+    order = np.argsort(rows.component.to_numpy(), kind="stable")
+    edges = np.flatnonzero(np.diff(rows.component.to_numpy()[order])) + 1
+    for at in np.split(order, edges):
+        left, right = at[block[at] == low], at[block[at] == high]
+        if not len(left) or not len(right):
+            continue
+        shared = shared_counts([tokens[i] for i in left], [tokens[i] for i in right])
+        linked = 100 * shared >= percent * (n[left][:, None] + n[right][None, :] - shared)
+        if low == high:
+            np.fill_diagonal(linked, False)
+        else:
+            found[right] += linked.sum(axis=0)
+        found[left] += linked.sum(axis=1)
+    return pd.DataFrame({"node": node, "n_links": found})
+
+
+def degrees(label: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """node and n_links for all nodes that have a component: every pair of a component's nodes is compared, once.
+
+    Two nodes alone are linked, or they would not be a component. Other small components share groups of about COUNT_TOKENS tokens; a
+    larger one is dealt into blocks, and each pair of its blocks is a group of its own.
+    """
+    sizes = label.join(nodes.select("node", "n"), "node").groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("tokens"))
+    k = F.greatest(F.ceil(F.col("size") / COUNT_NODES), F.ceil(F.col("tokens") / COUNT_TOKENS)).cast("int")
+    sizes = cut(sizes.select("component", "size", "tokens", k.alias("k")), "sizes")
+    pairs = label.join(sizes.where("size = 2").select("component"), "component").select("node", F.lit(1).cast("long").alias("n_links"))
+    more = label.join(sizes.where("size > 2"), "component")
+    total = sizes.where("size > 2 and k = 1").agg(F.sum("tokens")).first()[0] or 0
+    group = F.when(F.col("k") > 1, F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(total // COUNT_TOKENS + 1)))
+    more = more.select("node", "component", "k", group.alias("group"), F.pmod(F.xxhash64("node"), F.col("k")).cast("int").alias("block"))
+    more = more.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    more = more.select("node", "component", "group", (F.col("k") > 1).alias("large"), "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+    more = more.join(sets_of(more.select("node").distinct(), docs, nodes), "node")
+    counted = more.groupBy("large", "group", "low", "high").applyInPandas(lambda g: count_links(g, percent), "node long, n_links long")
+    return pairs.unionByName(counted).groupBy("node").agg(F.sum("n_links").alias("n_links"))
+
+
 def join_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links for each row of ``docs``.
 
     Null and empty texts have no shingles and are components of their own. Rows that repeat a doc_id share the least component of
-    their texts only if those link. n_links counts verified links of the document's set to other sets, of those that were needed
-    to form components. ``percent`` is the least similarity in hundredths.
+    their texts only if those link. n_links counts all other distinct sets that the document's set links to, each once however many
+    documents have it; so exact copies are no links of each other. ``percent`` is the least similarity in hundredths.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = cut(described(docs), "rows")
@@ -433,10 +504,9 @@ def join_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     across = across.join(pairs.select(*near).distinct(), ["a", "b"], "left_anti")
     more = verified(across, docs, nodes, percent)
     if not more.isEmpty():
-        links = links.unionByName(more)
-        label = components(links)
+        label = components(links.unionByName(more))
 
-    degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
+    degree = degrees(label, docs, nodes, percent)
     named = nodes.drop("n", "bits").join(label, "node", "left").join(degree, "node", "left")
     named = named.select("node", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "first")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))

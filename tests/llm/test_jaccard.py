@@ -101,3 +101,23 @@ def test_odd_rows(spark):
     out = sorted((r.doc_id, r.component_id) for r in jaccard.join_components(docs).collect())
     assert out == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (6, 6), (7, 7), (8, 7), (9, 7), (9, 7)]
     assert jaccard.join_components(docs.where("doc_id < 0")).count() == 0
+
+
+def test_every_link_counts(spark, monkeypatch):
+    """n_links of groups of near copies, small and dealt into blocks, with exact copies among them."""
+    monkeypatch.setattr(jaccard, "COUNT_NODES", 8)
+    rng = np.random.default_rng(11)
+    rows = []
+    for group, size in enumerate((2, 3, 5, 40)):
+        base = [f"g{group}w{i}" for i in range(100)]
+        for _ in range(size):
+            w = list(base)
+            for _ in range(int(rng.integers(0, 4))):
+                w[int(rng.integers(100))] = f"x{rng.integers(10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    rows += [(len(rows) + i, rows[3][1]) for i in range(3)]
+    sets = {d: frozenset(shingles(t)) for d, t in rows}
+    want = {d: sum(100 * len(s & o) >= 80 * len(s | o) for o in set(sets.values()) if o != s) for d, s in sets.items()}
+    assert len({w for w in want.values() if w > 2}) > 2
+    got = {r.doc_id: r.n_links for r in jaccard.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
