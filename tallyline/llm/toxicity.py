@@ -1,7 +1,8 @@
 """Toxicity: subword-bag embeddings, averaged over a span of words, into a linear softmax; trained jointly in numpy.
 
 A word is the bag of its character 3- to 5-grams (with word bounds) and itself, hashed into a fixed number of buckets, so that a
-misspelling shares most vectors with the word it comes from. A document is as toxic as its most toxic span.
+misspelling shares most vectors with the word it comes from. A document is as toxic as its most toxic span. Where a text has no blanks
+for long, overlapping pieces count as its words.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ BUCKETS, DIM, SPAN = 1 << 17, 12, 12
 MOST_ROWS, MOST_CHARS = 1500, 20_000
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.3
+#: A longer token than LONG characters is not taken for a word: pieces of PIECE characters that overlap by OVERLAP stand for it.
+LONG, PIECE, OVERLAP = 64, 12, 4
 #: Marks that are dropped from both ends of a word.
 MARKS = ".,;:!?()[]{}\"'|"
 CACHE = 400_000
@@ -34,16 +37,24 @@ def bare(word: str) -> str:
     return word.lower().strip(MARKS) or word
 
 
+def pieces(word: str) -> list[str]:
+    """What stands for a token in the spans: the bare word, or the pieces of a long one, which hold every n-gram of it."""
+    whole = bare(word)
+    if len(word) <= LONG:
+        return [whole]
+    return [whole[k : k + PIECE] for k in range(0, max(1, len(whole) - OVERLAP), PIECE - OVERLAP)]
+
+
 def tokens(text: str) -> list[str]:
-    """The words of a whole text."""
-    return [bare(w) for w in text.split()]
+    """The words of a whole text, long ones in pieces."""
+    return [p for w in text.split() for p in pieces(w)]
 
 
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(word index, bucket) of every subword of every word; n-grams are hashed from code points, all words at once."""
     if not words:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    padded = ["<" + w[:64] + ">" for w in words]
+    padded = ["<" + w + ">" for w in words]
     codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.array([len(w) for w in padded])
     word = np.repeat(np.arange(len(words)), sizes)
@@ -98,11 +109,29 @@ class Model:
         logit = dict(zip(order, word_logits(order, self.table).tolist(), strict=True))
         return {w: logit[b] for w, b in zip(words, spelt, strict=True)}
 
+    def _spread(self, words: list[str], codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of all words of all rows, pieces of long words each with its own, and the rows' offsets."""
+        short = [w if len(w) <= LONG else "" for w in words]
+        own = [np.array([x]) for x in self.cache.get(short)]
+        for i, w in enumerate(words):
+            if len(w) > LONG:
+                parts = pieces(w)
+                own[i] = np.concatenate([word_logits(parts[k : k + 20_000], self.table) for k in range(0, len(parts), 20_000)])
+        count = np.fromiter(map(len, own), np.int64, len(own))
+        flat, start, n = np.concatenate(own), np.cumsum(count) - count, count[codes]
+        ends = np.cumsum(n)
+        return flat[np.repeat(start[codes] - (ends - n), n) + np.arange(ends[-1])], np.concatenate([[0], ends])[offsets]
+
     def scores(self, texts: pa.Array) -> list[float]:
         """Score of each whole text: the softmax at its most toxic span; 0 without a word."""
         words, codes, offsets = indexed(pc.utf8_split_whitespace(texts))
         keep = np.array([w != "" for w in words], bool)[codes] if "" in words else np.ones(len(codes), bool)
-        values = np.array(self.cache.get(words))[codes] if len(codes) else np.zeros(0)
+        if any(len(w) > LONG for w in words):
+            offsets = np.concatenate([[0], np.cumsum(keep)])[offsets]
+            values, offsets = self._spread(words, codes[keep], offsets)
+            keep = np.ones(len(values), bool)
+        else:
+            values = np.array(self.cache.get(words))[codes] if len(codes) else np.zeros(0)
         out = []
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             own = values[a:b][keep[a:b]]

@@ -227,6 +227,21 @@ def test_toxicity(spark, odd):
     assert toxicity.train(docs.where("false"), labels).scores(pa.array(["x"]))[0] < 0.3
 
 
+def test_toxicity_of_long_tokens():
+    """All of a text without blanks counts, as pieces that hold each of its n-grams."""
+    rng = np.random.default_rng(3)
+    bad = ["".join(chr(0x5000 + x) for x in rng.integers(0, 40, 200)) for _ in range(60)]
+    clean = ["".join(chr(0x6000 + x) for x in rng.integers(0, 40, 200)) for _ in range(60)]
+    model = toxicity.fit(bad + clean, [1] * 60 + [0] * 60)
+    late, never = clean[0] + bad[0], clean[0] + clean[1]
+    a, b, c = model.scores(pa.array([late, never, "x " + late + "  y"]))
+    assert a > 0.5 > b and c > 0.5
+    word = "".join(map(chr, range(0x4E00, 0x4E00 + 203)))
+    held = toxicity.pieces(word)
+    assert all(any(word[k : k + 5] in p for p in held) for k in range(199)) and toxicity.pieces("Word,") == ["word"]
+    assert toxicity.tokens(word + " a") == [*held, "a"]
+
+
 def test_licenses(spark, odd):
     texts = ["Some words.\nReleased under the MIT License.\nMore.", "  LICENSED UNDER CC BY-NC 4.0  ", "all rights reserved", "nothing here", "Licensed under the Apache License\nVersion 2.0.\n\nx y"]
     rows = licenses.scan(spark.createDataFrame(enumerate(texts), "doc_id long, text string")).orderBy("doc_id").collect()
