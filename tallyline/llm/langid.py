@@ -49,6 +49,8 @@ class Model:
 
     def __init__(self, langs: list[str], landmarks: np.ndarray, weights: np.ndarray, intercept: np.ndarray):
         self.langs, self.intercept = langs, intercept
+        #: A text whose best decision value is below this is in none of the languages; see ``threshold``.
+        self.least = -np.inf
         self.norms = np.sqrt(np.maximum(landmarks.sum(axis=1), 1)) if len(landmarks) else np.zeros(0)
         #: landmarks.T / norms @ weights: the batched products of all landmarks, folded into one matrix
         self.folded = (landmarks.T / self.norms) @ weights if len(landmarks) else np.zeros((CELLS, len(langs)))
@@ -56,18 +58,22 @@ class Model:
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """Language and score (softmax of the decision values) of each whole text."""
-        out: list[tuple[str, float]] = []
+        return [(lang, score) for lang, score, _ in self.decided(texts)]
+
+    def decided(self, texts: list[str]) -> list[tuple[str, float, float]]:
+        """Language, score and best decision value of each whole text."""
+        out: list[tuple[str, float, float]] = []
         for k in range(0, len(texts), 64):
             some = texts[k : k + 64]
             x = presence(some)
             f = (x @ self.folded) / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1)) + self.intercept
             for text, row in zip(some, f, strict=True):
                 if not self.langs or not LETTER.search(text):
-                    out.append((UNKNOWN, 0.0))
+                    out.append((UNKNOWN, 0.0, -np.inf))
                     continue
                 p = np.exp(SHARPNESS * (row - row.max()))
                 best = int(row.argmax())
-                out.append((self.langs[best], float(p[best] / p.sum())))
+                out.append((self.langs[best], float(p[best] / p.sum()), float(row[best])))
         return out
 
 
@@ -93,8 +99,21 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -> Model
     return Model(names, held, nystroem @ w, mean_y - mean_z @ w)
 
 
-def train(docs: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CHARS) -> Model:
-    """Fit on labelled rows outside the held-out fold: at most ``most_rows`` of each language, of at most ``most_chars`` characters."""
+def threshold(texts: list[str], langs: list[str], lose: float) -> float:
+    """The decision value that all but a share ``lose`` of labelled texts reach, under a model fitted on the other half of them.
+
+    Softmax scores do not tell whether a text is in any of the languages, as they only compare them; decision values do.
+    """
+    model = fit(texts[::2], langs[::2])
+    values = [v for _, _, v in model.decided(texts[1::2])]
+    return float(np.quantile(values, lose)) - 1e-6 if values and model.langs else -np.inf
+
+
+def train(docs: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CHARS, lose: float | None = None) -> Model:
+    """Fit on labelled rows outside the held-out fold: at most ``most_rows`` of each language, of at most ``most_chars`` characters.
+
+    With ``lose``, the model rejects texts by the ``threshold`` that this share of them falls below.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(
         F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2) & (F.length("text") <= most_chars) & F.col("text").rlike(r"\p{L}")
     )
@@ -104,7 +123,10 @@ def train(docs: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CH
     ids = sample_per_class(rows.select("doc_id", "lang"), "lang", langs, most_rows)
     picked = rows.join(F.broadcast(ids.distinct()), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     found = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "lang").collect()
-    return fit([r.text for r in found], [r.lang for r in found])
+    model = fit([r.text for r in found], [r.lang for r in found])
+    if lose is not None:
+        model.least = threshold([r.text for r in found], [r.lang for r in found], lose)
+    return model
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -127,8 +149,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def filter_known(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose language is told with a score of ``least`` or more; ``und`` always goes."""
-    langs, folded, intercept = model.langs, model.folded, model.intercept
+    """The rows of ``docs`` (all columns) whose language is told with a score of ``least`` or more and which the model does not reject.
+
+    ``und`` always goes.
+    """
+    langs, folded, intercept, reached = model.langs, model.folded, model.intercept, model.least
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,6 +161,7 @@ def filter_known(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame
         own.folded = folded
         for batch in batches:
             for part in steps(batch, at):
-                yield part.filter(pa.array([x != UNKNOWN and s >= least for x, s in own.predict(part.column(at).to_pylist())], pa.bool_()))
+                found = own.decided(part.column(at).to_pylist())
+                yield part.filter(pa.array([x != UNKNOWN and s >= least and v >= reached for x, s, v in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

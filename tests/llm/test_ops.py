@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import public_tokenizers as P
@@ -16,6 +17,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from tallyline.llm import bpe, langid, licenses, mixing, queries, quality, sharding, token_files, topk, toxicity
+from tallyline.llm.common import fold
 
 DATA = "/root/testdata/sf0.01"
 RANKS, WORDS = P.path("byte_bpe_multi_50k.tiktoken"), P.path("word_bpe_49k.json")
@@ -213,6 +215,18 @@ def test_language(spark, docs, odd):
     assert x.sum() > 0 and x.max() == 1
 
 
+def test_language_rejects(spark, docs):
+    """Gibberish and unknown languages go by the classifier's verdict; nearly all held-out documents stay."""
+    rng = np.random.default_rng(4)
+    alphabet = list("abcdefghijklmnopqrstuvwxyz0123456789     ")
+    bad = ["".join(rng.choice(alphabet, 300)) for _ in range(30)] + ["Ελληνικό κείμενο για δοκιμή, που δεν είναι γνωστό. " * 4, "นี่คือข้อความภาษาไทยสำหรับการทดสอบ" * 4]
+    model = langid.train(docs, lose=corpus_pipeline.LOSE)
+    assert langid.filter_known(spark.createDataFrame([(t,) for t in bad], "text string"), model).isEmpty()
+    held = docs.where(fold(docs.doc_id) == 2)
+    assert langid.filter_known(held, model).count() >= 0.98 * held.count()
+    assert langid.train(docs.where("lang = 'en'"), lose=0.005).predict(["some text"])[0][0] == "en"
+
+
 def test_toxicity(spark, odd):
     """On held-out rows. Two fifths of the small tables' toxic rows have no word of their own, so recall is taken over the others."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
