@@ -215,20 +215,25 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
     return np.sort(most.select("token").toPandas()["token"].to_numpy(np.int64).astype(np.uint32))
 
 
+def row_key() -> Column:
+    """A name of a row's doc_id and text, never null; rows that are alike in both share it."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
 def described(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node, bits for each row."""
+    """key, doc_id, n, node, bits for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, 1, 2_000_000):
-                sets = shingle_sets(part.column(1))
+            for part in steps(batch, 2, 2_000_000):
+                sets = shingle_sets(part.column(2))
                 bits = [bitmap_of(s) for s in sets]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in bits])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(offsets, np.concatenate(bits))
                 n, node = pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), n, node, lists], ["doc_id", "n", "node", "bits"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), n, node, lists], ["key", "doc_id", "n", "node", "bits"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, node long, bits array<long>")
+    return docs.select("key", "doc_id", "text").mapInArrow(run, "key long, doc_id long, n long, node long, bits array<long>")
 
 
 def index_entries(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
@@ -264,15 +269,15 @@ def token_sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node long, tokens array<long>")
 
 
-def only_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``ids``. A bitmap of fixed size, broadcast, keeps most others out of the shuffle."""
-    cell = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP))
-    bits = ids.select(cell.alias("cell")).distinct()
+def only_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose key is in ``keys``. A bitmap of fixed size, broadcast, keeps most others out of the shuffle."""
+    cell = F.pmod(F.xxhash64("key"), F.lit(BITMAP))
+    bits = keys.select(cell.alias("cell")).distinct()
     bits = bits.groupBy(F.floor(F.col("cell") / 64).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell % 64 as int))")).alias("bits"))
     there = docs.withColumn("cell_", cell)
     there = there.join(F.broadcast(bits), F.floor(F.col("cell_") / 64) == F.col("at"))
     there = there.where(F.expr("shiftrightunsigned(bits, cast(cell_ % 64 as int)) & 1 = 1")).select(*docs.columns)
-    return there.join(ids, "doc_id", "left_semi")
+    return there.join(keys, "key", "left_semi")
 
 
 def _enough(shared: Column, sizes: Column, percent: int) -> Column:
@@ -300,8 +305,8 @@ def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def sets_of(named: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and its tokens for the nodes named (distinct). Only texts that are needed are shuffled."""
-    wanted = named.join(nodes, "node").select(F.col("first").alias("doc_id"))
-    found = token_sets(only_ids(docs, wanted)).join(named, "node", "left_semi")
+    wanted = named.join(nodes, "node").select("key")
+    found = token_sets(only_keys(docs, wanted)).join(named, "node", "left_semi")
     return cut(found.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
 
 
@@ -456,16 +461,13 @@ def degrees(label: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -
     return pairs.unionByName(counted).groupBy("node").agg(F.sum("n_links").alias("n_links"))
 
 
-def join_components(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links for each row of ``docs``.
+def linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (key, doc_id, n, node, bits), nodes (node, first, key, n, bits) and the component of each node with links.
 
-    Null and empty texts have no shingles and are components of their own. Rows that repeat a doc_id share the least component of
-    their texts only if those link. n_links counts all other distinct sets that the document's set links to, each once however many
-    documents have it; so exact copies are no links of each other. ``percent`` is the least similarity in hundredths.
+    ``docs`` has doc_id, text and key. ``first`` is a node's least doc_id, ``key`` the row that its text is fetched from.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = cut(described(docs), "rows")
-    nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     nodes = cut(nodes, "nodes")
 
     entries = index_entries(docs, frequent_tokens(docs), percent)
@@ -506,8 +508,20 @@ def join_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     if not more.isEmpty():
         label = components(links.unionByName(more))
 
+    return rows, nodes, label
+
+
+def join_components(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links for each row of ``docs``.
+
+    Null and empty texts have no shingles and are components of their own. Rows that repeat a doc_id share the least component of
+    their texts only if those link. n_links counts all other distinct sets that the document's set links to, each once however many
+    documents have it; so exact copies are no links of each other. ``percent`` is the least similarity in hundredths.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("key"))
+    rows, nodes, label = linked(docs, percent)
     degree = degrees(label, docs, nodes, percent)
-    named = nodes.drop("n", "bits").join(label, "node", "left").join(degree, "node", "left")
+    named = nodes.select("node", "first").join(label, "node", "left").join(degree, "node", "left")
     named = named.select("node", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "first")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = named.join(least, "component").select("node", "component_id", "n_links")
@@ -515,3 +529,24 @@ def join_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
+
+
+def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """One row (all columns) of each component: that of least doc_id (null last), then node, key and the row's columns in order.
+
+    Null and empty texts have no shingles; their rows all stay. Rows that repeat a doc_id go only with their own text's component.
+    Columns must be of types that can be compared.
+    """
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("key"))
+    rows, _, label = linked(own, percent)
+    found = rows.where("n > 0").groupBy("node", "key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("times"))
+    found = found.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "key")
+    least = found.groupBy("component").agg(F.min(order)["key"].alias("least"))
+    found = found.join(least, "component").select(F.col("key").alias("join_key"), (F.col("key") == F.col("least")).alias("stays"), "times")
+    # most rows stay as they are, alone with their key: only the keys of others are joined
+    found = cut(found.where("not stays or times > 1"), "leaving")
+    marked = docs.withColumn("join_key", row_key())
+    alone = marked.join(found.select("join_key"), "join_key", "left_anti").select(*docs.columns)
+    again = marked.join(found.where("stays").select("join_key"), "join_key", "left_semi")
+    return alone.unionByName(again.groupBy("join_key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))

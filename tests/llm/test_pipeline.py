@@ -26,3 +26,14 @@ def test_stages(spark):
     e = step["byte-level BPE"](spark, d, DATA)
     assert sorted(map(tuple, e.collect())) == sorted(map(tuple, bpe.round_trip(d, P.path("byte_bpe_multi_50k.tiktoken")).collect()))
     assert corpus_pipeline.run(spark, DATA).count() == d.count()
+
+
+def test_near_duplicates_of_odd_ids(spark):
+    """Repeated rows, null ids, and one id with two texts."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcde")
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "y"), (2, a, "x"), (None, b, "x"), (None, b, "x"), (None, b + " end", "x"), (3, c, None), (4, c + " end", "x"), (4, d, "x"),
+            (None, e, "x"), (5, e + " end", "x"), (6, None, "x"), (6, None, "x"), (7, "", "x"), (None, None, "x")]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), DATA).collect()
+    got = sorted(map(tuple, out), key=str)
+    assert len(got) == 9 and {r for r in got if r[0] != None or r[1] == None} == {(1, a, "x"), (3, c, None), (4, d, "x"), (5, e + " end", "x"), (6, None, "x"), (7, "", "x"), (None, None, "x")}  # noqa: E711
+    assert len([r for r in got if r[0] is None and r[1]]) == 1 and [r for r in got if r[0] is None and r[1]][0][1].startswith(b)
