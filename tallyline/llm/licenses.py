@@ -1,8 +1,9 @@
 """License scans: normalised text against license templates by the Dice coefficient over word bigrams.
 
 Every line and every paragraph of a whole text is compared, unless it has none of the words without which no template can match. Dice of
-t or more bounds the ratio of the two numbers of bigrams, so only templates of a fitting size are compared. Everything is a DataFrame
-expression.
+t or more bounds the ratio of the two numbers of bigrams, so only templates of a fitting size are compared. Every sentence of the text is compared
+too, and every window of as many words as a template has, if the text shares enough bigrams with that template at all. Everything is a
+DataFrame expression.
 """
 
 from __future__ import annotations
@@ -125,19 +126,74 @@ def best_match(unit: Column, least: float = LEAST) -> Column:
     return F.element_at(F.transform(F.array(bigrams(normal(unit))), compare), 1)
 
 
+def best_window(stretch: Column, least: float = LEAST) -> Column:
+    """The best template for any window of a stretch as (dice, license), null if none reaches ``least``.
+
+    Windows have a template's number of words, or are the whole of a shorter stretch. Dice of ``least`` needs a share of
+    least / (2 - least) of the template's bigrams, so a stretch with fewer of them is left out, and so are windows with none.
+    """
+    ratio = least / (2 - least)
+    known = F.array(*[
+        F.struct(F.lit(name).alias("license"), bigrams(normal(F.lit(text))).alias("grams"), (F.size(F.split(normal(F.lit(text)), " ")) - 1).alias("length"))
+        for name, text in TEMPLATES
+    ])
+    every = F.array_distinct(F.flatten(F.transform(known, lambda t: t["grams"])))
+
+    def bound(value: Column, then) -> Column:
+        return F.element_at(F.transform(F.array(value), then), 1)
+
+    def in_order(words: Column) -> Column:
+        return F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda x, i: F.concat_ws(" ", x, F.get(words, i + 1)))
+
+    def of_template(grams: Column, t: Column) -> Column:
+        hits = F.filter(F.transform(grams, lambda g, i: F.when(F.array_contains(t["grams"], g), i)), lambda i: i.isNotNull())
+        last = F.greatest(F.size(grams) - t["length"], F.lit(0))
+        starts = F.array_distinct(F.flatten(F.transform(hits, lambda p: F.sequence(F.greatest(F.lit(0), F.least(p - t["length"] + 1, last)), F.least(p, last)))))
+        dice = lambda w: F.lit(2.0) * F.size(F.array_intersect(w, t["grams"])) / (F.size(w) + F.size(t["grams"]))
+        best = F.array_max(F.transform(starts, lambda at: bound(F.array_distinct(F.slice(grams, at + 1, t["length"])), dice)))
+        return F.struct(best.alias("dice"), t["license"].alias("license"))
+
+    def compare(grams: Column) -> Column:
+        def among(shared: Column) -> Column:
+            open_ = F.filter(known, lambda t: F.size(F.array_intersect(shared, t["grams"])) >= F.size(t["grams"]) * ratio)
+            return F.array_max(F.filter(F.transform(open_, lambda t: of_template(grams, t)), lambda s: s["dice"] >= least))
+
+        return bound(F.array_intersect(grams, every), among)
+
+    return bound(bound(F.split(normal(stretch), " "), in_order), compare)
+
+
 def scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """doc_id, license and dice of the best match (null if none) and n_matches (lines and paragraphs that match) for every row.
+    """doc_id, license and dice of the best match (null if none) and n_matches for every row.
 
-    Null and empty texts match nothing; repeated rows stay; columns other than doc_id and text are not read. A paragraph of one line
-    counts once, as that line.
+    n_matches counts lines and paragraphs that match, and stretches between those in which a sentence or a window matches. Null and
+    empty texts match nothing; repeated rows stay; columns other than doc_id and text are not read. A paragraph of one line counts
+    once, as that line.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.split(text, "\n", -1)
     paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n", -1), lambda p: F.contains(F.trim(p), F.lit("\n")))
     # a regular expression over the text, then over each piece, spares most the splitting into bigrams
     word = rf"(?<![\p{{L}}\p{{N}}])({'|'.join(anchors(least))})(?![\p{{L}}\p{{N}}])"
-    units = F.when(F.lower(text).rlike(word), F.filter(F.concat(lines, paragraphs), lambda u: F.lower(u).rlike(word))).otherwise(F.array().cast("array<string>"))
-    matches = F.filter(F.transform(units, lambda u: best_match(u, least)), lambda m: m.isNotNull())
-    rows = docs.select("doc_id", matches.alias("matches"))
-    best = F.array_max("matches")
-    return rows.select("doc_id", best["license"].alias("license"), best["dice"].alias("dice"), F.size("matches").cast("long").alias("n_matches"))
+    none = F.array().cast("array<string>")
+    units = F.when(F.lower(text).rlike(word), F.filter(F.concat(paragraphs, lines), lambda u: F.lower(u).rlike(word))).otherwise(none)
+    found = F.filter(F.transform(units, lambda u: F.struct(u.alias("unit"), best_match(u, least).alias("match"))), lambda m: m["match"].isNotNull())
+    rows = docs.select("doc_id", text.alias("text"), found.alias("found"))
+
+    # the text without what matched: each line between line feeds of its own, the gaps marked by a character that is not in the text
+    apart = lambda x: F.concat(F.lit("\n"), F.replace(x, F.lit("\n"), F.lit("\n\n")), F.lit("\n"))
+    plain = apart(F.replace(F.col("text"), F.lit("\0"), F.lit(" ")))
+    rest = F.aggregate("found", plain, lambda t, m: F.replace(t, apart(F.replace(m["unit"], F.lit("\0"), F.lit(" "))), F.lit("\n\0\n")))
+    stretches = F.when(F.lower("text").rlike(word), F.filter(F.split(rest, "\0", -1), lambda x: F.lower(x).rlike(word))).otherwise(none)
+
+    def inside(stretch: Column) -> Column:
+        sentences = F.filter(F.split(stretch, r"(?<=[.!?;:])\s+", -1), lambda x: F.lower(x).rlike(word))
+        return F.array_max(F.array_append(F.transform(sentences, lambda x: best_match(x, least)), best_window(stretch, least)))
+
+    # the best match may cross lines that match less well; the count is of the stretches without them
+    rows = rows.select("*", F.when(F.lower("text").rlike(word), inside(F.col("text"))).alias("whole"))
+    apart_from = F.size(F.filter(F.transform(stretches, inside), lambda m: m.isNotNull()))
+    best = F.array_max(F.array_append(F.transform("found", lambda m: m["match"]), F.col("whole")))
+    more = F.when(F.size("found") > 0, apart_from).otherwise(F.col("whole").isNotNull().cast("int"))
+    rows = rows.select("doc_id", best.alias("best"), (F.size("found") + more).cast("long").alias("n_matches"))
+    return rows.select("doc_id", F.col("best")["license"].alias("license"), F.col("best")["dice"].alias("dice"), "n_matches")

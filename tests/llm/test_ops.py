@@ -279,3 +279,29 @@ def test_licenses_equal_brute_force(spark, docs):
         good = [s for s in scores if s[0] >= 0.8]
         want[r.doc_id] = (max(good)[1] if good else None, len(good))
     assert {r.doc_id: (r.license, r.n_matches) for r in licenses.scan(docs).collect()} == want
+
+
+def test_licenses_inside_other_text(spark):
+    """Notices within longer lines and paragraphs, against a brute force over all windows of each template's size."""
+    norm = lambda t: re.sub(r"[^\w]+|_+", " ", t.lower()).split()
+    grams = lambda w: set(zip(w[:-1], w[1:], strict=True))
+    rng = np.random.default_rng(8)
+    other = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 30, n))
+    texts, names = [], []
+    for name, template in licenses.TEMPLATES:
+        wrapped = re.sub(r"((?:\S+ ){5})", r"\1\n# ", template)
+        texts += [f"{other(40)} {template} {other(30)}", f"# {other(9)}\n#\n# Copyright 2020 x\n# {wrapped}\n# {other(30)}"]
+        names += [name, name]
+    texts += [" ".join(norm(licenses.TEMPLATES[2][1])[:25]) + " " + other(50), "the software is free of charge, and the license " + other(20)]
+    for text, r in zip(texts, licenses.scan(spark.createDataFrame(enumerate(texts), "doc_id long, text string")).orderBy("doc_id").collect(), strict=True):
+        w, best = norm(text), (0, "")
+        for name, template in licenses.TEMPLATES:
+            t = norm(template)
+            for k in range(max(1, len(w) - len(t) + 1)):
+                g = grams(w[k : k + len(t)])
+                best = max(best, (2 * len(g & grams(t)) / (len(g) + len(grams(t))), name))
+        assert (r.license, r.n_matches) == ((best[1], 1) if best[0] >= 0.8 else (None, 0)), text
+        assert r.license is None or abs(r.dice - best[0]) < 1e-12
+        assert r.doc_id >= len(names) or (r.dice == 1 and r.license == best[1])
+    mixed = "All rights reserved.\n" + texts[0].replace("\n", " ") + "\nAll rights reserved.\nAll rights reserved."
+    assert licenses.scan(spark.createDataFrame([(1, mixed)], "doc_id long, text string")).first().n_matches == 4
