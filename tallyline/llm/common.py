@@ -46,7 +46,17 @@ def cut(df: DataFrame, what: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, what)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.cut_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote, once nothing reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.cut_at)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def words(text: Column) -> Column:
@@ -69,15 +79,3 @@ def sample_per_class(rows: DataFrame, label: str, classes: list, most: int, seed
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
-
-
-def row_chunks(lengths: list[int], most: int):
-    """(first, last) row ranges whose lengths add up to about ``most``; a longer row stands alone."""
-    first, held = 0, 0
-    for i, n in enumerate(lengths):
-        if held and held + n > most:
-            yield first, i
-            first, held = i, 0
-        held += n
-    if first < len(lengths):
-        yield first, len(lengths)

@@ -1,15 +1,17 @@
 """N-gram Jaccard join with token-combination prefixes.
 
 Tokens are 5-word shingles, told apart by 64-bit hashes. Two sets of similarity t or more share nearly all tokens of the larger
-one, so a prefix of each set in one global order suffices to meet: rare tokens come first and are indexed alone; if a set has too few
-of them, its prefix goes on into the frequent tokens, which are dealt into classes and indexed by pairs within a class. n tokens of
-a class in a prefix yield pairs that survive n - 2 missing tokens, so the prefix is extended until the classes together withstand
-all the tokens a partner may lack. Candidates that meet in the index are verified on the whole sets.
-
-Sets that are alike are one node. Linked nodes form components. The join first verifies neighbours within each index entry and forms
-components; then only pairs across components remain, so a large group of near copies never emits all its pairs, and none is lost.
-Links lie within components, so at last the nodes of each component are compared with each other on their whole sets, in blocks that
-pass on only each node's number of links.
+one, so a prefix of each set in one global order suffices to meet. Rare tokens come first and are indexed alone. If a set has too few
+of them, its prefix goes on into the frequent tokens, by frequency: these are dealt into classes, and every combination of k tokens of
+a class is indexed, k growing with the frequency. n tokens of a class in a prefix yield combinations that survive n - k missing
+tokens, so the prefix is extended until rare tokens and classes together withstand all the tokens a partner may lack. Candidates that
+meet in the index are verified on the whole sets.
+
+Sets that are alike are one node; nodes, not rows, are indexed. Entries of rare tokens are short. Entries of combinations may hold a
+large group of near copies, so they are never joined with themselves: first all nodes of an entry are verified against its most
+central node, which joins most of a group; components form; then only nodes outside an entry's main component are compared with the
+rest of it, block by block, so a large group never emits all its pairs, and none is lost. Links lie within components, so at last
+the nodes of each component are compared with each other on their whole sets, in blocks that pass on only each node's number of links.
 """
 
 from __future__ import annotations
@@ -24,26 +26,36 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import cut
+from tallyline.llm.common import cut, discard
 from tallyline.llm.words import steps
 
 SHINGLE = 5
-#: A token is frequent in at least this many documents, if it is among the TABLE most frequent; so there are at most TABLE.
+#: A token is frequent in at least this many nodes, if it is among the TABLE most frequent; so there are at most TABLE.
 FREQUENT, TABLE = 12, 1 << 20
-#: Sets below this size index frequent tokens alone; above, about this many tokens of a set fall into a class.
-PAIRED, PER_CLASS = 16, 8
-#: Tokens that a task sorts before it passes them on.
-COUNTED = 4_000_000
+#: Frequent tokens are combined by pairs; from this many nodes on, by threes.
+BY_THREES = 4096
+#: Sets below this size index frequent tokens alone. Above, sizes between two powers of two are a level, and a level whose least size is
+#: s deals tokens into s / PAIR_CLASS classes of pairs and s / THREE_CLASS classes of threes. Every set of the level then has enough
+#: tokens: s - s / PAIR_CLASS - 2 * s / THREE_CLASS are at least as many as a partner may lack, and one.
+PAIRED, PAIR_CLASS, THREE_CLASS = 16, 4, 8
+#: Tokens that a task sorts before it passes them on, and tokens that are counted in one group.
+COUNTED, COUNT_GROUP = 2_000_000, 4_000_000
+#: Bytes of text that a task hashes at a time.
+STEP = 1_000_000
 #: Neighbours are first compared in one of so many index entries.
 PART = 16
-#: Entries up to this size are joined; larger ones are compared in blocks of this many nodes.
-ALONE, BLOCK = 48, 512
+#: Nodes of an entry are compared in blocks of this many.
+BLOCK = 1024
+#: Rows of short entries that are compared in one group, and pairs that a task holds at a time.
+TOGETHER, HELD = 50_000, 1_000_000
 #: Links are counted between blocks of about this many nodes and tokens.
 COUNT_NODES, COUNT_TOKENS = 1024, 1_000_000
 #: Cells of the bitmap by which rows that are no candidates are left out before a shuffle.
 BITMAP = 1 << 23
 
 U = np.uint64
+#: Entries of rare tokens are negative and precede those of combinations.
+SIGN = U(1 << 63)
 _POWERS: list[np.ndarray] = []
 
 
@@ -115,45 +127,82 @@ def missing(n: int, percent: int) -> int:
     return n - -(-percent * n // 100)
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """Index entries of one set (sorted tokens), given the sorted upper halves of frequent tokens.
+def _often(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens are frequent, and where each stands among ``frequent`` (sorted upper halves)."""
+    upper = (tokens >> U(32)).astype(np.uint32)
+    if not len(frequent):
+        return np.zeros(len(tokens), bool), np.zeros(len(tokens), np.int64)
+    place = np.minimum(np.searchsorted(frequent, upper), len(frequent) - 1)
+    return frequent[place] == upper, place
+
+
+def rare_signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, bool]:
+    """The rare tokens of a set's prefix, and whether the prefix goes on into the frequent ones. Tokens are sorted."""
+    need = missing(len(tokens), percent) + 1 if len(tokens) else 0
+    rare = tokens[~_often(tokens, frequent)[0]]
+    return (rare[:need] | SIGN).view(np.int64), len(rare) < need
+
+
+def level_of(n: int) -> int:
+    """0 for sets below PAIRED tokens, then 1, 2, ... as sizes double."""
+    return max(0, int(n).bit_length() - PAIRED.bit_length() + 1)
+
+
+def _combined(tokens: np.ndarray, group: np.ndarray, k: int, salt: np.uint64) -> list[np.ndarray]:
+    """A hash of every combination of ``k`` (2 or 3) tokens of like group; groups lie together."""
+    out, size = [], len(tokens)
+    for one in range(1, size):
+        same = group[one:] == group[:-one]
+        if not same.any():
+            break
+        pair = _mix(_mix(tokens[:-one] + salt) + tokens[one:])
+        if k == 2:
+            out.append(pair[same])
+            continue
+        for two in range(1, size - one):
+            third = group[one + two :] == group[: size - one - two]
+            if not third.any():
+                break
+            out.append(_mix(pair[: size - one - two][third] + tokens[one + two :][third]))
+    return out
+
 
-    Rare tokens precede frequent ones; within either kind, tokens go by hash. A set large enough to be paired is indexed by the
-    classes of its own size level and by those of a neighbouring level where partners may lie.
+def heavy_signatures(tokens: np.ndarray, frequent: np.ndarray, threes: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """Entries of the frequent tokens of one set's prefix, and the number of its frequent tokens. ``threes`` tells which combine by threes.
+
+    Two sets that share no rare token meet here on the level of the smaller one. A set emits combinations for its own level and, for
+    smaller partners, for the level below if such a partner may lie there. Frequent tokens go by frequency class, then by hash.
     """
     n = len(tokens)
-    if not n:
-        return np.empty(0, np.int64)
-    need = missing(n, percent) + 1
-    upper = (tokens >> U(32)).astype(np.uint32)
-    place = np.searchsorted(frequent, upper)
-    often = frequent[np.minimum(place, len(frequent) - 1)] == upper if len(frequent) else np.zeros(n, bool)
-    rare, heavy = tokens[~often], tokens[often]
-    out = [rare[:need]]
-    if len(rare) < need:
-        need -= len(rare)
-        levels = {max(0, int(m).bit_length() - PAIRED.bit_length() + 1) for m in (-(-percent * n // 100), n, 100 * n // percent)}
-        for level in levels:
-            salt = U((level + 1) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF)
-            if level == 0:
-                out.append(_mix(heavy[:need] ^ salt))
-                continue
-            classes = (_mix(heavy ^ salt) % U(max(1, (PAIRED << (level - 1)) // PER_CLASS))).astype(np.int64)
-            again = np.ones(len(heavy), bool)
-            again[np.unique(classes, return_index=True)[1]] = False
-            held = np.cumsum(again)  # tokens that the pairs withstand so far
-            size = int(np.searchsorted(held, need)) + 1
-            if size > len(heavy):  # too few to pair: cannot be on the set's own level, and no partner there lacks so little
-                size = len(heavy)
-            cls, tok = classes[:size], heavy[:size]
-            order = np.argsort(cls, kind="stable")
-            cls, tok = cls[order], tok[order]
-            for step in range(1, size):
-                same = cls[step:] == cls[:-step]
-                if not same.any():
-                    break
-                out.append(_mix(_mix(tok[:-step][same] + salt) + tok[step:][same]))
-    return np.unique(np.concatenate(out)).view(np.int64)
+    often, place = _often(tokens, frequent)
+    heavy, three = tokens[often], threes[place[often]]
+    order = np.argsort(three, kind="stable")
+    heavy, three = heavy[order], three[order]
+    rare, out = n - len(heavy), []
+    smallest = -(-percent * n // 100)
+    for level in {level_of(n), level_of(smallest)}:
+        partner = max(smallest, PAIRED << (level - 1) if level else 1)
+        need = n + 1 - -(-percent * (n + partner) // (100 + percent)) - rare
+        if need <= 0:
+            continue
+        salt = U((level + 1) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF)
+        if level == 0:
+            out.append(_mix(heavy[:need] ^ salt))
+            continue
+        least = PAIRED << (level - 1)
+        spread = _mix(heavy ^ salt)
+        cls = np.where(three, (spread % U(least // THREE_CLASS)).astype(np.int64) - least, (spread % U(least // PAIR_CLASS)).astype(np.int64))
+        by_class = np.argsort(cls, kind="stable")
+        first = np.concatenate([[True], np.diff(cls[by_class]) != 0])
+        at = np.arange(len(cls))
+        rank = np.empty(len(cls), np.int64)  # a token's place in its class
+        rank[by_class] = at - np.maximum.accumulate(np.where(first, at, 0))
+        held = np.cumsum(rank >= np.where(three, 2, 1))  # missing tokens that the combinations withstand so far
+        size = int(np.searchsorted(held, need)) + 1
+        used = by_class[by_class < size]
+        by_three = three[used]
+        out += _combined(heavy[used[~by_three]], cls[used[~by_three]], 2, salt) + _combined(heavy[used[by_three]], cls[used[by_three]], 3, salt)
+    return (np.unique(np.concatenate(out) & ~SIGN) if out else np.empty(0, U)).view(np.int64), len(heavy)
 
 
 def bitmap_of(tokens: np.ndarray) -> np.ndarray:
@@ -175,34 +224,46 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
-def frequent_tokens(docs: DataFrame) -> np.ndarray:
-    """Sorted upper halves of the hashes of frequent tokens, at most TABLE of them.
+def new_nodes(sets: list[np.ndarray], seen: set[int]) -> list[np.ndarray]:
+    """The sets that a task has not met before, so that copies of a text count about once a task; ``seen`` holds 8 bytes a node."""
+    out = []
+    for s in sets:
+        if len(s) and (node := node_of(s)) not in seen:
+            seen.add(node)
+            out.append(s)
+    return out
+
+
+def frequent_tokens(docs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted upper halves of the hashes of frequent tokens, at most TABLE of them, and which of them combine by threes.
 
-    Every token of every document is counted. Tasks sort the upper halves of their tokens' hashes and pass them on by ranges, packed
-    to about a byte and a half each; each range is then counted on its own. Where two tokens share an upper half, both count as the
-    sum; that moves a token in the index order, and never decides whether a pair is found.
+    Every token of every document is counted; ``total`` is about how many there are. Tasks sort the upper halves of their tokens'
+    hashes and pass them on by ranges, packed to about a byte and a half each; each range, of about COUNT_GROUP tokens, is then
+    counted on its own. Where two tokens share an upper half, both count as the sum; that moves a token in the index order, and
+    never decides whether a pair is found.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    edges = (np.arange(1, parts) * (2**32 // parts)).astype(np.uint32)
+    parts = total // COUNT_GROUP + 1
+    edges = (np.arange(1, parts) * 2**32 // parts).astype(np.uint32)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        total = 0
+        seen: set[int] = set()
+        count = 0
 
         def passed() -> pa.RecordBatch:
-            halves = np.sort(np.concatenate([(x >> U(32)).astype(np.uint32) for x in held]) if held else np.empty(0, np.uint32))
+            halves = np.sort(np.concatenate(held) if held else np.empty(0, np.uint32))
             pieces = np.split(halves, np.searchsorted(halves, edges))
             rows = [(i, _packed(x)) for i, x in enumerate(pieces) if len(x)]
             return pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["part", "blob"])
 
         for batch in batches:
-            for part in steps(batch, 0, 2_000_000):
-                sets = shingle_sets(part.column(0))
-                held += sets
-                total += sum(map(len, sets))
-                if total > COUNTED:
+            for part in steps(batch, 0, STEP):
+                sets = new_nodes(shingle_sets(part.column(0)), seen)
+                held += [(x >> U(32)).astype(np.uint32) for x in sets]
+                count += sum(map(len, sets))
+                if count > COUNTED:
                     yield passed()
-                    held, total = [], 0
+                    held, count = [], 0
         yield passed()
 
     def tally(rows: pd.DataFrame) -> pd.DataFrame:
@@ -211,8 +272,8 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
         return pd.DataFrame({"token": token[often].astype(np.int64), "n": n[often].astype(np.int64)})
 
     counts = docs.select("text").mapInArrow(deal, "part int, blob binary").groupBy("part").applyInPandas(tally, "token long, n long")
-    most = counts.orderBy(F.desc("n"), "token").limit(TABLE)
-    return np.sort(most.select("token").toPandas()["token"].to_numpy(np.int64).astype(np.uint32))
+    found = counts.orderBy(F.desc("n"), "token").limit(TABLE).toPandas().sort_values("token")
+    return found["token"].to_numpy(np.int64).astype(np.uint32), found["n"].to_numpy() >= BY_THREES
 
 
 def row_key() -> Column:
@@ -225,7 +286,7 @@ def described(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, 2, 2_000_000):
+            for part in steps(batch, 2, STEP):
                 sets = shingle_sets(part.column(2))
                 bits = [bitmap_of(s) for s in sets]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in bits])]).astype(np.int32)
@@ -236,21 +297,47 @@ def described(docs: DataFrame) -> DataFrame:
     return docs.select("key", "doc_id", "text").mapInArrow(run, "key long, doc_id long, n long, node long, bits array<long>")
 
 
-def index_entries(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
-    """sig, node, n: a row for each index entry of each row of ``docs``."""
+def rare_entries(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
+    """sig, node, n, goes_on: a row for each rare token of each prefix, and one more (its node for sig) for a prefix that goes on.
+
+    Rows that are alike in text count about once a task.
+    """
     known = docs.sparkSession.sparkContext.broadcast(frequent)  # at most TABLE numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for part in steps(batch, 0, 1_000_000):
-                sets = shingle_sets(part.column(0))
-                sigs = [signatures(s, known.value, percent) for s in sets]
-                count = [len(s) for s in sigs]
-                node = np.repeat(np.array([node_of(s) for s in sets], np.int64), count)
-                n = np.repeat(np.array([len(s) for s in sets], np.int32), count)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(node), pa.array(n)], ["sig", "node", "n"])
+            for part in steps(batch, 0, STEP):
+                sets = new_nodes(shingle_sets(part.column(0)), seen)
+                found = [rare_signatures(s, known.value, percent) for s in sets]
+                names = np.array([node_of(s) for s in sets], np.int64)
+                count, more = np.array([len(s) for s, _ in found], np.int64), np.array([x for _, x in found], bool)
+                sizes = np.array([len(s) for s in sets], np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([*(s for s, _ in found), names[more]]).astype(np.int64)), pa.array(np.concatenate([np.repeat(names, count), names[more]])),
+                     pa.array(np.concatenate([np.repeat(sizes, count), sizes[more]])), pa.array(np.arange(count.sum() + more.sum()) >= count.sum())],
+                    ["sig", "node", "n", "goes_on"],
+                )
+
+    return docs.select("text").mapInArrow(run, "sig long, node long, n int, goes_on boolean")
+
+
+def heavy_entries(sets: DataFrame, frequent: np.ndarray, threes: np.ndarray, percent: int) -> DataFrame:
+    """sig, node, n, h: a row for each combination of frequent tokens of each set (node, tokens); h is the number of its frequent tokens."""
+    known = sets.sparkSession.sparkContext.broadcast((frequent, threes))
 
-    return docs.select("text").mapInArrow(run, "sig long, node long, n int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(1).offsets.to_numpy()
+            flat = batch.column(1).values.to_numpy(zero_copy_only=False).view(U)
+            found = [heavy_signatures(flat[a:b], *known.value, percent) for a, b in zip(at[:-1], at[1:], strict=True)]
+            count = [len(s) for s, _ in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([s for s, _ in found])), pa.array(np.repeat(batch.column(0).to_numpy(), count)), pa.array(np.repeat(np.diff(at), count).astype(np.int32)),
+                 pa.array(np.repeat(np.array([h for _, h in found], np.int32), count))], ["sig", "node", "n", "h"]
+            )
+
+    return sets.select("node", "tokens").mapInArrow(run, "sig long, node long, n int, h int")
 
 
 def token_sets(docs: DataFrame) -> DataFrame:
@@ -258,7 +345,7 @@ def token_sets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, 0, 2_000_000):
+            for part in steps(batch, 0, STEP):
                 sets = shingle_sets(part.column(0))
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 values = np.concatenate(sets).view(np.int64)
@@ -319,66 +406,89 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int)
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.join(left, "a").join(right, "b")
     both = both.select("a", "b", (F.size("ta") + F.size("tb")).alias("sizes"), F.size(F.array_intersect("ta", "tb")).alias("shared"))
-    return cut(both.where(_enough(F.col("shared"), F.col("sizes"), percent)).select("a", "b"), "links")
+    links = cut(both.where(_enough(F.col("shared"), F.col("sizes"), percent)).select("a", "b"), "links")
+    discard(pairs, sets)
+    return links
 
 
 def compare_blocks(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs (a, b) across two blocks of an entry (or within one) that differ in component and whose bitmaps and sizes leave them open.
+    """Pairs (a, b) of a guest and a resident of like entry that differ in component and whose sizes and bitmaps leave them open.
 
-    Two nodes may meet in many entries; the pair leaves only the first of them, by the nodes' sorted lists of large entries.
+    Two guests are compared in one direction. Two nodes may meet in many entries; the pair leaves only the first of them, by the
+    nodes' sorted lists of entries: one of a rare token if they share such, and only if not, h bounds what they share.
     """
-    low, high, sig = rows.low.iat[0], rows.high.iat[0], rows.sig.iat[0]
-    earlier = [set(x[: np.searchsorted(x, sig)].tolist()) for x in map(np.asarray, rows.sigs)]
-    words = rows.bits.map(len).to_numpy()
-    block, node = rows.block.to_numpy(), rows.node.to_numpy()
-    n, component = rows.n.to_numpy(), rows.component.to_numpy()
-    found = []
-
-    def folded(at: np.ndarray, width: int) -> np.ndarray:
-        bits = np.stack([np.asarray(x, np.int64) for x in rows.bits.iloc[at]]).view(U)
-        return bits if bits.shape[1] == width else bits[:, :width] | bits[:, width:]
-
-    for wa in np.unique(words):
-        for wb in np.unique(words):
-            left, right = np.flatnonzero((block == low) & (words == wa)), np.flatnonzero((block == high) & (words == wb))
-            if max(wa, wb) > 2 * min(wa, wb) or not len(left) or not len(right):
+    rows = rows.sort_values("sig", kind="stable", ignore_index=True)
+    sig, node, n, h, component, minor = (rows[c].to_numpy() for c in ("sig", "node", "n", "h", "component", "minor"))
+    n, h = n.astype(np.int64), h.astype(np.int64)
+    guest = rows.guest.to_numpy()
+    guests, residents = np.flatnonzero(guest), np.flatnonzero(~guest)
+    first = np.searchsorted(sig[residents], sig[guests])
+    count = np.searchsorted(sig[residents], sig[guests], side="right") - first
+    ends = np.cumsum(count)
+    bits = [np.asarray(x, np.int64).view(U) for x in rows.bits]
+    width = np.array([len(x) for x in bits])
+    sigs = list(map(np.asarray, rows.sigs))
+    found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    start = 0
+    while start < len(guests):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + HELD, side="right")))
+        own, their = guests[start:stop], count[start:stop]
+        g = np.repeat(own, their)
+        base = np.repeat(first[start:stop] - (np.cumsum(their) - their), their)
+        r = residents[base + np.arange(len(g))]
+        start = stop
+        most = np.minimum(h[g], h[r])
+        ok = (component[g] != component[r]) & (~minor[r] | (node[g] < node[r])) & (100 * most >= percent * (n[g] + n[r] - most))
+        ok &= 100 * np.minimum(n[g], n[r]) >= percent * np.maximum(n[g], n[r])
+        g, r = g[ok], r[ok]
+        for wide in np.unique(np.stack([width[g], width[r]]), axis=1).T if len(g) else []:
+            here = np.flatnonzero((width[g] == wide[0]) & (width[r] == wide[1]))
+            if wide.max() > 2 * wide.min():
                 continue  # sets of such sizes are never alike enough
-            width = min(wa, wb)
-            every, other = folded(left, width), folded(right, width)
-            count_b = np.bitwise_count(other).sum(axis=1, dtype=np.int64)
-            step = max(1, 2_000_000 // (len(right) * width))
-            for k in range(0, len(left), step):
-                at = left[k : k + step]
-                mine = every[k : k + step]
-                lacks_a = np.bitwise_count(mine[:, None, :] & ~other[None, :, :]).sum(axis=2, dtype=np.int64)
-                lacks_b = count_b[None, :] - np.bitwise_count(mine).sum(axis=1, dtype=np.int64)[:, None] + lacks_a
-                na, nb = n[at][:, None].astype(np.int64), n[right][None, :].astype(np.int64)
-                shared = np.minimum(na - lacks_a, nb - lacks_b)
-                ok = (100 * shared >= percent * (na + nb - shared)) & (component[at][:, None] != component[right][None, :])
-                if low == high:
-                    ok &= node[at][:, None] < node[right][None, :]
-                i, j = np.nonzero(ok)
-                first = np.fromiter((earlier[x].isdisjoint(earlier[y]) for x, y in zip(at[i].tolist(), right[j].tolist(), strict=True)), bool, len(i))
-                found.append((node[at[i[first]]], node[right[j[first]]]))
-    a = np.concatenate([x for x, _ in found]) if found else np.empty(0, np.int64)
-    b = np.concatenate([x for _, x in found]) if found else np.empty(0, np.int64)
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            narrow = int(wide.min())
+            for k in range(0, len(here), max(1, HELD // narrow)):
+                i, j = g[here[k : k + max(1, HELD // narrow)]], r[here[k : k + max(1, HELD // narrow)]]
+                x, y = np.stack([bits[v] for v in i]), np.stack([bits[v] for v in j])
+                x, y = (z if z.shape[1] == narrow else z[:, :narrow] | z[:, narrow:] for z in (x, y))
+                both = np.minimum(n[i] - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), n[j] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+                open_ = 100 * both >= percent * (n[i] + n[j] - both)
+                for p, q in zip(i[open_].tolist(), j[open_].tolist(), strict=True):
+                    if np.intersect1d(sigs[p], sigs[q], assume_unique=True)[0] == sig[p]:
+                        found_a.append(node[p : p + 1])
+                        found_b.append(node[q : q + 1])
+    x, y = np.concatenate(found_a), np.concatenate(found_b)
+    return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
 
 def pairs_in_blocks(entries: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of large entries (sig, node, n, component, size).
+    """Pairs (a, b) across components within entries (sig, node, n, h, component) whose sizes and bitmaps leave them open.
 
-    An entry's nodes are dealt into blocks of about BLOCK; each pair of blocks is a group of its own, compared by bitmaps in numpy, so
-    no task sees a whole entry and only pairs that stay open leave it.
+    The component with most nodes in an entry is its main one. Every node outside it is a guest, compared with all nodes of the entry.
+    Nodes and guests are dealt into blocks; each pair of blocks is a group of its own, compared in numpy, so no task sees a whole large
+    entry and only pairs that stay open leave it. Short entries share groups.
     """
-    k = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = entries.select("sig", "node", "n", "component", k.alias("k"), F.pmod(F.xxhash64("node"), k).cast("int").alias("block"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    rows = rows.withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with"))
-    lists = entries.groupBy("node").agg(F.sort_array(F.collect_list("sig")).alias("sigs"))
-    rows = rows.join(nodes.select("node", "bits").join(lists, "node"), "node")
-    rows = rows.select("sig", "low", "high", "node", "n", "component", "block", "bits", "sigs")
-    return rows.groupBy("sig", "low", "high").applyInPandas(lambda g: compare_blocks(g, percent), "a long, b long")
+    by_component = entries.groupBy("sig", "component").agg(F.count("*").alias("size"))
+    main = by_component.groupBy("sig").agg(
+        F.sum("size").alias("size"), F.max(F.struct("size", "component")).alias("main"), F.count("*").alias("n_components")
+    )
+    main = main.where("n_components > 1").select("sig", "size", F.col("main.component").alias("main"), (F.col("size") - F.col("main.size")).alias("guests"))
+    rows = entries.join(main, "sig").withColumn("minor", F.col("component") != F.col("main"))
+    blocks, guest_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("size", "guests"))
+    rows = rows.select("sig", "node", "n", "h", "component", "minor", blocks.alias("k"), guest_blocks.alias("g"))
+    rows = cut(rows, "rest")
+    if rows.isEmpty():
+        return rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    lists = rows.groupBy("node").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))  # a node's own entries, as many as its prefix has
+    own = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    residents = rows.select("*", F.lit(False).alias("guest"), own("k").alias("i"), every("g").alias("j"))
+    guests = rows.where("minor").select("*", F.lit(True).alias("guest"), every("k").alias("i"), own("g").alias("j"))
+    groups = rows.count() // TOGETHER + 1
+    large = F.col("k") > 1
+    dealt = residents.unionByName(guests).withColumn("large", large).withColumn("group", F.when(large, F.col("sig")).otherwise(F.pmod(F.xxhash64("sig"), F.lit(groups))))
+    dealt = dealt.join(nodes.select("node", "bits").join(lists, "node"), "node")
+    dealt = dealt.select("large", "group", "i", "j", "sig", "node", "n", "h", "component", "minor", "guest", "bits", "sigs")
+    return dealt.groupBy("large", "group", "i", "j").applyInPandas(lambda g: compare_blocks(g, percent), "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -394,9 +504,11 @@ def components(links: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("via"), F.col("component").alias("far"))
         new = cut(new.join(jump, "via").select("node", "old", F.least("via", "far").alias("component")), "labels")
         done = new.where("old <> component").isEmpty()
-        labels = new.select("node", "component")
+        discard(labels)
+        labels = new
         if done:
-            return labels
+            discard(edges)
+            return labels.select("node", "component")
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -461,6 +573,24 @@ def degrees(label: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -
     return pairs.unionByName(counted).groupBy("node").agg(F.sum("n_links").alias("n_links"))
 
 
+def star_pairs(entries: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of entries (sig, node, n, h): those that some partner in their entry may be alike enough to, and pairs (a, b) with the most central one.
+
+    Sets that meet here share no rare token, or they have met before; so they share at most the lesser h. The set with fewest rare
+    tokens is the most central.
+    """
+    def open_(rows: DataFrame) -> DataFrame:
+        least = rows.groupBy("sig").agg(F.min("n").alias("least"), F.count("*").alias("size")).where("size > 1").drop("size")
+        partner = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+        return rows.join(least, "sig").where(_enough(F.col("h"), F.col("n") + partner, percent)).select("sig", "node", "n", "h")
+
+    rows = cut(open_(entries), "heavy")
+    centre = rows.groupBy("sig").agg(F.min(F.struct(F.col("n") - F.col("h"), "node", "n", "h")).alias("c"))
+    both = rows.join(centre, "sig").where(F.col("node") != F.col("c.node"))
+    both = both.where(_enough(F.least("h", F.col("c.h")), F.col("n") + F.col("c.n"), percent))
+    return rows, both.select(F.least("node", F.col("c.node")).alias("a"), F.greatest("node", F.col("c.node")).alias("b")).distinct()
+
+
 def linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (key, doc_id, n, node, bits), nodes (node, first, key, n, bits) and the component of each node with links.
 
@@ -470,17 +600,26 @@ def linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFra
     nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     nodes = cut(nodes, "nodes")
 
-    entries = index_entries(docs, frequent_tokens(docs), percent)
-    entry = Window.partitionBy("sig")
+    frequent, threes = frequent_tokens(docs, nodes.agg(F.sum("n")).first()[0] or 0)
+    entry = Window.partitionBy("sig", "goes_on")
     order = entry.orderBy("n", F.xxhash64("sig", "node"), "node")
-    met = entries.select("sig", "node", "n", F.dense_rank().over(order).alias("k"), F.lag("node").over(order).alias("prev"), F.lag("n").over(order).alias("prev_n"))
-    met = met.withColumn("m", F.max("k").over(entry)).where("m > 1 and (prev is null or prev <> node)").drop("k")
+    met = rare_entries(docs, frequent, percent)
+    met = met.select("*", F.dense_rank().over(order).alias("k"), F.lag("node").over(order).alias("prev"), F.lag("n").over(order).alias("prev_n"))
+    met = met.withColumn("m", F.max("k").over(entry)).where("(m > 1 or goes_on) and (prev is null or prev <> node)").drop("k")
     met = cut(met, "met")
+    short = met.where("not goes_on")
+
+    # sets whose prefix goes on into the frequent tokens
+    sets = sets_of(met.where("goes_on").select("node").distinct(), docs, nodes)
+    entries = cut(heavy_entries(sets, frequent, threes, percent), "entries")
+    heavy, star = star_pairs(entries, percent)
+    star = cut(star, "star")
+    discard(sets, entries)
 
-    # neighbours within entries: first in a part of the entries, which joins most of a large group, then what is still apart
-    pairs = met.where(100 * F.col("prev_n") >= percent * F.col("n"))
+    # entries of rare tokens: neighbours, first in a part of the entries, then what is still apart
+    pairs = short.where(100 * F.col("prev_n") >= percent * F.col("n"))
     near = [F.least("node", "prev").alias("a"), F.greatest("node", "prev").alias("b")]
-    links = verified(pairs.where(F.pmod("sig", F.lit(PART)) == 0).select(*near).distinct(), docs, nodes, percent)
+    links = verified(pairs.where(F.pmod("sig", F.lit(PART)) == 0).select(*near).unionByName(star).distinct(), docs, nodes, percent)
     label = components(links)
     apart = pairs.select(*near).distinct()
     apart = apart.join(label.toDF("a", "la"), "a", "left").join(label.toDF("b", "lb"), "b", "left")
@@ -489,25 +628,16 @@ def linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFra
     if not more.isEmpty():
         links = links.unionByName(more)
         label = components(links)
+    tried = cut(pairs.select(*near).unionByName(star).distinct(), "tried")
 
-    # what remains: pairs across components, in entries of three nodes or more
-    rest = met.where("m > 2").select("sig", "node", "n").join(label, "node", "left")
+    # what remains: pairs across components
+    rest = short.where("m > 2").select("sig", "node", "n", F.col("n").alias("h")).unionByName(heavy).join(label, "node", "left")
     rest = rest.withColumn("component", F.coalesce("component", "node"))
-    rest = rest.withColumn("low", F.min("component").over(entry)).withColumn("high", F.max("component").over(entry)).where("low < high")
-    rest = rest.withColumn("size", F.count("*").over(entry))
-    rest = cut(rest.select("sig", "node", "n", "component", "size"), "rest")
-    few = rest.where(F.col("size") <= ALONE)
-    x, y = few.alias("x"), few.alias("y")
-    across = x.join(y, "sig").where(
-        "x.node < y.node and x.component <> y.component" + f" and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
-    )
-    across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    across = across.unionByName(pairs_in_blocks(rest.where(F.col("size") > ALONE), nodes, percent)).distinct()
-    across = across.join(pairs.select(*near).distinct(), ["a", "b"], "left_anti")
+    across = pairs_in_blocks(rest, nodes, percent).join(tried, ["a", "b"], "left_anti")
     more = verified(across, docs, nodes, percent)
     if not more.isEmpty():
         label = components(links.unionByName(more))
-
+    discard(met, heavy, star, tried)
     return rows, nodes, label
 
 

@@ -52,10 +52,10 @@ def test_join_on_documents(spark):
     assert got == brute(rows)[0]
 
 
-@pytest.mark.parametrize("frequent", [1, 3, 10**9])
-def test_index_misses_no_link(spark, frequent):
-    rng = np.random.default_rng(frequent % 97)
-    base = [" ".join(f"w{x}" for x in rng.integers(0, 400, n)) for n in (6, 14, 15, 16, 17, 30, 120, 400)]
+@pytest.mark.parametrize(("frequent", "by_threes"), [(1, 1), (1, 4), (1, 10**9), (3, 5), (3, 10**9), (10**9, 10**9)])
+def test_index_misses_no_link(frequent, by_threes):
+    rng = np.random.default_rng((frequent + by_threes) % 97)
+    base = [" ".join(f"w{x}" for x in rng.integers(0, 400, n)) for n in (6, 9, 14, 15, 16, 17, 18, 19, 20, 21, 24, 30, 34, 40, 66, 120, 400)]
     rows = []
     for text in base:
         for _ in range(12):
@@ -67,12 +67,16 @@ def test_index_misses_no_link(spark, frequent):
     hashed = jaccard.shingle_sets(pa.array([t for _, t in rows]))
     assert [len(h) for h in hashed] == [len(s) for s in sets]
     halves, n = np.unique(np.concatenate([(h >> np.uint64(32)).astype(np.uint32) for h in hashed]), return_counts=True)
-    index = [set(jaccard.signatures(h, halves[n >= frequent], 80).tolist()) for h in hashed]
+    halves, threes = halves[n >= frequent], n[n >= frequent] >= by_threes
+    index = []
+    for h in hashed:
+        rare, goes_on = jaccard.rare_signatures(h, halves, 80)
+        index.append(set(rare.tolist()) | (set(jaccard.heavy_signatures(h, halves, threes, 80)[0].tolist()) if goes_on else set()))
     assert links and all(index[i] & index[j] for i, j in links)
 
 
 def test_groups_in_blocks(spark, monkeypatch):
-    """Near copies that are mostly not linked, compared in small blocks."""
+    """Near copies that are mostly not linked, without a central one, by frequent tokens and compared in small blocks."""
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(160)]
     rows = []
@@ -81,16 +85,48 @@ def test_groups_in_blocks(spark, monkeypatch):
         for _ in range(int(rng.integers(2, 6))):
             w[int(rng.integers(160))] = f"x{rng.integers(10**6)}"
         rows.append((i, " ".join(w)))
-    want, links, _ = brute(rows)
-    monkeypatch.setattr(jaccard, "ALONE", 3)
+    want, links, sets = brute(rows)
     monkeypatch.setattr(jaccard, "BLOCK", 16)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert links and got == want
-    sets = jaccard.shingle_sets(pa.array([t for _, t in rows]))
-    frame = pd.DataFrame({"low": 0, "high": 1, "block": [i % 2 for i in range(150)], "node": range(150), "n": [len(x) for x in sets], "component": range(150), "sig": 7, "sigs": [[5 + i % 2, 7] for i in range(150)],
-                          "bits": [jaccard.bitmap_of(x) for x in sets]})
-    open_ = {tuple(r) for r in jaccard.compare_blocks(frame, 80).to_numpy().tolist()}
-    assert {(a, b) for a, b in links if (a + b) % 2} <= open_ and len(open_) < 150 * 75
+    monkeypatch.setattr(jaccard, "HELD", 100)
+    for by_threes in (50, 10**9):
+        monkeypatch.setattr(jaccard, "BY_THREES", by_threes)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert links and got == want
+
+
+def test_blocks_lose_no_pair():
+    """Two entries: every link across components leaves the first entry of both, once; guests are compared with residents only."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**62, 100).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.permutation(base)[: 100 - k], rng.integers(0, 2**62, k).astype(np.uint64)])) for k in rng.integers(0, 20, 60)]
+    node, component = np.arange(60), np.where(np.arange(60) < 30, 99, np.arange(60))
+    frame = pd.DataFrame({"node": node, "n": [len(x) for x in sets], "h": [len(x) for x in sets], "component": component, "minor": component != 99,
+                          "bits": [jaccard.bitmap_of(x) for x in sets], "sigs": [[5, 7] if i % 2 else [7] for i in node]})
+    parts = [frame.assign(sig=7), frame[frame.node % 2 == 1].assign(sig=5)]
+    rows = pd.concat([p.assign(guest=False) for p in parts] + [p[p.minor].assign(guest=True) for p in parts])
+    found = [tuple(r) for r in jaccard.compare_blocks(rows, 80).to_numpy().tolist()]
+    share = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+    want = {(a, b) for a in node for b in node if a < b and component[a] != component[b] and 100 * (s := share(a, b)) >= 80 * (len(sets[a]) + len(sets[b]) - s)}
+    assert want and want <= set(found) and len(found) == len(set(found)) < 60 * 59 / 2
+
+
+def test_thousands_of_copies(spark):
+    """Thousands of exact copies, and thousands of near copies most of which are not linked."""
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, "copy " * 3 + " ".join(base[:40])) for i in range(2000)]
+    for i in range(2000, 3000):
+        w = list(base)
+        for _ in range(int(rng.integers(0, 9))):
+            w[int(rng.integers(120))] = f"x{rng.integers(10**9)}"
+        rows.append((i, " ".join(w)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(16)).collect()}
+    distinct = {}
+    for d, t in rows:
+        distinct.setdefault(t, d)
+    want = brute([(d, t) for t, d in distinct.items()])[0]
+    assert got == {d: want[distinct[t]] for d, t in rows}
+    assert len({c for _, c in got.values()}) > 200
 
 
 def test_odd_rows(spark):
