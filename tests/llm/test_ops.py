@@ -1,11 +1,12 @@
 """The other training-data operators against brute-force versions, the libraries, SQL or held-out labels; and on odd rows."""
 
 import base64
+import glob
 import hashlib
 import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 import duckdb
@@ -63,23 +64,57 @@ def test_bpe_of_odd_texts(text):
     assert own.decode(ids[at[0] : at[1]].tobytes()) == text.encode()
 
 
+SPECIAL = ["a <|endoftext|> b", "A <|ENDOFTEXT|> É<|EndOfText|>é <|startoftext|>", "don't we'LL it's 'S ''s x's't 5's", "Éa é naïve— ,—x ÷a×b ñ! «hola» é́,", "日本語 テスト。「a」 ａｂｃ １２３",
+           "12.5% of 2024's a_b-c___--d #$%^&*()<|x|>", "x\x1c\x85y　z q a‍b c­b", "w" * 200 + " é" * 3 + "long'" * 40]
+
+
 def test_token_files(spark, docs, odd, tmp_path):
+    """Against the untouched library, in the order of the files; also with added tokens in texts and one doc_id with many texts."""
     tok = Tokenizer.from_file(WORDS)
-    tok.encode_special_tokens = True
-    for df in (docs, odd):
-        start, want = 0, []
-        for r in sorted(df.collect(), key=lambda r: (-1 if r.doc_id is None else r.doc_id, r.text or "")):
+    some = spark.createDataFrame([(i // 3, t) for i, t in enumerate(SPECIAL)] + [(1, t[::-1]) for t in SPECIAL], "doc_id long, text string")
+    for df in (docs, odd, some):
+        want = Counter()
+        for r in df.collect():
             ids = [*tok.encode(r.text or "", add_special_tokens=False).ids, 1]
-            want.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
-            start += len(ids)
-        got = [tuple(r) for r in token_files.round_trip(df, WORDS).orderBy("start").collect()]
-        assert got == want
+            want[r.doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+        out = str(tmp_path / f"tokens{len(want)}")
+        token_files.write_token_files(df, out, WORDS, files=5)
+        held, key = [], lambda r: -1 if r.doc_id is None else r.doc_id
+        for path in sorted(glob.glob(f"{out}/*.orc")):
+            rows = spark.read.orc(path).orderBy("place").collect()
+            assert [key(r) for r in rows] == sorted(map(key, rows)) and (not held or not rows or key(held[-1]) <= key(rows[0]))
+            held += rows
+        start, by_file = 0, []
+        for r in held:
+            by_file.append((r.doc_id, start, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes())))
+            start += len(r.ids)
+        assert Counter((d, n, c) for d, _, n, c in by_file) == want
+        assert sorted(map(tuple, token_files.digest(token_files.read_token_files(spark, out)).collect()), key=lambda r: r[1]) == by_file
+        assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in token_files.round_trip(df, WORDS).collect()) == want
     out = str(tmp_path / "orc")
     token_files.write_token_files(docs, out, WORDS)
     assert [r.doc_id for r in token_files.read_token_files(spark, out, [7, 900]).orderBy("doc_id").collect()] == [7, 900]
+    orc, conf = spark._jvm.org.apache.orc.OrcFile, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in glob.glob(f"{out}/*.orc"):
+        reader = orc.createReader(spark._jvm.org.apache.hadoop.fs.Path(path), orc.readerOptions(conf))
+        for stripe in reader.getStripes():
+            kinds = [(x.getColumn(), x.getKind().toString()) for x in reader.rows().readStripeFooter(stripe).getStreamsList()]
+            assert (1, "BLOOM_FILTER_UTF8") in kinds and {c for c, k in kinds if k == "ROW_INDEX"} >= {1, 2}
+        assert reader.getRowIndexStride() == 1000
     assert token_files.round_trip(docs.where("false"), WORDS).count() == 0
 
 
+def test_token_table_forgets(monkeypatch):
+    """A small table of known units gives the same ids."""
+    monkeypatch.setattr(token_files, "CACHE", 20)
+    own, tok = token_files.WordTokenizer(WORDS), Tokenizer.from_file(WORDS)
+    texts = [" ".join(f"word{i % 37} Other{i % 11}, {i}" for i in range(k, k + 30)) for k in range(0, 300, 30)] + ["", "the <|endoftext|>"]
+    for t in texts + texts:
+        ids, at = own.encode_batch(pa.array([t, "the end"]))
+        assert ids[: at[1]].tolist() == tok.encode(t, add_special_tokens=False).ids and ids[at[1] :].tolist() == tok.encode("the end").ids
+    assert own.encode_batch(pa.array([], pa.string()))[1].tolist() == [0]
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     vectors = [(i, [float(x) for x in rng.integers(-3, 4, 5) / 64]) for i in range(130)]
