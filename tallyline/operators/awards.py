@@ -35,9 +35,12 @@ def dedup_awards(df: DataFrame, arrival: str = "arrival") -> DataFrame:
 
 
 def build_lookup(baseline: DataFrame, awards: DataFrame) -> DataFrame:
-    """Registry rows whose number some award needs and whose check digit is right."""
-    needed = awards.where(F.col("corporate_number").isNotNull()).select("corporate_number").distinct()
-    return baseline.join(needed, "corporate_number", "left_semi").where(scalars.check_digit_valid(F.col("corporate_number")))
+    """Registry rows whose number some award needs. ``awards`` are masked: they have no number but those whose check digit is right.
+
+    So the numbers need no second check; as a filter here, it would be pushed to both sides and into the masking expression itself.
+    """
+    needed = awards.where(F.col("winner_type") == "corporate").select("corporate_number").distinct()
+    return baseline.join(needed, "corporate_number", "left_semi")
 
 
 def enrich_prefecture(awards: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -128,6 +131,16 @@ def dimensions(stats: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def order_stats(stats: DataFrame) -> DataFrame:
+    """Cells in the order of the published table: year, sector, prefecture."""
+    return stats.orderBy("fiscal_year", "sector", "prefecture")
+
+
+def order_compact(stats: DataFrame) -> DataFrame:
+    """Encoded cells in the order of the compact table: year, then the indexes of prefecture and sector."""
+    return stats.orderBy("fiscal_year", "prefecture_idx", "sector_idx")
+
+
 def encode_dictionary(stats: DataFrame, cols: list[str], order: list[str]) -> DataFrame:
     """Dense index columns (<col>_idx) for values, numbered from 0 in order of first appearance under ``order``."""
     numbered = stats.withColumn("at_", F.struct(*[F.col(c) for c in order]))
@@ -135,5 +148,5 @@ def encode_dictionary(stats: DataFrame, cols: list[str], order: list[str]) -> Da
     for c in cols:
         first = numbered.groupBy(c).agg(F.min("at_").alias("first_"))
         index = first.select(F.col(c).alias("v_"), (F.row_number().over(Window.orderBy("first_")) - 1).alias(f"{c}_idx"))
-        out = out.join(F.broadcast(index), F.col(c).eqNullSafe(F.col("v_")), "left").drop("v_")
+        out = out.join(index, F.col(c).eqNullSafe(F.col("v_")), "left").drop("v_")
     return out.drop("at_")

@@ -67,8 +67,9 @@ def audit_pages(pages: DataFrame, most_bytes: int = 100_000) -> DataFrame:
 
 def json_values(text: Column) -> Column:
     """The string values (not keys) of a JSON text, one after the other."""
-    strings = F.regexp_extract_all(text, F.lit(r'"((?:[^"\\]|\\.)*)"(?!\s*:)'), F.lit(1))
-    return F.array_join(strings, "\n")
+    found = F.regexp_extract_all(text, F.lit(r'"(?:[^"\\]|\\.)*"(?:\s*:)?'), F.lit(0))
+    strings = F.filter(found, lambda x: ~F.endswith(x, F.lit(":")))
+    return F.array_join(F.transform(strings, lambda x: F.substring(x, F.lit(2), F.length(x) - 2)), "\n")
 
 
 def extract_listing(pages: DataFrame, pattern: str, names: list[str]) -> DataFrame:
@@ -78,6 +79,46 @@ def extract_listing(pages: DataFrame, pattern: str, names: list[str]) -> DataFra
     return rows.select("page_id", *[F.regexp_extract("hit", pattern, k + 1).alias(n) for k, n in enumerate(names)]).distinct()
 
 
+AWARD_FILES = r"doDownload\('(successful_bid_record_info_(all|diff)_(\d{4})(\d{2})?(\d{2})?\.zip)'\)"
+
+
+def award_listing(pages: DataFrame) -> DataFrame:
+    """page_id, file_name, kind (all, diff), file_key, fiscal_year of every award file that a page lists, each once."""
+    rows = extract_listing(pages, AWARD_FILES, ["file_name", "kind", "y", "m", "d"])
+    rows = rows.where("(kind = 'all' and m = '') or (kind = 'diff' and d <> '')")
+    key = F.when(F.col("kind") == "all", F.concat(F.lit("FY"), "y")).otherwise(F.concat_ws("-", "y", "m", "d"))
+    return rows.select("page_id", "file_name", "kind", key.alias("file_key"), F.when(F.col("kind") == "all", F.col("y").cast("int")).alias("fiscal_year"))
+
+
+DIFF_ROW = (
+    r'(?s)<tr[^>]*class="type\d_corpHistory\d+"[^>]*>\s*<th[^>]*>\s*(.*?)\s*</th>\s*<td[^>]*>\s*<a[^>]*onclick="return doDownload\((\d+)\);"[^>]*>(.*?)</a>'
+)
+
+
+def diff_listing(pages: DataFrame, section: str = 'id="csv-unicode"', end: str = 'id="xml-unicode"') -> DataFrame:
+    """page_id, day, file_no, label, size of every registry diff that a page lists between two marks; dates are written by era."""
+    after = F.substring_index("html", section, -1)
+    part = pages.where(F.contains("html", F.lit(section))).withColumn("html", F.substring_index(after, end, 1))
+    bare = lambda c: F.trim(F.regexp_replace(c, "<[^>]+>", ""))
+    rows = extract_listing(part, DIFF_ROW, ["era", "file_no", "label"])
+    rows = rows.select("page_id", scalars.era_to_date(bare("era")).alias("day"), "file_no", bare("label").alias("label"))
+    return rows.where("day is not null").withColumn("size", F.nullif(F.regexp_extract("label", r"(?i)([0-9.,]+\s*[kmg]?b)", 1), F.lit("")))
+
+
+def without_dots(url: Column) -> Column:
+    """A URL whose path has no ``.`` and ``..`` segments."""
+    root, path = F.regexp_extract(url, r"^([a-z]+://[^/?#]+)", 1), F.regexp_extract(url, r"^[a-z]+://[^/?#]+(/[^?#]*)", 1)
+    tail = F.regexp_extract(url, r"^[^?#]*(.*)$", 1)
+    parts = F.split(path, "/")
+    empty = F.array().cast("array<string>")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), empty,
+        lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(F.concat(acc, F.array(x))),
+    )
+    folder = F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0)
+    return F.when((root != "") & path.rlike(r"/\.\.?(/|$)"), F.concat(root, F.lit("/"), F.array_join(kept, "/"), F.when(folder, "/").otherwise(""), tail)).otherwise(url)
+
+
 def extract_links(pages: DataFrame, keywords: list[str] | None = None) -> DataFrame:
     """page_id, target, title of every anchor, once each: href resolved against the page's URL, tags stripped, keyword filter."""
     anchor = r"(?is)<a\s[^>]*?href=[\"']([^\"'#]*)[^>]*>(.*?)</a>"
@@ -89,7 +130,7 @@ def extract_links(pages: DataFrame, keywords: list[str] | None = None) -> DataFr
         F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(F.regexp_extract("url", "^([a-z]+:)", 1), href))
         .when(href.startswith("/"), F.concat(root, href)).otherwise(F.concat(F.when(folder == "", F.concat(root, F.lit("/"))).otherwise(folder), href))
     )
-    out = rows.select("page_id", target.alias("target"), title.alias("title")).distinct()
+    out = rows.select("page_id", without_dots(target).alias("target"), title.alias("title")).distinct()
     return out if not keywords else out.where(F.lower(F.concat_ws(" ", "target", "title")).rlike("|".join(keywords)))
 
 

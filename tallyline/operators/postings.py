@@ -116,7 +116,8 @@ def board_health(outcomes: DataFrame, active: DataFrame, flag_at: int = 3) -> Da
     streak = failed.groupBy("board").agg(
         F.count("*").alias("failed_nights"), F.min("night").alias("first_failed"), F.max("night").alias("last_failed"), F.max_by("error", "night").alias("last_error")
     )
-    return streak.join(active.select("board").distinct(), "board", "left_semi").withColumn("flagged", F.col("failed_nights") >= flag_at)
+    streak = streak.join(active.select("board").distinct(), "board", "left_semi")
+    return streak.withColumn("likely_cause", scalars.likely_cause(F.col("last_error"))).withColumn("flagged", F.col("failed_nights") >= flag_at)
 
 
 def halted_hosts(fetches: DataFrame, at: int = 3) -> DataFrame:
@@ -154,14 +155,59 @@ def build_board_registry(results: DataFrame, candidates: DataFrame) -> DataFrame
     return results.where("status = 'japan_hiring'").join(candidates, "board", "left")
 
 
-def merge_registry(old: DataFrame, new: DataFrame) -> DataFrame:
-    """board and status after a check: new boards come in, boards not found go out of use, others keep their place."""
-    joined = old.select("board", F.col("status").alias("o")).join(new.select("board", F.col("status").alias("n")), "board", "full_outer")
-    status = F.when(F.col("o").isNull(), F.when(F.col("n") == "japan_hiring", "active")).when(F.col("n") == "not_found", "gone").when(F.col("n") == "japan_hiring", "active")
-    return joined.select("board", F.coalesce(status, F.col("o")).alias("status")).where("status is not null")
+# Results of a check that end a board's use.
+NOT_QUALIFYING = ["not_found", "empty_board", "no_japan_postings"]
+BOARD = ["ats", "board_token"]
 
 
-def crawl_counters(outcomes: DataFrame) -> DataFrame:
-    """Per night: boards attempted, ok, unchanged, failed."""
+def merge_registry(old: DataFrame, rebuilt: DataFrame, results: DataFrame) -> DataFrame:
+    """The registry after a check, keyed by ats and board_token.
+
+    A known board keeps its status, its date and its reason, whatever the check found; a new one is active. A board that the check no
+    longer brings stays; if it is active (blank counts so) and its result, not older than its own check, disqualifies it, it becomes
+    inactive with that result as the reason. ``old``: BOARD, status, status_checked_on, status_reason, checked_on; ``rebuilt``: BOARD,
+    checked_on; ``results``: BOARD, status, checked_on.
+    """
+    key = [F.trim(c).alias(c) for c in BOARD]
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    a = old.select(*key, F.struct("status", "status_checked_on", "status_reason", "checked_on").alias("o"))
+    b = rebuilt.select(*key, F.struct("checked_on").alias("n"))
+    c = results.select(*key, F.col("status").alias("r_status"), F.col("checked_on").alias("r_on"))
+    rows = a.join(b, BOARD, "full_outer").join(c, BOARD, "left")
+    known, found = F.col("o").isNotNull(), F.col("n").isNotNull()
+    in_use = blank(F.nullif(F.lower(F.trim("o.status")), F.lit(""))).isin("", "active")
+    newer = blank(F.col("r_on")) >= blank(F.col("o.checked_on"))
+    goes = known & ~found & in_use & F.coalesce(F.col("r_status").isin(NOT_QUALIFYING), F.lit(False)) & newer
+    return rows.select(
+        *BOARD,
+        F.when(goes, "inactive").when(found & (blank(F.col("o.status")) == ""), "active").otherwise(F.col("o.status")).alias("status"),
+        F.when(goes, F.col("r_on")).otherwise(F.col("o.status_checked_on")).alias("status_checked_on"),
+        F.when(goes, F.concat(F.lit("check: "), F.col("r_status"))).otherwise(F.col("o.status_reason")).alias("status_reason"),
+        F.coalesce("n.checked_on", "o.checked_on").alias("checked_on"),
+    )
+
+
+def crawl_counters(outcomes: DataFrame, sightings: DataFrame | None = None, closings: DataFrame | None = None) -> DataFrame:
+    """Per night: boards attempted, ok, unchanged, failed; postings seen, in Japan, new, closed.
+
+    ``sightings``: night, posting, is_japan, first_seen (the night of its first sighting); ``closings``: night, posting.
+    """
     is_ = lambda x: F.count_if(F.col("outcome") == x)
-    return outcomes.groupBy("night").agg(F.count("*").alias("attempted"), is_("ok").alias("n_ok"), is_("unchanged").alias("n_unchanged"), is_("failed").alias("n_failed"))
+    out = outcomes.groupBy("night").agg(F.count("*").alias("attempted"), is_("ok").alias("n_ok"), is_("unchanged").alias("n_unchanged"), is_("failed").alias("n_failed"))
+    if sightings is not None:
+        each = sightings.groupBy("night", "posting").agg(F.max("is_japan").alias("japan"), (F.min("first_seen") == F.col("night")).alias("new"))
+        counts = each.groupBy("night").agg(F.count("*").alias("n_seen"), F.count_if("japan").alias("n_japan"), F.count_if("new").alias("n_new"))
+        out = out.join(counts, "night", "left")
+    if closings is not None:
+        out = out.join(closings.groupBy("night").agg(F.countDistinct("posting").alias("n_closed")), "night", "left")
+    return out.fillna(0)
+
+
+def skip_reasons(plan: DataFrame) -> DataFrame:
+    """skip_reason and the number of boards that a plan leaves out for it."""
+    return plan.where("skip_reason is not null").groupBy("skip_reason").agg(F.count("*").alias("n_boards"))
+
+
+def host_requests(fetches: DataFrame) -> DataFrame:
+    """host and the number of requests to it."""
+    return fetches.groupBy("host").agg(F.count("*").alias("n_requests"))

@@ -49,9 +49,10 @@ def rank_changes(df: DataFrame) -> DataFrame:
 
 
 def corporate_lookup(changes: DataFrame, numbers: DataFrame | None = None, history: int = 20) -> DataFrame:
-    """Per valid number: latest change, its name and kind, number of changes and of history rows given (0 to 100).
+    """Per valid number: its name, kind, address and latest change, the number of changes, and the newest ``history`` (0 to 100) of them.
 
-    ``numbers`` (a column corporate_number) restricts to some: a semi-join, so any number of lookups is one job.
+    ``numbers`` (a column corporate_number) restricts to some: a semi-join, so any number of lookups is one job. A history is at most
+    100 small structs, newest first; older changes are only counted.
     """
     rows = changes.where(F.coalesce(F.col("corporate_number_valid"), F.lit("")) != "N")
     if numbers is not None:
@@ -59,25 +60,45 @@ def corporate_lookup(changes: DataFrame, numbers: DataFrame | None = None, histo
     rows = rank_changes(guard_names(rows, [k[0] for k in dims.KINDS if k[3]]))
     n = max(0, min(100, history))
     first = F.col("change_rank") == 1
+    place = [c for c in ("prefecture", "prefecture_code", "city") if c in rows.columns]
+    entry = F.struct("change_rank", "change_date", "sequence_number", "process_code", "kind_code", "name", *place)
     return rows.groupBy("corporate_number").agg(
-        F.count("*").alias("n_changes"), *[F.max(F.when(first, F.col(c))).alias(f"latest_{c}") for c in ("change_date", "process_code", "kind_code", "name")],
-        F.count_if(F.col("change_rank") <= n).alias("n_history"),
+        F.count("*").alias("n_changes"), *[F.max(F.when(first, F.col(c))).alias(f"latest_{c}") for c in ("change_date", "process_code", "kind_code", "name", *place)],
+        F.count_if(F.col("change_rank") <= n).alias("n_history"), F.array_sort(F.collect_list(F.when(F.col("change_rank") <= n, entry))).alias("history"),
     )
 
 
+def lookup_results(found: DataFrame, numbers: DataFrame, counts: DataFrame) -> DataFrame:
+    """A row for each number asked for: whether it is valid and found, what :func:`corporate_lookup` gives of it, and the days covered."""
+    asked = numbers.select("corporate_number").distinct()
+    covered = counts.agg(F.min("day").alias("covered_from"), F.max("day").alias("covered_to"), F.countDistinct("day").alias("days_with_data"))  # one row
+    rows = asked.join(found, "corporate_number", "left").join(F.broadcast(covered))
+    valid = scalars.check_digit_valid(F.col("corporate_number"))
+    return rows.withColumns({"checksum_valid": valid, "found": F.col("n_changes").isNotNull(), "n_changes": F.coalesce("n_changes", F.lit(0))})
+
+
 def change_history(changes: DataFrame, number: str, history: int = 20) -> DataFrame:
     """The newest changes of one number in their public shape; the filter reaches the scan."""
     rows = changes.where((F.col("corporate_number") == number) & (F.coalesce(F.col("corporate_number_valid"), F.lit("")) != "N"))
     return shape_changes(rank_changes(guard_names(rows, [k[0] for k in dims.KINDS if k[3]])).where(F.col("change_rank") <= max(0, min(100, history))))
 
 
+# Fixed value: why a name is withheld.
+MASKED_REASON = "masked: 法人種別 is not a registered corporation and the name carries no corporate token (fail-closed personal-data guard)"
+
+
 def shape_changes(df: DataFrame) -> DataFrame:
-    """The public nested shape: labels as structs, flags as booleans, blanks as null."""
-    cause = F.col("close_cause") if "close_cause" in df.columns else F.lit(None).cast("string")
+    """The public nested shape: labels as structs, flags as booleans, blanks as null. Columns that ``df`` lacks are null."""
+    given = lambda c, kind="string": F.col(c) if c in df.columns else F.lit(None).cast(kind)
+    text = lambda c: F.nullif(F.trim(given(c).cast("string")), F.lit("")).alias(c)
+    flag = lambda c: F.coalesce(given(c).cast("string").isin("1", "true"), F.lit(False))
     return df.select(
-        "corporate_number", "change_date", "sequence_number", dims.label(F.col("kind_code"), dims.KINDS).alias("kind"),
-        dims.label(F.col("process_code"), dims.PROCESSES).alias("process"), dims.label_or_null(cause, dims.CLOSE_CAUSES).alias("close_cause"), "name",
-        (F.col("correct_flag").cast("string").isin("1", "true")).alias("is_correction"), "name_withheld",
+        "corporate_number", "change_date", given("update_date", "date").alias("update_date"), given("file_date", "date").alias("file_date"), "sequence_number",
+        flag("correct_flag").alias("is_correction"), dims.label(F.col("kind_code"), dims.KINDS).alias("kind"),
+        dims.label(F.col("process_code"), dims.PROCESSES).alias("process"), "name", "name_withheld",
+        F.when(F.col("name_withheld"), MASKED_REASON).alias("name_masked_reason"), text("prefecture"), text("prefecture_code"), text("city"),
+        given("close_date", "date").alias("close_date"), dims.label_or_null(given("close_cause"), dims.CLOSE_CAUSES).alias("close_cause"),
+        text("successor_corporate_number"), flag("latest_flag").alias("latest_flag"),
     )
 
 
@@ -133,6 +154,15 @@ def diff_summary(counts: DataFrame, low: str, high: str) -> DataFrame:
     )
 
 
+def diff_days(daily: DataFrame, low: str, high: str, by_kind: bool = True) -> DataFrame:
+    """The published days of a range: day, changes and, if asked for, a map of changes by process code."""
+    calendar(daily.sparkSession, low, high)  # refuses what it refuses
+    rows = daily.where(F.col("day").between(F.lit(low).cast("date"), F.lit(high).cast("date")))
+    each = F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("axis") == "process", F.struct("key", "n")))))
+    out = rows.groupBy("day").agg(F.sum(F.when(F.col("axis") == "total", F.col("n"))).alias("changes"), each.alias("by_process"))
+    return out if by_kind else out.drop("by_process")
+
+
 def scan_fill(manifest: DataFrame, scanned: DataFrame) -> DataFrame:
     """Counts by day from the manifest, from a scan where it has none."""
     a, b = manifest.select("day", F.col("n").alias("m")), scanned.select("day", F.col("n").alias("s"))
@@ -150,6 +180,11 @@ def coverage(manifest: DataFrame, daily: DataFrame) -> DataFrame:
     return out.withColumn("dropped", F.col("records_raw") - F.col("records"))
 
 
+def totals_by_code(daily: DataFrame) -> DataFrame:
+    """axis, key, n over all days: what a coverage record holds beside its counts."""
+    return daily.where("axis <> 'total'").groupBy("axis", "key").agg(F.sum("n").alias("n"))
+
+
 def daily_by_process(daily: DataFrame, main: list[str]) -> DataFrame:
     """Per day one column for each main process code and one for the others."""
     rows = daily.where("axis = 'process'")
@@ -157,6 +192,33 @@ def daily_by_process(daily: DataFrame, main: list[str]) -> DataFrame:
     return rows.groupBy("day").agg(*parts, F.coalesce(F.sum(F.when(~F.col("key").isin(main), F.col("n"))), F.lit(0)).alias("n_other"))
 
 
+def process_means(daily: DataFrame, main: list[str]) -> DataFrame:
+    """One row: the mean per published day of each column of :func:`daily_by_process`, to one place."""
+    rows = daily_by_process(daily, main)
+    return rows.agg(*[F.bround(F.avg(c), 1).alias(c.replace("n_", "mean_", 1)) for c in rows.columns if c != "day"])
+
+
+def code_ranking(daily: DataFrame, axis: str, table: list[tuple], low: str | None = None, high: str | None = None) -> DataFrame:
+    """A ranking with labels, the mean per published day (one place) and the latest day's count beside each code."""
+    ranked = ranking(daily, axis, low, high)
+    total = daily.where("axis = 'total'").agg(F.countDistinct("day").alias("days"), F.max("day").alias("latest_day"))  # one row
+    rows = daily.where(F.col("axis") == axis).join(F.broadcast(total))
+    extra = rows.groupBy("key").agg(
+        F.bround(F.sum("n") / F.max("days"), 1).alias("mean_per_day"), F.coalesce(F.sum(F.when(F.col("day") == F.col("latest_day"), F.col("n"))), F.lit(0)).alias("n_latest_day"),
+        F.max("latest_day").alias("latest_day"),
+    )
+    label = dims.label(F.col("key"), table)
+    return ranked.join(extra, "key").withColumns({"ja": label["ja"], "en": label["en"]})
+
+
+def require_axis(daily: DataFrame, axis: str) -> DataFrame:
+    """``daily`` itself; raises if some day has a total but no count on an axis."""
+    lacking = daily.where("axis = 'total' and n > 0").select("day").join(daily.where(F.col("axis") == axis).select("day").distinct(), "day", "left_anti")
+    if days := [str(r.day) for r in lacking.orderBy("day").limit(5).collect()]:
+        raise ValueError(f"days without counts by {axis}: {days}")
+    return daily
+
+
 def ranking(daily: DataFrame, axis: str, low: str | None = None, high: str | None = None) -> DataFrame:
     """key, n, share of all records (4 places), rank for one axis over a period; blank keys share in the total only."""
     rows = daily
@@ -183,10 +245,10 @@ def weekly_summary(daily: DataFrame, codes: list[str]) -> DataFrame:
     return out.withColumn("week", key).withColumn("sunday", F.date_add("monday", 6))
 
 
-def pending(listing: DataFrame, held: DataFrame, backfill: bool = False, most: int | None = None) -> DataFrame:
-    """Listed days of which no file is held, oldest first. ``held``: day, origin (private or published); a backfill ignores the published."""
+def pending(listing: DataFrame, held: DataFrame, backfill: bool = False, most: int | None = None, newest: bool = False) -> DataFrame:
+    """Listed days of which no file is held, oldest (or ``newest``) first. ``held``: day, origin (private or published); a backfill ignores the published."""
     have = held.where("origin = 'private'") if backfill else held
-    out = listing.join(have.select("day").distinct(), "day", "left_anti").orderBy("day")
+    out = listing.join(have.select("day").distinct(), "day", "left_anti").orderBy(F.desc("day") if newest else F.asc("day"))
     return out if most is None else out.limit(most)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.operators import awards as A
 from tallyline.operators import masking as M
 from tallyline.operators import registry as R
+from tallyline.sources.staging import staged
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
 
@@ -25,7 +26,7 @@ def number(key: str, wrong: str) -> str:
 
 AWARDS = f"""
 select l.l_orderkey * 10 + l.l_linenumber as arrival, concat(cast(l.l_orderkey as string), '-', cast(l.l_linenumber as string)) as item_no,
-       p.p_name as title, cast(l.l_shipdate as date) as award_date, cast(cast(l.l_extendedprice as decimal(15, 2)) as string) as price,
+       case when p.p_partkey % 11 = 0 then concat('医療法人社団 ', p.p_name) when p.p_partkey % 13 = 0 then concat('{{{{', p.p_name, '}}}}') else p.p_name end as title, cast(l.l_shipdate as date) as award_date, cast(cast(l.l_extendedprice as decimal(15, 2)) as string) as price,
        p.p_type as ministry_cd, concat(p.p_type, '/', p.p_brand) as sector, o.o_orderpriority as method_cd, c.c_name as winner_name,
        case when c.c_acctbal < 0 then '' else {number("c.c_custkey", "c.c_custkey % 37 = 0")} end as corporate_number,
        l.l_discount as award_ratio
@@ -40,7 +41,8 @@ select e.event_id as arrival, cast(e.ts as date) as file_date, {number("e.user_i
        e.event_type as process_code, case e.event_id % 4 when 0 then '101' when 1 then '301' when 2 then '305' else '499' end as kind_code,
        cast(e.ts as date) - cast(e.event_id % 3 as int) as change_date, cast(regexp_extract(e.props, '([0-9]+)', 1) as int) as sequence_number,
        case when cast(regexp_extract(e.props, '([0-9]+)', 1) as int) % 10 = 0 then 1 else 0 end as correct_flag,
-       coalesce(n.n_name, '') as prefecture, concat('N', cast(e.user_id as string)) as name
+       coalesce(n.n_name, '') as prefecture, case e.user_id % 7 when 0 then '木村太郎' when 1 then '市川　花子' when 2 then '山田太郎商店' when 3 then 'Foo Inc.'
+       else concat('N', cast(e.user_id as string)) end as name
 from {{events}} e left join {{nation}} n on n.n_nationkey = e.user_id % 26"""
 CLICKS = """
 select ts, concat('p', cast(cast(regexp_extract(props, '([0-9]+)', 1) as int) % 7 as string)) as product, event_type as kind,
@@ -68,6 +70,11 @@ select concat('h', cast(user_id % 12 as string)) as host, ts, event_id as fetch_
 from {events}"""
 
 
+#: SQL for the key of a title, and for a name that is withheld, for the titles and names above.
+TITLE_KEY = "regexp_replace(replace(lower(title), '医療法人社団', ''), '[ {}]', '', 'g')"
+PERSON = "(kind_code = '499' and not regexp_matches(name, '商店|Inc') and length(regexp_replace(name, '[ 　]', '', 'g')) <= 6)"
+
+
 def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run a binding over the tables of a folder."""
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
@@ -78,7 +85,7 @@ def duck(text: str) -> str:
     """A binding for DuckDB, whose tables are views of the same names."""
     for t in TABLES:
         text = text.replace("{" + t + "}", t)
-    return text
+    return text.replace("{{", "{").replace("}}", "}")
 
 
 def raw_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,9 +100,13 @@ def code_tables(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def awards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Awards with masked winners, whole yen, fiscal year and the winner's prefecture."""
+    """Awards with masked winners, whole yen, fiscal year and the winner's prefecture.
+
+    Masked rows are written once: what follows joins and filters on the masked number, a column then and no expression.
+    """
     raw = raw_awards(spark, sf_dir)
     rows = M.mask_winners(raw).withColumn("amount_jpy", A.scalars.parse_yen(F.col("price"))).withColumn("fiscal_year", A.scalars.fiscal_year(F.col("award_date")))
+    rows = staged(rows.select("arrival", "item_no", "fiscal_year", "sector", "ministry_cd", "winner_type", "corporate_number", "amount_jpy"), "masked")
     lookup = A.build_lookup(sql(spark, sf_dir, BASELINE), rows)
     return A.enrich_prefecture(rows, lookup)
 
@@ -108,7 +119,8 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.assert_not_directory(M.publish_cells(cells(spark, sf_dir), ["fiscal_year", "sector"], "prefecture"))
+    """Published cells. The cells are written once, as they are read twice: for themselves and for the universe of places."""
+    return M.assert_not_directory(M.publish_cells(staged(cells(spark, sf_dir), "cells"), ["fiscal_year", "sector"], "prefecture"))
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:

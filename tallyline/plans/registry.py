@@ -63,7 +63,7 @@ _add(
         "arrival", "award_id", "fiscal_year", "amount_jpy", "winner_type", "winner_name", "winner_masked", "corporate_number", "publisher_name", "method",
         "title_masked", F.array_join("anonymise_flags", "|").alias("flags"), "raw_hash",
     ),
-    f"""with {B.D_AWARDS} select arrival, sha1(concat_ws('|', ministry_cd, award_date::varchar, replace(lower(title), ' ', ''), amount_jpy::varchar)) as award_id,
+    f"""with {B.D_AWARDS} select arrival, sha1(concat_ws('|', ministry_cd, award_date::varchar, {B.TITLE_KEY}, amount_jpy::varchar)) as award_id,
     fiscal_year, amount_jpy, winner_type, case when winner_type = 'corporate' then winner_name end as winner_name,
     case when winner_type <> 'corporate' then '{M.PLACEHOLDER}' end as winner_masked, case when winner_type = 'corporate' then corporate_number end as corporate_number,
     lower(ministry_cd) as publisher_name, substr(method_cd, 1, 1) as method, 'N' as title_masked,
@@ -74,7 +74,7 @@ _add(
 _add(
     "award_dedup",
     lambda s, d: A.dedup_awards(_normalized(s, d)).select("fiscal_year", "award_id", "arrival", "amount_jpy"),
-    f"""with {B.D_AWARDS}, keyed as (select *, sha1(concat_ws('|', ministry_cd, award_date::varchar, replace(lower(title), ' ', ''), amount_jpy::varchar)) as award_id
+    f"""with {B.D_AWARDS}, keyed as (select *, sha1(concat_ws('|', ministry_cd, award_date::varchar, {B.TITLE_KEY}, amount_jpy::varchar)) as award_id
     from awards) select fiscal_year, award_id, max(arrival) as arrival, amount_jpy from keyed group by all""",
 )
 _add("award_lookup", lambda s, d: A.build_lookup(B.sql(s, d, B.BASELINE), M.mask_winners(B.raw_awards(s, d))),
@@ -119,21 +119,20 @@ _add(
     max(round_even(q, 2)) filter (p = 0.5) as q50, max(round_even(q, 2)) filter (p = 0.75) as q75 from val group by 1""",
 )
 _add("award_provenance", lambda s, d: A.award_provenance(B.raw_awards(s, d), A.dedup_awards(_normalized(s, d)), B.published(s, d)),
-     f"""with {B.D_PUBLISHED}, keyed as (select fiscal_year, sha1(concat_ws('|', ministry_cd, award_date::varchar, replace(lower(title), ' ', ''), amount_jpy::varchar)) as award_id,
+     f"""with {B.D_PUBLISHED}, keyed as (select fiscal_year, sha1(concat_ws('|', ministry_cd, award_date::varchar, {B.TITLE_KEY}, amount_jpy::varchar)) as award_id,
      max(award_date) as ld from awards group by 1, 2), h as (select max(n_awards_suppressed_in_group) as h from published group by fiscal_year, sector)
      select (select count(*) from raw) as records_parsed, count(*) as records_normalized, max(award_date) as last_award_date,
      (select coalesce(sum(h), 0)::bigint from h) as n_held_back, (select count(*) from raw) - count(*) as records_deduplicated
-     from (select award_id, award_date from (select *, sha1(concat_ws('|', ministry_cd, award_date::varchar, replace(lower(title), ' ', ''), amount_jpy::varchar)) as award_id
+     from (select award_id, award_date from (select *, sha1(concat_ws('|', ministry_cd, award_date::varchar, {B.TITLE_KEY}, amount_jpy::varchar)) as award_id
      from awards) qualify row_number() over (partition by fiscal_year, award_id order by arrival desc) = 1)""")
 _add("award_dimensions", lambda s, d: A.dimensions(B.published(s, d)),
      f"""with {B.D_PUBLISHED} select distinct 'fiscal_year' as dimension, fiscal_year::varchar as value from published
      union select 'sector', sector from published union select 'prefecture', prefecture from published""")
-_add("award_dictionary", lambda s, d: A.encode_dictionary(B.cells(s, d), ["prefecture", "sector"], ["fiscal_year", "sector", "prefecture"]).select(
-        "fiscal_year", "prefecture_idx", "sector_idx", "n_awards"),
+_add("award_dictionary", lambda s, d: A.encode_dictionary(B.cells(s, d), ["prefecture", "sector"], ["fiscal_year", "sector", "prefecture"]).drop("prefecture", "sector", "prefecture_code"),
      f"""with {B.D_CELLS}, o as (select *, row_number() over (order by fiscal_year, sector, prefecture) as k from cells),
      p as (select prefecture, (row_number() over (order by min(k)) - 1)::int as prefecture_idx from o group by 1),
      s as (select sector, (row_number() over (order by min(k)) - 1)::int as sector_idx from o group by 1)
-     select fiscal_year, prefecture_idx, sector_idx, n_awards from o join p using (prefecture) join s using (sector)""")
+     select o.* exclude (k, prefecture, sector, prefecture_code), prefecture_idx, sector_idx from o join p using (prefecture) join s using (sector)""")
 
 # ---------------------------------------------------------------- parameterised queries over awards
 
@@ -144,6 +143,18 @@ _add("procurement_stats", lambda s, d: Q.procurement_totals(B.published(s, d), l
      f"""with {B.D_PUBLISHED}, m as (select * from published where fiscal_year between 1994 and 1996 and contains(lower(sector), 'economy')
      and contains(lower(prefecture), 'nation_1') and (lower(prefecture) = 'nation_1' or not exists (select 1 from published where lower(prefecture) = 'nation_1')))
      {_TOTALS}""")
+_add(
+    "procurement_query",
+    lambda s, d: Q.procurement_stats(B.published(s, d), 5, low=1994, high=1996, sector="economy", prefecture="NATION_1 area").select(
+        "n_cells", "n_awards", "amount_sum_jpy", "amount_mean_jpy", "amount_min_jpy", "amount_max_jpy", "quartile_method", F.size("notes").alias("n_notes"),
+        F.array_join(F.transform("buckets", lambda x: F.concat_ws("/", x["fiscal_year"].cast("string"), x["sector"], x["prefecture"], x["n_awards"].cast("string"))), ";").alias("buckets"),
+    ),
+    f"""with {B.D_PUBLISHED}, m as (select * from published where fiscal_year between 1994 and 1996 and contains(lower(sector), 'economy') and lower(prefecture) = 'nation_1'),
+    b as (select * from m order by fiscal_year, sector, prefecture limit 5), t as ({_TOTALS})
+    select n_cells, n_awards, amount_sum_jpy, amount_mean_jpy, amount_min_jpy, amount_max_jpy, case when n_cells = 1 then 'exact' when n_cells > 1 then 'estimated' end as quartile_method,
+    ((n_cells = 0)::int + (n_cells > 1)::int + (n_cells > 5)::int)::int as n_notes,
+    (select coalesce(string_agg(concat_ws('/', fiscal_year::varchar, sector, prefecture, n_awards::varchar), ';' order by fiscal_year, sector, prefecture), '') from b) as buckets from t""",
+)
 _add("procurement_buckets", lambda s, d: Q.procurement_buckets(B.published(s, d), low=1995, high=None, sector=None, prefecture=None, n=25),
      f"""with {B.D_PUBLISHED}, m as (select * from published where fiscal_year >= 1995)
      select fiscal_year, prefecture, sector, n_awards, amount_median_jpy, (select count(*) from m) as n_matched, (select count(*) from m) > 25 as truncated
@@ -196,25 +207,39 @@ _add("change_dedup", lambda s, d: B.kept_changes(s, d).select("arrival", "correc
 _add("change_dedup_effect", lambda s, d: R.dedup_effect(B.changes(s, d), B.kept_changes(s, d)),
      f"""with {B.D_CHANGES}, a as (select file_date, count(*) as records_raw from changes group by 1), b as (select file_date, count(*) as records from kept group by 1)
      select file_date, records_raw, coalesce(records, 0) as records, records_raw - coalesce(records, 0) as dropped from a left join b using (file_date)""")
-_LOOKUP = """select corporate_number, count(*) as n_changes, arg_min(change_date, r) as latest_change_date, arg_min(process_code, r) as latest_process_code,
-  arg_min(kind_code, r) as latest_kind_code, arg_min(nm, r) as latest_name, count(*) filter (r <= 20) as n_history
-  from (select *, case when kind_code in ('101', '301', '305') or length(name) > 6 then name else '' end as nm, row_number() over (partition by corporate_number
+_LOOKUP = f"""select corporate_number, count(*) as n_changes, arg_min(change_date, r) as latest_change_date, arg_min(process_code, r) as latest_process_code,
+  arg_min(kind_code, r) as latest_kind_code, arg_min(nm, r) as latest_name, coalesce(max(case when r = 1 then prefecture end), '') as latest_prefecture,
+  count(*) filter (r <= 20) as n_history, string_agg(concat_ws('/', change_date::varchar, sequence_number::varchar, process_code, kind_code, nm), ';' order by r) filter (r <= 20) as history
+  from (select *, case when {B.PERSON} then '' else name end as nm, row_number() over (partition by corporate_number
   order by change_date desc, sequence_number desc, correct_flag desc, arrival) as r from kept where corporate_number_valid = 'Y')"""
-_add("corporate_lookup", lambda s, d: R.corporate_lookup(B.kept_changes(s, d)).withColumn("latest_name", F.coalesce("latest_name", F.lit(""))),
-     f"with {B.D_CHANGES} {_LOOKUP} group by 1")
-_add("corporate_lookup_batch", lambda s, d: R.corporate_lookup(B.kept_changes(s, d), B.sql(s, d, B.BASELINE)).withColumn("latest_name", F.coalesce("latest_name", F.lit(""))),
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    """A lookup with its history as text."""
+    entry = lambda h: F.concat_ws("/", h["change_date"].cast("string"), h["sequence_number"].cast("string"), h["process_code"], h["kind_code"], F.coalesce(h["name"], F.lit("")))
+    out = df.withColumn("history", F.array_join(F.transform("history", entry), ";"))
+    return out.fillna("", ["latest_name", "latest_prefecture"])
+
+
+_add("corporate_lookup", lambda s, d: _flat(R.corporate_lookup(B.kept_changes(s, d))), f"with {B.D_CHANGES} {_LOOKUP} group by 1")
+_add("corporate_lookup_batch", lambda s, d: _flat(R.corporate_lookup(B.kept_changes(s, d), B.sql(s, d, B.BASELINE))),
      f"with {B.D_CHANGES} {_LOOKUP} where corporate_number in (select corporate_number from ({B.duck(B.BASELINE)})) group by 1")
+_add("corporate_lookup_results", lambda s, d: R.lookup_results(R.corporate_lookup(B.kept_changes(s, d)), B.sql(s, d, B.BASELINE), B.daily(s, d).where("axis = 'total'")).select(
+        "corporate_number", "checksum_valid", "found", "n_changes", "covered_from", "covered_to", "days_with_data"),
+     f"""with {B.D_CHANGES}, base as ({B.duck(B.BASELINE)}), c as (select corporate_number, count(*) as n from kept where corporate_number_valid = 'Y' group by 1)
+     select distinct corporate_number, coalesce({B.VALID}, false) as checksum_valid, n is not null as found, coalesce(n, 0) as n_changes, (select min(file_date) from kept) as covered_from,
+     (select max(file_date) from kept) as covered_to, (select count(distinct file_date) from kept) as days_with_data from base left join c using (corporate_number)""")
 _add("change_history", lambda s, d: R.change_history(B.kept_changes(s, d), _A_NUMBER).select(
-        "change_date", "sequence_number", F.col("kind.en").alias("kind_en"), F.col("process.en").alias("process_en"), "is_correction", "name_withheld"),
+        "change_date", "sequence_number", F.col("kind.en").alias("kind_en"), F.col("process.en").alias("process_en"), "is_correction", "name_withheld", "name",
+        F.col("name_masked_reason").isNotNull().alias("has_reason"), "prefecture", "file_date", "latest_flag"),
      f"""with {B.D_CHANGES} select change_date, sequence_number, case kind_code when '101' then 'national government body' when '301' then 'kabushiki kaisha (joint-stock company)'
      when '305' then 'godo kaisha (LLC)' else 'other (including unincorporated associations)' end as kind_en, 'unknown' as process_en, correct_flag = 1 as is_correction,
-     kind_code = '499' and length(name) <= 6 as name_withheld from kept where corporate_number = '{{n}}'
+     {B.PERSON} as name_withheld, case when not {B.PERSON} then name end as name, {B.PERSON} as has_reason, prefecture, file_date, false as latest_flag from kept where corporate_number = '{{n}}'
      order by change_date desc, sequence_number desc, correct_flag desc, arrival limit 20""")
 _A_NUMBER = (lambda b: f"{9 - sum(int(b[12 - n]) * (1 if n % 2 else 2) for n in range(1, 13)) % 9}{b}")("000000000007")
 _ORACLES["change_history"] = _ORACLES["change_history"].replace("{n}", _A_NUMBER)
 _add("change_names_guarded", lambda s, d: M.guard_names(B.changes(s, d), ["101", "301", "305"]).select("arrival", "name", "name_withheld"),
-     f"""with {B.D_CHANGES} select arrival, case when not (kind_code = '499' and length(name) <= 6) then name end as name,
-     kind_code = '499' and length(name) <= 6 as name_withheld from changes""")
+     f"""with {B.D_CHANGES} select arrival, case when not {B.PERSON} then name end as name, {B.PERSON} as name_withheld from changes""")
 _add("daily_counts", B.daily, f"with {B.D_DAILY} select * from daily")
 _add("merge_summary", lambda s, d: R.merge_summary(
         B.daily(s, d).where("axis = 'total'").select("day", "n"), R.daily_counts(B.changes(s, d)).where("axis = 'total' and day >= '2024-01-10'").select("day", "n")),
@@ -246,6 +271,23 @@ for _name, _axis, _low, _high in (("prefecture_ranking", "prefecture", "2024-01-
     _add(_name, lambda s, d, a=_axis, lo=_low, hi=_high: R.ranking(B.daily(s, d), a, lo, hi),
          f"""with {B.D_DAILY}, c as (select key, sum(n)::bigint as n from daily where axis = '{_axis}' and {_cond} group by 1)
          select key, n, round_even(n / (select sum(n) from daily where axis = 'total' and {_cond}), 4) as share, row_number() over (order by n desc, key)::int as rank from c""")
+_add("coverage_by_code", lambda s, d: R.totals_by_code(B.daily(s, d)), f"with {B.D_DAILY} select axis, key, sum(n)::bigint as n from daily where axis <> 'total' group by 1, 2")
+_add("process_means", lambda s, d: R.process_means(B.daily(s, d), ["click", "view"]),
+     f"""with {B.D_DAILY}, r as (select day, sum(case when key = 'click' then n else 0 end) as a, sum(case when key = 'view' then n else 0 end) as b,
+     sum(case when key not in ('click', 'view') then n else 0 end) as c from daily where axis = 'process' group by 1)
+     select round_even(avg(a), 1) as mean_click, round_even(avg(b), 1) as mean_view, round_even(avg(c), 1) as mean_other from r""")
+_add("kind_code_ranking", lambda s, d: R.code_ranking(B.daily(s, d), "kind", dims.KINDS).select("key", "n", "rank", "mean_per_day", "n_latest_day", "latest_day", "en"),
+     f"""with {B.D_DAILY}, t as (select count(distinct day) as days, max(day) as latest from daily where axis = 'total'), c as (select key, sum(n)::bigint as n,
+     sum(case when day = (select latest from t) then n else 0 end)::bigint as n_latest_day from daily where axis = 'kind' group by 1)
+     select key, n, row_number() over (order by n desc, key)::int as rank, round_even(n / (select days from t), 1) as mean_per_day, n_latest_day, (select latest from t) as latest_day,
+     case key when '101' then 'national government body' when '301' then 'kabushiki kaisha (joint-stock company)' when '305' then 'godo kaisha (LLC)'
+     when '499' then 'other (including unincorporated associations)' else 'unknown' end as en from c""")
+_add("diff_days", lambda s, d: R.diff_days(B.daily(s, d), "2024-01-05", "2024-01-20").select(
+        "day", "changes", F.array_join(F.transform(F.map_entries("by_process"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ";").alias("by_process")),
+     f"""with {B.D_DAILY} select day, max(n) filter (axis = 'total') as changes, string_agg(key || '=' || n, ';' order by key) filter (axis = 'process') as by_process
+     from daily where day between date '2024-01-05' and date '2024-01-20' group by 1""")
+_add("changes_allowed", lambda s, d: M.assert_allowed(M.project_allowed(B.kept_changes(s, d))),
+     f"""with {B.D_CHANGES} select corporate_number, corporate_number_valid, name, kind_code, prefecture, process_code, correct_flag, change_date, sequence_number, file_date from kept""")
 _add("weekly_summary", lambda s, d: R.weekly_summary(B.daily(s, d), ["click", "view"]),
      f"""with {B.D_DAILY}, r as (select date_trunc('week', day)::date as monday, * from daily where axis in ('total', 'process'))
      select monday, sum(n) filter (axis = 'total')::bigint as total, count(*) filter (axis = 'total') as days, coalesce(sum(n) filter (axis = 'process' and key = 'click'), 0)::bigint as n_click,
@@ -320,20 +362,22 @@ _add("posting_lifecycle", lambda s, d: P.posting_lifecycle(B.sql(s, d, B.OBSERVE
      (select min(day) from cr where cr.board = l.board and cr.day > l.last_seen) as closed_at from l""")
 
 
+_ERRORS = [("x -> HTTP 404", "board removed or token renamed: check the company''s careers page"), ("x -> HTTP 503", "rate limit or server error: usually transient"),
+           ("HTTP 404 for robots.txt", "robots.txt refused: clearance question, see the gate"), ("timed out", "network or payload error: usually transient")]
+
+
 def _nights(s: SparkSession, d: str) -> DataFrame:
     out = B.sql(s, d, B.OUTCOMES).withColumnRenamed("day", "night")
     out = out.withColumn("outcome", F.when(F.pmod(F.dayofmonth("night") + F.col("board"), F.lit(3)) > 0, "failed").otherwise(F.col("outcome")))
-    return out.withColumn("error", F.when(F.col("outcome") == "failed", F.concat(F.lit("HTTP 50"), (F.col("board") % 4).cast("string"))))
+    return out.withColumn("error", F.when(F.col("outcome") == "failed", F.element_at(F.array(*[F.lit(e) for e, _ in _ERRORS]), (F.col("board") % 4 + 1).cast("int"))))
 
 
 _NIGHTS = f"""{_OUT}, nights as (select board, day as night, case when (day(day) + board) % 3 > 0 then 'failed' else outcome end as outcome from out)"""
 _add("board_health", lambda s, d: P.board_health(_nights(s, d), s.range(30).select(F.col("id").alias("board"))),
      f"""with {_NIGHTS}, g as (select board, max(night) filter (outcome <> 'failed') as good from nights group by 1)
-     select board, count(*) as failed_nights, min(night) as first_failed, max(night) as last_failed, 'HTTP 50' || (board % 4) as last_error, count(*) >= 3 as flagged
+     select board, count(*) as failed_nights, min(night) as first_failed, max(night) as last_failed, (['{"', '".join(e for e, _ in _ERRORS)}'])[board % 4 + 1] as last_error,
+     (['{"', '".join(c for _, c in _ERRORS)}'])[board % 4 + 1] as likely_cause, count(*) >= 3 as flagged
      from nights join g using (board) where board < 30 and (good is null or night > good) group by board""")
-_add("crawl_counters", lambda s, d: P.crawl_counters(_nights(s, d)),
-     f"""with {_NIGHTS} select night, count(*) as attempted, count(*) filter (outcome = 'ok') as n_ok, count(*) filter (outcome = 'unchanged') as n_unchanged,
-     count(*) filter (outcome = 'failed') as n_failed from nights group by 1""")
 _add("halted_hosts", lambda s, d: P.halted_hosts(B.sql(s, d, B.BLOCKED_HOSTS)),
      f"""with f as ({B.duck(B.BLOCKED_HOSTS)}), g as (select *, lag(ok, 1) over w as a, lag(ok, 2) over w as b from f window w as (partition by host order by ts, fetch_id))
      select host, min(ts) as halted_at from g where not ok and not a and not b group by 1""")
@@ -350,18 +394,71 @@ _add("plan_boards", lambda s, d: P.plan_boards(_boards(s, d), _boards(s, d).wher
      r as (select distinct board, 'h' || (board % 12) as host from out), q as (select board, host, case when board % 11 = 3 then 'blocked' when board % 9 = 0 then 'gate'
      when host in (select host from h) then 'host_halted' when board % 5 = 0 then 'already_fetched' end as x from r)
      select board, host, coalesce(x, case when row_number() over (partition by host, x is null order by board) > 1 then 'over_cap' end) as skip_reason from q""")
-_PLACES = ["Tokyo, Japan", "Osaka", "Remote - Japan", "San Francisco", "Japantown, San Francisco", "Yokohama", "Berlin"]
+_add("skip_reasons", lambda s, d: P.skip_reasons(P.plan_boards(_boards(s, d), _boards(s, d).where("board % 11 = 3"), _boards(s, d).where("false"), _boards(s, d).where("board % 5 = 0"), 1)),
+     f"""with {_OUT}, r as (select distinct board, 'h' || (board % 12) as host from out), q as (select board, host, case when board % 11 = 3 then 'blocked' when board % 9 = 0 then 'gate'
+     when board % 5 = 0 then 'already_fetched' end as x from r), p as (select coalesce(x, case when row_number() over (partition by host, x is null order by board) > 1 then 'over_cap' end) as skip_reason
+     from q) select skip_reason, count(*) as n_boards from p where skip_reason is not null group by 1""")
+_add("host_requests", lambda s, d: P.host_requests(B.sql(s, d, B.BLOCKED_HOSTS)), f"select host, count(*) as n_requests from ({B.duck(B.BLOCKED_HOSTS)}) group by 1")
+# places with what they are known to be: in Japan, prefecture, remote
+_PLACES = [("Tokyo, Japan", True, "東京都", False), ("Osaka", True, "大阪府", False), ("Remote - Japan", True, None, True), ("San Francisco", False, None, False),
+           ("Japantown, San Francisco", False, None, False), ("Yokohama", True, "神奈川県", False), ("Berlin", False, None, False), ("札幌 or Shibuya", True, "東京都", False),
+           ("ＴＯＫＹＯ", True, "東京都", False), ("Japantown, Tokyo", False, "東京都", False), ("千葉県 or Tokyo", True, "千葉県", False)]
+_D_PLACES = "places(i, location, japan, pref, far) as (values " + ", ".join(
+    f"({i}, '{p}', {j}, {f"'{f}'" if f else 'null'}, {r})" for i, (p, j, f, r) in enumerate(_PLACES)
+) + ")"
+_D_POSTINGS = f"""{_D_PLACES}, p as (select distinct board, posting, location, japan, pref, far from obs join places on i = (board * 5 + right(posting, 1)::int) % {len(_PLACES)})"""
 
 
 def _postings(s: SparkSession, d: str) -> DataFrame:
-    place = F.element_at(F.array(*[F.lit(p) for p in _PLACES]), (F.abs(F.hash("posting")) * 0 + F.length("posting") % len(_PLACES) + 1).cast("int"))
+    place = F.element_at(F.array(*[F.lit(p[0]) for p in _PLACES]), ((F.col("board") * 5 + F.right("posting", F.lit(1)).cast("int")) % len(_PLACES) + 1).cast("int"))
     return B.sql(s, d, B.OBSERVED).select("board", "posting").distinct().withColumn("location", place)
 
 
+def _sightings(s: SparkSession, d: str) -> DataFrame:
+    seen = B.sql(s, d, B.OBSERVED).join(_postings(s, d), ["board", "posting"])
+    name = F.concat_ws(":", F.col("board").cast("string"), "posting")
+    first = F.min("day").over(Window.partitionBy("board", "posting"))
+    return seen.select(F.col("day").alias("night"), name.alias("posting"), scalars.is_japan(F.col("location")).alias("is_japan"), first.alias("first_seen"))
+
+
+def _closings(s: SparkSession, d: str) -> DataFrame:
+    closed = P.posting_lifecycle(B.sql(s, d, B.OBSERVED), B.sql(s, d, B.OUTCOMES)).where("status = 'closed'")
+    return closed.select(F.col("closed_at").alias("night"), F.concat_ws(":", F.col("board").cast("string"), "posting").alias("posting"))
+
+
+_add("crawl_counters", lambda s, d: P.crawl_counters(_nights(s, d), _sightings(s, d), _closings(s, d)),
+     f"""with {_NIGHTS}, {_D_POSTINGS}, a as (select night, count(*) as attempted, count(*) filter (outcome = 'ok') as n_ok, count(*) filter (outcome = 'unchanged') as n_unchanged,
+     count(*) filter (outcome = 'failed') as n_failed from nights group by 1), o as (select obs.*, japan, min(day) over (partition by board, posting) as f from obs join p using (board, posting)),
+     b as (select day as night, count(*) as n_seen, count(*) filter (japan) as n_japan, count(*) filter (f = day) as n_new from o group by 1),
+     cr as (select board, day, row_number() over (partition by board order by day) as k from out where outcome <> 'failed'),
+     l as (select o.board, o.posting, max(o.day) as last_seen from obs o join cr using (board, day) group by 1, 2),
+     m as (select (select min(day) from cr where cr.board = l.board and cr.day > l.last_seen) as night, (select count(*) from cr where cr.board = l.board and cr.day > l.last_seen) as k from l),
+     c as (select night, count(*) as n_closed from m where k >= 2 group by 1)
+     select a.*, coalesce(n_seen, 0) as n_seen, coalesce(n_japan, 0) as n_japan, coalesce(n_new, 0) as n_new, coalesce(n_closed, 0) as n_closed
+     from a left join b using (night) left join c using (night)""")
+
+
+def _registry_rows(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A registry, what a check brought, and its results, for the boards of the log."""
+    b = B.sql(s, d, B.OUTCOMES).select("board").distinct().select("board", F.lit("a").alias("ats"), F.col("board").cast("string").alias("board_token"))
+    word = lambda m, *w: F.element_at(F.array(*[F.lit(x) for x in w]), (F.col("board") % m + 1).cast("int"))
+    old = b.where("board < 30").select("ats", "board_token", word(4, "active", "inactive", "candidate", "").alias("status"), F.lit("").alias("status_checked_on"),
+                                       F.lit("").alias("status_reason"), word(2, "2024-02-01", "2024-01-01").alias("checked_on"))
+    found = b.where("board % 3 = 0").select("ats", "board_token", F.lit("2024-01-15").alias("checked_on"))
+    result = b.select("ats", "board_token", word(5, "not_found", "empty_board", "no_japan_postings", "unchanged", "failed").alias("status"), F.lit("2024-01-15").alias("checked_on"))
+    return old, found, result
+
+
+_add("merge_registry", lambda s, d: P.merge_registry(*_registry_rows(s, d)).fillna(""),
+     f"""with {_OUT}, b as (select distinct board from out), r as (select board, board < 30 as known, board % 3 = 0 as found,
+     case when board < 30 then (['active', 'inactive', 'candidate', ''])[board % 4 + 1] else '' end as o, (['2024-02-01', '2024-01-01'])[board % 2 + 1] as oc,
+     (['not_found', 'empty_board', 'no_japan_postings', 'unchanged', 'failed'])[board % 5 + 1] as rs from b where board < 30 or board % 3 = 0),
+     q as (select *, known and not found and o in ('active', '') and board % 5 < 3 and '2024-01-15' >= oc as goes from r)
+     select 'a' as ats, board::varchar as board_token, case when goes then 'inactive' when found and o = '' then 'active' else o end as status,
+     case when goes then '2024-01-15' else '' end as status_checked_on, case when goes then 'check: ' || rs else '' end as status_reason,
+     case when found then '2024-01-15' else oc end as checked_on from q""")
 _add("verify_boards", lambda s, d: P.verify_boards(B.sql(s, d, B.OUTCOMES).groupBy("board").agg(F.max("outcome").alias("outcome")), _postings(s, d)),
-     f"""with {_OUT}, p as (select distinct board, posting, (['{"', '".join(_PLACES)}'])[length(posting) % 7 + 1] as location from obs), c as (select board, count(*) as n,
-     count(*) filter (location not in ('San Francisco', 'Japantown, San Francisco', 'Berlin')) as nj,
-     min(location) filter (location not in ('San Francisco', 'Japantown, San Francisco', 'Berlin')) as sample_location from p group by 1),
+     f"""with {_OUT}, {_D_POSTINGS}, c as (select board, count(*) as n, count(*) filter (japan) as nj, min(location) filter (japan) as sample_location from p group by 1),
      b as (select board, max(outcome) as outcome from out group by 1) select board, coalesce(n, 0) as n_postings, coalesce(nj, 0) as n_japan, sample_location,
      case when outcome <> 'ok' then outcome when nj > 0 then 'japan_hiring' when n > 0 then 'no_japan_postings' else 'empty_board' end as status from b left join c using (board)""")
 
@@ -375,10 +472,11 @@ _add("audit_pages", lambda s, d: G.audit_pages(s.read.parquet(f"{d}/pages.parque
 _add("audit_surfaces", lambda s, d: G.audit_surfaces(s.read.parquet(f"{d}/documents.parquet"), ["(?i)licen[sc]ed", "rights reserved"], {"version": r"\d\.\d", "apache": "Apache"}),
      r"""with t as (select doc_id, coalesce(text, '') as t from documents), f as (select * from t where regexp_matches(t, '(?i)licen[sc]ed') or contains(t, 'rights reserved'))
      select doc_id, 'version' as missing from f where not regexp_matches(t, '[0-9]\.[0-9]') union all select doc_id, 'apache' from f where not contains(t, 'Apache')""")
-_add("page_links", lambda s, d: G.extract_links(s.read.parquet(f"{d}/pages.parquet")).groupBy("page_id").agg(F.count("*").alias("n_links")),
+_add("page_links", lambda s, d: G.extract_links(s.read.parquet(f"{d}/pages.parquet")),
      r"""with a as (select page_id, url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href=["'']([^"''#]*)[^>]*>(.*?)</a>')) as a from pages),
-     b as (select distinct page_id, trim(regexp_extract(a, '(?is)href=["'']([^"''#]*)', 1)) as href, trim(regexp_replace(regexp_replace(regexp_extract(a, '(?is)<a\s[^>]*?href=["''][^"''#]*[^>]*>(.*?)</a>', 1),
-     '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) as title from a) select page_id, count(*) as n_links from b group by 1""")
+     b as (select page_id, url, trim(regexp_extract(a, '(?is)href=["'']([^"''#]*)', 1)) as href, trim(regexp_replace(regexp_replace(regexp_extract(a, '(?is)<a\s[^>]*?href=["''][^"''#]*[^>]*>(.*?)</a>', 1),
+     '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) as title from a)
+     select distinct page_id, case when starts_with(href, '/') then regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || href else href end as target, title from b""")
 _add("page_listing", lambda s, d: G.extract_listing(s.read.parquet(f"{d}/pages.parquet"), r"<(h[1-3])[^>]*>([^<]*)<", ["level", "heading"]),
      r"""select distinct page_id, regexp_extract(x, '<(h[1-3])[^>]*>([^<]*)<', 1) as level, regexp_extract(x, '<(h[1-3])[^>]*>([^<]*)<', 2) as heading
      from (select page_id, unnest(regexp_extract_all(html, '<(h[1-3])[^>]*>([^<]*)<')) as x from pages)""")
@@ -400,6 +498,4 @@ _add("compare_fingerprints", lambda s, d: G.compare_fingerprints(_fingerprints(s
 _add("award_source_version", lambda s, d: G.source_version(B.cells(s, d)))
 _add("japan_places", lambda s, d: _postings(s, d).select("location", scalars.is_japan(F.col("location")).alias("is_japan"), scalars.japan_prefecture(F.col("location")).alias("prefecture"),
         scalars.is_remote(F.col("location")).alias("remote")).distinct(),
-     f"""with {_OUT}, p as (select distinct (['{"', '".join(_PLACES)}'])[length(posting) % 7 + 1] as location from obs) select location,
-     location not in ('San Francisco', 'Japantown, San Francisco', 'Berlin') as is_japan, case when contains(location, 'Tokyo') then '東京都' when location = 'Osaka' then '大阪府'
-     when location = 'Yokohama' then '神奈川県' end as prefecture, contains(location, 'Remote') as remote from p""")
+     f"""with {_OUT}, {_D_POSTINGS} select distinct location, japan as is_japan, pref as prefecture, far as remote from p""")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.functions import dims, scalars
 from tallyline.operators import awards, governance, interactions, masking, postings, registry
 from tallyline.operators.pooled import pooled_quantile
+from tallyline.plans import queries
 
 
 def one(spark, expr):
@@ -144,3 +145,110 @@ def test_labels(spark):
     assert one(spark, dims.label(F.lit("21"), dims.PROCESSES))["en"] == "registry record closed"
     assert one(spark, dims.label(F.lit("x"), dims.PROCESSES))["ja"] == dims.UNKNOWN
     assert one(spark, dims.label_or_null(F.lit(" "), dims.CLOSE_CAUSES)) is None
+
+
+@pytest.mark.parametrize(("kind", "name", "withheld"), [("499", "山田太郎", True), ("401", "佐藤花子", True), ("301", "山田太郎商店", False), ("301", "山田太郎", False),
+                                                         ("499", "山田太郎商店", False), ("499", "架空地区自治会連合協議会", False), ("499", "木村太郎", True), ("499", "市川　花子", True),
+                                                         ("499", "Ｆｏｏ Ｉｎｃ．", False), ("499", " ", False)])
+def test_guard_names(spark, kind, name, withheld):
+    df = spark.createDataFrame([(kind, name)], "kind_code string, name string")
+    row = masking.guard_names(df, [k[0] for k in dims.KINDS if k[3]]).first()
+    assert row.name_withheld is withheld and (row.name is None) is withheld
+
+
+def test_allowed_columns(spark):
+    df = spark.range(1).select(F.lit("1").alias("corporate_number"), F.lit("x").alias("street_number"), F.lit("n").alias("name"))
+    assert masking.project_allowed(df).columns == ["corporate_number", "name"]
+    with pytest.raises(ValueError, match="street_number"):
+        masking.assert_allowed(df)
+    for bad in ("contact_person", "代表取締役", "E-Mail", "birth_date"):
+        with pytest.raises(ValueError, match="personal"):
+            masking.assert_no_registry_persons(df.withColumn(bad, F.lit("")))
+    assert masking.assert_no_registry_persons(df.withColumn("change_cause", F.lit(""))) is not None
+    assert masking.drop_personal_columns(df.withColumn("担当者", F.lit(""))).columns == df.columns
+    with pytest.raises(ValueError, match="origin"):
+        masking.assert_classified(df, {"name": "registry"})
+
+
+def test_text_rules(spark):
+    x = lambda e: one(spark, e)
+    assert x(scalars.title_key(F.lit("医療法人社団 Ａ会（東京）"))) == "a会東京"
+    assert x(scalars.title_key(F.lit("株式会社{Foo}［B］"))) == "foob"
+    assert x(scalars.era_to_date(F.lit("明治３５年１月２日"))) == dt.date(1902, 1, 2)
+    assert x(scalars.is_japan(F.lit("Japantown, Tokyo"))) is False and x(scalars.is_japan(F.lit("ＪＡＰＡＮ"))) is True
+    assert x(scalars.japan_prefecture(F.lit("札幌 or Shibuya"))) == "東京都" and x(scalars.japan_prefecture(F.lit("Kobe / 神奈川県"))) == "神奈川県"
+    assert x(scalars.employment_type(F.lit("正社員 / contract"))) == "contract" and x(scalars.employment_type(F.lit("Ｆｕｌｌ－ｔｉｍｅ"))) == "full_time"
+    assert x(scalars.function_bucket(F.lit("Engineering Manager"))) == "engineering" and x(scalars.function_bucket(F.lit("x"))) == "other"
+    assert x(scalars.normal_title(F.lit("【急募】Sales／Engineer (Tokyo) – 東京"))) == "sales engineer 東京"
+    for error, word in (("x -> HTTP 404", "removed"), ("x -> HTTP 429", "transient"), ("x -> HTTP 503", "transient"), ("fetch failed for x: timed out", "transient"),
+                        ("robots.txt disallows x", "robots"), ("HTTP 404 for robots.txt", "robots"), (None, "network")):
+        assert word in x(scalars.likely_cause(F.lit(error).cast("string"))), error
+    a, b = F.create_map(F.lit("x"), F.lit(1).cast("long")), F.create_map(F.lit("x"), F.lit(2).cast("long"), F.lit("y"), F.lit(3).cast("long"))
+    assert x(scalars.map_sum(a, b)) == {"x": 3, "y": 3} and x(scalars.map_max(a, b)) == {"x": 2, "y": 3}
+    assert x(scalars.map_sum(F.lit(None).cast("map<string,long>"), a)) == {"x": 1}
+    assert x(scalars.union_files(F.array(F.lit("b"), F.lit("a")), F.array(F.lit("b"), F.lit("c")))) == ["a", "b", "c"]
+    assert x(scalars.millis_to_ts(F.lit("1700000000000"))) == dt.datetime(2023, 11, 14, 22, 13, 20) and x(scalars.millis_to_ts(F.lit("x"))) is None
+    assert x(scalars.site_roots(F.lit("see https://a.example/x, https://a.example/y; http://b.example"))) == ["https://a.example", "http://b.example"]
+    assert x(scalars.directive_lines(F.lit("User-Agent: X # c\n\n# only\nDISALLOW:/a"))) == ["user-agent: X", "disallow: /a"]
+    for url, want in (("https://h/a/../b", "https://h/b"), ("https://h/../x/./y?q=..", "https://h/x/y?q=.."), ("https://h/a/b/..", "https://h/a/"), ("mailto:x", "mailto:x"), ("https://h/a.b", "https://h/a.b")):
+        assert x(governance.without_dots(F.lit(url))) == want, url
+    assert x(governance.json_values(F.lit('{"a": "x", "b": ["y\\"z", 1]}'))) == 'x\ny\\"z'
+
+
+def test_merge_registry(spark):
+    """Known boards keep their status; only an active one that a fresh result disqualifies goes out of use."""
+    rows = [("greenhouse", "gone", "inactive", "2026-10-10", "404", "2026-09-21"), ("lever", "cand", "candidate", "2026-10-10", "proposed", "2026-09-21"), ("lever", "nojp", "active", None, None, "2026-09-21"),
+            ("lever", "cached", "", None, None, "2026-09-21"), ("lever", "late", "active", None, None, "2026-12-01")]
+    old = spark.createDataFrame(rows, "ats string, board_token string, status string, status_checked_on string, status_reason string, checked_on string")
+    rebuilt = spark.createDataFrame([("greenhouse", "gone", "2026-10-11"), ("lever", " cand", "2026-10-11"), ("lever", "brandnew", "2026-10-11")], "ats string, board_token string, checked_on string")
+    results = spark.createDataFrame([("lever", "nojp", "no_japan_postings", "2026-10-11"), ("lever", "cached", "unchanged", "2026-10-11"), ("lever", "late", "not_found", "2026-10-11")],
+                                    "ats string, board_token string, status string, checked_on string")
+    out = {r.board_token: r for r in postings.merge_registry(old, rebuilt, results).collect()}
+    assert {k: r.status for k, r in out.items()} == {"gone": "inactive", "cand": "candidate", "brandnew": "active", "nojp": "inactive", "cached": "", "late": "active"}
+    assert out["gone"].status_reason == "404" and out["nojp"].status_reason == "check: no_japan_postings" and out["nojp"].status_checked_on == "2026-10-11"
+
+
+def test_active_boards_and_lists(spark):
+    boards = spark.createDataFrame([("a", "x", " Active "), ("a", "y", None), ("a", "z", "inactive")], "ats string, board_token string, status string")
+    assert {r.board_token for r in postings.active_boards(boards).collect()} == {"x", "y"}
+    left = masking.purge_blocked(boards, boards.where("board_token = 'x'"))
+    assert {r.board_token for r in left.collect()} == {"y", "z"}
+    lines = lambda *x: spark.createDataFrame([(v,) for v in x], "line string")
+    assert sorted(map(tuple, governance.line_changes(lines("a", "b", "b"), lines("b", "c")).collect())) == [("a", "removed"), ("b", "removed"), ("c", "added")]
+    governance.assert_fresh(lines("a", "b"), lines("b", "a"))
+    with pytest.raises(ValueError, match="differs"):
+        governance.assert_fresh(lines("a"), lines("a", "a"))
+
+
+def test_listings(spark):
+    html = "doDownload('successful_bid_record_info_all_2024.zip') doDownload('successful_bid_record_info_diff_20261009.zip') doDownload('successful_bid_record_info_all_2024.zip')"
+    rows = governance.award_listing(spark.createDataFrame([(1, html)], "page_id int, html string")).collect()
+    assert sorted((r.file_key, r.kind, r.fiscal_year) for r in rows) == [("2026-10-09", "diff", None), ("FY2024", "all", 2024)]
+    row = '<tr class="type1_corpHistory1"><th scope="row"> 令和８年10月９日 </th><td><a href="#" onclick="return doDownload({});">zip <b>132KB</b></a></td></tr>'
+    page = row.format(1) + '<h2 id="csv-unicode">x</h2>' + row.format(2) + '<h2 class="title" id="xml-unicode">' + row.format(3)
+    rows = governance.diff_listing(spark.createDataFrame([(1, page), (2, "none")], "page_id int, html string")).collect()
+    assert [(r.day, r.file_no, r.label, r.size) for r in rows] == [(dt.date(2026, 10, 9), "2", "zip 132KB", "132KB")]
+
+
+def test_searches(spark):
+    rows = [(2024, "東京都", "13", "防衛"), (2024, "京都府", "26", "外交"), (2024, "北海道", "01", "財務・金融")]
+    stats = spark.createDataFrame(rows, "fiscal_year int, prefecture string, prefecture_code string, sector string")
+    found = lambda q: sorted(r.prefecture for r in queries.resolve(stats, q, "prefecture", "prefecture_code").collect())
+    assert found("１３") == ["東京都"] and found("1") == ["北海道"] and found("京都") == ["京都府", "東京都"] and found("東京都千代田区") == ["東京都"] and found("x") == []
+    with pytest.raises(ValueError, match="外交, 財務・金融, 防衛"):
+        queries.resolved(stats, "nothing", "sector")
+    assert queries.resolved(stats, "金融", "sector").first().sector == "財務・金融"
+
+
+def test_pending_and_axes(spark):
+    days = spark.createDataFrame([(dt.date(2026, 1, d),) for d in (1, 2, 3)], "day date")
+    held = spark.createDataFrame([(dt.date(2026, 1, 2), "private")], "day date, origin string")
+    assert [r.day.day for r in registry.pending(days, held, newest=True).collect()] == [3, 1] and [r.day.day for r in registry.pending(days, held, most=1).collect()] == [1]
+    daily = spark.createDataFrame([(dt.date(2026, 1, 1), "total", "", 5), (dt.date(2026, 1, 1), "process", "01", 5), (dt.date(2026, 1, 2), "total", "", 2)], "day date, axis string, key string, n long")
+    with pytest.raises(ValueError, match="2026-01-02"):
+        registry.require_axis(daily, "process")
+    assert registry.require_axis(daily.where("day = '2026-01-01'"), "process").count() == 2
+    assert [(r.state, r.place) for r in registry.retention_state(days, oldest="2026-01-02").orderBy("place").collect()] == [("next_to_go", 1), ("next_to_go", 2), ("gone", 3)]
+    cells = spark.createDataFrame([(2025, "b", "x", 1, 0), (2024, "b", "x", 0, 1), (2025, "a", "x", 0, 0)], "fiscal_year int, sector string, prefecture string, prefecture_idx int, sector_idx int")
+    assert [(r.fiscal_year, r.sector) for r in awards.order_stats(cells).collect()] == [(2024, "b"), (2025, "a"), (2025, "b")]
+    assert [(r.fiscal_year, r.sector) for r in awards.order_compact(cells).collect()] == [(2024, "b"), (2025, "a"), (2025, "b")]
