@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyline.llm.words import steps
+from tallyline.sources.staging import shared_dir
+
 #: A word of a text: a run of characters other than space, tab, line feed, vertical tab, form feed and carriage return.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -17,21 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session (a test) may have none; it then gets a temporary folder of its own.
-    """
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if there:
-        return there
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    there = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", there)
-    return there
-
-
 def new_path(spark: SparkSession, what: str) -> str:
     """A path in the shared folder that is not in use; it is removed when the driver's JVM ends."""
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
@@ -69,13 +58,20 @@ def fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")), F.lit(0)) % 4
 
 
-def sample_per_class(rows: DataFrame, label: str, classes: list, most: int, seed: int = 0) -> DataFrame:
-    """At most ``most`` rows of each class, the ones with the smallest seeded hash of their id, so that reruns agree."""
-    parts = [
-        rows.where(F.col(label) == F.lit(c)).orderBy(F.xxhash64(F.col("doc_id"), F.lit(seed)), "doc_id").limit(most)
-        for c in classes
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def sample_per_class(rows: DataFrame, label: str, counts: DataFrame, key: list[str], most: int, seed: int = 0) -> DataFrame:
+    """At most ``most`` rows of each class, the ones with the smallest seeded hash of their ``key``, so that reruns agree.
+
+    ``counts`` (label, n) says about how many rows a class has. Of a large class only rows with a hash below a share of about twice
+    ``most`` are looked at, so all classes are sampled in one pass over ``rows`` and no task holds more than that. Rows alike in key
+    and class are one.
+    """
+    h = F.xxhash64(*key, F.lit(seed))
+    share = F.pmod(h, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    low = rows.join(counts.withColumnRenamed("n", "n_"), label).where(share * F.col("n_") <= 2 * most + 64).drop("n_")
+    each = low.dropDuplicates([label, *key])
+    return each.withColumn("k_", F.row_number().over(Window.partitionBy(label).orderBy(h, *key))).where(F.col("k_") <= most).drop("k_")
+
+
+def marked(batch: pa.RecordBatch, text: int, keep: Callable[[pa.RecordBatch], list[bool]]) -> pa.RecordBatch:
+    """The rows of a batch, as they are, for which ``keep`` of a slice (text without nulls) says so."""
+    return batch.filter(pa.array([x for part in steps(batch, text) for x in keep(part)], pa.bool_()))

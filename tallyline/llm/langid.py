@@ -13,13 +13,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import fold, sample_per_class
+from tallyline.llm.common import cut, discard, fold, marked, sample_per_class
 from tallyline.llm.words import steps
 
 #: n-gram orders of the spectrum, and the number of cells that n-grams are hashed into.
 ORDERS, CELLS = (1, 2, 3), 1 << 15
-#: The bound of the training sample: rows per language, languages, characters of a row; and landmarks per language.
-MOST_ROWS, MOST_LANGS, MOST_CHARS, LANDMARKS = 400, 64, 20_000, 48
+#: The bound of the training sample: rows per language, rows in all, characters of a row; landmarks per language and in all. With more
+#: languages, each has fewer rows and landmarks, but four at least.
+MOST_ROWS, ALL_ROWS, MOST_CHARS, LANDMARKS, ALL_LANDMARKS = 400, 16_000, 4_000, 48, 1_024
 RIDGE, SHARPNESS = 1e-2, 8.0
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -82,6 +83,7 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -> Model
     names = sorted(set(langs))
     if not names:
         return Model([], np.zeros((0, CELLS), np.float32), np.zeros((0, 0)), np.zeros(0))
+    landmarks = max(4, min(landmarks, ALL_LANDMARKS // len(names)))
     marks = np.concatenate([np.flatnonzero(np.array(langs) == n)[:landmarks] for n in names])
     held = presence([texts[i] for i in marks])
     norms = np.sqrt(np.maximum(held.sum(axis=1), 1))
@@ -110,19 +112,19 @@ def threshold(texts: list[str], langs: list[str], lose: float) -> float:
 
 
 def train(docs: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CHARS, lose: float | None = None) -> Model:
-    """Fit on labelled rows outside the held-out fold: at most ``most_rows`` of each language, of at most ``most_chars`` characters.
+    """Fit on labelled rows outside the held-out fold: at most ``most_rows`` of each language, the first ``most_chars`` characters of each.
 
-    With ``lose``, the model rejects texts by the ``threshold`` that this share of them falls below.
+    Every non-null language is learnt. One pass counts the rows of each (without their texts), one takes the sample. With ``lose``,
+    the model rejects texts by the ``threshold`` that this share of them falls below.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(
-        F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2) & (F.length("text") <= most_chars) & F.col("text").rlike(r"\p{L}")
+    rows = docs.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2))
+    counts = cut(rows.groupBy("lang").agg(F.count("*").alias("n")), "langs")
+    most_rows = max(4, min(most_rows, ALL_ROWS // max(1, counts.count())))
+    texts = rows.where(F.col("text").rlike(r"\p{L}")).select(
+        "lang", F.xxhash64("doc_id", "text").alias("h"), F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, most_chars).alias("text")
     )
-    langs = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()]
-    if not langs:
-        return fit([], [])
-    ids = sample_per_class(rows.select("doc_id", "lang"), "lang", langs, most_rows)
-    picked = rows.join(F.broadcast(ids.distinct()), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
-    found = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "lang").collect()
+    found = sample_per_class(texts, "lang", counts, ["h", "doc_id"], most_rows).orderBy("h", "doc_id", "lang").select("lang", "text").collect()
+    discard(counts)
     model = fit([r.text for r in found], [r.lang for r in found])
     if lose is not None:
         model.least = threshold([r.text for r in found], [r.lang for r in found], lose)
@@ -151,7 +153,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def filter_known(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
     """The rows of ``docs`` (all columns) whose language is told with a score of ``least`` or more and which the model does not reject.
 
-    ``und`` always goes.
+    ``und`` always goes, so null and empty texts do. Rows stay as they are; repeated ones stay or go together.
     """
     langs, folded, intercept, reached = model.langs, model.folded, model.intercept, model.least
     at = docs.columns.index("text")
@@ -160,8 +162,6 @@ def filter_known(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame
         own = Model(langs, np.zeros((0, CELLS), np.float32), np.zeros((0, 0)), intercept)
         own.folded = folded
         for batch in batches:
-            for part in steps(batch, at):
-                found = own.decided(part.column(at).to_pylist())
-                yield part.filter(pa.array([x != UNKNOWN and s >= least and v >= reached for x, s, v in found], pa.bool_()))
+            yield marked(batch, at, lambda part: [x != UNKNOWN and s >= least and v >= reached for x, s, v in own.decided(part.column(at).to_pylist())])
 
     return docs.mapInArrow(run, docs.schema)

@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import WORD_GAP
+from tallyline.llm.common import WORD_GAP, cut
 
 #: Weights of the sources in order of their names, repeating; and how often a source's size its target may be.
 WEIGHTS, MOST_EPOCHS = (1, 2, 3), 3
-#: Ranges of the sampling key that a source is dealt into, so that no task sorts a whole source.
-RANGES = 4096
+#: Rows to a range of the sampling key, about, if all rows were of one source; so no task sorts a whole source.
+RANGE_ROWS = 50_000
 SEED = 17
 
 
@@ -53,42 +53,56 @@ def targets(sizes: DataFrame) -> DataFrame:
     return rows.select("source", "source_size", F.coalesce(F.least("most", F.col("final") * F.col("weight")), "most").alias("target"))
 
 
+ROW = ["row_a", "row_b"]
+
+
+def _named(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``docs`` with a 128-bit name of each row's ``columns``, shared by rows alike in them, and a draw by doc_id, text and source."""
+    names = {c: F.xxhash64(*columns, F.lit(seed)) for c, seed in zip(ROW, (SEED, SEED + 1), strict=True)}
+    return docs.withColumns(names | {"draw": F.xxhash64("doc_id", "text", "source", F.lit(SEED + 2))})
+
+
 def plan(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, source_size, target, epochs (times the mix takes the document) for every row.
+    """Row names, doc_id, source, size, source_size, target, rows (alike), full (epochs of every one of them), more (how many get one more).
 
-    Null texts have size 0 and are never short of their target; a null source is a source. Equal keys go by doc_id and size, rows
-    alike in all that by their place among each other. Reads doc_id, text and source only. Reruns agree.
+    ``docs`` has row names. Null texts have size 0 and are never short of their target; a null source is a source. Rows that are alike
+    are counted first and then stand together. Texts are read once. Reruns agree.
     """
-    rows = docs.select("doc_id", "source", size_in_words(F.col("text")).alias("size"), quality_weight(F.col("text")).alias("w"))
-    u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
-    rows = rows.withColumn("key", -F.log(u) / F.col("w")).drop("w")
-    rows = rows.withColumn("range", F.floor((1 - F.exp(-F.col("key") / 2)) * RANGES).cast("int"))
-    sums = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))  # at most RANGES rows a source
+    rows = docs.select(*ROW, "draw", "doc_id", "source", size_in_words(F.col("text")).alias("size"), quality_weight(F.col("text")).alias("w"))
+    u = (F.shiftrightunsigned("draw", 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+    rows = rows.groupBy(*ROW, "doc_id", "source", "size", (-F.log(u) / F.col("w")).alias("key")).agg(F.count("*").alias("rows"))
+    rows = cut(rows, "sizes")
+    ranges = rows.count() // RANGE_ROWS + 1
+    rows = rows.withColumn("range", F.floor((1 - F.exp(-F.col("key") / 2)) * ranges).cast("int")).withColumn("words", F.col("size") * F.col("rows"))
+    sums = rows.groupBy("source", "range").agg(F.sum("words").alias("range_size"))
     ahead = F.sum("range_size").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.withColumn("ahead", F.coalesce(ahead, F.lit(0)))
-    sizes = targets(sums.groupBy("source").agg(F.sum("range_size").alias("source_size")))
-    sizes = sizes.withColumnRenamed("source", "of")
-    ranges = sums.join(sizes, F.col("source").eqNullSafe(F.col("of")))
-    ranges = ranges.select(F.col("source").alias("s"), F.col("range").alias("r"), "ahead", "source_size", "target")
-    within = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = rows.withColumn("upto", F.sum("size").over(within))
-    joined = placed.join(ranges, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")), "left")
+    sizes = targets(sums.groupBy("source").agg(F.sum("range_size").alias("source_size"))).withColumnRenamed("source", "of")
+    known = sums.join(sizes, F.col("source").eqNullSafe(F.col("of")))
+    known = known.select(F.col("source").alias("s"), F.col("range").alias("r"), "ahead", "source_size", "target")
+    within = Window.partitionBy("source", "range").orderBy("key", *ROW).rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("before", F.coalesce(F.sum("words").over(within), F.lit(0)))
+    joined = placed.join(known, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")), "left")
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(0).cast("long")
     rest = F.col("target") - full * F.col("source_size")
-    # the document on the border is taken if that brings the source nearer to its target
-    taken = F.col("ahead") + F.col("upto") - F.col("size") / 2 <= rest
-    epochs = full + F.when((rest > 0) & taken & (full < MOST_EPOCHS), 1).otherwise(0)
-    return joined.select("doc_id", "source", "size", "source_size", "target", epochs.alias("epochs"))
+    # a row on the border is taken if that brings the source nearer to its target
+    open_ = (rest > 0) & (full < MOST_EPOCHS)
+    fits = F.floor((rest - F.col("ahead") - F.col("before")) / F.col("size") + 0.5)
+    more = F.when(open_ & (F.col("size") > 0), F.greatest(F.lit(0), F.least(F.col("rows"), fits))).when(open_ & (F.col("ahead") + F.col("before") <= rest), F.col("rows")).otherwise(0)
+    return joined.select(*ROW, "doc_id", "source", "size", "source_size", "target", "rows", full.alias("full"), more.cast("long").alias("more"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken, epochs for every row."""
-    return plan(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"), "epochs")
+    """doc_id, size, source_size, target, taken, epochs for every row. Reads doc_id, text and source only."""
+    found = plan(_named(docs.select("doc_id", "text", "source"), ["doc_id", "text", "source"]))
+    found = found.select("*", F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("k"))
+    epochs = F.col("full") + (F.col("k") <= F.col("more")).cast("long")
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * epochs).alias("taken"), epochs.alias("epochs"))
 
 
 def take(docs: DataFrame) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as its epochs. Copies of a doc_id share the most epochs of any of them."""
-    epochs = plan(docs).groupBy(F.col("doc_id").alias("mix_id")).agg(F.max("epochs").alias("mix_epochs")).where("mix_epochs > 0")
-    joined = docs.join(epochs, F.col("doc_id").eqNullSafe(F.col("mix_id")))
-    again = F.explode(F.sequence(F.lit(1), F.col("mix_epochs"))).alias("mix_epoch")
-    return joined.select(*docs.columns, again).drop("mix_epoch")
+    """The mix itself: the rows of ``docs``, as they are, each as often as the plan takes it; of rows alike in all columns, as often as all of them."""
+    named = _named(docs, docs.columns)
+    times = plan(named).select(*ROW, (F.col("full") * F.col("rows") + F.col("more")).alias("times_")).where("times_ > 0")
+    each = named.drop("draw").join(times, ROW).groupBy(*ROW).agg(F.first("times_").alias("times_"), F.first(F.struct(*docs.columns)).alias("row_"))
+    return each.select("row_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times_")))).select("row_.*")

@@ -7,22 +7,22 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a candidate block and of a query block.
-CANDIDATES, QUERIES = 16_384, 1_024
+#: Most rows of a candidate block and of a query block, and least rows of a candidate block where there are partitions to fill.
+CANDIDATES, QUERIES, LEAST = 65_536, 8_192, 4_096
 #: Query rows whose dense scores are held at once.
-HELD = 128
+HELD = 64
 PARTIAL = "query_id long, vec_id long, score long"
 
 
 def quantize(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
     """vec_id and terms: floor(scale * x) of every component. Null vectors and ones with a null or non-finite component go.
 
-    Rows that repeat a vec_id count once, with the least vector. Components beyond a shorter vector's end count as 0.
+    Repeated rows stay. Components beyond a shorter vector's end count as 0.
     """
     x = F.col("embedding")
     fine = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     terms = F.transform(x, lambda v: F.floor(v.cast("double") * F.lit(scale)).cast("long"))
-    return vectors.where(fine).select(F.col("vec_id").cast("long").alias("vec_id"), terms.alias("terms")).groupBy("vec_id").agg(F.min("terms").alias("terms"))
+    return vectors.where(fine).select(F.col("vec_id").cast("long").alias("vec_id"), terms.alias("terms"))
 
 
 def _matrix(rows: pd.Series, width: int) -> np.ndarray:
@@ -55,35 +55,41 @@ def block_top(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.Dat
             at, weight = postings[d]
             for i in np.flatnonzero(part[:, d]):
                 scores[i, at] += part[i, d] * weight
-        order = scores.astype(np.int64) * n + (n - 1 - np.arange(n))  # one number for score and tie
-        place = np.searchsorted(ids, part_ids)
-        hit = (place < n) & (ids[np.minimum(place, n - 1)] == part_ids)
-        order[np.flatnonzero(hit), place[hit]] = np.iinfo(np.int64).min
-        top = np.argpartition(-(order + 1), min(k, n) - 1, axis=1)[:, :k] if n > k else np.broadcast_to(np.arange(n), order.shape)
-        row = np.repeat(np.arange(len(part)), top.shape[1])
-        col = top.ravel()
-        real = order[row, col] != np.iinfo(np.int64).min
-        row, col = row[real], col[real]
-        out.append(pd.DataFrame({"query_id": part_ids[row], "vec_id": ids[col], "score": scores[row, col].astype(np.int64)}))
+        for own_id, row in zip(part_ids.tolist(), scores, strict=True):
+            a, b = np.searchsorted(ids, [own_id, own_id + 1])
+            col = np.arange(n) if a == b else np.concatenate([np.arange(a), np.arange(b, n)])
+            mine = row[col]
+            if len(col) > k:
+                best = np.flatnonzero(mine >= np.partition(mine, len(col) - k)[len(col) - k])  # ties with the last one included
+                col, mine = col[best], mine[best]
+            top = np.lexsort((ids[col], ~mine.astype(np.int64)))[:k]  # ~x falls as x grows, and never overflows
+            out.append(pd.DataFrame({"query_id": own_id, "vec_id": ids[col[top]], "score": mine[top].astype(np.int64)}))
     return pd.concat(out, ignore_index=True)
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best rows of ``vectors`` for each row of ``queries`` (both vec_id, terms), but for itself.
+    """query_id, rank, vec_id, score: the k best rows of ``vectors`` for each row of ``queries`` (both vec_id, terms), but for its own vec_id.
 
-    Every pair of a query block and a candidate block is one group of bounded size; a window merges the blocks' best.
+    Every pair of a query block and a candidate block is one group of bounded size; a window merges the blocks' best. Each candidate is
+    sent once for every QUERIES queries, each query once for every candidate block.
     """
     n_c, n_q = vectors.count(), queries.count()
-    blocks_c, blocks_q = max(1, -(-n_c // CANDIDATES)), max(1, -(-n_q // QUERIES))
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks_c = max(-(-n_c // CANDIDATES), min(tasks, n_c // LEAST), 1)
+    blocks_q = max(1, -(-n_q // QUERIES))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = queries.select("vec_id", "terms", F.pmod(F.xxhash64("vec_id"), F.lit(blocks_q)).cast("int").alias("qb"), every(blocks_c).alias("cb"))
-    right = vectors.select("vec_id", "terms", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks_c)).cast("int").alias("cb"), every(blocks_q).alias("qb"))
+    right = vectors.select("vec_id", "terms", F.pmod(F.monotonically_increasing_id(), F.lit(blocks_c)).cast("int").alias("cb"), every(blocks_q).alias("qb"))
     partial = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(lambda a, b: block_top(a, b, k), PARTIAL)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).alias("rank")
     return partial.select("query_id", rank, "vec_id", "score").where(F.col("rank") <= k)
 
 
 def every_twentieth(embeddings: DataFrame, k: int = 20) -> DataFrame:
-    """Top k for each vector whose vec_id is divisible by 20, among all vectors."""
+    """Top k for each vec_id that is divisible by 20 (of several rows with it, the least vector), among all rows with another vec_id.
+
+    A row that repeats another one is a candidate of its own.
+    """
     vectors = quantize(embeddings)
-    return search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k)
+    queries = vectors.where(F.col("vec_id") % 20 == 0).groupBy("vec_id").agg(F.min("terms").alias("terms"))
+    return search(vectors, queries, k)

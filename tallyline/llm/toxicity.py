@@ -12,10 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import fold, sample_per_class
+from tallyline.llm.common import fold, marked, sample_per_class
 from tallyline.llm.words import Cache, indexed, steps
 
 #: Hash buckets of subwords, size of an embedding, words in a span.
@@ -214,19 +214,21 @@ def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7) ->
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CHARS) -> Model:
     """Fit on labelled rows outside the held-out fold: at most ``most_rows`` of each class, each of at most ``most_chars`` characters.
 
-    The ids of the sample, at most twice ``most_rows``, are broadcast to fetch their texts.
+    Twice as many ids as rows are drawn and broadcast to fetch texts in one pass, since some texts are too long or missing.
     """
-    short = docs.selectExpr("cast(doc_id as long) doc_id", "text").where((F.length("text") <= most_chars) & F.col("doc_id").isNotNull())
-    marked = (
+    rows = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 2))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    picked = sample_per_class(marked, "toxic", [0, 1], 2 * most_rows)
-    rows = short.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    rows = sample_per_class(rows, "toxic", [0, 1], most_rows).orderBy("doc_id").collect()
-    return fit([r.text for r in rows], [r.toxic for r in rows])
+    counts = F.broadcast(rows.groupBy("toxic").agg(F.count("*").alias("n")))  # two rows
+    picked = sample_per_class(rows, "toxic", counts, ["doc_id"], 2 * most_rows)  # at most 4 * most_rows ids
+    short = docs.selectExpr("cast(doc_id as long) doc_id", "text").where((F.length("text") <= most_chars) & F.col("doc_id").isNotNull())
+    texts = short.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(0)), "doc_id")
+    found = texts.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most_rows).orderBy("doc_id").select("text", "toxic").collect()
+    return fit([r.text for r in found], [r.toxic for r in found])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -248,14 +250,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def filter_clean(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` (all columns) that are not predicted to be toxic."""
+    """The rows of ``docs`` (all columns), as they are, that are not predicted to be toxic; null and empty texts stay."""
     table, bias = model.table.astype(np.float32), model.bias
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(table, bias)
         for batch in batches:
-            for part in steps(batch, at):
-                yield part.filter(pa.array([s < THRESHOLD for s in own.scores(part.column(at))], pa.bool_()))
+            yield marked(batch, at, lambda part: [s < THRESHOLD for s in own.scores(part.column(at))])
 
     return docs.mapInArrow(run, docs.schema)
