@@ -1,8 +1,9 @@
-"""Toxicity: subword-bag embeddings, averaged over a span of words, into a linear softmax; trained jointly in numpy.
+"""Toxicity: subword-bag embeddings averaged over a text's most telling words, into a linear softmax; trained jointly in numpy.
 
 A word is the bag of its character 3- to 5-grams (with word bounds) and itself, hashed into a fixed number of buckets, so that a
-misspelling shares most vectors with the word it comes from. A document is as toxic as its most toxic span. Where a text has no blanks
-for long, overlapping pieces count as its words.
+misspelling shares most vectors with the word it comes from. A document's embedding is the mean of those of the few words that speak
+most for toxicity, so neither a single odd word nor the length of a text decides. Where a text has no blanks for long, overlapping
+pieces count as its words.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import fold, marked, sample_per_class
 from tallyline.llm.words import Cache, indexed, steps
 
-#: Hash buckets of subwords, size of an embedding, words in a span.
-BUCKETS, DIM, SPAN = 1 << 17, 12, 12
+#: Hash buckets of subwords, size of an embedding, words that a document is scored by.
+BUCKETS, DIM, TOP = 1 << 17, 12, 4
+#: Training begins with so many passes over whole texts, of which at most so many words are drawn.
+WHOLE, DRAWN = 2, 300
 #: The bound of the training sample: rows per class, and characters of a row.
 MOST_ROWS, MOST_CHARS = 1500, 20_000
 #: Score from which a document counts as toxic.
@@ -38,7 +41,7 @@ def bare(word: str) -> str:
 
 
 def pieces(word: str) -> list[str]:
-    """What stands for a token in the spans: the bare word, or the pieces of a long one, which hold every n-gram of it."""
+    """What stands for a token: the bare word, or the pieces of a long one, which hold every n-gram of it."""
     whole = bare(word)
     if len(word) <= LONG:
         return [whole]
@@ -87,17 +90,13 @@ def word_logits(words: list[str], table: np.ndarray) -> np.ndarray:
     return np.bincount(at, weights=table[bucket], minlength=len(words)) / np.maximum(n, 1)
 
 
-def span_means(values: np.ndarray) -> np.ndarray:
-    """Means over the spans of SPAN words that begin every half span; one span for a shorter text."""
-    if len(values) <= SPAN:
-        return np.array([values.mean()]) if len(values) else np.zeros(1)
-    sums = np.concatenate([[0.0], np.cumsum(values)])
-    starts = np.append(np.arange(0, len(values) - SPAN, SPAN // 2), len(values) - SPAN)
-    return (sums[starts + SPAN] - sums[starts]) / SPAN
+def top_mean(values: np.ndarray) -> float:
+    """The mean of the TOP largest values, of all if there are fewer."""
+    return float((values if len(values) <= TOP else np.partition(values, len(values) - TOP)[-TOP:]).mean())
 
 
 class Model:
-    """Log odds = mean over a span of word logits + bias; the softmax over two classes of the averaged embeddings."""
+    """Log odds = mean of the TOP largest word logits + bias; the softmax over two classes of the averaged embeddings."""
 
     def __init__(self, table: np.ndarray, bias: float):
         self.table, self.bias = table, bias
@@ -123,7 +122,7 @@ class Model:
         return flat[np.repeat(start[codes] - (ends - n), n) + np.arange(ends[-1])], np.concatenate([[0], ends])[offsets]
 
     def scores(self, texts: pa.Array) -> list[float]:
-        """Score of each whole text: the softmax at its most toxic span; 0 without a word."""
+        """Score of each whole text by its TOP most toxic words; 0 without a word."""
         words, codes, offsets = indexed(pc.utf8_split_whitespace(texts))
         keep = np.array([w != "" for w in words], bool)[codes] if "" in words else np.ones(len(codes), bool)
         if any(len(w) > LONG for w in words):
@@ -138,13 +137,13 @@ class Model:
             if not len(own):
                 out.append(0.0)
                 continue
-            best = np.clip(span_means(own).max() + self.bias, -30, 30)
+            best = np.clip(top_mean(own) + self.bias, -30, 30)
             out.append(float(1 / (1 + np.exp(-best))))
         return out
 
 
 def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7) -> Model:
-    """Train embeddings and softmax together: each epoch takes from every text its most toxic span so far, and from clean texts three of them and a random one.
+    """Train embeddings and softmax together. Each epoch takes from every text its TOP most toxic words so far; the first WHOLE epochs take all, or DRAWN.
 
     Without both classes there is nothing to tell apart; every score is then the share of label 1.
     """
@@ -169,23 +168,21 @@ def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7) ->
     for epoch in range(epochs):
         table = emb @ (out[:, 1] - out[:, 0])
         logit = np.add.reduceat(table[bucket], first[:-1]) / n_sub if len(vocabulary) else np.zeros(0)
-        spans, target = [], []
+        bags, target = [], []
         for d, label in zip(docs, y.tolist(), strict=True):
             if not len(d):
                 continue
-            starts = [0] if len(d) <= SPAN else np.append(np.arange(0, len(d) - SPAN, SPAN // 2), len(d) - SPAN)
-            by_logit = np.argsort(-span_means(logit[d]), kind="stable")
-            picks = {int(starts[k]) for k in by_logit[: 1 if label else 3]}
-            if not label or epoch < 2:
-                picks.add(int(starts[rng.integers(len(starts))]))
-            for s in picks:
-                spans.append(d[s : s + SPAN])
-                target.append(label)
-        order = rng.permutation(len(spans))
+            if epoch < WHOLE:
+                bags.append(d if len(d) <= DRAWN else rng.choice(d, DRAWN, replace=False))
+            else:
+                bags.append(d if len(d) <= TOP else d[np.argpartition(logit[d], len(d) - TOP)[-TOP:]])
+            target.append(label)
+        order = rng.permutation(len(bags))
+        size = 32 if epoch < WHOLE else 128
         rate = 0.5 * (1 - epoch / (epochs + 2))
-        for k in range(0, len(order), 128):
-            batch = [spans[i] for i in order[k : k + 128]]
-            t = np.array([target[i] for i in order[k : k + 128]])
+        for k in range(0, len(order), size):
+            batch = [bags[i] for i in order[k : k + size]]
+            t = np.array([target[i] for i in order[k : k + size]])
             flat = np.concatenate(batch)
             row = np.repeat(np.arange(len(batch)), [len(b) for b in batch])
             counts = n_sub[flat]
@@ -194,8 +191,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7) ->
             weight = np.repeat(1.0 / (counts * np.bincount(row)[row]), counts)
             sub_row = np.repeat(row, counts)
             used, inverse = np.unique(sub, return_inverse=True)
-            bag = np.zeros((len(batch), len(used)))
-            np.add.at(bag, (sub_row, inverse), weight)
+            bag = np.bincount(sub_row * len(used) + inverse, weights=weight, minlength=len(batch) * len(used)).reshape(len(batch), len(used))
             hidden = bag @ emb[used]
             z = hidden @ out + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))

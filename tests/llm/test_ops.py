@@ -346,7 +346,7 @@ def test_toxicity(spark, odd):
     rows = toxicity.score(docs, model).where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
     toxic, clean = [r for r in rows if r.toxic == 1], [r.predicted for r in rows if r.toxic == 0]
     marked = [r.predicted for r in toxic if re.search("idiot|moron|stupid|scum|worthless|pathetic", r.text)]
-    assert len(toxic) > 100 and sum(r.predicted for r in toxic) >= 0.65 * len(toxic) and sum(clean) <= 0.05 * len(clean)
+    assert len(toxic) > 100 and sum(r.predicted for r in toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.03 * len(clean)
     assert len(marked) > 40 and sum(marked) >= 0.95 * len(marked)
     found = {r.doc_id: r for r in toxicity.score(odd, model).collect()}
     assert found[1].score == found[2].score == found[3].score == 0 and len(found) == 7
@@ -356,7 +356,7 @@ def test_toxicity(spark, odd):
 
 
 def test_toxicity_scores():
-    """Scores of whole texts against sums over every subword of every word of every span."""
+    """Scores of whole texts against sums over every subword of every word."""
     rng = np.random.default_rng(4)
     table, bias, wrap = rng.normal(size=toxicity.BUCKETS), -0.3, 2**64 - 1
 
@@ -378,10 +378,8 @@ def test_toxicity_scores():
 
     texts = ["", "One, two! (three)", " ".join(f"w{x}" for x in rng.integers(0, 50, 97)), "é" * 150 + " end", "a b " * 6, "x"]
     for text, score in zip(texts, toxicity.Model(table, bias).scores(pa.array(texts)), strict=True):
-        values = [logit(p) for w in text.split() for p in toxicity.pieces(w)]
-        starts = [0] if len(values) <= 12 else [*range(0, len(values) - 12, 6), len(values) - 12]
-        spans = [sum(v) / len(v) for v in (values[a : a + 12] for a in starts) if v]
-        assert score == pytest.approx(1 / (1 + math.exp(-max(spans) - bias)) if spans else 0.0, abs=1e-9)
+        values = sorted(logit(p) for w in text.split() for p in toxicity.pieces(w))[-4:]
+        assert score == pytest.approx(1 / (1 + math.exp(-sum(values) / len(values) - bias)) if values else 0.0, abs=1e-9)
 
 
 def test_toxicity_of_long_tokens():
