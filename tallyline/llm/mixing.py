@@ -56,10 +56,11 @@ def targets(sizes: DataFrame) -> DataFrame:
 ROW = ["row_a", "row_b"]
 
 
-def _named(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` with a 128-bit name of each row's ``columns``, shared by rows alike in them, and a draw by doc_id, text and source."""
-    names = {c: F.xxhash64(*columns, F.lit(seed)) for c, seed in zip(ROW, (SEED, SEED + 1), strict=True)}
-    return docs.withColumns(names | {"draw": F.xxhash64("doc_id", "text", "source", F.lit(SEED + 2))})
+def _named(rows: DataFrame, identity: list) -> DataFrame:
+    """``rows`` with a 128-bit name of each row's ``identity``, shared by rows alike in it, and a draw by doc_id, text and source."""
+    blanks = F.concat(*[F.isnull(c).cast("string") for c in identity])  # a null leaves a hash as it is
+    names = {c: F.xxhash64(*identity, blanks, F.lit(seed)) for c, seed in zip(ROW, (SEED, SEED + 1), strict=True)}
+    return rows.withColumns(names | {"draw": F.xxhash64("doc_id", "text", "source", F.lit(SEED + 2))})
 
 
 def plan(docs: DataFrame) -> DataFrame:
@@ -102,7 +103,8 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def take(docs: DataFrame) -> DataFrame:
     """The mix itself: the rows of ``docs``, as they are, each as often as the plan takes it; of rows alike in all columns, as often as all of them."""
-    named = _named(docs, docs.columns)
-    times = plan(named).select(*ROW, (F.col("full") * F.col("rows") + F.col("more")).alias("times_")).where("times_ > 0")
-    each = named.drop("draw").join(times, ROW).groupBy(*ROW).agg(F.first("times_").alias("times_"), F.first(F.struct(*docs.columns)).alias("row_"))
-    return each.select("row_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times_")))).select("row_.*")
+    packed = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("row"))
+    named = _named(packed, [F.col("row")[c] for c in docs.columns])
+    times = plan(named).select(*ROW, (F.col("full") * F.col("rows") + F.col("more")).alias("times")).where("times > 0")
+    each = named.select(*ROW, "row").join(times, ROW).groupBy(*ROW).agg(F.first("times").alias("times"), F.first("row").alias("row"))
+    return each.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")

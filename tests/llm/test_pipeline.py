@@ -1,31 +1,101 @@
-"""The pipeline, each stage against what its operator's brute-force tests already hold."""
+"""The pipeline: every stage against a plain version in Python, on documents and on odd rows among them."""
+
+import base64
+import hashlib
+from collections import Counter, defaultdict
 
 import corpus_pipeline
+import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from test_jaccard import brute
 
-from tallyline.llm import bpe, jaccard, langid, mixing, toxicity
+from tallyline.llm import langid, mixing, toxicity
 
 DATA = "/root/testdata/sf0.001"
+STEP = dict(corpus_pipeline.STAGES)
+A, B = " ".join(f"the and thing{i}" for i in range(40)), " ".join(f"of that with{i}" for i in range(40))
+ODD = [(9001, None, "en", "s", 1), (9002, "", "en", None, 2), (9003, " \n\t ", None, "s", 3), (9004, "12 34 !?", "en", "s", 4), (9005, A * 90, "en", "t", 5), (9006, A, "en", "s", 6),
+       (9006, A, "en", "s", 6), (9006, B, "en", "s", 6), (None, A + " end", None, None, None), (None, None, None, None, None), (9007, "you idiot, you stupid worthless scum", "en", "s", 7),
+       (9008, "zq" * 40, "en", "s", 8)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Documents, odd rows, and columns named like results."""
+    rows = spark.read.parquet(f"{DATA}/documents.parquet")
+    odd = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string, n_chars long")
+    return rows.select(*odd.columns).unionByName(odd).selectExpr("*", "1 as size", "2 as node", "3 as target", "4 as key", "'x' as draw", "5 as times_").cache()
+
+
+def plain(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def test_language(spark, docs):
+    model = langid.train(docs, lose=corpus_pipeline.LOSE)
+    verdict = {t: model.decided([t or ""])[0] for t in {r.text for r in docs.collect()}}
+    want = Counter(tuple(r) for r in docs.collect() if verdict[r.text][0] != "und" and verdict[r.text][2] >= model.least)
+    got = STEP["language ID"](spark, docs, DATA)
+    assert got.columns == docs.columns and plain(got) == want
+    assert sum(want.values()) > 150 and not {9001, 9002, 9003, 9004} & {r[0] for r in want}
+
+
+def test_toxicity(spark, docs):
+    model = toxicity.train(docs, spark.read.parquet(f"{DATA}/labels.parquet"))
+    want = Counter(tuple(r) for r in docs.collect() if not r.text or model.scores(pa.array([r.text]))[0] < toxicity.THRESHOLD)
+    got = STEP["toxicity"](spark, docs, DATA)
+    assert got.columns == docs.columns and plain(got) == want and {9001, 9002, 9003, 9006} <= {r[0] for r in want}
+
+
+def test_near_duplicates(spark, docs):
+    rows = docs.collect()
+    texts = sorted({r.text for r in rows if (r.text or "").split()})
+    group = brute(list(enumerate(texts)))[0]
+    by_group = defaultdict(list)
+    for r in rows:
+        if (r.text or "").split():
+            by_group[group[texts.index(r.text)][1]].append(r)
+    got = STEP["n-gram Jaccard join"](spark, docs, DATA).collect()
+    blank = lambda rs: Counter(map(tuple, (r for r in rs if not (r.text or "").split())))
+    assert blank(got) == blank(rows) and len(got) == sum(blank(rows).values()) + len(by_group)
+    kept = {group[texts.index(r.text)][1]: r for r in got if (r.text or "").split()}
+    for g, members in by_group.items():
+        ids = [r.doc_id for r in members if r.doc_id is not None]
+        assert kept[g] in members and kept[g].doc_id == (min(ids) if ids else None)
+
+
+def test_mixing(spark, docs):
+    got = STEP["mixing"](spark, docs, DATA)
+    assert got.columns == docs.columns and set(plain(got)) <= set(plain(docs))
+    taken = Counter(r.doc_id for r in mixing.mix(docs).collect() for _ in range(r.epochs))
+    found = Counter(r.doc_id for r in got.collect())
+    assert not found - taken and not taken - found and max(taken.values()) == 9
+
+
+def test_tokens(spark, docs):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    digest = lambda b: hashlib.sha256(b).hexdigest()
+    ids = [(r.doc_id, r.text or "", enc.encode_ordinary(r.text or "")) for r in docs.collect()]
+    want = Counter((d, len(i), digest(np.array(i, "<u4").tobytes()), digest(t.encode())) for d, t, i in ids)
+    assert plain(STEP["byte-level BPE"](spark, docs, DATA).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")) == want
+
+
+def test_run(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, DATA).cache()
+    assert plain(corpus_pipeline.run(spark, DATA)) == plain(corpus_pipeline.STAGES[-1][1](spark, docs, DATA))
 
 
-def test_stages(spark):
-    docs = spark.read.parquet(f"{DATA}/documents.parquet").cache()
-    labels = spark.read.parquet(f"{DATA}/labels.parquet")
-    step = {name: stage for name, stage in corpus_pipeline.STAGES}
-    ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
-    a = step["language ID"](spark, docs, DATA).cache()
-    known = langid.predict(docs, langid.train(docs)).where("lang_pred <> 'und'")
-    assert a.columns == docs.columns and ids(a) == ids(known)
-    b = step["toxicity"](spark, a, DATA).cache()
-    assert b.columns == docs.columns and ids(b) == ids(toxicity.score(a, toxicity.train(a, labels)).where("predicted = 0"))
-    c = step["n-gram Jaccard join"](spark, b, DATA).cache()
-    groups = jaccard.join_components(b).collect()
-    assert c.columns == docs.columns and ids(c) == sorted({r.component_id for r in groups})
-    d = step["mixing"](spark, c, DATA).cache()
-    assert d.columns == docs.columns and ids(d) == sorted(r.doc_id for r in mixing.mix(c).collect() for _ in range(r.epochs))
-    e = step["byte-level BPE"](spark, d, DATA)
-    assert sorted(map(tuple, e.collect())) == sorted(map(tuple, bpe.round_trip(d, P.path("byte_bpe_multi_50k.tiktoken")).collect()))
-    assert corpus_pipeline.run(spark, DATA).count() == d.count()
+@pytest.mark.parametrize("name", list(STEP))
+def test_empty(spark, docs, name):
+    out = STEP[name](spark, docs.where(F.lit(False)), DATA)
+    assert out.count() == 0 and (name == "byte-level BPE" or out.columns == docs.columns)
 
 
 def test_near_duplicates_of_odd_ids(spark):
