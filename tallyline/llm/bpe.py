@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from tallyline.llm.words import Cache, gather, indexed, steps
+from tallyline.llm.words import Cache, gather, held, in_turn, indexed, steps
 
 #: No token: padding, and the rank of a pair that does not merge.
 NONE = np.int64(1) << 40
@@ -219,6 +219,7 @@ class ByteBpe:
 
 
 _loaded: dict[tuple[str, str], ByteBpe] = {}
+held(_loaded.clear)
 
 
 def loaded(path: str, pattern: str) -> ByteBpe:
@@ -236,6 +237,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATT
     ``path`` on every executor.
     """
 
+    @in_turn("bpe")
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
         for batch in batches:
@@ -258,6 +260,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATT
 def encode_ids(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """The ids themselves: doc_id and ids (array of int) for each row, nulls as in :func:`round_trip`."""
 
+    @in_turn("bpe")
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
         for batch in batches:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import cut, discard
-from tallyline.llm.words import steps
+from tallyline.llm.words import in_turn, steps
 
 SHINGLE = 5
 #: A token is frequent in at least this many nodes, if it is among the TABLE most frequent; so there are at most TABLE.
@@ -245,6 +245,7 @@ def frequent_tokens(docs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray
     parts = total // COUNT_GROUP + 1
     edges = (np.arange(1, parts) * 2**32 // parts).astype(np.uint32)
 
+    @in_turn("jaccard")
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         seen: set[int] = set()
@@ -284,6 +285,7 @@ def row_key() -> Column:
 def described(docs: DataFrame) -> DataFrame:
     """key, doc_id, n, node, bits for each row."""
 
+    @in_turn("jaccard")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, 2, STEP):
@@ -304,6 +306,7 @@ def rare_entries(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFra
     """
     known = docs.sparkSession.sparkContext.broadcast(frequent)  # at most TABLE numbers
 
+    @in_turn("jaccard")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -326,6 +329,7 @@ def heavy_entries(sets: DataFrame, frequent: np.ndarray, threes: np.ndarray, per
     """sig, node, n, h: a row for each combination of frequent tokens of each set (node, tokens); h is the number of its frequent tokens."""
     known = sets.sparkSession.sparkContext.broadcast((frequent, threes))
 
+    @in_turn("jaccard")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.column(1).offsets.to_numpy()
@@ -343,6 +347,7 @@ def heavy_entries(sets: DataFrame, frequent: np.ndarray, threes: np.ndarray, per
 def token_sets(docs: DataFrame) -> DataFrame:
     """node and its tokens for each row."""
 
+    @in_turn("jaccard")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, 0, STEP):

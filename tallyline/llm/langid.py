@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import cut, discard, fold, marked, sample_per_class
-from tallyline.llm.words import steps
+from tallyline.llm.words import in_turn, steps
 
 #: n-gram orders of the spectrum, and the number of cells that n-grams are hashed into.
 ORDERS, CELLS = (1, 2, 3), 1 << 15
@@ -135,6 +135,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row; ``und`` with score 0 where a text is null or has no letter."""
     langs, folded, intercept = model.langs, model.folded, model.intercept
 
+    @in_turn("langid")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(langs, np.zeros((0, CELLS), np.float32), np.zeros((0, 0)), intercept)
         own.folded = folded
@@ -158,6 +159,7 @@ def filter_known(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame
     langs, folded, intercept, reached = model.langs, model.folded, model.intercept, model.least
     at = docs.columns.index("text")
 
+    @in_turn("langid")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(langs, np.zeros((0, CELLS), np.float32), np.zeros((0, 0)), intercept)
         own.folded = folded

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import cut, new_path
-from tallyline.llm.words import steps
+from tallyline.llm.words import held, in_turn, steps
 
 #: A unit of letters or of marks alone, which the library takes as one; lower case but for what only the library lowers.
 PLAIN = re.compile(r"[a-zÀ-ÖØ-öø-ÿ]+|[!-&(-/:-@\[-`{-~]+")
@@ -190,6 +190,7 @@ class WordTokenizer:
 
 
 _loaded: dict[str, WordTokenizer] = {}
+held(_loaded.clear)
 
 
 def loaded(path: str) -> WordTokenizer:
@@ -206,6 +207,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
     """
     end = [] if end_id is None else [end_id]
 
+    @in_turn("token_files")
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, file, before = loaded(path), TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -254,6 +256,7 @@ def digest(rows: DataFrame) -> DataFrame:
     Those totals are one small row a file.
     """
 
+    @in_turn("token_files")
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(1)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import fold, marked, sample_per_class
-from tallyline.llm.words import Cache, indexed, steps
+from tallyline.llm.words import Cache, in_turn, indexed, steps
 
 #: Hash buckets of subwords, size of an embedding, words that a document is scored by.
 BUCKETS, DIM, TOP = 1 << 17, 12, 4
@@ -231,6 +231,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted for every row; texts without a token (null, empty) score 0; repeated rows stay."""
     table, bias = model.table.astype(np.float32), model.bias
 
+    @in_turn("toxicity")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(table, bias)
         for batch in batches:
@@ -250,6 +251,7 @@ def filter_clean(docs: DataFrame, model: Model) -> DataFrame:
     table, bias = model.table.astype(np.float32), model.bias
     at = docs.columns.index("text")
 
+    @in_turn("toxicity")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(table, bias)
         for batch in batches:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +15,43 @@ import pyarrow.compute as pc
 STEP_BYTES = 6_000_000
 
 
+_turn: dict[str, str] = {}
+_forget: list[Callable[[], None]] = []
+
+
+def held(forget: Callable[[], None]) -> None:
+    """Register how to drop what a module keeps in a worker from task to task."""
+    _forget.append(forget)
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers live on between tasks, and theirs counts against the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def in_turn(owner: str):
+    """For functions over the batches of a task: a worker drops what other operators keep before one takes its turn, and tidies up after a task."""
+
+    def wrap(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+        @functools.wraps(run)
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if _turn.get("now") != owner:
+                for forget in _forget:
+                    forget()
+                _turn["now"] = owner
+                release()
+            yield from run(batches)
+            release()
+
+        return task
+
+    return wrap
+
+
 def steps(batch: pa.RecordBatch, text: int, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about ``most`` bytes of text each; a longer row stands alone. The text column is filled with ''."""
     column = batch.column(text)
