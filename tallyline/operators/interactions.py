@@ -82,7 +82,7 @@ def feed_stats(daily: DataFrame, last: Column, days: int) -> DataFrame:
 
 
 def fixed_window_verdicts(requests: DataFrame, limit: int, seconds: int = 60) -> DataFrame:
-    """client, ts, request_id, allowed, remaining: a window begins with a client's first request after the last window's end.
+    """client, ts, request_id, allowed, remaining, retry_after (whole seconds to the window's end): a window begins with a client's first request after the last window's end.
 
     A fold over each client's requests in order: clients are dealt to partitions and sorted there, and a pass over the sorted
     batches carries one window start and one count, so memory does not grow with a client's requests.
@@ -91,15 +91,16 @@ def fixed_window_verdicts(requests: DataFrame, limit: int, seconds: int = 60) ->
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client, start, k = None, None, 0
         for rows in batches:
-            place = []
+            place, wait = [], []
             for c, t in zip(rows.client, rows.t_, strict=True):
                 if c != client or start is None or t - start >= seconds * 1_000_000:
                     client, start, k = c, t, 0
                 k += 1
                 place.append(k)
+                wait.append(max(1, -((t - start - seconds * 1_000_000) // 1_000_000)))
             k_ = pd.Series(place, index=rows.index, dtype="int64")
-            yield rows.drop(columns="t_").assign(allowed=k_ <= limit, remaining=(limit - k_).clip(lower=0))
+            yield rows.drop(columns="t_").assign(allowed=k_ <= limit, remaining=(limit - k_).clip(lower=0), retry_after=wait)
 
     rows = requests.select(F.coalesce("client", F.lit("-")).alias("client"), F.col("ts").cast("timestamp").alias("ts"), "request_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_"))
     dealt = rows.repartition("client").sortWithinPartitions("client", "ts", "request_id")
-    return dealt.mapInPandas(fold, "client string, ts timestamp, request_id long, allowed boolean, remaining long")
+    return dealt.mapInPandas(fold, "client string, ts timestamp, request_id long, allowed boolean, remaining long, retry_after long")

@@ -345,11 +345,12 @@ _add("client_hashes", lambda s, d: B.sql(s, d, B.CLICKS).select("client_id", F.t
      f"""select distinct client_id, ts::date as day, substr(sha256('salt:' || ts::date::varchar || ':' || client_id), 1, 20) as hash, regexp_extract(ip, '^[0-9]+\\.[0-9]+') as net from ({B.duck(B.CLICKS)})""")
 _add("fixed_window_verdicts", lambda s, d: I.fixed_window_verdicts(
         s.read.parquet(f"{d}/events.parquet").select(F.concat(F.lit("c"), (F.col("user_id") % 20).cast("string")).alias("client"), "ts", F.col("event_id").alias("request_id")), 3, 86_400)
-        .select("client", "request_id", "allowed", "remaining"),
+        .select("client", "request_id", "allowed", "remaining", "retry_after"),
      """with recursive e as (select 'c' || (user_id % 20) as client, epoch_us(ts) as t, event_id as request_id, row_number() over (partition by user_id % 20 order by ts, event_id) as r from events),
      w as (select client, t, request_id, r, t as s, 1 as k from e where r = 1 union all select e.client, e.t, e.request_id, e.r, case when e.t - w.s >= 86400000000 then e.t else w.s end,
      case when e.t - w.s >= 86400000000 then 1 else w.k + 1 end from w join e on e.client = w.client and e.r = w.r + 1)
-     select client, request_id, k <= 3 as allowed, greatest(3 - k, 0)::bigint as remaining from w""")
+     select client, request_id, k <= 3 as allowed, greatest(3 - k, 0)::bigint as remaining,
+     greatest(1, ceil((s + 86400000000 - t) / 1e6))::bigint as retry_after from w""")
 
 # ---------------------------------------------------------------- postings
 

@@ -81,8 +81,37 @@ def publish_table(df: DataFrame, path: str, columns: list[str], order: list[str]
         rows.write.mode("overwrite").json(path)
 
 
-def load_serving_table(df: DataFrame, path: str, key: list[str], integers: list[str]) -> None:
-    """Replace a serving table: blanks null (0 in ``integers``, where other text fails the load), keys unique."""
+def publish_day_summary(daily: DataFrame, path: str) -> None:
+    """A day summary (day, axis, key, n) as one JSON text, days and keys in order: what :func:`read_day_summary` reads.
+
+    One small struct a publication day; there are a few hundred in a year.
+    """
+    each = lambda axis: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("axis") == axis, F.struct("key", "n")))))
+    days = daily.groupBy("day").agg(
+        F.sum(F.when(F.col("axis") == "total", F.col("n"))).alias("records"), each("process").alias("process_codes"), each("kind").alias("kind_codes"),
+        each("prefecture").alias("prefectures"),
+    )
+    entry = F.struct(F.col("day").cast("string").alias("day"), F.struct("records", "process_codes", "kind_codes", "prefectures").alias("v"))
+    in_order = F.array_sort(F.collect_list(entry), lambda a, b: F.when(a["day"] < b["day"], -1).when(a["day"] > b["day"], 1).otherwise(0))  # maps have no order
+    text = days.agg(F.map_from_entries(in_order).alias("days")).select(F.to_json(F.struct("days")).alias("value"))
+    text.coalesce(1).write.mode("overwrite").text(path)
+
+
+def publish_manifest(manifest: DataFrame, path: str, columns: list[str]) -> None:
+    """The rows of a manifest that are ok, in the columns that may be published, ordered by the first of them."""
+    publish_table(manifest.where(F.coalesce(F.trim("status"), F.lit("")).isin("ok", "")), path, columns, columns[:1])
+
+
+def replace_files(store: DataFrame, issued: DataFrame) -> DataFrame:
+    """A store's rows after files came again: rows of a file (file_key) that is issued anew give way to its new ones."""
+    return store.join(issued.select("file_key").distinct(), "file_key", "left_anti").unionByName(issued, allowMissingColumns=True)
+
+
+def load_serving_table(df: DataFrame, path: str, key: list[str], integers: list[str], log: str | None = None) -> int:
+    """Replace a serving table: blanks null (0 in ``integers``, where other text fails the load), keys unique; the number of rows.
+
+    The new table is built beside the old one and then takes its place. ``log`` is a run log that gets a row about the load.
+    """
     typed = df
     for c in integers:
         text = F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
@@ -90,7 +119,10 @@ def load_serving_table(df: DataFrame, path: str, key: list[str], integers: list[
         typed = typed.withColumn(c, F.when(text == "", F.lit(0)).when(text.rlike("^-?[0-9]+$"), text.cast("long")).otherwise(bad))
     if not typed.groupBy(*key).count().where("count > 1").isEmpty():
         raise ValueError(f"{key} is not unique")
-    typed.write.mode("overwrite").parquet(path)
+    n = rebuild(typed, path, 0)
+    if log is not None:
+        append_run_log(df.sparkSession, log, {"table": path, "rows": n, "key": ",".join(key)})
+    return n
 
 
 def append_run_log(spark: SparkSession, path: str, row: dict) -> None:

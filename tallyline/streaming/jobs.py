@@ -34,6 +34,12 @@ def daily_counts_stream(events: DataFrame, keys: list[str], ts: str = "ts") -> D
     return rows.select(F.to_date("w.start").alias("day"), *keys, F.col("count").alias("n"))
 
 
+def start_daily_counts(events: DataFrame, keys: list[str], path: str, checkpoint: str, every: str | None = None):
+    """Run the counts into a Parquet folder: a day is appended once the watermark has passed it. Without ``every``, what is there now."""
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return daily_counts_stream(events, keys).writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger).format("parquet").start(path)
+
+
 def update_day_summary(path: str):
     """For foreachBatch: the days of a batch replace those of the summary at ``path``; other days stay."""
 
@@ -99,9 +105,10 @@ class FixedWindow(StatefulProcessor):
             if start is None or r.t - start >= self.seconds * 1_000_000:
                 start, n = int(r.t), 0
             n += 1
-            out.append((key[0], r.request_id, n <= self.limit, max(self.limit - n, 0)))
+            wait = max(1, -((int(r.t) - start - self.seconds * 1_000_000) // 1_000_000))
+            out.append((key[0], r.request_id, n <= self.limit, max(self.limit - n, 0), wait))
         self.window.update((start, n))
-        yield pd.DataFrame(out, columns=["client", "request_id", "allowed", "remaining"])
+        yield pd.DataFrame(out, columns=["client", "request_id", "allowed", "remaining", "retry_after"])
 
     def close(self) -> None:
         pass
@@ -111,4 +118,4 @@ def window_verdicts(requests: DataFrame, limit: int = 60, seconds: int = 60) ->
     """Verdict of each request of a stream (client, ts, request_id) in windows that begin with a client's first request."""
     processor = type("Window", (FixedWindow,), {"limit": limit, "seconds": seconds})()
     rows = requests.select(F.col("client"), F.col("request_id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
-    return rows.groupBy("client").transformWithStateInPandas(processor, "client string, request_id long, allowed boolean, remaining int", "Append", "None")
+    return rows.groupBy("client").transformWithStateInPandas(processor, "client string, request_id long, allowed boolean, remaining int, retry_after long", "Append", "None")

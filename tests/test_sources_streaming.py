@@ -44,11 +44,59 @@ def test_rebuild_and_serving(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5
     sinks.load_serving_table(spark.createDataFrame([("a", "1"), ("b", "")], "k string, n string"), str(tmp_path / "s"), ["k"], ["n"])
     assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "s")).collect()) == [0, 1]
+    assert sinks.load_serving_table(spark.createDataFrame([("a", "7")], "k string, n string"), str(tmp_path / "s"), ["k"], ["n"], str(tmp_path / "loads")) == 1
+    assert [r.n for r in spark.read.parquet(str(tmp_path / "s")).collect()] == [7] and sinks.read_run_log(spark, str(tmp_path / "loads")).first().rows == "1"
     sinks.append_run_log(spark, str(tmp_path / "log"), {"run": 1, "ok": True})
     sinks.append_run_log(spark, str(tmp_path / "log"), {"run": 2, "error": "e"})
     assert sinks.read_run_log(spark, str(tmp_path / "log")).count() == 2
 
 
+def test_registry_files(spark, tmp_path):
+    cells = [f"c{i}" for i in range(30)]
+    (tmp_path / "d.csv").write_text(",".join(f'"{c}"' for c in cells) + "\r\n" + ",".join(f'"{c}"' for c in cells[:10]) + "\r\n", "utf-8")
+    rows = readers.read_registry_diff(spark, str(tmp_path / "d.csv")).collect()
+    assert len(rows) == 1 and len(rows[0]) == 24 and (rows[0].name_image_id, rows[0].kind_code, rows[0].hidden_flag) == ("c7", "c8", "c29") and "c16" not in rows[0]
+    base = readers.read_registry_baseline(spark, str(tmp_path / "d.csv"), "s", "2026-01-01").first()
+    assert base.asDict() == {"corporate_number": "c1", "prefecture_code": "c13", "prefecture": "c9", "city": "c10", "kind_code": "c8", "close_date": "c18", "source_id": "s", "retrieved_at": "2026-01-01"}
+    (tmp_path / "m.csv").write_text("day,status\n1,ok\n2,\n3,failed\n")
+    manifest = spark.read.csv(str(tmp_path / "m.csv"), header=True)
+    assert [r.day for r in readers.read_manifest(spark, str(tmp_path / "m.csv")).collect()] == ["1", "2"]
+    sinks.publish_manifest(manifest, str(tmp_path / "pm"), ["day"])
+    assert [r.day for r in spark.read.csv(str(tmp_path / "pm"), header=True).collect()] == ["1", "2"]
+    store = spark.createDataFrame([("a", 1), ("b", 2)], "file_key string, x int")
+    assert sorted(map(tuple, sinks.replace_files(store, store.where("file_key = 'a'").withColumn("x", F.lit(9))).collect())) == [("a", 9), ("b", 2)]
+
+
+def test_day_summary_round_trip(spark, tmp_path):
+    daily = bindings.daily(spark, DATA)
+    sinks.publish_day_summary(daily, str(tmp_path / "days"))
+    back = readers.read_day_summary(spark, str(tmp_path / "days"))
+    cols = ["day", "axis", "key", "n"]
+    assert back.select(cols).exceptAll(daily.select(cols)).isEmpty() and daily.select(cols).exceptAll(back.select(cols)).isEmpty()
+    assert len(list((tmp_path / "days").glob("part-*"))) == 1
+
+
+def test_stats_table(spark, tmp_path):
+    rows = spark.createDataFrame([(2024, "b", 3, None), (2023, "a", 1, "x")], "fiscal_year int, sector string, n int, note string")
+    sinks.publish_table(rows, str(tmp_path / "s"), ["fiscal_year", "sector", "n", "note"], ["fiscal_year"])
+    back = readers.read_stats(spark, str(tmp_path / "s"), "fiscal_year int, sector string, n int, note string", ["sector"])
+    assert [tuple(r) for r in back.orderBy("fiscal_year").collect()] == [(2023, "a", 1, "x"), (2024, "b", 3, None)]
+    with pytest.raises(ValueError, match="missing"):
+        readers.read_stats(spark, str(tmp_path / "s"), "fiscal_year int", ["nothing"])
+    assert sorted(r.id for r in sinks.drop_expired(spark.range(3).withColumn("day", F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int"))), "day", "2026-02-06").collect()) == [2]
+
+
+def test_daily_counts_stream(spark, tmp_path):
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    events.write.parquet(str(tmp_path / "in"))
+    stream = jobs.ingest_stream(spark, str(tmp_path / "in"), events.schema.simpleString()[7:-1].replace(":", " "))
+    jobs.start_daily_counts(stream, ["event_type"], str(tmp_path / "out"), str(tmp_path / "at")).awaitTermination(120)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    want = events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"))
+    last = events.agg(F.max(F.to_date("ts"))).first()[0]
+    assert got.exceptAll(want).isEmpty() and want.where(F.col("day") < F.lit(last)).exceptAll(got).isEmpty()
+
+
 def run(stream, tmp_path, name, mode="append"):
     out = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
     out.awaitTermination(120)
@@ -91,6 +139,6 @@ def test_window_verdicts_equal_batch(spark, tmp_path):
     events = spark.read.parquet(f"{DATA}/events.parquet").select(F.concat(F.lit("c"), F.col("user_id") % 5).alias("client"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("request_id"))
     events.write.parquet(str(tmp_path / "req"))
     stream = jobs.ingest_stream(spark, str(tmp_path / "req"), "client string, ts timestamp, request_id long")
-    got = run(jobs.window_verdicts(stream, 3, 86_400), tmp_path, "verdicts").select("request_id", "allowed", F.col("remaining").cast("long"))
-    want = interactions.fixed_window_verdicts(events, 3, 86_400).select("request_id", "allowed", "remaining")
+    got = run(jobs.window_verdicts(stream, 3, 86_400), tmp_path, "verdicts").select("request_id", "allowed", F.col("remaining").cast("long"), "retry_after")
+    want = interactions.fixed_window_verdicts(events, 3, 86_400).select("request_id", "allowed", "remaining", "retry_after")
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
