@@ -67,13 +67,14 @@ def month_shares(awards: DataFrame) -> DataFrame:
 def sextile_class(df: DataFrame, col: str) -> DataFrame:
     """class 1 to 6 by five cut values (at ranks n*k/6), 0 for null: 1 and the number of cuts at or below the value.
 
-    Equal values share a class, which ntile would not grant. The cuts are one row.
+    Equal values share a class, which ntile would not grant. Values are counted first, so what one task orders is a row a distinct
+    value. The cuts are one row.
     """
-    ranked = df.where(F.col(col).isNotNull()).select(F.col(col).alias("v"))
-    w = Window.orderBy("v")
-    ranked = ranked.withColumn("r", F.row_number().over(w) - 1).withColumn("n", F.count("*").over(Window.partitionBy()))
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count("*").alias("times"))
+    upto = F.sum("times").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counts.withColumn("upto", upto).join(F.broadcast(counts.agg(F.sum("times").alias("n"))))
     at = [F.least(F.col("n") - 1, F.floor(F.col("n") * k / 6)) for k in range(1, 6)]
-    cuts = ranked.agg(F.array(*[F.max(F.when(F.col("r") == a, F.col("v"))) for a in at]).alias("cuts"))
+    cuts = ranked.agg(F.array(*[F.min(F.when(F.col("upto") > a, F.col("v"))) for a in at]).alias("cuts"))
     value = F.col(col)
     cls = F.when(value.isNull(), 0).otherwise(F.size(F.filter("cuts", lambda c: c <= value)) + 1)
     return df.join(F.broadcast(cuts)).withColumn("class", cls).drop("cuts")

@@ -28,9 +28,10 @@ AWARDS = f"""
 select l.l_orderkey * 10 + l.l_linenumber as arrival, concat(cast(l.l_orderkey as string), '-', cast(l.l_linenumber as string)) as item_no,
        case when p.p_partkey % 11 = 0 then concat('医療法人社団 ', p.p_name) when p.p_partkey % 13 = 0 then concat('{{{{', p.p_name, '}}}}') else p.p_name end as title, cast(l.l_shipdate as date) as award_date, cast(cast(l.l_extendedprice as decimal(15, 2)) as string) as price,
        p.p_type as ministry_cd, concat(p.p_type, '/', p.p_brand) as sector, o.o_orderpriority as method_cd, c.c_name as winner_name,
-       case when c.c_acctbal < 0 then '' else {number("c.c_custkey", "c.c_custkey % 37 = 0")} end as corporate_number,
-       l.l_discount as award_ratio
-from {{lineitem}} l join {{orders}} o on l.l_orderkey = o.o_orderkey join {{customer}} c on o.o_custkey = c.c_custkey
+       c.corporate_number, l.l_discount as award_ratio
+from {{lineitem}} l join {{orders}} o on l.l_orderkey = o.o_orderkey join (
+       select c_custkey, c_name, case when c_acctbal < 0 then '' else {number("c_custkey", "c_custkey % 37 = 0")} end as corporate_number from {{customer}}
+     ) c on o.o_custkey = c.c_custkey
      join {{part}} p on l.l_partkey = p.p_partkey"""
 BASELINE = f"""
 select {number("c.c_custkey", "c.c_custkey % 37 = 0")} as corporate_number, lpad(cast(n.n_nationkey + 1 as string), 2, '0') as prefecture_code,

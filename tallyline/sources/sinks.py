@@ -39,7 +39,7 @@ def _merge(df: DataFrame, path: str, partition: str, dedup, sort: str) -> None:
     rows = df
     if exists(spark, path):
         touched = df.select(partition).distinct()
-        rows = spark.read.parquet(path).join(F.broadcast(touched), partition, "left_semi").unionByName(df, allowMissingColumns=True)
+        rows = spark.read.parquet(path).join(touched, partition, "left_semi").unionByName(df, allowMissingColumns=True)
     staged = f"{path}.staged-{uuid.uuid4().hex}"
     dedup(rows).sortWithinPartitions(partition, sort).write.partitionBy(partition).parquet(staged)
     fresh = spark.read.parquet(staged)
