@@ -14,7 +14,7 @@ from tallyline.llm.common import WORD_GAP, cut
 #: Weights of the sources in order of their names, repeating; and how often a source's size its target may be.
 WEIGHTS, MOST_EPOCHS = (1, 2, 3), 3
 #: Rows to a range of the sampling key, about, if all rows were of one source; so no task sorts a whole source.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 4_000
 SEED = 17
 
 
