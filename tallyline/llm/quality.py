@@ -14,11 +14,12 @@ from tallyline.llm.common import words
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 #: Rules in the order of their bits. The first two are the base; they hold whatever the policy.
-RULES = ["few_words", "repeated_words", "symbols", "repeated_lines", "word_length", "shouting", "few_letters"]
-#: Versioned policies: the rules whose failure rejects a document.
+RULES = ["few_words", "repeated_words", "symbols", "repeated_lines", "word_length", "shouting", "few_letters", "repeated_lines_30"]
+#: Versioned policies: the rules whose failure rejects a document. 3 is the first form of 2: it allows 30 % of repeated lines, not 60 %.
 POLICIES = {
     1: ["few_words", "repeated_words"],
     2: ["few_words", "repeated_words", "symbols", "repeated_lines", "word_length", "shouting", "few_letters"],
+    3: ["few_words", "repeated_words", "symbols", "repeated_lines_30", "word_length", "shouting", "few_letters"],
 }
 CURRENT = 2
 
@@ -93,6 +94,7 @@ def ledger(docs: DataFrame) -> DataFrame:
         "word_length": (chars < 2 * n) | (chars > 15 * n),
         "shouting": 2 * F.col("n_upper_words") > n,
         "few_letters": 2 * F.col("n_letters") < chars,
+        "repeated_lines_30": 100 * F.col("n_dup_lines") > 30 * F.col("n_lines"),
     }
     bits = sum((F.when(failed[r], F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(RULES)), F.lit(0))
     return measured.withColumn("failed_bits", bits.cast("long"))
@@ -151,8 +153,9 @@ w as (
 ), b as (
   select *, (n_words < 50)::bigint + 2 * (100 * n_repeat_words > 50 * n_words)::bigint + 4 * (10 * n_symbols > n_words)::bigint
             + 8 * (100 * n_dup_lines > 60 * n_lines)::bigint + 16 * (word_chars < 2 * n_words or word_chars > 15 * n_words)::bigint
-            + 32 * (2 * n_upper > n_words)::bigint + 64 * (2 * n_letters < word_chars)::bigint as failed_bits
+            + 32 * (2 * n_upper > n_words)::bigint + 64 * (2 * n_letters < word_chars)::bigint
+            + 128 * (100 * n_dup_lines > 30 * n_lines)::bigint as failed_bits
   from m
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & 3) <> 0 as base_failed,
-       failed_bits = 0 as kept, failed_bits from b"""
+       (failed_bits & 127) = 0 as kept, failed_bits from b"""
