@@ -46,14 +46,39 @@ def project_clearance(matrix: DataFrame, licences: dict[str, str], robots: dict[
     return matrix.withColumns({"licence_class": word("license", licences), "robots_class": word("robots_ok", robots), "url": url})
 
 
-def audit_surfaces(docs: DataFrame, markers: list[str], must: dict[str, str]) -> DataFrame:
-    """doc_id and missing: for each text that has a marker, the notes (name -> pattern) that it lacks, one row each."""
+def figure_pattern(figures: list[int]) -> str | None:
+    """A pattern for figures as they are written, with and without separators; figures below 1,000 are too common to tell. None without any."""
+    large = sorted({f for f in figures if f >= 1000})
+    return "|".join(rf"(?<![\d,]){f:,}(?![\d,])|(?<!\d){f}(?!\d)" for f in large) or None
+
+
+def audit_surfaces(docs: DataFrame, markers: list[str], must: dict[str, str], figures: list[int] | None = None, is_json: Column | None = None) -> DataFrame:
+    """doc_id and missing: for each text that has a marker or a headline figure, the notes (name -> pattern) that it lacks, one row each.
+
+    Of texts that are JSON only the values count for a note, not the names of fields.
+    """
     text = F.coalesce("text", F.lit(""))
-    found = docs.where(text.rlike("|".join(markers)))
-    lacking = F.filter(F.array(*[F.when(~text.rlike(p), F.lit(n)) for n, p in must.items()]), lambda x: x.isNotNull())
+    found = docs.where(text.rlike("|".join([*markers, *filter(None, [figure_pattern(figures or [])])])))
+    said = text if is_json is None else F.when(is_json, json_values(text)).otherwise(text)
+    lacking = F.filter(F.array(*[F.when(~said.rlike(p), F.lit(n)) for n, p in must.items()]), lambda x: x.isNotNull())
     return found.select("doc_id", F.explode(lacking).alias("missing"))
 
 
+def audit_size(pages: DataFrame, most_bytes: int = 50 << 20) -> DataFrame:
+    """One row about all pages: their bytes, the largest page and its bytes, and whether the whole is too large."""
+    size = F.coalesce(F.octet_length("html"), F.lit(0)).cast("long")
+    largest = F.max(F.struct(size.alias("n"), "page_id"))
+    out = pages.agg(F.coalesce(F.sum(size), F.lit(0)).alias("total_bytes"), largest.alias("l"))
+    return out.select("total_bytes", F.col("l.page_id").alias("largest_page"), F.col("l.n").alias("largest_bytes"), (F.col("total_bytes") > most_bytes).alias("too_large"))
+
+
+def audit_classes(pages: DataFrame, rules: dict[str, dict[str, str]]) -> DataFrame:
+    """page_id and problem: for each page of a class (column page_class), the marks (problem -> pattern) of its class that it lacks."""
+    html = F.coalesce("html", F.lit(""))
+    lacks = [F.when((F.col("page_class") == c) & ~html.rlike(p), F.lit(name)) for c, own in rules.items() for name, p in own.items()]
+    return pages.select("page_id", F.explode(F.filter(F.array(*lacks), lambda x: x.isNotNull())).alias("problem"))
+
+
 def audit_pages(pages: DataFrame, most_bytes: int = 100_000) -> DataFrame:
     """page_id and problem: too_large, no_title, no_description, mail_link, form, email_text; one row for each."""
     html = F.coalesce("html", F.lit(""))

@@ -473,6 +473,14 @@ _add("audit_pages", lambda s, d: G.audit_pages(s.read.parquet(f"{d}/pages.parque
 _add("audit_surfaces", lambda s, d: G.audit_surfaces(s.read.parquet(f"{d}/documents.parquet"), ["(?i)licen[sc]ed", "rights reserved"], {"version": r"\d\.\d", "apache": "Apache"}),
      r"""with t as (select doc_id, coalesce(text, '') as t from documents), f as (select * from t where regexp_matches(t, '(?i)licen[sc]ed') or contains(t, 'rights reserved'))
      select doc_id, 'version' as missing from f where not regexp_matches(t, '[0-9]\.[0-9]') union all select doc_id, 'apache' from f where not contains(t, 'Apache')""")
+_add("audit_size", lambda s, d: G.audit_size(s.read.parquet(f"{d}/pages.parquet"), 1 << 20),
+     """select sum(octet_length(encode(html)))::bigint as total_bytes, arg_max(page_id, (octet_length(encode(html)), page_id)) as largest_page, max(octet_length(encode(html)))::bigint as largest_bytes,
+     sum(octet_length(encode(html))) > 1048576 as too_large from pages""")
+_add("audit_classes", lambda s, d: G.audit_classes(s.read.parquet(f"{d}/pages.parquet").withColumn("page_class", F.regexp_extract("url", "/(en|de)/", 1)),
+        {"en": {"no_heading": "<h1"}, "de": {"no_link": "<a ", "no_paragraph": "<p"}}),
+     """select page_id, 'no_heading' as problem from pages where regexp_extract(url, '/(en|de)/', 1) = 'en' and not contains(html, '<h1')
+     union all select page_id, 'no_link' from pages where regexp_extract(url, '/(en|de)/', 1) = 'de' and not contains(html, '<a ')
+     union all select page_id, 'no_paragraph' from pages where regexp_extract(url, '/(en|de)/', 1) = 'de' and not contains(html, '<p')""")
 _add("page_links", lambda s, d: G.extract_links(s.read.parquet(f"{d}/pages.parquet")),
      r"""with a as (select page_id, url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href=["'']([^"''#]*)[^>]*>(.*?)</a>')) as a from pages),
      b as (select page_id, url, trim(regexp_extract(a, '(?is)href=["'']([^"''#]*)', 1)) as href, trim(regexp_replace(regexp_replace(regexp_extract(a, '(?is)<a\s[^>]*?href=["''][^"''#]*[^>]*>(.*?)</a>', 1),

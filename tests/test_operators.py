@@ -252,3 +252,15 @@ def test_pending_and_axes(spark):
     cells = spark.createDataFrame([(2025, "b", "x", 1, 0), (2024, "b", "x", 0, 1), (2025, "a", "x", 0, 0)], "fiscal_year int, sector string, prefecture string, prefecture_idx int, sector_idx int")
     assert [(r.fiscal_year, r.sector) for r in awards.order_stats(cells).collect()] == [(2024, "b"), (2025, "a"), (2025, "b")]
     assert [(r.fiscal_year, r.sector) for r in awards.order_compact(cells).collect()] == [(2024, "b"), (2025, "a"), (2025, "b")]
+
+
+def test_audits(spark):
+    must = {"source": "出典", "notice": "(?i)加工|modified"}
+    docs = spark.createDataFrame([(1, "出典：x", False), (2, "about 313,568 awards", False), (3, "about 1313568 awards or 404", False), (4, '{"modified": "no", "n": "313568"}', True),
+                                  (5, '{"a": "出典：x, modified", "n": 313568}', True), (6, None, False)], "doc_id int, text string, js boolean")
+    rows = governance.audit_surfaces(docs, ["出典："], must, [313568, 404], F.col("js")).collect()
+    assert sorted(map(tuple, rows)) == [(1, "notice"), (2, "notice"), (2, "source"), (4, "notice"), (4, "source")]
+    pages = spark.createDataFrame([(1, "data", '{"@type":"Dataset"}'), (2, "data", "x" * 50), (3, "article", '"@type":"Article"'), (4, "other", None)], "page_id int, page_class string, html string")
+    found = governance.audit_classes(pages, {"data": {"no_dataset": '"@type":"(Dataset|DataCatalog)"'}, "article": {"no_article": '"@type":"Article"', "no_button": 'data-intent="'}})
+    assert sorted(map(tuple, found.collect())) == [(2, "no_dataset"), (3, "no_button")]
+    assert tuple(governance.audit_size(pages, 60).first()) == (86, 2, 50, True) and governance.audit_size(pages.where("false")).first().total_bytes == 0
