@@ -55,15 +55,16 @@ def block_top(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.Dat
             at, weight = postings[d]
             for i in np.flatnonzero(part[:, d]):
                 scores[i, at] += part[i, d] * weight
-        for own_id, row in zip(part_ids.tolist(), scores, strict=True):
-            a, b = np.searchsorted(ids, [own_id, own_id + 1])
-            col = np.arange(n) if a == b else np.concatenate([np.arange(a), np.arange(b, n)])
-            mine = row[col]
-            if len(col) > k:
-                best = np.flatnonzero(mine >= np.partition(mine, len(col) - k)[len(col) - k])  # ties with the last one included
-                col, mine = col[best], mine[best]
-            top = np.lexsort((ids[col], ~mine.astype(np.int64)))[:k]  # ~x falls as x grows, and never overflows
-            out.append(pd.DataFrame({"query_id": own_id, "vec_id": ids[col[top]], "score": mine[top].astype(np.int64)}))
+        most = k + int((np.searchsorted(ids, part_ids, side="right") - np.searchsorted(ids, part_ids)).max(initial=0))
+        least = np.partition(scores, n - most, axis=1)[:, n - most, None] if n > most else np.iinfo(kind).min
+        row, col = np.nonzero(scores >= least)  # the best of each row but for its own, with all ties of the last one
+        other = ids[col] != part_ids[row]
+        row, col = row[other], col[other]
+        best = np.lexsort((ids[col], ~scores[row, col], row))  # ~x falls as x grows, and never overflows
+        row, col = row[best], col[best]
+        top = np.arange(len(row)) - np.searchsorted(row, row) < k
+        row, col = row[top], col[top]
+        out.append(pd.DataFrame({"query_id": part_ids[row], "vec_id": ids[col], "score": scores[row, col].astype(np.int64)}))
     return pd.concat(out, ignore_index=True)
 
 
