@@ -116,12 +116,20 @@ def with_quantiles(pages: DataFrame, exact: DataFrame, estimated: DataFrame) ->
     return joined.select(*pages.columns, *picked, F.col(f"e_{names[1]}").isNotNull().alias("quantiles_exact"))
 
 
-def award_provenance(raw: DataFrame, normalized: DataFrame, published: DataFrame) -> DataFrame:
-    """One row: records parsed, normalised and deduplicated away, and awards held back."""
+def award_provenance(raw: DataFrame, normalized: DataFrame, published: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
+    """One row: records parsed, normalised and deduplicated away, and awards held back.
+
+    With a ``manifest`` (file_key, status, retrieved_at) only records of files that are ok count, and the latest retrieval is told.
+    """
+    if manifest is not None:
+        manifest = manifest.where(F.coalesce(F.trim("status"), F.lit("")).isin("ok", ""))
+        raw = raw.join(manifest.select("file_key").distinct(), "file_key", "left_semi")
     held = published.groupBy("fiscal_year", "sector").agg(F.max("n_awards_suppressed_in_group").alias("h")).agg(F.coalesce(F.sum("h"), F.lit(0)).alias("n_held_back"))
     parsed = raw.agg(F.count("*").alias("records_parsed"))
     kept = normalized.agg(F.count("*").alias("records_normalized"), F.max("award_date").alias("last_award_date"))
-    joined = parsed.join(F.broadcast(kept)).join(F.broadcast(held))
+    joined = parsed.join(F.broadcast(kept)).join(F.broadcast(held))  # one row each
+    if manifest is not None:
+        joined = joined.join(F.broadcast(manifest.agg(F.max("retrieved_at").alias("retrieved_at"))))
     return joined.withColumn("records_deduplicated", F.col("records_parsed") - F.col("records_normalized"))
 
 

@@ -159,6 +159,11 @@ def extract_links(pages: DataFrame, keywords: list[str] | None = None) -> DataFr
     return out if not keywords else out.where(F.lower(F.concat_ws(" ", "target", "title")).rlike("|".join(keywords)))
 
 
+def link_lines(links: DataFrame) -> DataFrame:
+    """page_id and the page's links as sorted lines ``target | title``, each once: what is compared from visit to visit."""
+    return links.groupBy("page_id").agg(F.array_sort(F.collect_set(F.concat_ws(" | ", "target", "title"))).alias("lines"))
+
+
 def page_fingerprint(pages: DataFrame, lines: Column) -> DataFrame:
     """page_id, sorted distinct lines, and their fingerprint."""
     kept = F.array_sort(F.array_distinct(lines))

@@ -170,12 +170,13 @@ def scan_fill(manifest: DataFrame, scanned: DataFrame) -> DataFrame:
 
 
 def coverage(manifest: DataFrame, daily: DataFrame) -> DataFrame:
-    """One row: first and last day, days, records raw and kept, their difference, bytes."""
+    """One row: first and last day, days, records raw and kept, their difference, bytes, and the latest retrieval if the manifest tells it."""
     kept = daily.where("axis = 'total'").select("day", F.col("n").alias("records"))
     joined = manifest.join(kept, "day", "left")
     out = joined.agg(
         F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count("*").alias("days"), F.coalesce(F.sum("records"), F.lit(0)).alias("records"),
         F.sum("records_raw").alias("records_raw"), F.sum("raw_bytes").alias("raw_bytes"),
+        *([F.max("retrieved_at").alias("retrieved_at")] if "retrieved_at" in manifest.columns else []),
     )
     return out.withColumn("dropped", F.col("records_raw") - F.col("records"))
 

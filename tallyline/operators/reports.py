@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyline.functions.scalars import log_decade
+
 
 def share(n: Column, places: int = 4, by: list[str] | None = None) -> Column:
     """A value's share of the sum over its partition."""
@@ -107,6 +109,6 @@ def stats_index(pages: DataFrame, exact: DataFrame) -> DataFrame:
 
 def five_number_decades(pages: DataFrame) -> DataFrame:
     """The decades between which a page's five-number summary is drawn."""
-    low = F.floor(F.log10(F.greatest(F.col("amount_min_jpy"), F.lit(1)).cast("double"))).cast("int")
+    low = log_decade(F.col("amount_min_jpy"))
     high = F.ceil(F.log10(F.greatest(F.col("amount_max_jpy"), F.lit(1)).cast("double"))).cast("int")
     return pages.select("sector", "fiscal_year", low.alias("low_decade"), high.alias("high_decade"))

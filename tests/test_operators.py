@@ -264,3 +264,17 @@ def test_audits(spark):
     found = governance.audit_classes(pages, {"data": {"no_dataset": '"@type":"(Dataset|DataCatalog)"'}, "article": {"no_article": '"@type":"Article"', "no_button": 'data-intent="'}})
     assert sorted(map(tuple, found.collect())) == [(2, "no_dataset"), (3, "no_button")]
     assert tuple(governance.audit_size(pages, 60).first()) == (86, 2, 50, True) and governance.audit_size(pages.where("false")).first().total_bytes == 0
+
+
+def test_provenance_of_ok_files(spark):
+    raw = spark.createDataFrame([("f1", 1), ("f1", 2), ("f2", 3)], "file_key string, x int")
+    rows = spark.createDataFrame([("2024-05-01", 1)], "award_date string, x int")
+    cells = spark.createDataFrame([(2024, "s", 2)], "fiscal_year int, sector string, n_awards_suppressed_in_group long")
+    manifest = spark.createDataFrame([("f1", "ok", "2026-01-01"), ("f2", "failed", "2026-01-02")], "file_key string, status string, retrieved_at string")
+    out = awards.award_provenance(raw, rows, cells, manifest).first()
+    assert (out.records_parsed, out.records_normalized, out.records_deduplicated, out.n_held_back, out.retrieved_at) == (2, 1, 1, 2, "2026-01-01")
+    links = spark.createDataFrame([(1, "b", "x"), (1, "a", "y"), (1, "b", "x")], "page_id int, target string, title string")
+    assert governance.link_lines(links).first().lines == ["a | y", "b | x"]
+    days = spark.createDataFrame([(1, 5, 9, "2026-01-03")], "day int, records_raw long, raw_bytes long, retrieved_at string")
+    daily = spark.createDataFrame([(1, "total", "", 4)], "day int, axis string, key string, n long")
+    assert registry.coverage(days, daily).first().retrieved_at == "2026-01-03"
