@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import fold, marked, sample_per_class
 from tallyline.llm.words import Cache, in_turn, indexed, steps
 
-#: Hash buckets of subwords, size of an embedding, words that a document is scored by.
-BUCKETS, DIM, TOP = 1 << 17, 12, 4
+#: Hash buckets of subwords, size of an embedding; words that a document is scored by: TOP, and one more for every EVERY words.
+BUCKETS, DIM, TOP, EVERY = 1 << 17, 12, 4, 400
 #: Training begins with so many passes over whole texts, of which at most so many words are drawn.
 WHOLE, DRAWN = 2, 300
 #: The bound of the training sample: rows per class, and characters of a row.
@@ -90,13 +90,19 @@ def word_logits(words: list[str], table: np.ndarray) -> np.ndarray:
     return np.bincount(at, weights=table[bucket], minlength=len(words)) / np.maximum(n, 1)
 
 
+def telling(n: int) -> int:
+    """By how many of its n words a text is scored; more in a long one, where a few odd words are to be expected."""
+    return min(n, TOP + n // EVERY)
+
+
 def top_mean(values: np.ndarray) -> float:
-    """The mean of the TOP largest values, of all if there are fewer."""
-    return float((values if len(values) <= TOP else np.partition(values, len(values) - TOP)[-TOP:]).mean())
+    """The mean of the largest values, as many as are telling."""
+    k = telling(len(values))
+    return float(np.partition(values, len(values) - k)[-k:].mean())
 
 
 class Model:
-    """Log odds = mean of the TOP largest word logits + bias; the softmax over two classes of the averaged embeddings."""
+    """Log odds = mean of the most toxic words' logits + bias; the softmax over two classes of the averaged embeddings."""
 
     def __init__(self, table: np.ndarray, bias: float):
         self.table, self.bias = table, bias
@@ -122,7 +128,7 @@ class Model:
         return flat[np.repeat(start[codes] - (ends - n), n) + np.arange(ends[-1])], np.concatenate([[0], ends])[offsets]
 
     def scores(self, texts: pa.Array) -> list[float]:
-        """Score of each whole text by its TOP most toxic words; 0 without a word."""
+        """Score of each whole text by its most toxic words; 0 without a word."""
         words, codes, offsets = indexed(pc.utf8_split_whitespace(texts))
         keep = np.array([w != "" for w in words], bool)[codes] if "" in words else np.ones(len(codes), bool)
         if any(len(w) > LONG for w in words):
@@ -143,7 +149,7 @@ class Model:
 
 
 def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7) -> Model:
-    """Train embeddings and softmax together. Each epoch takes from every text its TOP most toxic words so far; the first WHOLE epochs take all, or DRAWN.
+    """Train embeddings and softmax together. Each epoch takes from every text its most toxic words so far; the first WHOLE epochs take all, or DRAWN.
 
     Without both classes there is nothing to tell apart; every score is then the share of label 1.
     """
@@ -175,7 +181,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7) ->
             if epoch < WHOLE:
                 bags.append(d if len(d) <= DRAWN else rng.choice(d, DRAWN, replace=False))
             else:
-                bags.append(d if len(d) <= TOP else d[np.argpartition(logit[d], len(d) - TOP)[-TOP:]])
+                bags.append(d[np.argpartition(logit[d], len(d) - telling(len(d)))[-telling(len(d)) :]])
             target.append(label)
         order = rng.permutation(len(bags))
         size = 32 if epoch < WHOLE else 128

@@ -348,7 +348,7 @@ def test_toxicity(spark, odd):
     rows = toxicity.score(docs, model).where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
     toxic, clean = [r for r in rows if r.toxic == 1], [r.predicted for r in rows if r.toxic == 0]
     marked = [r.predicted for r in toxic if re.search("idiot|moron|stupid|scum|worthless|pathetic", r.text)]
-    assert len(toxic) > 100 and sum(r.predicted for r in toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.03 * len(clean)
+    assert len(toxic) > 100 and sum(r.predicted for r in toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.015 * len(clean)
     assert len(marked) > 40 and sum(marked) >= 0.95 * len(marked)
     found = {r.doc_id: r for r in toxicity.score(odd, model).collect()}
     assert found[1].score == found[2].score == found[3].score == 0 and len(found) == 7
@@ -378,9 +378,10 @@ def test_toxicity_scores():
         buckets.append((whole ^ whole >> 31) % toxicity.BUCKETS)
         return sum(table[b] for b in buckets) / len(buckets)
 
-    texts = ["", "One, two! (three)", " ".join(f"w{x}" for x in rng.integers(0, 50, 97)), "é" * 150 + " end", "a b " * 6, "x"]
+    texts = ["", "One, two! (three)", " ".join(f"w{x}" for x in rng.integers(0, 50, 97)), "é" * 150 + " end", "a b " * 6, "x", " ".join(f"w{x}" for x in rng.integers(0, 5000, 1900))]
     for text, score in zip(texts, toxicity.Model(table, bias).scores(pa.array(texts)), strict=True):
-        values = sorted(logit(p) for w in text.split() for p in toxicity.pieces(w))[-4:]
+        values = sorted(logit(p) for w in text.split() for p in toxicity.pieces(w))
+        values = values[-(4 + len(values) // 400) :]
         assert score == pytest.approx(1 / (1 + math.exp(-sum(values) / len(values) - bias)) if values else 0.0, abs=1e-9)
 
 
