@@ -16,6 +16,17 @@ from tallyline.sources.staging import shared_dir
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
+#: Copies of the other side where a join's key may hold most rows.
+SALTS = 32
+
+
+def join_salted(rows: DataFrame, side: DataFrame, on: list[str], salt: Column, how: str = "inner") -> DataFrame:
+    """A join on keys of which one may hold most of ``rows``: each key is split SALTS ways by ``salt``, and ``side`` is copied to all of them."""
+    left = rows.withColumn("salt_", F.pmod(salt, F.lit(SALTS)).cast("int"))
+    right = side.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, [*on, "salt_"], how).drop("salt_")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
