@@ -27,7 +27,7 @@ UNIT, RAISED = 1_000_000_000, 5
 #: A task spills its table beyond so many counts, terms, or characters of terms.
 MOST_COUNTS, MOST_TERMS, MOST_CHARS = 2_000_000, 400_000, 50_000_000
 #: Sources of a block, and terms of a group, when sources are compared with each other; terms that are compared at a time.
-BLOCK, TERMS, AT_ONCE = 256, 16_384, 2_048
+BLOCK, TERMS, AT_ONCE = 256, 1_024, 1_024
 STRIPE = "lang string, term string, df long, sources array<string>, counts array<long>"
 _GROUPS = 1 << 20
 
