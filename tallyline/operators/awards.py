@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions import dims, scalars
+from tallyline.operators import ranges
 from tallyline.operators.masking import assert_masked, mask_titles, mask_winners
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -150,11 +151,15 @@ def order_compact(stats: DataFrame) -> DataFrame:
 
 
 def encode_dictionary(stats: DataFrame, cols: list[str], order: list[str]) -> DataFrame:
-    """Dense index columns (<col>_idx) for values, numbered from 0 in order of first appearance under ``order``."""
+    """Dense index columns (<col>_idx) for values, numbered from 0 in order of first appearance under ``order``.
+
+    Values are numbered within ranges of their first appearance, from the number of values in earlier ranges on.
+    """
     numbered = stats.withColumn("at_", F.struct(*[F.col(c) for c in order]))
     out = numbered
     for c in cols:
-        first = numbered.groupBy(c).agg(F.min("at_").alias("first_"))
-        index = first.select(F.col(c).alias("v_"), (F.row_number().over(Window.orderBy("first_")) - 1).alias(f"{c}_idx"))
+        first = ranges.ranged(numbered.groupBy(F.col(c).alias("v_")).agg(F.min("at_").alias("first_")), "first_")
+        ahead = F.broadcast(ranges.before(first, ahead_=F.count("*")))  # a row a range
+        index = first.join(ahead, ranges.RANGE).select("v_", (F.col("ahead_") + F.row_number().over(ranges.within("first_")) - 1).cast("int").alias(f"{c}_idx"))
         out = out.join(index, F.col(c).eqNullSafe(F.col("v_")), "left").drop("v_")
     return out.drop("at_")

@@ -52,16 +52,38 @@ def figure_pattern(figures: list[int]) -> str | None:
     return "|".join(rf"(?<![\d,]){f:,}(?![\d,])|(?<!\d){f}(?!\d)" for f in large) or None
 
 
-def audit_surfaces(docs: DataFrame, markers: list[str], must: dict[str, str], figures: list[int] | None = None, is_json: Column | None = None) -> DataFrame:
+def shown_numbers(text: Column) -> Column:
+    """The numbers that a text shows, each once: runs of digits, and runs with separators as they are written."""
+    runs = F.concat(F.regexp_extract_all(text, F.lit(r"\d+"), F.lit(0)), F.regexp_extract_all(text, F.lit(r"[\d,]*,[\d,]*"), F.lit(0)))
+    return F.array_distinct(F.filter(runs, lambda x: F.length(x) >= 4))
+
+
+def shows_figure(docs: DataFrame, figures: DataFrame) -> DataFrame:
+    """doc_id of each text that shows a headline figure (column ``figure``) of 1,000 or more, with separators or without.
+
+    Numbers are taken from the texts and joined with the figures, so figures may be as many as a build has.
+    """
+    large = figures.select(F.col("figure").cast("long").alias("figure")).where("figure >= 1000")
+    forms = large.select(F.explode(F.array(F.col("figure").cast("string"), F.format_number("figure", 0))).alias("number")).distinct()
+    shown = docs.select("doc_id", F.explode(shown_numbers(F.coalesce("text", F.lit("")))).alias("number"))
+    return shown.join(forms, "number", "left_semi").select("doc_id").distinct()
+
+
+def audit_surfaces(docs: DataFrame, markers: list[str], must: dict[str, str], figures: DataFrame | list[int] | None = None, is_json: Column | None = None) -> DataFrame:
     """doc_id and missing: for each text that has a marker or a headline figure, the notes (name -> pattern) that it lacks, one row each.
 
-    Of texts that are JSON only the values count for a note, not the names of fields.
+    ``figures`` are a few numbers, or a table of them. Of texts that are JSON only the values count for a note, not the names of fields.
     """
     text = F.coalesce("text", F.lit(""))
-    found = docs.where(text.rlike("|".join([*markers, *filter(None, [figure_pattern(figures or [])])])))
     said = text if is_json is None else F.when(is_json, json_values(text)).otherwise(text)
     lacking = F.filter(F.array(*[F.when(~said.rlike(p), F.lit(n)) for n, p in must.items()]), lambda x: x.isNotNull())
-    return found.select("doc_id", F.explode(lacking).alias("missing"))
+    marks = [*markers, *filter(None, [figure_pattern(figures)] if isinstance(figures, list) else [])]
+    marked = text.rlike("|".join(marks)) if marks else F.lit(False)
+    rows = docs
+    if isinstance(figures, DataFrame):
+        rows = docs.join(shows_figure(docs, figures).withColumn("shows_", F.lit(True)), "doc_id", "left")
+        marked = marked | F.col("shows_").isNotNull()
+    return rows.where(marked).select("doc_id", F.explode(lacking).alias("missing"))
 
 
 def audit_size(pages: DataFrame, most_bytes: int = 50 << 20) -> DataFrame:
@@ -104,17 +126,21 @@ def extract_listing(pages: DataFrame, pattern: str, names: list[str]) -> DataFra
     return rows.select("page_id", *[F.regexp_extract("hit", pattern, k + 1).alias(n) for k, n in enumerate(names)]).distinct()
 
 
-AWARD_FILES = r"doDownload\('(successful_bid_record_info_(all|diff)_(\d{4})(\d{2})?(\d{2})?\.zip)'\)"
+# How the publisher's pages call award files of a year and of a day.
+YEAR_FILE = r"doDownload\('(successful_bid_record_info_all_(\d{4})\.zip)'\)"
+DAY_FILE = r"doDownload\('(successful_bid_record_info_diff_(\d{4})(\d{2})(\d{2})\.zip)'\)"
 
 
 def award_listing(pages: DataFrame) -> DataFrame:
     """page_id, file_name, kind (all, diff), file_key, fiscal_year of every award file that a page lists, each once."""
-    rows = extract_listing(pages, AWARD_FILES, ["file_name", "kind", "y", "m", "d"])
-    rows = rows.where("(kind = 'all' and m = '') or (kind = 'diff' and d <> '')")
-    key = F.when(F.col("kind") == "all", F.concat(F.lit("FY"), "y")).otherwise(F.concat_ws("-", "y", "m", "d"))
-    return rows.select("page_id", "file_name", "kind", key.alias("file_key"), F.when(F.col("kind") == "all", F.col("y").cast("int")).alias("fiscal_year"))
+    years = extract_listing(pages, YEAR_FILE, ["file_name", "y"])
+    days = extract_listing(pages, DAY_FILE, ["file_name", "y", "m", "d"])
+    a = years.select("page_id", "file_name", F.lit("all").alias("kind"), F.concat(F.lit("FY"), "y").alias("file_key"), F.col("y").cast("int").alias("fiscal_year"))
+    b = days.select("page_id", "file_name", F.lit("diff").alias("kind"), F.concat_ws("-", "y", "m", "d").alias("file_key"), F.lit(None).cast("int").alias("fiscal_year"))
+    return a.unionByName(b)
 
 
+# Fixed value: a row of the publisher's table of registry diffs.
 DIFF_ROW = (
     r'(?s)<tr[^>]*class="type\d_corpHistory\d+"[^>]*>\s*<th[^>]*>\s*(.*?)\s*</th>\s*<td[^>]*>\s*<a[^>]*onclick="return doDownload\((\d+)\);"[^>]*>(.*?)</a>'
 )

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.functions.scalars import log_decade
+from tallyline.functions.scalars import log_decade, round_half_up
+from tallyline.operators import ranges
+from tallyline.operators.awards import sector_year, with_quantiles
 
 
 def share(n: Column, places: int = 4, by: list[str] | None = None) -> Column:
@@ -69,12 +71,14 @@ def month_shares(awards: DataFrame) -> DataFrame:
 def sextile_class(df: DataFrame, col: str) -> DataFrame:
     """class 1 to 6 by five cut values (at ranks n*k/6), 0 for null: 1 and the number of cuts at or below the value.
 
-    Equal values share a class, which ntile would not grant. Values are counted first, so what one task orders is a row a distinct
-    value. The cuts are one row.
+    Equal values share a class, which ntile would not grant. Values are counted first; their counts are summed by ranges of the value, so
+    no task orders all of them. The cuts are one row.
     """
     counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count("*").alias("times"))
-    upto = F.sum("times").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counts.withColumn("upto", upto).join(F.broadcast(counts.agg(F.sum("times").alias("n"))))
+    counts = ranges.ranged(counts, "v")
+    ahead = ranges.before(counts, ahead=F.sum("times"))
+    ranked = counts.join(F.broadcast(ahead), ranges.RANGE).withColumn("upto", F.col("ahead") + F.sum("times").over(ranges.upto("v")))
+    ranked = ranked.join(F.broadcast(counts.agg(F.sum("times").alias("n"))))
     at = [F.least(F.col("n") - 1, F.floor(F.col("n") * k / 6)) for k in range(1, 6)]
     cuts = ranked.agg(F.array(*[F.min(F.when(F.col("upto") > a, F.col("v"))) for a in at]).alias("cuts"))
     value = F.col(col)
@@ -107,6 +111,32 @@ def stats_index(pages: DataFrame, exact: DataFrame) -> DataFrame:
     return joined.select("sector", "fiscal_year", "n_awards", "amount_sum_jpy", "amount_median_jpy", F.col("amount_median_jpy").isNull().alias("estimated"))
 
 
+def page_rows(published: DataFrame, exact: DataFrame, estimated: DataFrame, sector: str, year: int) -> DataFrame:
+    """The page of one sector and year: a row of its totals (place 0), then its cells in the order of the page, each with its place and share.
+
+    The total row has the awards held back beside those in the table, the mean (half up) and quartiles, exact ones where ``exact`` has them
+    (quantiles_exact). Cells' quartiles are their own. A page that does not exist has no rows; a blank code is null.
+    """
+    here = (F.col("sector") == sector) & (F.col("fiscal_year") == year)
+    cells = rank_cells(published.where(here), ["fiscal_year", "sector"])
+    total = with_quantiles(sector_year(published.where(here)), exact.where(here), estimated.where(here))
+    quartiles = ["amount_q1_jpy", "amount_median_jpy", "amount_q3_jpy"]
+    counts = published.where(here).groupBy("fiscal_year", "sector").agg(F.sum("n_corporate").alias("n_corporate"), F.sum("n_masked_individual").alias("n_masked_individual"))
+    total = total.join(counts, ["fiscal_year", "sector"])
+    mean = lambda n: round_half_up(F.col("amount_sum_jpy") / F.col(n)).alias("amount_mean_jpy")
+    both = ["n_corporate", "n_masked_individual", "amount_min_jpy", *quartiles, "amount_max_jpy", "amount_sum_jpy"]
+    head = total.select(
+        F.lit(0).alias("place"), F.lit(None).cast("string").alias("prefecture"), F.lit(None).cast("string").alias("prefecture_code"), "n_awards", "n_held_back", "n_cells", *both,
+        mean("n_awards_in_table"), F.lit(1.0).alias("share"), "quantiles_exact",
+    )
+    all_ = F.sum("n_awards").over(Window.partitionBy("fiscal_year", "sector"))
+    rows = cells.select(
+        "place", "prefecture", F.nullif("prefecture_code", F.lit("")).alias("prefecture_code"), "n_awards", F.lit(None).cast("long").alias("n_held_back"), F.lit(None).cast("long").alias("n_cells"),
+        *both, mean("n_awards"), F.bround(F.col("n_awards") / all_, 4).alias("share"), F.lit(True).alias("quantiles_exact"),
+    )
+    return head.unionByName(rows)
+
+
 def five_number_decades(pages: DataFrame) -> DataFrame:
     """The decades between which a page's five-number summary is drawn."""
     low = log_decade(F.col("amount_min_jpy"))

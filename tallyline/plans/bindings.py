@@ -71,6 +71,22 @@ select concat('h', cast(user_id % 12 as string)) as host, ts, event_id as fetch_
 from {events}"""
 
 
+DAYS = """select distinct year(ts) * 10000 + month(ts) * 100 + day(ts) as page_id, cast(ts as date) as day from {events}"""
+LISTINGS = f"""
+select page_id, concat('<h2>awards</h2><a onclick="doDownload(', chr(39), 'successful_bid_record_info_all_', cast(2013 + day(day) % 5 as string), '.zip', chr(39), ')">year</a> <a onclick="doDownload(', chr(39),
+       'successful_bid_record_info_diff_', cast(page_id as string), '.zip', chr(39), ')">day</a><h2 id="csv-sjis">none here</h2><h2 id="csv-unicode">registry</h2><table><tr class="type1_corpHistory1"><th scope="row"> 令和',
+       cast(year(day) - 2018 as string), '年', cast(month(day) as string), '月', cast(day(day) as string), '日 </th><td><a href="#" onclick="return doDownload(', cast(page_id % 1000 as string), ');"><b>zip</b> ',
+       cast(120 + day(day) as string), ' kB</a></td></tr></table><h2 id="xml-unicode">other</h2><tr class="type1_corpHistory9"><th>令和1年5月1日</th><td><a onclick="return doDownload(1);">xml</a>') as html
+from ({DAYS})"""
+MATRIX = """
+select concat('site-', cast(s_suppkey as string), ';') as source, case s_suppkey % 3 when 0 then 'CC BY 4.0, with source' when 1 then 'Public Data License 1.0' else 'Terms of use: no reuse' end as license,
+       case when s_suppkey % 2 = 0 then 'Y - all paths' else 'N (search is disallowed)' end as robots_ok, case s_suppkey % 4 when 0 then 'Y' when 1 then 'unclear' when 2 then 'unclear' else 'N' end as reuse_allowed,
+       concat('https://h', cast(s_suppkey % 10 as string), '.example.org/terms/', cast(s_suppkey as string), '; http://b.example.net/x?y=1') as url
+from {supplier}"""
+DATASETS = """
+select concat('site-', cast(c_custkey as string), case when c_custkey % 6 = 0 then '' else ';' end) as key, concat('d', cast(c_custkey as string)) as dataset, c_custkey % 2 = 0 as prototype, c_custkey % 8 = 0 as hold
+from {customer}"""
+
 #: SQL for the key of a title, and for a name that is withheld, for the titles and names above.
 TITLE_KEY = "regexp_replace(replace(lower(title), '医療法人社団', ''), '[ {}]', '', 'g')"
 PERSON = "(kind_code = '499' and not regexp_matches(name, '商店|Inc') and length(regexp_replace(name, '[ 　]', '', 'g')) <= 6)"

@@ -18,6 +18,7 @@ from tallyline.operators import reports as T
 from tallyline.operators.pooled import pooled_quantile
 from tallyline.plans import bindings as B
 from tallyline.plans import queries as Q
+from tallyline.sources import readers
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -477,10 +478,10 @@ _add("audit_size", lambda s, d: G.audit_size(s.read.parquet(f"{d}/pages.parquet"
      """select sum(octet_length(encode(html)))::bigint as total_bytes, arg_max(page_id, (octet_length(encode(html)), page_id)) as largest_page, max(octet_length(encode(html)))::bigint as largest_bytes,
      sum(octet_length(encode(html))) > 1048576 as too_large from pages""")
 _add("audit_classes", lambda s, d: G.audit_classes(s.read.parquet(f"{d}/pages.parquet").withColumn("page_class", F.regexp_extract("url", "/(en|de)/", 1)),
-        {"en": {"no_heading": "<h1"}, "de": {"no_link": "<a ", "no_paragraph": "<p"}}),
-     """select page_id, 'no_heading' as problem from pages where regexp_extract(url, '/(en|de)/', 1) = 'en' and not contains(html, '<h1')
-     union all select page_id, 'no_link' from pages where regexp_extract(url, '/(en|de)/', 1) = 'de' and not contains(html, '<a ')
-     union all select page_id, 'no_paragraph' from pages where regexp_extract(url, '/(en|de)/', 1) = 'de' and not contains(html, '<p')""")
+        {"en": {"short_title": "<title>[^<]{50}", "no_heading": "<h1"}, "de": {"short_title": "<title>[^<]{50}", "no_entity": "&amp;"}}),
+     """select page_id, 'short_title' as problem from pages where regexp_extract(url, '/(en|de)/', 1) in ('en', 'de') and not regexp_matches(html, '<title>[^<]{50}')
+     union all select page_id, 'no_heading' from pages where regexp_extract(url, '/(en|de)/', 1) = 'en' and not contains(html, '<h1')
+     union all select page_id, 'no_entity' from pages where regexp_extract(url, '/(en|de)/', 1) = 'de' and not contains(html, '&amp;')""")
 _add("page_links", lambda s, d: G.extract_links(s.read.parquet(f"{d}/pages.parquet")),
      r"""with a as (select page_id, url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href=["'']([^"''#]*)[^>]*>(.*?)</a>')) as a from pages),
      b as (select page_id, url, trim(regexp_extract(a, '(?is)href=["'']([^"''#]*)', 1)) as href, trim(regexp_replace(regexp_replace(regexp_extract(a, '(?is)<a\s[^>]*?href=["''][^"''#]*[^>]*>(.*?)</a>', 1),
@@ -508,3 +509,98 @@ _add("award_source_version", lambda s, d: G.source_version(B.cells(s, d)))
 _add("japan_places", lambda s, d: _postings(s, d).select("location", scalars.is_japan(F.col("location")).alias("is_japan"), scalars.japan_prefecture(F.col("location")).alias("prefecture"),
         scalars.is_remote(F.col("location")).alias("remote")).distinct(),
      f"""with {_OUT}, {_D_POSTINGS} select distinct location, japan as is_japan, pref as prefecture, far as remote from p""")
+
+# ---------------------------------------------------------------- files, listings, surfaces
+
+_add("union_files", lambda s, d: readers.union_files(s, [f"{d}/{t}.parquet" for t in ("documents", "benchmark", "conversations")], "parquet").select(
+        "file_key", "doc_id", "item_id", "conv_id", "turn", "role", "lang", F.length("text").alias("n_text")),
+     """select 'documents.parquet' as file_key, doc_id, null::bigint as item_id, null::bigint as conv_id, null::integer as turn, null::varchar as role, lang, length(text)::integer as n_text from documents
+     union all select 'benchmark.parquet', null, item_id, null, null, null, null, length(text)::integer from benchmark
+     union all select 'conversations.parquet', null, null, conv_id, turn, role, null, length(text)::integer from conversations""")
+_add("union_totals", lambda s, d: readers.union_files(s, [f"{d}/{t}.parquet" for t in ("customer", "supplier")], "parquet",
+        {"c_acctbal": "double", "s_acctbal": "double", "c_nationkey": "long", "s_nationkey": "long"}).groupBy(
+        "file_key", F.coalesce("c_nationkey", "s_nationkey").alias("nation")).agg(F.count("*").alias("n"), F.bround(F.sum(F.coalesce("c_acctbal", "s_acctbal")), 2).alias("balance")),
+     """select 'customer.parquet' as file_key, c_nationkey::bigint as nation, count(*) as n, round_even(sum(c_acctbal), 2) as balance from customer group by 2
+     union all select 'supplier.parquet', s_nationkey::bigint, count(*), round_even(sum(s_acctbal), 2) from supplier group by 2""")
+_add("award_listing", lambda s, d: G.award_listing(B.sql(s, d, B.LISTINGS)),
+     f"""with p as ({B.duck(B.DAYS)}) select page_id, 'successful_bid_record_info_diff_' || strftime(day, '%Y%m%d') || '.zip' as file_name, 'diff' as kind, day::varchar as file_key, null::integer as fiscal_year from p
+     union all select page_id, 'successful_bid_record_info_all_' || (2013 + day(day) % 5) || '.zip', 'all', 'FY' || (2013 + day(day) % 5), (2013 + day(day) % 5)::integer from p""")
+_add("diff_listing", lambda s, d: G.diff_listing(B.sql(s, d, B.LISTINGS)),
+     f"""with p as ({B.duck(B.DAYS)}) select page_id, day, (page_id % 1000)::varchar as file_no, 'zip ' || (120 + day(day)) || ' kB' as label, (120 + day(day)) || ' kB' as size from p""")
+
+
+def _surfaces(s: SparkSession, d: str) -> DataFrame:
+    """A text for each publication day that shows the day's figure, in one way or another; some are JSON, some have the notes they need."""
+    n, k = F.col("raw_bytes"), F.dayofmonth("day")
+    shown = F.when(k % 3 == 0, n.cast("string")).when(k % 3 == 1, F.format_number(n, 0)).otherwise(F.concat(F.lit("9"), n.cast("string"), F.lit("9")))
+    note = F.when(k % 4 == 0, ", CC BY 4.0, modified").when(k % 4 == 1, ", CC BY 4.0").when(k % 4 == 2, ", modified").otherwise("")
+    plain = F.concat(F.lit("On "), F.col("day").cast("string"), F.lit(": "), shown, F.lit(" bytes"), note, F.when(k % 7 == 0, " Source: x").otherwise(""))
+    json_ = F.concat(F.lit('{"modified": "'), plain, F.lit('", "CC BY": 4}'))
+    return _manifest(s, d).select((F.year("day") * 10000 + F.month("day") * 100 + k).cast("long").alias("doc_id"), F.when(k % 5 == 0, json_).otherwise(plain).alias("text"))
+
+
+_add("audit_figures", lambda s, d: G.audit_surfaces(_surfaces(s, d), ["Source:"], {"licence": "CC BY", "notice": "modified"},
+        _manifest(s, d).select(F.col("raw_bytes").alias("figure")), F.col("text").startswith("{")),
+     f"""with {B.D_CHANGES}, {_MANIFEST}, x as (select (year(day) * 10000 + month(day) * 100 + day(day))::bigint as doc_id, day(day) as k, raw_bytes >= 1000 as large from manifest),
+     f as (select * from x where k % 7 = 0 or (large and k % 3 < 2))
+     select doc_id, 'licence' as missing from f where k % 4 in (2, 3) union all select doc_id, 'notice' from f where k % 4 in (1, 3)""")
+_add("headline_figures", lambda s, d: G.shows_figure(s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"), s.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("figure"))),
+     r"""with f as (select distinct o_orderkey as n from orders where o_orderkey >= 1000), t as (select doc_id, unnest(list_distinct(regexp_extract_all(text, '[0-9]+') || regexp_extract_all(text, '[0-9,]*,[0-9,]*'))) as x from documents)
+     select distinct doc_id from t where x in (select n::varchar from f) or x in (select format('{:,}', n) from f)""")
+_LICENCES = {"cc by 4.0": "open", "public data": "open_with_source", "terms of use": "restricted"}
+_ROBOTS = {"y": "allowed", "n": "refused"}
+_add("clearance_projection", lambda s, d: G.project_clearance(B.sql(s, d, B.MATRIX), _LICENCES, _ROBOTS).select("source", "licence_class", "robots_class", "reuse_allowed", "url"),
+     f"""with m as ({B.duck(B.MATRIX)}) select source, case when starts_with(license, 'CC BY') then 'open' when starts_with(license, 'Public') then 'open_with_source' else 'restricted' end as licence_class,
+     case when starts_with(robots_ok, 'Y') then 'allowed' else 'refused' end as robots_class, reuse_allowed,
+     case when reuse_allowed = 'Y' then url else regexp_extract(url, '^(https://[^/]+)', 1) || '; http://b.example.net' end as url from m""")
+_add("clearance", lambda s, d: G.clear(B.sql(s, d, B.DATASETS), B.sql(s, d, B.MATRIX)),
+     f"""with m as ({B.duck(B.MATRIX)}), x as ({B.duck(B.DATASETS)}), j as (select x.*, m.source, m.reuse_allowed, m.robots_ok from x left join m on contains(m.source, x.key)),
+     g as (select dataset, any_value(prototype) as p, any_value(hold) as h, count(source) as n_rows, max(reuse_allowed) as r, max(robots_ok) as b from j group by 1)
+     select dataset, n_rows, case when n_rows = 0 then 'missing' when n_rows > 1 then 'ambiguous' when r = 'Y' then 'cleared' when r = 'unclear' and p and starts_with(b, 'Y') then 'prototype' else 'blocked' end as tos_status,
+     n_rows = 1 and r = 'Y' and not h as publishable from g""")
+
+# ---------------------------------------------------------------- planning, boards and postings
+
+_add("japan_postings", lambda s, d: P.japan_only(_postings(s, d)).select("board", "posting", "location"), f"with {_OUT}, {_D_POSTINGS} select board, posting, location from p where japan")
+_add("active_boards", lambda s, d: P.active_boards(_registry_rows(s, d)[0].withColumn("status", F.when(F.col("board_token") == "7", " Active ").otherwise(F.col("status")))).select("ats", "board_token"),
+     f"""with {_OUT}, b as (select distinct board from out where board < 30) select 'a' as ats, board::varchar as board_token from b where board = 7 or (['active', 'inactive', 'candidate', ''])[board % 4 + 1] in ('active', '')""")
+
+
+def _verified(s: SparkSession, d: str) -> DataFrame:
+    return P.verify_boards(B.sql(s, d, B.OUTCOMES).groupBy("board").agg(F.max("outcome").alias("outcome")), _postings(s, d))
+
+
+_add("board_registry", lambda s, d: P.build_board_registry(_verified(s, d), _boards(s, d).where("board % 3 > 0").select("board", F.col("host").alias("company"))).select("board", "n_japan", "company"),
+     f"""with {_OUT}, {_D_POSTINGS}, c as (select board, count(*) filter (japan) as n_japan from p group by 1), b as (select board, max(outcome) as outcome from out group by 1)
+     select board, n_japan, case when board % 3 > 0 then 'h' || (board % 12) end as company from b join c using (board) where outcome = 'ok' and n_japan > 0""")
+
+
+def _refresh(s: SparkSession, d: str) -> DataFrame:
+    days = _manifest(s, d)
+    k, key = F.dayofmonth("day"), F.col("day").cast("string").alias("file_key")
+    listed = days.select(key, F.concat(F.lit("s"), k.cast("string")).alias("stamp"), F.concat((k * 2).cast("string"), F.lit(" kB")).alias("size_label"))
+    manifest = days.where(k % 5 > 0).select(key, F.when(k % 7 == 0, "error").when(k % 7 == 1, "").otherwise("ok").alias("status"))
+    recorded = days.where(k % 4 > 0).select(key, F.when(k % 3 == 0, "old").otherwise(F.concat(F.lit("s"), k.cast("string"))).alias("stamp"), F.concat((k * F.when(k % 11 == 0, 3).otherwise(2)).cast("string"), F.lit(" kB")).alias("size_label"))
+    return R.plan_refresh(listed, manifest, recorded, ["2024-01-08"])
+
+
+_add("refresh_plan", _refresh,
+     f"""with {B.D_CHANGES}, {_MANIFEST}, x as (select day::varchar as file_key, day(day) as k from manifest), y as (select file_key, case when file_key = '2024-01-08' then 'forced' when k % 5 = 0 then 'new'
+     when k % 7 = 0 then 'unreadable' when k % 4 > 0 and k % 3 = 0 then 'stamp_moved' when k % 4 > 0 and k % 11 = 0 then 'size_moved' end as reason from x) select * from y where reason is not null""")
+
+# ---------------------------------------------------------------- pages of one sector and year
+
+
+def _page(s: SparkSession, d: str, sector: str, year: int) -> DataFrame:
+    cells, exact = B.published(s, d), _exact(s, d)
+    return T.page_rows(cells, exact.where("n_awards > 50"), exact, sector, year)
+
+
+_add("page_rows", lambda s, d: _page(s, d, "ECONOMY/Brand#5", 1995),
+     f"""with {B.D_PUBLISHED}, exact as ({B.d_stats("fiscal_year, sector")}), c as (select * from published where sector = 'ECONOMY/Brand#5' and fiscal_year = 1995)
+     select 0 as place, null as prefecture, null as prefecture_code, (sum(c.n_awards) + coalesce(max(n_awards_suppressed_in_group), 0))::bigint as n_awards, coalesce(max(n_awards_suppressed_in_group), 0)::bigint as n_held_back,
+     count(*) as n_cells, sum(c.n_corporate)::bigint as n_corporate, sum(c.n_masked_individual)::bigint as n_masked_individual, min(c.amount_min_jpy) as amount_min_jpy, any_value(e.amount_q1_jpy) as amount_q1_jpy,
+     any_value(e.amount_median_jpy) as amount_median_jpy, any_value(e.amount_q3_jpy) as amount_q3_jpy, max(c.amount_max_jpy) as amount_max_jpy, sum(c.amount_sum_jpy)::bigint as amount_sum_jpy,
+     floor(sum(c.amount_sum_jpy) / sum(c.n_awards) + 0.5)::bigint as amount_mean_jpy, 1.0::double as share, any_value(e.n_awards) > 50 as quantiles_exact from c join exact e using (fiscal_year, sector) having count(*) > 0
+     union all select row_number() over (order by n_awards desc, coalesce(nullif(prefecture_code, ''), 'zz'))::int, prefecture, nullif(prefecture_code, ''), n_awards, null, null, n_corporate, n_masked_individual, amount_min_jpy,
+     amount_q1_jpy, amount_median_jpy, amount_q3_jpy, amount_max_jpy, amount_sum_jpy, floor(amount_sum_jpy / n_awards + 0.5)::bigint, round_even(n_awards / sum(n_awards) over (), 4), true from c""")

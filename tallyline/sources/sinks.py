@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +23,79 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(at))
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    (a, fs), (b, _) = _path(spark, old), _path(spark, new)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"cannot move {old}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at, fs = _path(spark, path)
+    fs.delete(at, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition folders of a table."""
+    at, fs = _path(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(at) if x.isDirectory() and "=" in x.getPath().getName()) if fs.exists(at) else []
+
+
+def recover(spark: SparkSession, path: str) -> str | None:
+    """Undo what a run that died left half done at ``path``: a swap of the whole table or of partitions. The run's name, if there was one.
+
+    The sinks call this before they touch a table; a reader may, after a crash.
+    """
+    at, fs = _path(spark, path)
+    if not fs.exists(at):
+        for x in fs.globStatus(_path(spark, f"{path}.old-*")[0]) or []:
+            fs.rename(x.getPath(), at)
+            return x.getPath().getName()
+    journal, _ = _path(spark, f"{path}.replacing")
+    if not fs.exists(journal):
+        return None
+    todo = json.loads("".join(r.value for r in spark.read.text(f"{path}.replacing", wholetext=True).collect()) or "{}")
+    for name in todo.get("names", []):
+        aside, staged, there = (f"{todo[k]}/{name}" for k in ("aside", "staged", "path"))
+        if exists(spark, aside):
+            _delete(spark, there)
+            _rename(spark, aside, there)
+        elif name not in todo["old"] and not exists(spark, staged):
+            _delete(spark, there)
+    for k in ("aside", "staged"):
+        if k in todo:
+            _delete(spark, todo[k])
+    fs.delete(journal, True)
+    return todo.get("run")
+
+
+def swap_partitions(spark: SparkSession, staged: str, path: str, gone: list[str], run: str) -> None:
+    """Put staged partitions in the place of those of a table and take ``gone`` away. A journal tells :func:`recover` how to undo it.
+
+    Old partitions are kept aside until all new ones stand; deleting the journal is what makes the new state the table's.
+    """
+    names = sorted({*folders(spark, staged), *gone})
+    old = [n for n in names if exists(spark, f"{path}/{n}")]
+    todo = {"run": run, "path": path, "staged": staged, "aside": f"{path}.aside-{run}", "names": names, "old": old}
+    at, fs = _path(spark, f"{path}.replacing")
+    out = fs.create(at, False)
+    try:
+        out.write(json.dumps(todo).encode())
+    finally:
+        out.close()
+    for n in names:
+        if n in old:
+            _rename(spark, f"{path}/{n}", f"{todo['aside']}/{n}")
+        if exists(spark, f"{staged}/{n}"):
+            _rename(spark, f"{staged}/{n}", f"{path}/{n}")
+    fs.delete(at, True)
+    _delete(spark, todo["aside"])
+    _delete(spark, staged)
+
+
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a staged table in the place of another; the old one goes only when the new one stands."""
+    """Put a staged table in the place of another; the old one goes only when the new one stands. See :func:`recover`."""
+    recover(spark, path)
     (old, fs), (new, _) = _path(spark, path), _path(spark, staged)
     aside, _ = _path(spark, f"{path}.old-{uuid.uuid4().hex}")
     if fs.exists(old) and not fs.rename(old, aside):
@@ -107,6 +180,39 @@ def replace_files(store: DataFrame, issued: DataFrame) -> DataFrame:
     return store.join(issued.select("file_key").distinct(), "file_key", "left_anti").unionByName(issued, allowMissingColumns=True)
 
 
+def replace_issued(issued: DataFrame, path: str, partition: str, log: str | None = None) -> list[str]:
+    """Replace the rows of files (file_key) that came again in a store partitioned by ``partition``; the partition folders written.
+
+    Only partitions that hold rows of those files, old or new, are read and written: beside the table first, then swapped in. A run that dies
+    leaves, after :func:`recover`, the old table. ``log`` is a run log that gets a row when the swap begins and one when it is done.
+    """
+    spark, run = issued.sparkSession, uuid.uuid4().hex
+    if (undone := recover(spark, path)) and log is not None:
+        append_run_log(spark, log, {"table": path, "run": undone, "status": "undone"})
+    staged = f"{path}.staged-{run}"
+    keys = issued.select("file_key").distinct()
+    if not exists(spark, path):
+        issued.write.partitionBy(partition).parquet(staged)
+        _path(spark, path)[1].mkdirs(_path(spark, path)[0])
+        touched = []
+    else:
+        store = spark.read.parquet(path)
+        at = store.join(keys, "file_key", "left_semi").select(partition).unionByName(issued.select(partition)).distinct()
+        touched = [r[0] for r in at.select(F.col(partition).cast("string")).collect()]  # names of partitions
+        side = at.withColumnRenamed(partition, "touched_")
+        kept = store.join(side, F.col(partition).eqNullSafe(F.col("touched_")), "left_semi")
+        replace_files(kept, issued).write.partitionBy(partition).parquet(staged)
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    old, written = [name(partition, t) for t in touched], folders(spark, staged)
+    entry = {"table": path, "run": run, "files": ",".join(sorted(str(r[0]) for r in keys.collect())), "partitions": ",".join(written)}
+    if log is not None:
+        append_run_log(spark, log, entry | {"status": "begun"})
+    swap_partitions(spark, staged, path, [n for n in old if n not in written], run)
+    if log is not None:
+        append_run_log(spark, log, entry | {"status": "done"})
+    return written
+
+
 def load_serving_table(df: DataFrame, path: str, key: list[str], integers: list[str], log: str | None = None) -> int:
     """Replace a serving table: blanks null (0 in ``integers``, where other text fails the load), keys unique; the number of rows.
 
@@ -137,3 +243,41 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
 def drop_expired(df: DataFrame, day_col: str, today: str, days: int = 400) -> DataFrame:
     """Rows of the last ``days`` days."""
     return df.where(F.col(day_col) > F.date_sub(F.lit(today).cast("date"), days))
+
+
+def expire(spark: SparkSession, path: str, totals: str, today: str, keys: list[str], n: str = "n", days: int = 400) -> list[str]:
+    """Take the day partitions (day=...) of a table of counters that are older than ``days`` away; the folders that went.
+
+    Their counts are added to a table of totals first, by ``keys``, together with the last day that it covers. So a run that dies in
+    between adds no day twice: the next one only takes away what is left. Whole folders go; no row of a day that stays is read or written.
+    """
+    limit = dt.date.fromisoformat(today) - dt.timedelta(days)
+    old = [f for f in folders(spark, path) if f.startswith("day=") and f.removeprefix("day=") <= limit.isoformat()]
+    recover(spark, totals)
+    have = exists(spark, totals)
+    through = spark.read.parquet(totals).agg(F.max("through")).first()[0] if have else None
+    if fresh := [f for f in old if through is None or f.removeprefix("day=") > through.isoformat()]:
+        rows = spark.read.option("basePath", path).parquet(*[f"{path}/{f}" for f in fresh]).select(*keys, F.col(n).cast("long").alias(n))
+        if have:
+            rows = rows.unionByName(spark.read.parquet(totals).select(*keys, n))
+        last = F.lit(max(fresh).removeprefix("day=")).cast("date")
+        rebuild(rows.groupBy(*keys).agg(F.sum(n).alias(n)).withColumn("through", last), totals, 0)
+    for f in old:
+        _delete(spark, f"{path}/{f}")
+    return old
+
+
+def all_time(spark: SparkSession, path: str, totals: str, keys: list[str], n: str = "n") -> DataFrame:
+    """``keys`` and their counts of all time: of days that are there, and of those that have gone."""
+    rows = spark.read.parquet(path).select("day", *keys, F.col(n).cast("long").alias(n)) if folders(spark, path) else None
+    if exists(spark, totals):
+        gone = spark.read.parquet(totals)
+        before = gone.select(*keys, n)
+        if rows is not None:  # a day that is counted among those gone may still be there after a crash
+            last = F.broadcast(gone.agg(F.max("through").alias("through")))
+            rows = rows.join(last).where(F.col("through").isNull() | (F.col("day") > F.col("through"))).drop("day", "through").unionByName(before)
+        else:
+            rows = before
+    if rows is None:
+        raise ValueError("there are no counters")
+    return rows.groupBy(*keys).agg(F.sum(n).alias(n))

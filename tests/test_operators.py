@@ -186,7 +186,7 @@ def test_text_rules(spark):
     a, b = F.create_map(F.lit("x"), F.lit(1).cast("long")), F.create_map(F.lit("x"), F.lit(2).cast("long"), F.lit("y"), F.lit(3).cast("long"))
     assert x(scalars.map_sum(a, b)) == {"x": 3, "y": 3} and x(scalars.map_max(a, b)) == {"x": 2, "y": 3}
     assert x(scalars.map_sum(F.lit(None).cast("map<string,long>"), a)) == {"x": 1}
-    assert x(scalars.union_files(F.array(F.lit("b"), F.lit("a")), F.array(F.lit("b"), F.lit("c")))) == ["a", "b", "c"]
+    assert x(scalars.union_names(F.array(F.lit("b"), F.lit("a")), F.array(F.lit("b"), F.lit("c")))) == ["a", "b", "c"]
     assert x(scalars.millis_to_ts(F.lit("1700000000000"))) == dt.datetime(2023, 11, 14, 22, 13, 20) and x(scalars.millis_to_ts(F.lit("x"))) is None
     assert x(scalars.site_roots(F.lit("see https://a.example/x, https://a.example/y; http://b.example"))) == ["https://a.example", "http://b.example"]
     assert x(scalars.directive_lines(F.lit("User-Agent: X # c\n\n# only\nDISALLOW:/a"))) == ["user-agent: X", "disallow: /a"]

@@ -112,16 +112,6 @@ def test_first_hits_equal_batch(spark, tmp_path):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-def test_day_summary_replaces_days(spark, tmp_path):
-    rows = bindings.kept_changes(spark, DATA)
-    write = jobs.update_day_summary(str(tmp_path / "days"))
-    write(rows.where("file_date < '2024-01-20'"), 0)
-    write(rows.where("file_date >= '2024-01-15'"), 1)
-    got = spark.read.parquet(str(tmp_path / "days")).select("day", "axis", "key", "n")
-    want = registry.daily_counts(rows)
-    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
-
-
 def test_tracker_equals_lifecycle(spark, tmp_path):
     seen, outcomes = bindings.sql(spark, DATA, bindings.OBSERVED), bindings.sql(spark, DATA, bindings.OUTCOMES)
     outcomes = outcomes.withColumn("outcome", F.when(F.col("outcome") == "unchanged", "ok").otherwise(F.col("outcome")))
