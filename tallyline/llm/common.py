@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -41,6 +42,33 @@ def new_path(spark: SparkSession, what: str) -> str:
     return path
 
 
+_open: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[Callable[..., None]]:
+    """Tables that ``cut`` writes in this block are deleted at its end, but for those handed to what it yields: a result that is read later needs them."""
+    held: list[DataFrame] = []
+    kept: set[str] = set()
+    _open.append(held)
+    try:
+        yield lambda *tables: kept.update(t.cut_at for t in tables)
+    finally:
+        _open.remove(held)
+        discard(*(t for t in held if t.cut_at not in kept))
+        if _open:
+            _open[-1] += [t for t in held if t.cut_at in kept]
+
+
+def comparable(df: DataFrame, prefix: str = "") -> list[Column]:
+    """The columns of ``df`` (of a struct, with its name as ``prefix``) in forms that can be hashed and compared: those with a map as JSON text."""
+    out = []
+    for f in df.schema:
+        c = F.col(prefix)[f.name] if prefix else F.col(f"`{f.name}`")
+        out.append(F.to_json(F.struct(c.alias("m"))) if "map<" in f.dataType.simpleString() else c)
+    return out
+
+
 def cut(df: DataFrame, what: str = "cut") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: the lineage ends there and survives lost executors."""
     spark = df.sparkSession
@@ -48,15 +76,20 @@ def cut(df: DataFrame, what: str = "cut") -> DataFrame:
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.cut_at = path
+    if _open:
+        _open[-1].append(back)
     return back
 
 
+def discard_path(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``cut`` wrote, once nothing reads them any more."""
     for df in tables:
-        spark = df.sparkSession
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.cut_at)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        discard_path(df.sparkSession, df.cut_at)
 
 
 def words(text: Column) -> Column:

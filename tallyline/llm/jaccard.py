@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import cut, discard
+from tallyline.llm.common import comparable, cut, discard, scratch
 from tallyline.llm.words import in_turn, steps
 
 SHINGLE = 5
@@ -654,10 +654,12 @@ def join_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     documents have it; so exact copies are no links of each other. ``percent`` is the least similarity in hundredths.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("key"))
-    rows, nodes, label = linked(docs, percent)
-    degree = degrees(label, docs, nodes, percent)
-    named = nodes.select("node", "first").join(label, "node", "left").join(degree, "node", "left")
-    named = named.select("node", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "first")
+    with scratch() as keep:
+        rows, nodes, label = linked(docs, percent)
+        degree = degrees(label, docs, nodes, percent)
+        named = nodes.select("node", "first").join(label, "node", "left").join(degree, "node", "left")
+        named = cut(named.select("node", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "first"), "named")
+        keep(rows, named)
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = named.join(least, "component").select("node", "component_id", "n_links")
     out = rows.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(named, "node", "left")
@@ -669,19 +671,21 @@ def join_components(docs: DataFrame, percent: int = 80) -> DataFrame:
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One row (all columns) of each component: that of least doc_id (null last), then node, key and the row's columns in order.
 
-    Null and empty texts have no shingles; their rows all stay. Rows that repeat a doc_id go only with their own text's component.
-    Columns must be of types that can be compared.
+    Null and empty texts have no shingles; their rows all stay. Rows that repeat a doc_id go only with their own text's component. Columns may have
+    any names and types; where one holds a map, rows alike in key are compared by its JSON text.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("key"))
-    rows, _, label = linked(own, percent)
-    found = rows.where("n > 0").groupBy("node", "key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("times"))
-    found = found.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "key")
-    least = found.groupBy("component").agg(F.min(order)["key"].alias("least"))
-    found = found.join(least, "component").select(F.col("key").alias("join_key"), (F.col("key") == F.col("least")).alias("stays"), "times")
-    # most rows stay as they are, alone with their key: only the keys of others are joined
-    found = cut(found.where("not stays or times > 1"), "leaving")
-    marked = docs.withColumn("join_key", row_key())
-    alone = marked.join(found.select("join_key"), "join_key", "left_anti").select(*docs.columns)
-    again = marked.join(found.where("stays").select("join_key"), "join_key", "left_semi")
-    return alone.unionByName(again.groupBy("join_key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
+    with scratch() as keep:
+        rows, _, label = linked(own, percent)
+        found = rows.where("n > 0").groupBy("node", "key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("times"))
+        found = found.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "key")
+        least = found.groupBy("component").agg(F.min(order)["key"].alias("least"))
+        found = found.join(least, "component").select(F.col("key").alias("join_key"), (F.col("key") == F.col("least")).alias("stays"), "times")
+        # most rows stay as they are, alone with their key: only the keys of others are joined
+        found = cut(found.where("not stays or times > 1"), "leaving")
+        keep(found)
+    packed = docs.select(row_key().alias("join_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.struct(*comparable(docs)).alias("order"))
+    alone = packed.join(found.select("join_key"), "join_key", "left_anti").select("row")
+    again = packed.join(found.where("stays").select("join_key"), "join_key", "left_semi")
+    return alone.unionByName(again.groupBy("join_key").agg(F.min_by("row", "order").alias("row")).select("row")).select("row.*")

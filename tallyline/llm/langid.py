@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import cut, discard, fold, marked, sample_per_class
@@ -18,9 +18,9 @@ from tallyline.llm.words import in_turn, steps
 
 #: n-gram orders of the spectrum, and the number of cells that n-grams are hashed into.
 ORDERS, CELLS = (1, 2, 3), 1 << 15
-#: The bound of the training sample: rows per language, rows in all, characters of a row; landmarks per language and in all. With more
-#: languages, each has fewer rows and landmarks, but four at least.
-MOST_ROWS, ALL_ROWS, MOST_CHARS, LANDMARKS, ALL_LANDMARKS = 400, 16_000, 4_000, 48, 1_024
+#: The bound of the training sample: rows per language and in all; landmarks per language and in all. With more languages, each has
+#: fewer rows and landmarks, but four at least. A row's text counts as a whole up to MOST_CHARS characters, a longer one by STRETCHES of it.
+MOST_ROWS, ALL_ROWS, MOST_CHARS, STRETCHES, LANDMARKS, ALL_LANDMARKS = 400, 16_000, 8_000, 16, 48, 1_024
 RIDGE, SHARPNESS = 1e-2, 8.0
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -111,8 +111,16 @@ def threshold(texts: list[str], langs: list[str], lose: float) -> float:
     return float(np.quantile(values, lose)) - 1e-6 if values and model.langs else -np.inf
 
 
+def spread(text: Column, most: int) -> Column:
+    """A text of at most ``most`` characters as it is, of a longer one stretches of together as many, evenly spread from its beginning to its end."""
+    size = most // STRETCHES
+    start = lambda i: (F.floor(i * (F.length(text) - size) / (STRETCHES - 1)) + 1).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), F.lit(STRETCHES - 1)), lambda i: F.substring(text, start(i), F.lit(size)))
+    return F.when(F.length(text) <= most, text).otherwise(F.array_join(parts, " "))
+
+
 def train(docs: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CHARS, lose: float | None = None) -> Model:
-    """Fit on labelled rows outside the held-out fold: at most ``most_rows`` of each language, the first ``most_chars`` characters of each.
+    """Fit on labelled rows outside the held-out fold: at most ``most_rows`` of each language, each text from all over (see ``spread``).
 
     Every non-null language is learnt. One pass counts the rows of each (without their texts), one takes the sample. With ``lose``,
     the model rejects texts by the ``threshold`` that this share of them falls below.
@@ -120,10 +128,9 @@ def train(docs: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CH
     rows = docs.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2))
     counts = cut(rows.groupBy("lang").agg(F.count("*").alias("n")), "langs")
     most_rows = max(4, min(most_rows, ALL_ROWS // max(1, counts.count())))
-    texts = rows.where(F.col("text").rlike(r"\p{L}")).select(
-        "lang", F.xxhash64("doc_id", "text").alias("h"), F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, most_chars).alias("text")
-    )
-    found = sample_per_class(texts, "lang", counts, ["h", "doc_id"], most_rows).orderBy("h", "doc_id", "lang").select("lang", "text").collect()
+    texts = rows.where(F.col("text").rlike(r"\p{L}")).select("lang", F.xxhash64("doc_id", "text").alias("h"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    some = sample_per_class(texts, "lang", counts, ["h", "doc_id"], most_rows)
+    found = some.select("h", "doc_id", "lang", spread(F.col("text"), most_chars).alias("text")).orderBy("h", "doc_id", "lang").select("lang", "text").collect()
     discard(counts)
     model = fit([r.text for r in found], [r.lang for r in found])
     if lose is not None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import WORD_GAP, cut
+from tallyline.llm.common import WORD_GAP, comparable, cut
 
 #: Weights of the sources in order of their names, repeating; and how often a source's size its target may be.
 WEIGHTS, MOST_EPOCHS = (1, 2, 3), 3
@@ -102,9 +102,12 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def take(docs: DataFrame) -> DataFrame:
-    """The mix itself: the rows of ``docs``, as they are, each as often as the plan takes it; of rows alike in all columns, as often as all of them."""
-    packed = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("row"))
-    named = _named(packed, [F.col("row")[c] for c in docs.columns])
+    """The mix itself: the rows of ``docs``, as they are, each as often as the plan takes it; of rows alike in all columns, as often as all of them.
+
+    Columns may have any names and types; one that holds a map is alike in two rows if its JSON text is.
+    """
+    packed = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    named = _named(packed, comparable(docs, "row"))
     times = plan(named).select(*ROW, (F.col("full") * F.col("rows") + F.col("more")).alias("times")).where("times > 0")
     each = named.select(*ROW, "row").join(times, ROW).groupBy(*ROW).agg(F.first("times").alias("times"), F.first("row").alias("row"))
     return each.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")

@@ -449,3 +449,18 @@ def test_licenses_inside_other_text(spark):
         assert r.doc_id >= len(names) or (r.dice == 1 and r.license == best[1])
     mixed = "All rights reserved.\n" + texts[0].replace("\n", " ") + "\nAll rights reserved.\nAll rights reserved."
     assert licenses.scan(spark.createDataFrame([(1, mixed)], "doc_id long, text string")).first().n_matches == 4
+
+
+def test_languages_that_mix_in_long_texts(spark, docs):
+    """Training looks at long texts from beginning to end: there most of each text is of its language, but not its first 10,000 characters."""
+    base = {lang: " ".join(r.text for r in docs.where(f"lang = '{lang}' and length(text) between 500 and 4000").orderBy("doc_id").limit(60).collect()) for lang in ("en", "de", "fr", "es")}
+    rows, other = [], {"en": "de", "de": "fr", "fr": "es", "es": "en"}
+    for k, lang in enumerate(base):
+        for i in range(24):
+            at = 997 * i
+            rows.append((1000 * k + i, base[other[lang]][at : at + 10_000] + " " + base[lang][at : at + 40_000], lang))
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    plain = docs.where("length(text) > 400").select("text", "lang").collect()
+    found = model.predict([r.text for r in plain])
+    assert sum(f[0] == r.lang for f, r in zip(found, plain, strict=True)) > 0.9 * len(plain)
+    assert langid.spread is not None and spark.createDataFrame([("x" * 9_000 + "y" * 9_000,)], "t string").select(langid.spread(F.col("t"), 1600)).first()[0].count("y") == 800

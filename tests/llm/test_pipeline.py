@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from test_jaccard import brute
 
-from tallyline.llm import langid, mixing, toxicity
+from tallyline.llm import common, langid, mixing, toxicity
 
 DATA = "/root/testdata/sf0.001"
 STEP = dict(corpus_pipeline.STAGES)
@@ -107,3 +107,29 @@ def test_near_duplicates_of_odd_ids(spark):
     got = sorted(map(tuple, out), key=str)
     assert len(got) == 9 and {r for r in got if r[0] != None or r[1] == None} == {(1, a, "x"), (3, c, None), (4, d, "x"), (5, e + " end", "x"), (6, None, "x"), (7, "", "x"), (None, None, "x")}  # noqa: E711
     assert len([r for r in got if r[0] is None and r[1]]) == 1 and [r for r in got if r[0] is None and r[1]][0][1].startswith(b)
+
+
+INTERNAL = ["join_key", "row", "order", "row_a", "row_b", "draw", "key", "node", "component", "times", "stays", "salt_", "bits", "range", "k"]
+
+
+@pytest.mark.parametrize("name", list(STEP)[:-1])
+def test_columns_of_any_name_and_type(spark, docs, name):
+    """Columns named like all internal ones, and struct, array and map columns, come out as they went in."""
+    some = docs.select("doc_id", "text", "lang", "source", "n_chars").where("doc_id < 60 or doc_id > 9000 or doc_id is null")
+    odd = [*[f"concat('x', cast(doc_id as string)) as {c}" for c in INTERNAL], "struct(doc_id as a, map('k', lang) as m) as s", "array(n_chars) as arr", "map(source, doc_id) as mp"]
+    rows = some.withColumn("source", F.coalesce("source", F.lit("none"))).selectExpr("*", *odd)
+    out = STEP[name](spark, rows, DATA)
+    assert out.schema.simpleString() == rows.schema.simpleString()
+    text = lambda df: Counter(r[0] for r in df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})).collect())
+    came, went = text(rows), text(out)
+    assert set(went) <= set(came) and sum(went.values()) > 20 and (name == "mixing" or not went - came)
+
+
+def test_tables_in_between_go(spark, docs, tmp_path, monkeypatch):
+    """What a stage writes for itself is deleted; what its result is read from stays until that is read."""
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    left = lambda: sorted(p.name.split("-")[0] for p in tmp_path.iterdir())
+    out = STEP["n-gram Jaccard join"](spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), DATA)
+    assert left() == ["leaving"] and out.count() > 100
+    corpus_pipeline.run(spark, DATA).collect()
+    assert left() == ["leaving", "mixing"]
