@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Temporary folders of local sessions that have none, by application.
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
 
@@ -18,9 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
         return there
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    there = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", there)
-    return there
+    app = spark.sparkContext.applicationId
+    if app not in _own:  # the setting cannot be changed in a session that runs
+        _own[app] = tempfile.mkdtemp(prefix="spark-")
+    return _own[app]
 
 
 def staged(df: DataFrame, what: str = "stage") -> DataFrame:
