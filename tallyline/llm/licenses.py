@@ -8,6 +8,7 @@ DataFrame expression.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -138,9 +139,24 @@ def bigrams(text: Column) -> Column:
     return F.element_at(F.transform(F.array(words), pairs), 1)
 
 
+def _plain_bigrams(text: str) -> list[str]:
+    """What ``bigrams(normal(text))`` gives for a template, whose letters are those of ASCII; in order of first appearance."""
+    words = [w for w in re.split(r"[^a-z0-9]+", text.lower()) if w]
+    return list(dict.fromkeys(map(" ".join, zip(words[:-1], words[1:], strict=True)))) if len(words) > 1 else words
+
+
 def _templates() -> Column:
-    """An array of (license, bigrams) that the optimizer folds into one constant."""
-    return F.array(*[F.struct(F.lit(name).alias("license"), bigrams(normal(F.lit(text))).alias("grams")) for name, text in TEMPLATES])
+    """An array of (license, grams, length: bigrams with repeats) that the optimizer folds into one constant: one JSON text, not thousands of expressions."""
+    rows = []
+    for name, text in TEMPLATES:
+        n = len([w for w in re.split(r"[^a-z0-9]+", text.lower()) if w])
+        rows.append({"license": name, "grams": _plain_bigrams(text), "length": n - 1})
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<license: string, grams: array<string>, length: int>>")
+
+
+def _every_gram() -> Column:
+    """All bigrams of all templates, each once, as one constant."""
+    return F.from_json(F.lit(json.dumps(list(dict.fromkeys(g for _, text in TEMPLATES for g in _plain_bigrams(text))))), "array<string>")
 
 
 def anchors(least: float = LEAST) -> list[str]:
@@ -162,6 +178,12 @@ def anchors(least: float = LEAST) -> list[str]:
     return sorted(out)
 
 
+def any_of(words: list[str]) -> str:
+    """A pattern of any of some words, those of one first letter together, so that most places of a text fail at once."""
+    letters = sorted({w[0] for w in words})
+    return "|".join(f"{a}(?:{'|'.join(w[1:] for w in words if w[0] == a)})" for a in letters)
+
+
 def best_match(unit: Column, least: float = LEAST) -> Column:
     """The best template for one piece of text as (dice, license), null if none reaches ``least``. Ties go to the later name."""
     ratio = least / (2 - least)
@@ -187,11 +209,7 @@ def best_window(stretch: Column, least: float = LEAST) -> Column:
     least / (2 - least) of the template's bigrams, so a stretch with fewer of them is left out, and so are windows with none.
     """
     ratio = least / (2 - least)
-    known = F.array(*[
-        F.struct(F.lit(name).alias("license"), bigrams(normal(F.lit(text))).alias("grams"), (F.size(F.split(normal(F.lit(text)), " ")) - 1).alias("length"))
-        for name, text in TEMPLATES
-    ])
-    every = F.array_distinct(F.flatten(F.transform(known, lambda t: t["grams"])))
+    known, every = _templates(), _every_gram()
 
     def bound(value: Column, then) -> Column:
         return F.element_at(F.transform(F.array(value), then), 1)
@@ -225,27 +243,27 @@ def scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
     once, as that line.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.split(text, "\n", -1)
-    paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n", -1), lambda p: F.contains(F.trim(p), F.lit("\n")))
+    lines = F.split("text", "\n", -1)
+    paragraphs = F.filter(F.split("text", r"\n[ \t\r]*\n", -1), lambda p: F.contains(F.trim(p), F.lit("\n")))
     # a regular expression over the text, then over each piece, spares most the splitting into bigrams
-    word = rf"(?<![\p{{L}}\p{{N}}])({'|'.join(anchors(least))})(?![\p{{L}}\p{{N}}])"
+    word = rf"(?:^|[^\p{{L}}\p{{N}}])(?:{any_of(anchors(least))})(?![\p{{L}}\p{{N}}])"
     none = F.array().cast("array<string>")
-    units = F.when(F.lower(text).rlike(word), F.filter(F.concat(paragraphs, lines), lambda u: F.lower(u).rlike(word))).otherwise(none)
+    units = F.when(F.col("open"), F.filter(F.concat(paragraphs, lines), lambda u: F.lower(u).rlike(word))).otherwise(none)
     found = F.filter(F.transform(units, lambda u: F.struct(u.alias("unit"), best_match(u, least).alias("match"))), lambda m: m["match"].isNotNull())
-    rows = docs.select("doc_id", text.alias("text"), found.alias("found"))
+    rows = docs.select("doc_id", text.alias("text"), F.lower(text).rlike(word).alias("open")).select("*", found.alias("found"))
 
     # the text without what matched: each line between line feeds of its own, the gaps marked by a character that is not in the text
     apart = lambda x: F.concat(F.lit("\n"), F.replace(x, F.lit("\n"), F.lit("\n\n")), F.lit("\n"))
     plain = apart(F.replace(F.col("text"), F.lit("\0"), F.lit(" ")))
     rest = F.aggregate("found", plain, lambda t, m: F.replace(t, apart(F.replace(m["unit"], F.lit("\0"), F.lit(" "))), F.lit("\n\0\n")))
-    stretches = F.when(F.lower("text").rlike(word), F.filter(F.split(rest, "\0", -1), lambda x: F.lower(x).rlike(word))).otherwise(none)
+    stretches = F.when(F.col("open"), F.filter(F.split(rest, "\0", -1), lambda x: F.lower(x).rlike(word))).otherwise(none)
 
     def inside(stretch: Column) -> Column:
         sentences = F.filter(F.split(stretch, r"(?<=[.!?;:])\s+", -1), lambda x: F.lower(x).rlike(word))
         return F.array_max(F.array_append(F.transform(sentences, lambda x: best_match(x, least)), best_window(stretch, least)))
 
     # the best match may cross lines that match less well; the count is of the stretches without them
-    rows = rows.select("*", F.when(F.lower("text").rlike(word), inside(F.col("text"))).alias("whole"))
+    rows = rows.select("*", F.when(F.col("open"), inside(F.col("text"))).alias("whole"))
     apart_from = F.size(F.filter(F.transform(stretches, inside), lambda m: m.isNotNull()))
     best = F.array_max(F.array_append(F.transform("found", lambda m: m["match"]), F.col("whole")))
     more = F.when(F.size("found") > 0, apart_from).otherwise(F.col("whole").isNotNull().cast("int"))
