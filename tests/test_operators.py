@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline.functions import dims, scalars
-from tallyline.operators import awards, governance, interactions, masking, postings, registry
+from tallyline.operators import awards, governance, interactions, masking, postings, registry, reports
 from tallyline.operators.pooled import pooled_quantile
 from tallyline.plans import queries
 
@@ -278,3 +278,51 @@ def test_provenance_of_ok_files(spark):
     days = spark.createDataFrame([(1, 5, 9, "2026-01-03")], "day int, records_raw long, raw_bytes long, retrieved_at string")
     daily = spark.createDataFrame([(1, "total", "", 4)], "day int, axis string, key string, n long")
     assert registry.coverage(days, daily).first().retrieved_at == "2026-01-03"
+
+
+def spread_cells(spark, n=400):
+    low = (F.col("id") * 7919 % 1000).alias("amount_min_jpy")
+    wide = F.col("id") % 5 * 40
+    return spark.range(n).select("id", low, *[(low + wide * k).alias(c) for k, c in ((1, "amount_q1_jpy"), (2, "amount_median_jpy"), (3, "amount_q3_jpy"), (5, "amount_max_jpy"))], (F.col("id") % 9 + 1).alias("n_awards"))
+
+
+def windows_of(df):
+    return [line for line in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if " Window " in f" {line.lstrip(' :+-')}" and "windowspecdefinition" in line]
+
+
+def test_sums_over_ranges(spark):
+    """Without groups, running sums go by ranges: the same figures as in one group, and no window over a whole table."""
+    cells = spread_cells(spark)
+    by_range = pooled_quantile(cells, [])
+    in_one = pooled_quantile(cells.withColumn("g", F.lit(1)), ["g"]).drop("g")
+    a, b = by_range.first(), in_one.first()
+    assert a.n_cells == b.n_cells == 400 and all(abs(a[c] - b[c]) < 1e-6 for c in ("q25", "q50", "q75"))
+    assert pooled_quantile(cells.where("id < 0"), []).first().q50 is None
+
+    values = spark.range(500).select((F.col("id") * 37 % 101).alias("v")).unionByName(spark.createDataFrame([(None,)], "v long"))
+    ordered = sorted(r.v for r in values.where("v is not null").collect())
+    cuts = [ordered[min(len(ordered) - 1, len(ordered) * k // 6)] for k in range(1, 6)]
+    classed = reports.sextile_class(values, "v")
+    assert all(r["class"] == (0 if r.v is None else 1 + sum(c <= r.v for c in cuts)) for r in classed.collect())
+
+    rows = spark.range(300).select((F.col("id") * 13 % 300).alias("k"), F.concat(F.lit("p"), F.col("id") % 40).alias("p"))
+    coded = awards.encode_dictionary(rows, ["p"], ["k"])
+    first: dict = {}
+    for r in sorted(rows.collect()):
+        first.setdefault(r.p, len(first))
+    assert all(first[r.p] == r.p_idx for r in coded.collect())
+    for df in (by_range, classed, coded):
+        assert all("range_" in line for line in windows_of(df))
+
+
+def test_headline_figures_in_texts(spark):
+    texts = ["In all 12,345 rows.", "id 12345!", "x123456", "1,12,345", "9,123,45", "12,3456", "999", "no", None, "7,000,000", "7000000.5", "٣ 12345"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    figures = [12345, 999, 7_000_000]
+    table = spark.createDataFrame([(f,) for f in figures], "figure long")
+    joined = {r.doc_id for r in governance.shows_figure(docs, table).collect()}
+    pattern = {r.doc_id for r in docs.where(F.col("text").rlike(governance.figure_pattern(figures))).collect()}
+    assert joined == pattern == {0, 1, 9, 10, 11}
+    must = {"licence": "CC", "notice": "(?i)modified"}
+    a = sorted(map(tuple, governance.audit_surfaces(docs, [], must, figures).collect()))
+    assert a == sorted(map(tuple, governance.audit_surfaces(docs, [], must, table).collect())) and len(a) == 10
