@@ -1,8 +1,9 @@
-"""Toxicity: subword-bag embeddings averaged over a text's most telling words, into a linear softmax; trained jointly in numpy.
+"""Toxicity: subword-bag embeddings averaged over spans of a text into a linear softmax; trained jointly in numpy.
 
 A word is the bag of its character 3- to 5-grams (with word bounds) and itself, hashed into a fixed number of buckets, so that a
-misspelling shares most vectors with the word it comes from. A document's embedding is the mean of those of the few words that speak
-most for toxicity, so neither a single odd word nor the length of a text decides. Where a text has no blanks for long, overlapping
+misspelling shares most vectors with the word it comes from. The bags of all words are averaged span by span, from the first word to the last.
+A window of a fixed number of words has the mean of its TOP spans that speak most for toxicity, so that no single odd word decides, and a text the
+score of its worst window: what else it holds, and how much of it, takes nothing away. Where a text has no blanks for long, overlapping
 pieces count as its words.
 """
 
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import fold, marked, sample_per_class
 from tallyline.llm.words import Cache, in_turn, indexed, steps
 
-#: Hash buckets of subwords, size of an embedding; words that a document is scored by: TOP, and one more for every EVERY words.
-BUCKETS, DIM, TOP, EVERY = 1 << 17, 12, 4, 400
-#: Training begins with so many passes over whole texts, of which at most so many words are drawn.
+#: Hash buckets of subwords, size of an embedding.
+BUCKETS, DIM = 1 << 17, 12
+#: Words of a span and of a window, which begins at every half of one; spans by which a window is scored.
+SPAN, WINDOW, TOP = 2, 400, 4
+#: Training begins with so many passes over whole texts, of each of which so many words are drawn anew in every pass (``train`` takes another number).
 WHOLE, DRAWN = 2, 300
 #: The bound of the training sample: rows per class, and characters of a row.
 MOST_ROWS, MOST_CHARS = 1500, 20_000
@@ -90,19 +93,34 @@ def word_logits(words: list[str], table: np.ndarray) -> np.ndarray:
     return np.bincount(at, weights=table[bucket], minlength=len(words)) / np.maximum(n, 1)
 
 
-def telling(n: int) -> int:
-    """By how many of its n words a text is scored; more in a long one, where a few odd words are to be expected."""
-    return min(n, TOP + n // EVERY)
-
-
-def top_mean(values: np.ndarray) -> float:
-    """The mean of the largest values, as many as are telling."""
-    k = telling(len(values))
-    return float(np.partition(values, len(values) - k)[-k:].mean())
+def spans(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the spans of a text of n words begin and end; the last one ends with the text and is as long as the others, if the text is."""
+    start = np.arange(0, n, SPAN)
+    if n:
+        start[-1] = max(0, min(start[-1], n - SPAN))
+    return start, np.minimum(start + SPAN, n)
+
+
+def worst_window(values: np.ndarray) -> tuple[float, np.ndarray]:
+    """The score of a text's worst window by its words' logits: the mean of the TOP largest of its spans' means; and which spans these are."""
+    start, end = spans(len(values))
+    upto = np.concatenate([[0.0], np.cumsum(values)])
+    means = (upto[end] - upto[start]) / (end - start)
+    half = WINDOW // SPAN // 2
+    if len(means) <= 2 * half:
+        k = min(TOP, len(means))
+        at = np.argpartition(means, len(means) - k)[-k:]
+        return float(means[at].mean()), at
+    blocks = np.concatenate([means, np.full(-len(means) % half, -np.inf)]).reshape(-1, half)
+    each = np.concatenate([blocks[:-1], blocks[1:]], axis=1)
+    top = np.argpartition(each, 2 * half - TOP, axis=1)[:, -TOP:]
+    score = np.take_along_axis(each, top, axis=1).mean(axis=1)
+    worst = int(score.argmax())
+    return float(score[worst]), top[worst] + worst * half
 
 
 class Model:
-    """Log odds = mean of the most toxic words' logits + bias; the softmax over two classes of the averaged embeddings."""
+    """Log odds = mean over the worst window's spans of their words' mean logit + bias: the softmax over two classes of averaged embeddings."""
 
     def __init__(self, table: np.ndarray, bias: float):
         self.table, self.bias = table, bias
@@ -128,7 +146,7 @@ class Model:
         return flat[np.repeat(start[codes] - (ends - n), n) + np.arange(ends[-1])], np.concatenate([[0], ends])[offsets]
 
     def scores(self, texts: pa.Array) -> list[float]:
-        """Score of each whole text by its most toxic words; 0 without a word."""
+        """Score of each whole text by its worst window; 0 without a word."""
         words, codes, offsets = indexed(pc.utf8_split_whitespace(texts))
         keep = np.array([w != "" for w in words], bool)[codes] if "" in words else np.ones(len(codes), bool)
         if any(len(w) > LONG for w in words):
@@ -143,13 +161,13 @@ class Model:
             if not len(own):
                 out.append(0.0)
                 continue
-            best = np.clip(top_mean(own) + self.bias, -30, 30)
+            best = np.clip(worst_window(own)[0] + self.bias, -30, 30)
             out.append(float(1 / (1 + np.exp(-best))))
         return out
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7) -> Model:
-    """Train embeddings and softmax together. Each epoch takes from every text its most toxic words so far; the first WHOLE epochs take all, or DRAWN.
+def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7, drawn: int = DRAWN) -> Model:
+    """Train embeddings and softmax together. Each epoch takes from every text the spans of its worst window so far; the first WHOLE epochs take all words, or ``drawn``.
 
     Without both classes there is nothing to tell apart; every score is then the share of label 1.
     """
@@ -179,9 +197,10 @@ def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7) ->
             if not len(d):
                 continue
             if epoch < WHOLE:
-                bags.append(d if len(d) <= DRAWN else rng.choice(d, DRAWN, replace=False))
+                bags.append(d if len(d) <= drawn else rng.choice(d, drawn, replace=False))
             else:
-                bags.append(d[np.argpartition(logit[d], len(d) - telling(len(d)))[-telling(len(d)) :]])
+                start, end = spans(len(d))
+                bags.append(np.concatenate([d[start[i] : end[i]] for i in worst_window(logit[d])[1]]))
             target.append(label)
         order = rng.permutation(len(bags))
         size = 32 if epoch < WHOLE else 128
@@ -213,7 +232,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7) ->
     return Model(emb @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]))
 
 
-def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CHARS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CHARS, drawn: int = DRAWN) -> Model:
     """Fit on labelled rows outside the held-out fold: at most ``most_rows`` of each class, each of at most ``most_chars`` characters.
 
     Twice as many ids as rows are drawn and broadcast to fetch texts in one pass, since some texts are too long or missing.
@@ -230,7 +249,7 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_c
     texts = short.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(0)), "doc_id")
     found = texts.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most_rows).orderBy("doc_id").select("text", "toxic").collect()
-    return fit([r.text for r in found], [r.toxic for r in found])
+    return fit([r.text for r in found], [r.toxic for r in found], drawn=drawn)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

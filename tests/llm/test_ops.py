@@ -341,10 +341,53 @@ def test_language_rejects(spark, docs):
     assert langid.train(docs.where("lang = 'en'"), lose=0.005).predict(["some text"])[0][0] == "en"
 
 
-def test_toxicity(spark, odd):
-    """On all held-out rows, and on those with one of six plain words."""
+@pytest.fixture(scope="module")
+def judged(spark):
+    """Documents, labels, and a model that is trained on them."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
-    model = toxicity.train(docs, labels)
+    return docs, labels, toxicity.train(docs, labels)
+
+
+@pytest.fixture(scope="module")
+def held_out(judged):
+    """Held-out toxic texts, and clean ones."""
+    docs, labels, _ = judged
+    rows = docs.where(fold(F.col("doc_id")) == 2).join(labels.select("doc_id", "toxic"), "doc_id").where("length(text) > 0").select("doc_id", "text", "toxic").distinct().orderBy("doc_id").collect()
+    return [r.text for r in rows if r.toxic == 1], [r.text for r in rows if r.toxic == 0]
+
+
+@pytest.mark.parametrize("size", [10_000, 48_000, 184_000, 700_000])
+def test_toxic_texts_among_clean_ones(judged, held_out, size):
+    """A toxic text in front of, in the middle of and behind clean ones counts as it does alone, however long these are."""
+    model, (toxic, clean) = judged[2], held_out
+    filler = "\n".join(clean)[:size]
+    half = filler.index(" ", size // 2)
+    found = [model.scores(pa.array([t + "\n" + filler, filler[:half] + "\n" + t + "\n" + filler[half:], filler + "\n" + t])) for t in toxic[:40]]
+    assert len(filler) == size and np.mean([s >= toxicity.THRESHOLD for three in found for s in three]) >= 0.85
+    if size < 200_000:
+        assert model.scores(pa.array([filler]))[0] < toxicity.THRESHOLD
+
+
+def test_misspelt_toxic_texts(judged, held_out):
+    """Two letters change places in every word of five or more: more than half of the toxic texts are still found, and clean ones are left alone."""
+    model, draw = judged[2], np.random.default_rng(1)
+
+    def swapped(text):
+        out = []
+        for w in text.split(" "):
+            if len(w) >= 5:
+                i = int(draw.integers(1, len(w) - 2))
+                w = w[:i] + w[i + 1] + w[i] + w[i + 2 :]
+            out.append(w)
+        return " ".join(out)
+
+    toxic, clean = (np.array(model.scores(pa.array([swapped(t) for t in texts]))) >= toxicity.THRESHOLD for texts in held_out)
+    assert toxic.mean() >= 0.5 and clean.mean() <= 0.03
+
+
+def test_toxicity(spark, odd, judged):
+    """On all held-out rows, and on those with one of six plain words."""
+    docs, labels, model = judged
     rows = toxicity.score(docs, model).where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
     toxic, clean = [r for r in rows if r.toxic == 1], [r.predicted for r in rows if r.toxic == 0]
     marked = [r.predicted for r in toxic if re.search("idiot|moron|stupid|scum|worthless|pathetic", r.text)]
@@ -379,10 +422,13 @@ def test_toxicity_scores():
         return sum(table[b] for b in buckets) / len(buckets)
 
     texts = ["", "One, two! (three)", " ".join(f"w{x}" for x in rng.integers(0, 50, 97)), "é" * 150 + " end", "a b " * 6, "x", " ".join(f"w{x}" for x in rng.integers(0, 5000, 1900))]
+    texts += [" ".join(f"w{x}" for x in rng.integers(0, 300, n)) for n in (2, 3, 7, 8, 9, 399, 400, 401, 402, 599, 600, 601, 1000, 1201)]
     for text, score in zip(texts, toxicity.Model(table, bias).scores(pa.array(texts)), strict=True):
-        values = sorted(logit(p) for w in text.split() for p in toxicity.pieces(w))
-        values = values[-(4 + len(values) // 400) :]
-        assert score == pytest.approx(1 / (1 + math.exp(-sum(values) / len(values) - bias)) if values else 0.0, abs=1e-9)
+        values = [logit(p) for w in text.split() for p in toxicity.pieces(w)]
+        means = [sum(values[i : i + 2]) / 2 if i + 1 < len(values) else sum(values[-2:]) / len(values[-2:]) for i in range(0, len(values), 2)]
+        windows = [means] if len(means) <= 200 else [means[i : i + 200] for i in range(0, len(means) - 100, 100)]
+        worst = max((sum(sorted(w)[-4:]) / len(sorted(w)[-4:]) for w in windows if w), default=None)
+        assert score == pytest.approx(1 / (1 + math.exp(-worst - bias)) if values else 0.0, abs=1e-9)
 
 
 def test_toxicity_of_long_tokens():
