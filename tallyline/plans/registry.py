@@ -604,3 +604,54 @@ _add("page_rows", lambda s, d: _page(s, d, "ECONOMY/Brand#5", 1995),
      floor(sum(c.amount_sum_jpy) / sum(c.n_awards) + 0.5)::bigint as amount_mean_jpy, 1.0::double as share, any_value(e.n_awards) > 50 as quantiles_exact from c join exact e using (fiscal_year, sector) having count(*) > 0
      union all select row_number() over (order by n_awards desc, coalesce(nullif(prefecture_code, ''), 'zz'))::int, prefecture, nullif(prefecture_code, ''), n_awards, null, null, n_corporate, n_masked_individual, amount_min_jpy,
      amount_q1_jpy, amount_median_jpy, amount_q3_jpy, amount_max_jpy, amount_sum_jpy, floor(amount_sum_jpy / n_awards + 0.5)::bigint, round_even(n_awards / sum(n_awards) over (), 4), true from c""")
+
+# ---------------------------------------------------------------- stored postings: sightings, closing, purge; nights, lines
+
+
+def _stored(s: SparkSession, d: str) -> DataFrame:
+    """Postings as stored before a run: those first seen by the 20th, with misses and status by board."""
+    seen = B.sql(s, d, B.OBSERVED).groupBy("board", "posting").agg(F.min("day").alias("f"), F.max("day").alias("l")).where("day(f) <= 20")
+    misses = F.col("board") % 3
+    return seen.select(
+        F.concat_ws(":", F.col("board").cast("string"), "posting").alias("posting_id"), F.lit("a").alias("ats"), F.col("board").cast("string").alias("board_token"), F.lit("old").alias("title"),
+        F.concat(F.lit("u"), F.col("board").cast("string")).alias("job_url"), F.lit("2023-12-01").alias("created_at"), F.col("f").cast("string").alias("first_seen_at"), F.least("l", F.lit("2024-01-20").cast("date")).cast("string").alias("last_seen_at"),
+        misses.alias("consecutive_misses"), F.when(misses == 2, "closed").otherwise("open").alias("status"), F.when(misses > 0, "2024-01-19").alias("closed_at"),
+    )
+
+
+def _seen_last(s: SparkSession, d: str) -> DataFrame:
+    rows = B.sql(s, d, B.OBSERVED).where("day(day) > 20").select("board", "posting").distinct()
+    board = F.col("board").cast("string")
+    return rows.select(F.concat_ws(":", board, "posting").alias("posting_id"), F.lit("a").alias("ats"), board.alias("board_token"), F.lit("new").alias("title"), F.lit("v").alias("job_url"),
+                       F.when(F.col("board") % 2 == 0, "2024-01-05").alias("created_at"))
+
+
+_STORED = f"""{_OUT}, stored as (select board || ':' || posting as posting_id, board, min(day)::varchar as f, least(max(day), date '2024-01-20')::varchar as l from obs group by board, posting having day(min(day)) <= 20),
+  seen as (select distinct board || ':' || posting as posting_id, board from obs where day(day) > 20)"""
+_add("posting_upsert", lambda s, d: P.merge_postings(_stored(s, d), _seen_last(s, d), F.lit("2024-01-30")).fillna("", ["closed_at", "created_at"]),
+     f"""with {_STORED}, j as (select coalesce(a.posting_id, b.posting_id) as posting_id, coalesce(a.board, b.board) as board, a.posting_id is not null as known, b.posting_id is not null as sighted, f, l
+     from stored a full join seen b on a.posting_id = b.posting_id)
+     select posting_id, 'a' as ats, board::varchar as board_token, case when sighted then 'new' else 'old' end as title, case when known then 'u' || board else 'v' end as job_url,
+     coalesce(case when sighted and board % 2 = 0 then '2024-01-05' end, case when known then '2023-12-01' end, '') as created_at, case when known then f else '2024-01-30' end as first_seen_at,
+     case when sighted then '2024-01-30' else l end as last_seen_at, case when sighted then 0 else board % 3 end as consecutive_misses, case when sighted or board % 3 < 2 then 'open' else 'closed' end as status,
+     case when not sighted and board % 3 > 0 then '2024-01-19' else '' end as closed_at from j""")
+
+
+def _last_night(s: SparkSession, d: str) -> DataFrame:
+    board = F.col("board").cast("string")
+    return B.sql(s, d, B.OUTCOMES).select("board").distinct().select(F.lit("a").alias("ats"), board.alias("board_token"), F.element_at(F.array(F.lit("ok"), F.lit("unchanged"), F.lit("failed")), (F.col("board") % 7 % 3 + 1).cast("int")).alias("outcome"))
+
+
+_add("posting_closing", lambda s, d: P.close_missing(_stored(s, d), _last_night(s, d), _seen_last(s, d).where("cast(board_token as int) % 5 > 0"), F.lit("2024-01-30")).select(
+        "posting_id", "consecutive_misses", "status", F.coalesce("closed_at", F.lit("")).alias("closed_at")),
+     f"""with {_STORED}, s2 as (select posting_id from seen where board % 5 > 0), j as (select stored.*, board % 3 as m, (['ok', 'unchanged', 'failed'])[board % 7 % 3 + 1] as o, posting_id in (select posting_id from s2) as x from stored),
+     k as (select *, o <> 'failed' and m < 2 and not (x or (o = 'unchanged' and m = 0)) as missed from j)
+     select posting_id, case when missed then m + 1 else m end as consecutive_misses, case when m = 2 or (missed and m = 1) then 'closed' else 'open' end as status,
+     case when missed and m = 0 then '2024-01-30' when m > 0 then '2024-01-19' else '' end as closed_at from k""")
+_add("purged_postings", lambda s, d: M.purge_blocked(_stored(s, d), _last_night(s, d).where("outcome = 'failed'").select("ats", "board_token")).select("posting_id"),
+     f"with {_STORED} select posting_id from stored where board % 7 % 3 < 2")
+_add("night_counts", lambda s, d: s.read.parquet(f"{d}/events.parquet").groupBy(scalars.night_key(F.col("ts").cast("timestamp")).alias("night")).agg(F.count("*").alias("n")),
+     "select (ts - interval 3 hour)::date as night, count(*) as n from events group by 1")
+_add("line_changes", lambda s, d: G.line_changes(*(B.sql(s, d, B.CLICKS).where(f"day(ts) = {k}").select(F.concat_ws(" ", "product", "kind").alias("line")) for k in (10, 11))),
+     f"""with c as ({B.duck(B.CLICKS)}), a as (select product || ' ' || kind as line from c where day(ts) = 10), b as (select product || ' ' || kind as line from c where day(ts) = 11)
+     select line, 'added' as change from (select * from b except all select * from a) union all select line, 'removed' from (select * from a except all select * from b)""")

@@ -145,8 +145,14 @@ def rebuild(df: DataFrame, path: str, least: int = 1) -> int:
     return n
 
 
-def publish_table(df: DataFrame, path: str, columns: list[str], order: list[str], kind: str = "csv") -> None:
-    """A small aggregate as one ordered file with a fixed column order; nulls as blanks in CSV."""
+#: Rows of a table that is published as one file.
+MOST_ROWS = 1_000_000
+
+
+def publish_table(df: DataFrame, path: str, columns: list[str], order: list[str], kind: str = "csv", most: int = MOST_ROWS) -> None:
+    """A small aggregate as one ordered file with a fixed column order; nulls as blanks in CSV. A table of more than ``most`` rows is refused."""
+    if df.select(F.lit(1)).limit(most + 1).count() > most:
+        raise ValueError(f"a table of more than {most} rows is not published as one file")
     rows = df.select(*columns).orderBy(*order).coalesce(1)
     if kind == "csv":
         rows.write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue="")

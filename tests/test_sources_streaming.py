@@ -81,6 +81,8 @@ def test_stats_table(spark, tmp_path):
     sinks.publish_table(rows, str(tmp_path / "s"), ["fiscal_year", "sector", "n", "note"], ["fiscal_year"])
     back = readers.read_stats(spark, str(tmp_path / "s"), "fiscal_year int, sector string, n int, note string", ["sector"])
     assert [tuple(r) for r in back.orderBy("fiscal_year").collect()] == [(2023, "a", 1, "x"), (2024, "b", 3, None)]
+    with pytest.raises(ValueError, match="one file"):
+        sinks.publish_table(rows, str(tmp_path / "s2"), ["n"], ["n"], most=1)
     with pytest.raises(ValueError, match="missing"):
         readers.read_stats(spark, str(tmp_path / "s"), "fiscal_year int", ["nothing"])
     assert sorted(r.id for r in sinks.drop_expired(spark.range(3).withColumn("day", F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int"))), "day", "2026-02-06").collect()) == [2]
