@@ -1,7 +1,7 @@
 """Toxicity: subword-bag embeddings averaged over spans of a text into a linear softmax; trained jointly in numpy.
 
 A word is the bag of its character 3- to 5-grams (with word bounds) and itself, hashed into a fixed number of buckets, so that a
-misspelling shares most vectors with the word it comes from. The bags of all words are averaged span by span, from the first word to the last.
+misspelling shares most vectors with the word it comes from; training reads part of the texts misspelt. The bags of all words are averaged span by span, from the first word to the last.
 A window of a fixed number of words has the mean of its TOP spans that speak most for toxicity, so that no single odd word decides, and a text the
 score of its worst window: what else it holds, and how much of it, takes nothing away. Where a text has no blanks for long, overlapping
 pieces count as its words.
@@ -26,6 +26,10 @@ BUCKETS, DIM = 1 << 17, 12
 SPAN, WINDOW, TOP = 2, 400, 4
 #: Training begins with so many passes over whole texts, of each of which so many words are drawn anew in every pass (``train`` takes another number).
 WHOLE, DRAWN = 2, 300
+#: Misspelt forms of each word of FORMED or more characters that training knows, and the share of texts that an epoch reads in them.
+FORMS, FORMED, SHARE = 3, 4, 0.3
+#: Words whose subwords training looks up at a time.
+AT_ONCE = 100_000
 #: The bound of the training sample: rows per class, and characters of a row.
 MOST_ROWS, MOST_CHARS = 1500, 20_000
 #: Score from which a document counts as toxic.
@@ -86,6 +90,16 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(bucket)
 
 
+def misspelt(word: str, rng: np.random.Generator) -> str:
+    """The word with two neighbouring letters inside it swapped, one left out, or one doubled; short words as they are."""
+    if len(word) < FORMED:
+        return word
+    way, i = rng.integers(4), int(rng.integers(1, len(word) - 2))
+    if way < 2:
+        return word[:i] + word[i + 1] + word[i] + word[i + 2 :]
+    return word[:i] + (word[i] * 2 if way == 2 else "") + word[i + 1 :]
+
+
 def word_logits(words: list[str], table: np.ndarray) -> np.ndarray:
     """Each word's share of the log odds: the mean over its subwords. ``table`` holds one number for each bucket."""
     at, bucket = subwords(words)
@@ -166,9 +180,10 @@ class Model:
         return out
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7, drawn: int = DRAWN) -> Model:
+def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7, drawn: int = DRAWN, share: float = SHARE) -> Model:
     """Train embeddings and softmax together. Each epoch takes from every text the spans of its worst window so far; the first WHOLE epochs take all words, or ``drawn``.
 
+    In every epoch a ``share`` of the texts, toxic and clean ones alike, is read misspelt (FORMS), so that n-grams which outlast a misspelling bear the weight.
     Without both classes there is nothing to tell apart; every score is then the share of label 1.
     """
     y = np.array(labels, np.int64)
@@ -178,24 +193,29 @@ def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7, dr
     rng = np.random.default_rng(seed)
     number: dict[str, int] = {}
     docs = [np.array([number.setdefault(w, len(number)) for w in tokens(t)], np.int64) for t in texts]
-    vocabulary = list(number)
-    at, bucket = subwords(vocabulary)
-    by_word = np.argsort(at, kind="stable")
-    bucket = bucket[by_word].astype(np.int32)
-    n_sub = np.bincount(at, minlength=len(vocabulary))
-    del at, by_word, number
+    known = list(number)
+    forms = np.array([[number.setdefault(misspelt(w, rng), len(number)) for w in known] for _ in range(FORMS)], np.int64)
+    vocabulary, kept, n_sub = list(number), [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+    for k in range(0, len(vocabulary), AT_ONCE):
+        at, bucket = subwords(vocabulary[k : k + AT_ONCE])
+        kept.append(bucket[np.argsort(at, kind="stable")].astype(np.int32))
+        n_sub.append(np.bincount(at))
+    bucket, n_sub = np.concatenate(kept), np.concatenate(n_sub)
+    del number, kept
     first = np.concatenate([[0], np.cumsum(n_sub)])
     emb = rng.normal(0, 0.1, (BUCKETS, DIM))
     out = rng.normal(0, 0.1, (DIM, 2))
     bias = np.zeros(2)
     seen_emb, seen_out, seen_bias = np.full((BUCKETS, 1), 1e-8), np.full((DIM, 2), 1e-8), np.full(2, 1e-8)
     for epoch in range(epochs):
-        table = emb @ (out[:, 1] - out[:, 0])
+        table = (emb @ (out[:, 1] - out[:, 0])).astype(np.float32)
         logit = np.add.reduceat(table[bucket], first[:-1]) / n_sub if len(vocabulary) else np.zeros(0)
         bags, target = [], []
         for d, label in zip(docs, y.tolist(), strict=True):
             if not len(d):
                 continue
+            if rng.random() < share:
+                d = forms[rng.integers(FORMS, size=len(d)), d]
             if epoch < WHOLE:
                 bags.append(d if len(d) <= drawn else rng.choice(d, drawn, replace=False))
             else:

@@ -369,7 +369,7 @@ def test_toxic_texts_among_clean_ones(judged, held_out, size):
 
 
 def test_misspelt_toxic_texts(judged, held_out):
-    """Two letters change places in every word of five or more: more than half of the toxic texts are still found, and clean ones are left alone."""
+    """Two letters change places in every word of five or more: seven of ten toxic texts are still found, and clean ones are left alone."""
     model, draw = judged[2], np.random.default_rng(1)
 
     def swapped(text):
@@ -382,7 +382,7 @@ def test_misspelt_toxic_texts(judged, held_out):
         return " ".join(out)
 
     toxic, clean = (np.array(model.scores(pa.array([swapped(t) for t in texts]))) >= toxicity.THRESHOLD for texts in held_out)
-    assert toxic.mean() >= 0.5 and clean.mean() <= 0.03
+    assert toxic.mean() >= 0.7 and clean.mean() <= 0.015
 
 
 def test_toxicity(spark, odd, judged):
@@ -400,6 +400,16 @@ def test_toxicity(spark, odd, judged):
     assert [tuple(r) for r in toxicity.filter_clean(odd.where("doc_id = 1"), model).collect()] == [tuple(r) for r in odd.where("doc_id = 1").collect()]
 
 
+def test_misspelt_forms():
+    """One letter is swapped, left out or doubled inside a word; short words stay, and a seed gives the same forms and model again."""
+    draw = np.random.default_rng(2)
+    forms = {toxicity.misspelt("abcdef", draw) for _ in range(300)}
+    assert {len(f) for f in forms} == {5, 6, 7} and all(f[0] == "a" and f[-1] == "f" and f != "abcdef" for f in forms)
+    assert toxicity.misspelt("abc", draw) == "abc"
+    texts, labels = ["some quiet words here", "horrible words there", "", "quiet"] * 5, [0, 1, 0, 0] * 5
+    assert np.array_equal(toxicity.fit(texts, labels).table, toxicity.fit(texts, labels).table)
+
+
 def test_toxicity_scores():
     """Scores of whole texts against sums over every subword of every word."""
     rng = np.random.default_rng(4)
