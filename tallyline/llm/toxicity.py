@@ -29,7 +29,7 @@ WHOLE, DRAWN = 2, 300
 #: Misspelt forms of each word of FORMED or more characters that training knows, and the share of texts that an epoch reads in them.
 FORMS, FORMED, SHARE = 3, 4, 0.3
 #: Words whose subwords training looks up at a time.
-AT_ONCE = 100_000
+AT_ONCE = 50_000
 #: The bound of the training sample: rows per class, and characters of a row.
 MOST_ROWS, MOST_CHARS = 1500, 20_000
 #: Score from which a document counts as toxic.
@@ -194,14 +194,15 @@ def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7, dr
     number: dict[str, int] = {}
     docs = [np.array([number.setdefault(w, len(number)) for w in tokens(t)], np.int64) for t in texts]
     known = list(number)
-    forms = np.array([[number.setdefault(misspelt(w, rng), len(number)) for w in known] for _ in range(FORMS)], np.int64)
+    forms = np.array([[number.setdefault(misspelt(w, rng), len(number)) for w in known] for _ in range(FORMS)], np.int32)
     vocabulary, kept, n_sub = list(number), [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+    del number, known
     for k in range(0, len(vocabulary), AT_ONCE):
         at, bucket = subwords(vocabulary[k : k + AT_ONCE])
         kept.append(bucket[np.argsort(at, kind="stable")].astype(np.int32))
         n_sub.append(np.bincount(at))
     bucket, n_sub = np.concatenate(kept), np.concatenate(n_sub)
-    del number, kept
+    del vocabulary, kept
     first = np.concatenate([[0], np.cumsum(n_sub)])
     emb = rng.normal(0, 0.1, (BUCKETS, DIM))
     out = rng.normal(0, 0.1, (DIM, 2))
@@ -209,7 +210,11 @@ def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7, dr
     seen_emb, seen_out, seen_bias = np.full((BUCKETS, 1), 1e-8), np.full((DIM, 2), 1e-8), np.full(2, 1e-8)
     for epoch in range(epochs):
         table = (emb @ (out[:, 1] - out[:, 0])).astype(np.float32)
-        logit = np.add.reduceat(table[bucket], first[:-1]) / n_sub if len(vocabulary) else np.zeros(0)
+        logit = [np.zeros(0)]
+        for k in range(0, len(n_sub), AT_ONCE):
+            some = first[k : k + AT_ONCE + 1]
+            logit.append(np.add.reduceat(table[bucket[some[0] : some[-1]]], some[:-1] - some[0]) / n_sub[k : k + AT_ONCE])
+        logit = np.concatenate(logit)
         bags, target = [], []
         for d, label in zip(docs, y.tolist(), strict=True):
             if not len(d):
