@@ -47,7 +47,7 @@ PART = 16
 #: Nodes of an entry are compared in blocks of this many.
 BLOCK = 1024
 #: Rows of short entries that are compared in one group, and pairs that a task holds at a time.
-TOGETHER, HELD = 50_000, 1_000_000
+TOGETHER, HELD = 12_000, 250_000
 #: Links are counted between blocks of about this many nodes and tokens.
 COUNT_NODES, COUNT_TOKENS = 1024, 1_000_000
 #: Cells of the bitmap by which rows that are no candidates are left out before a shuffle.
