@@ -8,16 +8,27 @@ from pyspark.sql import functions as F
 from tallyline.functions import scalars
 
 
+def _named(matrix: DataFrame, datasets: DataFrame) -> DataFrame:
+    """For each key that a source may name: (key, n_sources, reuse, robots), over the clearance rows whose source contains it.
+
+    Sources are cut into their stretches of each length that a key has, so keys meet them by equality and no key is held against all sources.
+    """
+    lengths = datasets.select(F.length("key").alias("n")).where("n is not null").distinct().agg(F.collect_list("n").alias("lengths"))  # one row
+    sized = matrix.select("source", "reuse_allowed", "robots_ok").join(F.broadcast(lengths)).withColumn("n", F.explode("lengths")).where(F.col("n") <= F.length("source"))
+    cut = F.transform(F.sequence(F.lit(1), F.length("source") - F.col("n") + 1), lambda i: F.substring("source", i, F.col("n")))
+    stretches = sized.select("reuse_allowed", "robots_ok", F.explode(F.array_distinct(cut)).alias("key"))
+    return stretches.groupBy("key").agg(F.count("*").alias("n_sources"), F.max("reuse_allowed").alias("reuse"), F.max("robots_ok").alias("robots"))
+
+
 def clear(datasets: DataFrame, matrix: DataFrame) -> DataFrame:
     """Each dataset (dataset, key, prototype, hold) with tos_status and publishable.
 
     Exactly one clearance row must name the key in its source. Y passes; unclear passes as a prototype if robots_ok begins with Y;
     all else is blocked. A hold keeps a dataset from publication.
     """
-    # the matrix has tens of rows; contains() needs a nested loop, which stays small on both sides
-    m = F.broadcast(matrix.select("source", "reuse_allowed", "robots_ok"))
-    joined = datasets.join(m, F.contains(F.col("source"), F.col("key")), "left")
-    per = joined.groupBy("dataset", "key", "prototype", "hold").agg(F.count("source").alias("n_rows"), F.max("reuse_allowed").alias("reuse"), F.max("robots_ok").alias("robots"))
+    per = datasets.groupBy("dataset", "key", "prototype", "hold").agg(F.count("*").alias("times_"))
+    joined = per.join(_named(matrix, datasets), "key", "left")
+    per = joined.withColumn("n_rows", F.coalesce(F.col("times_") * F.col("n_sources"), F.lit(0)))
     status = (
         F.when(F.col("n_rows") == 0, "missing").when(F.col("n_rows") > 1, "ambiguous").when(F.col("reuse") == "Y", "cleared")
         .when((F.col("reuse") == "unclear") & F.col("prototype") & F.startswith(F.col("robots"), F.lit("Y")), "prototype").otherwise("blocked")

@@ -326,3 +326,16 @@ def test_headline_figures_in_texts(spark):
     must = {"licence": "CC", "notice": "(?i)modified"}
     a = sorted(map(tuple, governance.audit_surfaces(docs, [], must, figures).collect()))
     assert a == sorted(map(tuple, governance.audit_surfaces(docs, [], must, table).collect())) and len(a) == 10
+
+
+def test_clear_meets_keys_by_equality(spark):
+    sources = ["site-1;", "site-12;", "x site-1; site-1;", "", "日本データ", None, "ab", "aab"]
+    matrix = spark.createDataFrame([(s, "Y" if k % 2 else "unclear", "Y" if k % 3 else None) for k, s in enumerate(sources)], "source string, reuse_allowed string, robots_ok string")
+    keys = ["site-1", "site-1;", "", "本デ", "zz", None, "a", "ab", "a"]
+    rows = [(f"d{k}", key, k % 2 == 0, False) for k, key in enumerate(keys)] + [("d1", "site-1;", False, False)]
+    sets = spark.createDataFrame(rows, "dataset string, key string, prototype boolean, hold boolean")
+    out = governance.clear(sets, matrix)
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString().replace("BroadcastNestedLoopJoin BuildRight, Inner", "")  # lengths of keys are one row
+    twice = lambda d: 2 if d == "d1" else 1
+    want = {d: twice(d) * sum(k is not None and s is not None and k in s for s in sources) for d, k, _, _ in rows}
+    assert {r.dataset: r.n_rows for r in out.collect()} == want
