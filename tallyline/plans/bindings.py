@@ -109,10 +109,10 @@ def raw_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql(spark, sf_dir, AWARDS)
 
 
-def code_tables(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bodies and methods that occur; a body's name is its code in lower case."""
-    bodies = raw.select("ministry_cd").distinct().withColumn("publisher_name", F.lower("ministry_cd"))
-    methods = raw.select("method_cd").distinct()
+def code_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Bodies and methods of all parts and orders, so also of all awards; a body's name is its code in lower case."""
+    bodies = sql(spark, sf_dir, "select distinct p_type as ministry_cd from {part}").withColumn("publisher_name", F.lower("ministry_cd"))
+    methods = sql(spark, sf_dir, "select distinct o_orderpriority as method_cd from {orders}")
     return bodies, methods.withColumn("method_detail", F.lower("method_cd")).withColumn("method", F.substring("method_cd", 1, 1))
 
 
@@ -131,13 +131,18 @@ def awards(spark: SparkSession, sf_dir: str) -> DataFrame:
 CELL = ["fiscal_year", "sector", "prefecture", "prefecture_code"]
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.award_stats(awards(spark, sf_dir), CELL)
+def stored_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same awards, written once, for what reads them for cells and for whole sectors."""
+    return staged(awards(spark, sf_dir).select(*CELL, "winner_type", "amount_jpy"), "awards")
 
 
-def published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published cells. The cells are written once, as they are read twice: for themselves and for the universe of places."""
-    return M.assert_not_directory(M.publish_cells(staged(cells(spark, sf_dir), "cells"), ["fiscal_year", "sector"], "prefecture"))
+def cells(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    return A.award_stats(awards(spark, sf_dir) if rows is None else rows, CELL)
+
+
+def published(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """Published cells (of stored awards). The cells are written once, as they are read twice: for themselves and for the universe of places."""
+    return M.assert_not_directory(M.publish_cells(staged(cells(spark, sf_dir, rows), "cells"), ["fiscal_year", "sector"], "prefecture"))
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from tallyline.operators.pooled import pooled_quantile
 from tallyline.plans import bindings as B
 from tallyline.plans import queries as Q
 from tallyline.sources import readers
+from tallyline.sources.staging import staged
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -52,9 +53,20 @@ def _exact(s: SparkSession, d: str) -> DataFrame:
     return A.sector_year_exact(B.awards(s, d))
 
 
+def _pages_and_exact(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Pages and exact statistics of the same stored awards."""
+    rows = B.stored_awards(s, d)
+    return A.sector_year(B.published(s, d, rows)), staged(A.sector_year_exact(rows), "exact")
+
+
+def _quantiles(s: SparkSession, d: str) -> DataFrame:
+    pages, exact = _pages_and_exact(s, d)
+    return A.with_quantiles(pages, exact.where("n_awards > 50"), exact)
+
+
 def _normalized(s: SparkSession, d: str) -> DataFrame:
     raw = B.raw_awards(s, d)
-    bodies, methods = B.code_tables(raw)
+    bodies, methods = B.code_tables(s, d)
     return A.normalize_awards(raw, bodies, methods, {"license": "open"})
 
 
@@ -78,7 +90,7 @@ _add(
     f"""with {B.D_AWARDS}, keyed as (select *, sha1(concat_ws('|', ministry_cd, award_date::varchar, {B.TITLE_KEY}, amount_jpy::varchar)) as award_id
     from awards) select fiscal_year, award_id, max(arrival) as arrival, amount_jpy from keyed group by all""",
 )
-_add("award_lookup", lambda s, d: A.build_lookup(B.sql(s, d, B.BASELINE), M.mask_winners(B.raw_awards(s, d))),
+_add("award_lookup", lambda s, d: A.build_lookup(B.sql(s, d, B.BASELINE), M.mask_winners(B.raw_awards(s, d).select("corporate_number", "winner_name").dropDuplicates(["corporate_number"]))),
      f"with {B.D_AWARDS} select distinct base.* from base join awards using (corporate_number) where winner_type = 'corporate'")
 _add("award_enrich", lambda s, d: B.awards(s, d).select("arrival", "item_no", "prefecture", "prefecture_code"),
      f"with {B.D_AWARDS} select arrival, item_no, prefecture, prefecture_code from awards")
@@ -95,7 +107,7 @@ _add("sector_year_exact", _exact, f"with {B.D_AWARDS} {B.d_stats('fiscal_year, s
 _add("sector_year", _pages, f"with {B.D_PAGES} select * from pages")
 _add(
     "sector_year_quantiles",
-    lambda s, d: A.with_quantiles(_pages(s, d), _exact(s, d).where("n_awards > 50"), _exact(s, d)),
+    _quantiles,
     f"""with {B.D_PAGES} select pages.*, amount_q1_jpy, amount_median_jpy, amount_q3_jpy, exact.n_awards > 50 as quantiles_exact
     from pages join exact using (fiscal_year, sector)""",
 )
@@ -192,7 +204,7 @@ _add("report_sextiles", lambda s, d: T.sextile_class(_pages(s, d).select("fiscal
 _add("report_rank_cells", lambda s, d: T.rank_cells(B.published(s, d), ["fiscal_year", "sector"]).select("fiscal_year", "sector", "prefecture_code", "n_awards", "place"),
      f"""with {B.D_PUBLISHED} select fiscal_year, sector, prefecture_code, n_awards, row_number() over (partition by fiscal_year, sector
      order by n_awards desc, coalesce(nullif(prefecture_code, ''), 'zz'))::int as place from published""")
-_add("report_index", lambda s, d: T.stats_index(_pages(s, d), _exact(s, d)),
+_add("report_index", lambda s, d: T.stats_index(*_pages_and_exact(s, d)),
      f"""with {B.D_PAGES} select sector, fiscal_year, pages.n_awards, pages.amount_sum_jpy, amount_median_jpy, amount_median_jpy is null as estimated
      from pages left join exact using (fiscal_year, sector)""")
 _add("report_decades", lambda s, d: T.five_number_decades(_pages(s, d)),
@@ -592,7 +604,8 @@ _add("refresh_plan", _refresh,
 
 
 def _page(s: SparkSession, d: str, sector: str, year: int) -> DataFrame:
-    cells, exact = B.published(s, d), _exact(s, d)
+    rows = B.stored_awards(s, d)
+    cells, exact = B.published(s, d, rows), A.sector_year_exact(rows)
     return T.page_rows(cells, exact.where("n_awards > 50"), exact, sector, year)
 
 

@@ -339,3 +339,39 @@ def test_clear_meets_keys_by_equality(spark):
     twice = lambda d: 2 if d == "d1" else 1
     want = {d: twice(d) * sum(k is not None and s is not None and k in s for s in sources) for d, k, _, _ in rows}
     assert {r.dataset: r.n_rows for r in out.collect()} == want
+
+
+def test_check_digit_matches_digit_sums(spark):
+    bodies = [f"{(k * 7919 ** 3) % 10 ** 12:012d}" for k in range(300)] + ["12345678901", "1234567890１2", "+12345678901", "", None]
+
+    def digit(b):
+        if b is None or len(b) < 12 or not (b.isascii() and b.isdigit()):
+            return None
+        return 9 - sum(int(b[12 - n]) * (1 if n % 2 else 2) for n in range(1, 13)) % 9
+
+    df = spark.createDataFrame([(b,) for b in bodies], "b string")
+    assert [r.d for r in df.select(scalars.check_digit(F.col("b")).alias("d")).collect()] == [digit(b) for b in bodies]
+
+
+def test_masked_winners_are_not_one_task(spark):
+    rows = spark.range(4000).select(F.col("id").alias("arrival"), F.when(F.col("id") % 4 == 0, F.col("id").cast("string")).alias("corporate_number"))
+    lookup = spark.createDataFrame([("4", "13", "東京都"), (None, "01", "北海道"), ("-7", "02", "青森県")], "corporate_number string, prefecture_code string, prefecture string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        out = awards.enrich_prefecture(rows, lookup)
+        assert max(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()) < 1000
+        assert out.columns == ["arrival", "corporate_number", "prefecture_code", "prefecture"]
+        assert {r.arrival for r in out.where("prefecture_code <> ''").collect()} == {4} and out.count() == 4000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_masking_works_a_number_out_once(spark):
+    df = spark.createDataFrame([("n", "1010001005145"), ("m", "x")], "winner_name string, corporate_number string")
+    plan = masking.mask_winners(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") <= 2
+    assert [r.corporate_number for r in masking.mask_winners(df).collect()] == ["1010001005145", None]
