@@ -45,9 +45,14 @@ def build_lookup(baseline: DataFrame, awards: DataFrame) -> DataFrame:
 
 
 def enrich_prefecture(awards: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Winner's prefecture by corporate number; unknown where there is none. The join strategy is left to the optimizer."""
-    side = lookup.select(F.col("corporate_number"), F.col("prefecture_code").alias("pc"), F.col("prefecture").alias("pn"))
-    joined = awards.drop("prefecture", "prefecture_code").join(side, "corporate_number", "left")
+    """Winner's prefecture by corporate number; unknown where there is none. The join strategy is left to the optimizer.
+
+    Masked winners have no number. They would all be dealt to one task, so each gets a key of its other columns, which no number is like.
+    """
+    side = lookup.select(F.concat(F.lit("n"), "corporate_number").alias("key_"), F.col("prefecture_code").alias("pc"), F.col("prefecture").alias("pn"))
+    rows = awards.drop("prefecture", "prefecture_code")
+    spread = F.xxhash64(*[c for c in rows.columns if c != "corporate_number"]).cast("string")
+    joined = rows.withColumn("key_", F.coalesce(F.concat(F.lit("n"), "corporate_number"), spread)).join(side, "key_", "left").drop("key_")
     code = F.coalesce("pc", F.lit(""))
     return joined.withColumn("prefecture_code", code).withColumn("prefecture", F.coalesce("pn", scalars.prefecture_name(code))).drop("pc", "pn")
 
