@@ -22,7 +22,9 @@ NONE = np.int64(1) << 40
 #: Pieces above this many bytes merge through a heap, whose work grows with n log n instead of n squared.
 LONG_PIECE = 192
 #: Segments, and pieces, that a worker remembers before it starts anew; bounds the memory of a worker.
-CACHE = 250_000
+CACHE = 120_000
+#: Bytes of text that a worker encodes at a time.
+STEP = 1_000_000
 #: A blank before a character that no regex dialect counts as white space. The pattern always begins a new match there.
 SEGMENT = re.compile(r" (?=[!-~¡-ɏ])")
 #: A blank before anything else, or at the end.
@@ -241,7 +243,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATT
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
         for batch in batches:
-            for part in steps(batch, 1, 3_000_000):
+            for part in steps(batch, 1, STEP):
                 ids, at = bpe.encode_batch(part.column(1))
                 each = [ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -264,7 +266,7 @@ def encode_ids(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATT
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
         for batch in batches:
-            for part in steps(batch, 1, 3_000_000):
+            for part in steps(batch, 1, STEP):
                 ids, at = bpe.encode_batch(part.column(1))
                 lists = pa.ListArray.from_arrays(at.astype(np.int32), ids.astype(np.int32))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], ["doc_id", "ids"])
