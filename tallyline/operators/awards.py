@@ -28,11 +28,18 @@ def normalize_awards(raw: DataFrame, bodies: DataFrame, methods: DataFrame, prov
     return rows.withColumns({c: F.lit(v) for c, v in (provenance or {}).items()})
 
 
-def dedup_awards(df: DataFrame, arrival: str = "arrival") -> DataFrame:
-    """The last arrival of each award of a fiscal year; ties by row hash."""
-    order = [F.desc(arrival), *([F.desc("raw_hash")] if "raw_hash" in df.columns else [])]
+def dedup_awards(df: DataFrame, arrival: str = "arrival", ties: bool = True) -> DataFrame:
+    """The last arrival of each award of a fiscal year; ties by row hash.
+
+    Without ``ties`` rows that arrive at once are not told apart, and no row hash is moved: for who keeps only what such rows share,
+    as are the parts of an award's id. Ids are moved as bytes.
+    """
+    order = [F.desc(arrival), *([F.desc("raw_hash")] if ties and "raw_hash" in df.columns else [])]
+    text = dict(df.dtypes)["award_id"] == "string"
+    rows = df.withColumn("award_id", scalars.packed(F.col("award_id"))) if text else df
     w = Window.partitionBy("fiscal_year", "award_id").orderBy(*order)
-    return df.withColumn("n_", F.row_number().over(w)).where("n_ = 1").drop("n_")
+    last = rows.withColumn("n_", F.row_number().over(w)).where("n_ = 1").drop("n_")
+    return last.withColumn("award_id", scalars.unpacked(F.col("award_id"))) if text else last
 
 
 def build_lookup(baseline: DataFrame, awards: DataFrame) -> DataFrame:

@@ -24,14 +24,19 @@ def number(key: str, wrong: str) -> str:
     return f"concat(cast((9 - ({weighted(body)}) % 9 + case when {wrong} then 1 else 0 end) % 10 as string), {body})"
 
 
-AWARDS = f"""
+WINNERS = f"""(
+       select c_custkey, c_name, case when c_acctbal < 0 then '' else {number("c_custkey", "c_custkey % 37 = 0")} end as corporate_number from {{customer}}
+     ) c"""
+AWARD = """
 select l.l_orderkey * 10 + l.l_linenumber as arrival, concat(cast(l.l_orderkey as string), '-', cast(l.l_linenumber as string)) as item_no,
-       case when p.p_partkey % 11 = 0 then concat('医療法人社団 ', p.p_name) when p.p_partkey % 13 = 0 then concat('{{{{', p.p_name, '}}}}') else p.p_name end as title, cast(l.l_shipdate as date) as award_date, cast(cast(l.l_extendedprice as decimal(15, 2)) as string) as price,
+       case when p.p_partkey % 11 = 0 then concat('医療法人社団 ', p.p_name) when p.p_partkey % 13 = 0 then concat('{{', p.p_name, '}}') else p.p_name end as title, cast(l.l_shipdate as date) as award_date, cast(cast(l.l_extendedprice as decimal(15, 2)) as string) as price,
        p.p_type as ministry_cd, concat(p.p_type, '/', p.p_brand) as sector, o.o_orderpriority as method_cd, c.c_name as winner_name,
        c.corporate_number, l.l_discount as award_ratio
-from {{lineitem}} l join {{orders}} o on l.l_orderkey = o.o_orderkey join (
-       select c_custkey, c_name, case when c_acctbal < 0 then '' else {number("c_custkey", "c_custkey % 37 = 0")} end as corporate_number from {{customer}}
-     ) c on o.o_custkey = c.c_custkey
+"""
+AWARDS = f"""{AWARD}from {{lineitem}} l join {{orders}} o on l.l_orderkey = o.o_orderkey join {WINNERS} on o.o_custkey = c.c_custkey
+     join {{part}} p on l.l_partkey = p.p_partkey"""
+#: The same rows. Orders meet customers before items, so that of the two only orders are dealt by customer once customers outgrow a broadcast.
+SPARK_AWARDS = f"""{AWARD}from {{lineitem}} l join ({{orders}} o join {WINNERS} on o.o_custkey = c.c_custkey) on l.l_orderkey = o.o_orderkey
      join {{part}} p on l.l_partkey = p.p_partkey"""
 BASELINE = f"""
 select {number("c.c_custkey", "c.c_custkey % 37 = 0")} as corporate_number, lpad(cast(n.n_nationkey + 1 as string), 2, '0') as prefecture_code,
@@ -106,7 +111,7 @@ def duck(text: str) -> str:
 
 
 def raw_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sql(spark, sf_dir, AWARDS)
+    return sql(spark, sf_dir, SPARK_AWARDS)
 
 
 def code_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -86,7 +86,7 @@ _add(
 )
 _add(
     "award_dedup",
-    lambda s, d: A.dedup_awards(_normalized(s, d)).select("fiscal_year", "award_id", "arrival", "amount_jpy"),
+    lambda s, d: A.dedup_awards(_normalized(s, d), ties=False).select("fiscal_year", "award_id", "arrival", "amount_jpy"),
     f"""with {B.D_AWARDS}, keyed as (select *, sha1(concat_ws('|', ministry_cd, award_date::varchar, {B.TITLE_KEY}, amount_jpy::varchar)) as award_id
     from awards) select fiscal_year, award_id, max(arrival) as arrival, amount_jpy from keyed group by all""",
 )
@@ -131,7 +131,7 @@ _add(
     + """ select fiscal_year, (select count(*) from c where c.fiscal_year = val.fiscal_year) as n_cells, max(round_even(q, 2)) filter (p = 0.25) as q25,
     max(round_even(q, 2)) filter (p = 0.5) as q50, max(round_even(q, 2)) filter (p = 0.75) as q75 from val group by 1""",
 )
-_add("award_provenance", lambda s, d: A.award_provenance(B.raw_awards(s, d), A.dedup_awards(_normalized(s, d)), B.published(s, d)),
+_add("award_provenance", lambda s, d: A.award_provenance(B.raw_awards(s, d), A.dedup_awards(_normalized(s, d), ties=False), B.published(s, d)),
      f"""with {B.D_PUBLISHED}, keyed as (select fiscal_year, sha1(concat_ws('|', ministry_cd, award_date::varchar, {B.TITLE_KEY}, amount_jpy::varchar)) as award_id,
      max(award_date) as ld from awards group by 1, 2), h as (select max(n_awards_suppressed_in_group) as h from published group by fiscal_year, sector)
      select (select count(*) from raw) as records_parsed, count(*) as records_normalized, max(award_date) as last_award_date,

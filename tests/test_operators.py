@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tallyline.functions import dims, scalars
 from tallyline.operators import awards, governance, interactions, masking, postings, registry, reports
 from tallyline.operators.pooled import pooled_quantile
-from tallyline.plans import queries
+from tallyline.plans import bindings, queries
+from tallyline.plans import registry as registered
 
 
 def one(spark, expr):
@@ -375,3 +376,55 @@ def test_masking_works_a_number_out_once(spark):
     plan = masking.mask_winners(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("translate(") <= 2
     assert [r.corporate_number for r in masking.mask_winners(df).collect()] == ["1010001005145", None]
+
+
+def test_packed_text_comes_back(spark):
+    texts = ["0a" * 20, "0A" * 20, "abc", "ab", "ab\n", "zz", "日本", "\x01", "\u00ab", "", None]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k int, x string").withColumn("b", scalars.packed(F.col("x")))
+    rows = df.withColumn("y", scalars.unpacked(F.col("b"))).orderBy("k").collect()
+    assert [r.y for r in rows] == texts and len(rows[0].b) == 21
+    assert len({bytes(r.b) for r in rows if r.b is not None}) == len(texts) - 1
+
+
+def test_dedup_of_awards(spark):
+    rows = [(2024, "ab", 1, "y"), (2024, "ab", 2, "x"), (2024, "ab", 2, "w"), (2024, "Ab", 1, "a"), (2025, "ab", 1, "b"), (2024, None, None, "c"), (2024, None, 3, None), (2024, "", 5, "d")]
+    df = spark.createDataFrame(rows, "fiscal_year int, award_id string, arrival long, raw_hash string")
+    want = {(2024, "ab", 2, "x"), (2024, "Ab", 1, "a"), (2025, "ab", 1, "b"), (2024, None, 3, None), (2024, "", 5, "d")}
+    out = awards.dedup_awards(df)
+    assert out.columns == df.columns and out.dtypes == df.dtypes
+    assert {tuple(r) for r in out.collect()} == want and out.count() == len(want)
+    short = awards.dedup_awards(df, ties=False).select("fiscal_year", "award_id", "arrival")
+    assert {tuple(r) for r in short.collect()} == {r[:3] for r in want} and short.count() == len(want)
+    numbered = df.withColumn("award_id", F.lit(7))
+    assert awards.dedup_awards(numbered).dtypes == numbered.dtypes
+
+
+def _exchanges(df):
+    """Columns of the rows that each exchange of a plan without broadcasts moves."""
+    conf, plan, found = df.sparkSession.conf, None, []
+    before = {k: conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(before, ("-1", "false"), strict=True):
+            conf.set(k, v)
+        plan = df.select("*")._jdf.queryExecution().executedPlan()
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            found.append([f"{c.name()} {c.dataType().simpleString()}" for c in (node.output().apply(i) for i in range(node.output().size()))])
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_award_dedup_moves_short_rows(spark):
+    moved = _exchanges(registered.queries()["award_dedup"](spark, "/root/testdata/sf0.001"))
+    assert [sorted(x) for x in moved if any(c.startswith("award_id ") for c in x)] == [["amount_jpy bigint", "arrival bigint", "award_id binary", "fiscal_year int"]]
+
+
+def test_items_of_awards_are_not_dealt_by_customer(spark):
+    moved = _exchanges(bindings.raw_awards(spark, "/root/testdata/sf0.001"))
+    assert any("o_custkey bigint" in x for x in moved)
+    assert not any("o_custkey bigint" in x and "l_orderkey bigint" in x for x in moved)
