@@ -7,10 +7,10 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.words import steps
+from tallyline.llm.words import in_turn, steps
 from tallyline.sources.staging import shared_dir
 
 #: A word of a text: a run of characters other than space, tab, line feed, vertical tab, form feed and carriage return.
@@ -116,6 +116,29 @@ def sample_per_class(rows: DataFrame, label: str, counts: DataFrame, key: list[s
     return each.withColumn("k_", F.row_number().over(Window.partitionBy(label).orderBy(h, *key))).where(F.col("k_") <= most).drop("k_")
 
 
+def fitted(sample: DataFrame, order: list[str], owner: str, fit: Callable[[list[list]], pa.RecordBatch], schema: str) -> Row:
+    """The one row that ``fit`` makes of the columns of a bounded sample, sorted by ``order``, which are left out.
+
+    It runs in a task: neither the texts nor what a fit needs beside them take the driver's memory, only the model returns.
+    """
+
+    @in_turn(owner)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns: list[list] = []
+        for batch in batches:
+            columns = columns or [[] for _ in batch.columns]
+            for held, column in zip(columns, batch.columns, strict=True):
+                held += column.to_pylist()
+        yield fit(columns or [[] for _ in range(width)])
+
+    rows = sample.repartition(1).sortWithinPartitions(*order).drop(*order)
+    width = len(rows.columns)
+    found = rows.mapInArrow(run, schema).collect()
+    if found:
+        return found[0]
+    return Row(**fit([[] for _ in range(width)]).to_pylist()[0])  # Spark runs no task where it sees that there are no rows
+
+
 def marked(batch: pa.RecordBatch, text: int, keep: Callable[[pa.RecordBatch], list[bool]]) -> pa.RecordBatch:
     """The rows of a batch, as they are, for which ``keep`` of a slice (text without nulls) says so."""
     return batch.filter(pa.array([x for part in steps(batch, text) for x in keep(part)], pa.bool_()))

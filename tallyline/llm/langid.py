@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import cut, discard, fold, marked, sample_per_class
+from tallyline.llm.common import cut, discard, fitted, fold, marked, sample_per_class
 from tallyline.llm.words import in_turn, steps
 
 #: n-gram orders of the spectrum, and the number of cells that n-grams are hashed into.
@@ -21,6 +21,8 @@ ORDERS, CELLS = (1, 2, 3), 1 << 15
 #: The bound of the training sample: rows per language and in all; landmarks per language and in all. With more languages, each has
 #: fewer rows and landmarks, but four at least. A row's text counts as a whole up to MOST_CHARS characters, a longer one by STRETCHES of it.
 MOST_ROWS, ALL_ROWS, MOST_CHARS, STRETCHES, LANDMARKS, ALL_LANDMARKS = 400, 16_000, 8_000, 16, 48, 1_024
+#: Cells that are folded at a time.
+AT_ONCE = 1 << 12
 RIDGE, SHARPNESS = 1e-2, 8.0
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -53,9 +55,10 @@ class Model:
         #: A text whose best decision value is below this is in none of the languages; see ``threshold``.
         self.least = -np.inf
         self.norms = np.sqrt(np.maximum(landmarks.sum(axis=1), 1)) if len(landmarks) else np.zeros(0)
-        #: landmarks.T / norms @ weights: the batched products of all landmarks, folded into one matrix
-        self.folded = (landmarks.T / self.norms) @ weights if len(landmarks) else np.zeros((CELLS, len(langs)))
-        self.folded = np.ascontiguousarray(self.folded, np.float32)
+        #: landmarks.T / norms @ weights: the batched products of all landmarks, folded into one matrix, some cells at a time
+        self.folded = np.zeros((CELLS, len(langs)), np.float32)
+        for k in range(0, CELLS if len(landmarks) else 0, AT_ONCE):
+            self.folded[k : k + AT_ONCE] = (landmarks[:, k : k + AT_ONCE].T / self.norms) @ weights
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """Language and score (softmax of the decision values) of each whole text."""
@@ -123,18 +126,25 @@ def train(docs: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CH
     """Fit on labelled rows outside the held-out fold: at most ``most_rows`` of each language, each text from all over (see ``spread``).
 
     Every non-null language is learnt. One pass counts the rows of each (without their texts), one takes the sample. With ``lose``,
-    the model rejects texts by the ``threshold`` that this share of them falls below.
+    the model rejects texts by the ``threshold`` that this share of them falls below. See ``fitted`` for where it is fitted.
     """
     rows = docs.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2))
     counts = cut(rows.groupBy("lang").agg(F.count("*").alias("n")), "langs")
     most_rows = max(4, min(most_rows, ALL_ROWS // max(1, counts.count())))
     texts = rows.where(F.col("text").rlike(r"\p{L}")).select("lang", F.xxhash64("doc_id", "text").alias("h"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     some = sample_per_class(texts, "lang", counts, ["h", "doc_id"], most_rows)
-    found = some.select("h", "doc_id", "lang", spread(F.col("text"), most_chars).alias("text")).orderBy("h", "doc_id", "lang").select("lang", "text").collect()
+    found = some.select("h", "doc_id", "lang", F.col("lang").alias("name"), spread(F.col("text"), most_chars).alias("text"))
+
+    def learn(columns: list[list]) -> pa.RecordBatch:
+        names, texts = columns
+        model = fit(texts, names)
+        least = -np.inf if lose is None else threshold(texts, names, lose)
+        return pa.RecordBatch.from_pydict({"langs": pa.array([model.langs], pa.list_(pa.string())), "folded": [model.folded.tobytes()], "intercept": pa.array([model.intercept], pa.list_(pa.float64())), "least": [least]})
+
+    row = fitted(found, ["h", "doc_id", "lang"], "langid training", learn, "langs array<string>, folded binary, intercept array<double>, least double")
     discard(counts)
-    model = fit([r.text for r in found], [r.lang for r in found])
-    if lose is not None:
-        model.least = threshold([r.text for r in found], [r.lang for r in found], lose)
+    model = Model(row.langs, np.zeros((0, CELLS), np.float32), np.zeros((0, 0)), np.array(row.intercept, np.float64))
+    model.folded, model.least = np.frombuffer(bytes(row.folded), np.float32).reshape(CELLS, len(row.langs)), row.least
     return model
 
 

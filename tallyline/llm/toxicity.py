@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import fold, marked, sample_per_class
-from tallyline.llm.words import Cache, in_turn, indexed, steps
+from tallyline.llm.common import fitted, fold, marked, sample_per_class
+from tallyline.llm.words import Cache, in_turn, indexed, release, steps
 
 #: Hash buckets of subwords, size of an embedding.
 BUCKETS, DIM = 1 << 17, 12
@@ -28,8 +28,8 @@ SPAN, WINDOW, TOP = 2, 400, 4
 WHOLE, DRAWN = 2, 300
 #: Misspelt forms of each word of FORMED or more characters that training knows, and the share of texts that an epoch reads in them.
 FORMS, FORMED, SHARE = 3, 4, 0.3
-#: Words whose subwords training looks up at a time.
-AT_ONCE = 50_000
+#: Words whose subwords are looked up at a time.
+AT_ONCE = 5_000
 #: The bound of the training sample: rows per class, and characters of a row.
 MOST_ROWS, MOST_CHARS = 1500, 20_000
 #: Score from which a document counts as toxic.
@@ -90,6 +90,11 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(bucket)
 
 
+def n_subwords(word: str) -> int:
+    """How many ``subwords`` a word has: itself, and its n-grams with its bounds."""
+    return 1 + sum(max(0, len(word) + 3 - n) for n in (3, 4, 5))
+
+
 def misspelt(word: str, rng: np.random.Generator) -> str:
     """The word with two neighbouring letters inside it swapped, one left out, or one doubled; short words as they are."""
     if len(word) < FORMED:
@@ -143,7 +148,10 @@ class Model:
     def _learn(self, words: list[str]) -> dict[str, float]:
         spelt = [bare(w) for w in words]
         order = sorted(set(spelt))
-        logit = dict(zip(order, word_logits(order, self.table).tolist(), strict=True))
+        logit: dict[str, float] = {}
+        for k in range(0, len(order), AT_ONCE):
+            some = order[k : k + AT_ONCE]
+            logit.update(zip(some, word_logits(some, self.table).tolist(), strict=True))
         return {w: logit[b] for w, b in zip(words, spelt, strict=True)}
 
     def _spread(self, words: list[str], codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +161,7 @@ class Model:
         for i, w in enumerate(words):
             if len(w) > LONG:
                 parts = pieces(w)
-                own[i] = np.concatenate([word_logits(parts[k : k + 20_000], self.table) for k in range(0, len(parts), 20_000)])
+                own[i] = np.concatenate([word_logits(parts[k : k + AT_ONCE], self.table) for k in range(0, len(parts), AT_ONCE)])
         count = np.fromiter(map(len, own), np.int64, len(own))
         flat, start, n = np.concatenate(own), np.cumsum(count) - count, count[codes]
         ends = np.cumsum(n)
@@ -192,18 +200,21 @@ def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7, dr
         return Model(np.zeros(BUCKETS), float(np.log(share / (1 - share))))
     rng = np.random.default_rng(seed)
     number: dict[str, int] = {}
-    docs = [np.array([number.setdefault(w, len(number)) for w in tokens(t)], np.int64) for t in texts]
+    docs = [np.array([number.setdefault(w, len(number)) for w in tokens(t)], np.int32) for t in texts]
     known = list(number)
     forms = np.array([[number.setdefault(misspelt(w, rng), len(number)) for w in known] for _ in range(FORMS)], np.int32)
-    vocabulary, kept, n_sub = list(number), [np.empty(0, np.int32)], [np.empty(0, np.int64)]
-    del number, known
-    for k in range(0, len(vocabulary), AT_ONCE):
-        at, bucket = subwords(vocabulary[k : k + AT_ONCE])
-        kept.append(bucket[np.argsort(at, kind="stable")].astype(np.int32))
-        n_sub.append(np.bincount(at))
-    bucket, n_sub = np.concatenate(kept), np.concatenate(n_sub)
-    del vocabulary, kept
-    first = np.concatenate([[0], np.cumsum(n_sub)])
+    vocabulary = list(number)
+    n_sub = np.array([n_subwords(w) for w in vocabulary], np.int32)
+    first = np.concatenate([[0], np.cumsum(n_sub, dtype=np.int64)])
+    joined = [" ".join(vocabulary[k : k + AT_ONCE]) for k in range(0, len(vocabulary), AT_ONCE)]  # single strings take several times the room
+    del number, known, vocabulary
+    release()
+    bucket = np.empty(first[-1], np.int32)
+    for k, some in enumerate(joined):
+        at, own = subwords(some.split(" "))
+        begin = first[k * AT_ONCE]
+        bucket[begin : begin + len(own)] = own[np.argsort(at, kind="stable")]
+    del joined
     emb = rng.normal(0, 0.1, (BUCKETS, DIM))
     out = rng.normal(0, 0.1, (DIM, 2))
     bias = np.zeros(2)
@@ -258,7 +269,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 14, seed: int = 7, dr
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_chars: int = MOST_CHARS, drawn: int = DRAWN) -> Model:
-    """Fit on labelled rows outside the held-out fold: at most ``most_rows`` of each class, each of at most ``most_chars`` characters.
+    """Fit on labelled rows outside the held-out fold: at most ``most_rows`` of each class, each of at most ``most_chars`` characters; see ``fitted``.
 
     Twice as many ids as rows are drawn and broadcast to fetch texts in one pass, since some texts are too long or missing.
     """
@@ -273,8 +284,14 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_c
     short = docs.selectExpr("cast(doc_id as long) doc_id", "text").where((F.length("text") <= most_chars) & F.col("doc_id").isNotNull())
     texts = short.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(0)), "doc_id")
-    found = texts.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most_rows).orderBy("doc_id").select("text", "toxic").collect()
-    return fit([r.text for r in found], [r.toxic for r in found], drawn=drawn)
+    found = texts.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most_rows).select("doc_id", "text", "toxic")
+
+    def learn(columns: list[list]) -> pa.RecordBatch:
+        model = fit(*columns, drawn=drawn)
+        return pa.RecordBatch.from_pydict({"logits": [model.table.tobytes()], "bias": [model.bias]})
+
+    row = fitted(found, ["doc_id"], "toxicity training", learn, "logits binary, bias double")
+    return Model(np.frombuffer(bytes(row.logits)), row.bias)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

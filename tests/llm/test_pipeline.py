@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import os
+import tracemalloc
 from collections import Counter, defaultdict
 
 import corpus_pipeline
@@ -133,3 +135,32 @@ def test_tables_in_between_go(spark, docs, tmp_path, monkeypatch):
     assert left() == ["leaving"] and out.count() > 100
     corpus_pipeline.run(spark, DATA).collect()
     assert left() == ["leaving", "mixing"]
+
+
+@pytest.mark.parametrize("what", [toxicity, langid])
+def test_models_are_fitted_in_a_task(spark, docs, what, monkeypatch):
+    """The driver holds neither the texts nor what a fit needs beside them."""
+    labels, fit, driver = spark.read.parquet(f"{DATA}/labels.parquet"), what.fit, os.getpid()
+
+    def elsewhere(*args, **kw):
+        assert os.getpid() != driver
+        return fit(*args, **kw)
+
+    train = lambda d, n: toxicity.train(d, labels, n) if what is toxicity else langid.train(d, n)
+    want = train(docs, 20)
+    monkeypatch.setattr(what, "fit", elsewhere)
+    got = train(docs, 20)
+    texts = pa.array([A, B, "you idiot, you stupid worthless scum"])
+    assert got.scores(texts) == want.scores(texts) if what is toxicity else got.decided(texts.to_pylist()) == want.decided(texts.to_pylist())
+
+
+def test_toxicity_takes_little_memory():
+    """Training and scoring hold subwords of some words at a time; peaks in MB."""
+    some = [" ".join(f"word{i}x{k}" for k in range(1500)) for i in range(40)]
+    peaks = []
+    for run in (lambda: toxicity.fit(some, [i % 2 for i in range(40)], epochs=1), lambda: toxicity.Model(np.zeros(toxicity.BUCKETS), 0.0).scores(pa.array(some))):
+        tracemalloc.start()
+        run()
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+    assert peaks[0] < 100 and peaks[1] < 80, peaks  # 131 and 126 with subwords of 50,000 words at a time
