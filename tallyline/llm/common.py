@@ -42,6 +42,8 @@ def new_path(spark: SparkSession, what: str) -> str:
     return path
 
 
+#: The setting by which a query's shuffle files are deleted at its end.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _open: list[list[DataFrame]] = []
 
 
@@ -70,10 +72,18 @@ def comparable(df: DataFrame, prefix: str = "") -> list[Column]:
 
 
 def cut(df: DataFrame, what: str = "cut") -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: the lineage ends there and survives lost executors."""
+    """Write ``df`` as a table in the shared folder and read it back: the lineage ends there and survives lost executors.
+
+    Its shuffle files go once it is written; else they would stay until the driver's garbage happens to be collected.
+    """
     spark = df.sparkSession
     path = new_path(spark, what)
-    df.write.parquet(path)
+    before = spark.conf.get(TIDY, "false")
+    spark.conf.set(TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(TIDY, before)
     back = spark.read.schema(df.schema).parquet(path)
     back.cut_at = path
     if _open:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import os
+import time
 import tracemalloc
 from collections import Counter, defaultdict
 
@@ -164,3 +165,15 @@ def test_toxicity_takes_little_memory():
         peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
         tracemalloc.stop()
     assert peaks[0] < 100 and peaks[1] < 80, peaks  # 131 and 126 with subwords of 50,000 words at a time
+
+
+def test_a_cut_leaves_no_shuffle_files(spark):
+    """They went only once the driver's garbage was collected; the setting by which they go is put back."""
+    files = lambda: {x for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    before, setting = files(), spark.conf.get(common.TIDY)
+    back = common.cut(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if left := files() - before:
+            time.sleep(0.1)
+    assert not left and spark.conf.get(common.TIDY) == setting and back.count() == 7
+    common.discard(back)
